@@ -1,0 +1,35 @@
+"""Join strategy for a large fact side against a small per-key side."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A side is broadcast only when its counted size is at most this many rows
+# (rows here are narrow: a user name, a date and a few small values).
+BROADCAST_MAX_ROWS = 1_000_000
+# Beyond it, every key of the large side is spread over this many buckets.
+SALT_BUCKETS = 32
+
+
+def sized_broadcast_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
+                         small_rows: int | None = None, max_rows: int = BROADCAST_MAX_ROWS,
+                         salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Join ``big`` to ``small`` without letting a hot key land in one task.
+
+    The size of ``small`` is counted (or given); at most ``max_rows`` rows are
+    broadcast, so the large side is not shuffled at all.  Otherwise a salted
+    sort-merge join is used: each large-side row gets a salt derived from its
+    content (stable across task retries), and the small side is replicated
+    once per salt value, so one key's rows are split over ``salt_buckets``
+    tasks.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("only inner and left joins can be salted on the large side")
+    n = small.count() if small_rows is None else small_rows
+    if n <= max_rows:
+        return big.join(F.broadcast(small), on=on, how=how)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]), F.lit(salt_buckets))
+    big_s = big.withColumn("_salt", salt)
+    small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return big_s.join(small_s, on=on + ["_salt"], how=how).drop("_salt")
