@@ -124,6 +124,11 @@ def assemble(tables: SourceTables, pairs: DataFrame, users: DataFrame,
     return attach_history_flag(joined, history_summary(tables, anchors, windows.history), windows)
 
 
+def exclude_recent_buyers(df: DataFrame, buyers: DataFrame) -> DataFrame:
+    """Drop every row of a (user, anchor) that paid in the recent window."""
+    return df.join(buyers, on=USER_KEYS, how="left_anti")
+
+
 def serving_log(tables: SourceTables, anchors: list[str], windows: DateWindows = SERVING) -> DataFrame:
     """U1 rows of every run date's search window (before the J3 exclusion)."""
     return anchored_search_log(tables, anchors, windows.searches)
@@ -134,8 +139,8 @@ def serving_features(tables: SourceTables, run_dates: list[str] | str,
     """The feature partition of each run date (dt = run date - 1)."""
     anchors = windows.check_anchors([run_dates] if isinstance(run_dates, str) else run_dates)
     pairs = pair_aggregates(serving_log(tables, anchors, windows))
-    users = user_aggregates(pairs).join(
-        recent_buyers(tables, anchors, windows.recent_buyers), on=USER_KEYS, how="left_anti")
+    users = exclude_recent_buyers(user_aggregates(pairs),
+                                  recent_buyers(tables, anchors, windows.recent_buyers))
     feats = assemble(tables, pairs, users, anchors, windows)
     out_dt = shift_col(F.col(ANCHOR), windows.output_offset).alias("dt")
     return feats.select(*feature_columns(feats), out_dt)

@@ -20,7 +20,7 @@ the row weight (counts become sums, averages weighted averages).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TRAINING_COLUMNS
@@ -50,6 +50,13 @@ def label_day_orders(tables: SourceTables, label_dates: list[str] | str,
             .where(F.col("order_cnt") < MAX_ORDERS_PER_ROUTE))
 
 
+def with_route_set_size(label_orders: DataFrame) -> DataFrame:
+    """W4 on top of the HAVING: ``size(collect_set(route))`` per user-day, i.e.
+    the number of non-null routes left after the 20-order cut."""
+    w = Window.partitionBy(USER, ANCHOR)
+    return label_orders.withColumn("route_set_cnt", F.count("order_route").over(w).cast("int"))
+
+
 def label_orders_without_recent_buyers(tables: SourceTables, label_dates: list[str] | str,
                                        windows: DateWindows = TRAINING) -> DataFrame:
     """Drop label-day buyers who also paid in the two days before."""

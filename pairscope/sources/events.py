@@ -69,12 +69,12 @@ class EventTables(SourceTables):
     sf_dir: str
 
     def _events(self, event_type: str, lo: str | None = None, hi: str | None = None) -> DataFrame:
+        """Rows of one event type with dt in [lo, hi] (None: open bound)."""
         ev = self.spark.read.parquet(f"{self.sf_dir}/events.parquet").where(F.col("event_type") == event_type)
         if lo is not None:
-            start = parse(lo).isoformat()
-            end = parse(shift(hi, 1)).isoformat()
-            ev = ev.where((F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
-                          & (F.col("ts") < F.lit(end).cast("timestamp_ntz")))
+            ev = ev.where(F.col("ts") >= F.lit(parse(lo).isoformat()).cast("timestamp_ntz"))
+        if hi is not None:
+            ev = ev.where(F.col("ts") < F.lit(parse(shift(hi, 1)).isoformat()).cast("timestamp_ntz"))
         return ev
 
     def _log(self, event_type: str, lo: str, hi: str) -> DataFrame:

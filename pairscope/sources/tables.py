@@ -18,14 +18,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import between_dt
 
 _LOG_COLS = ["username", "dep_city", "arr_city", "pre_days", "search_date", "search_time", "dt"]
 _ORDER_COLS = ["qunar_username", "dep_city", "arr_city", "create_time", "pay_ok", "dt"]
 
 
 class SourceTables:
-    """Interface: date-scoped scans of the source tables."""
+    """Interface: date-scoped scans of the source tables.
+
+    ``lo`` / ``hi`` are closed yyyyMMdd bounds; None leaves that side open
+    (whole-table scans)."""
 
     spark: SparkSession
 
@@ -60,28 +62,23 @@ class CatalogTables(SourceTables):
             return self.spark.read.parquet(name)
         return self.spark.table(name)
 
-    def list_log(self, lo: str, hi: str) -> DataFrame:
-        return self._read(self.list_table).where(between_dt("dt", lo, hi)).select(*_LOG_COLS)
+    def _scan(self, name: str, lo: str | None, hi: str | None, cols: list[str]) -> DataFrame:
+        df = self._read(name)
+        if lo is not None:
+            df = df.where(F.col("dt") >= F.lit(lo))
+        if hi is not None:
+            df = df.where(F.col("dt") <= F.lit(hi))
+        return df.select(*cols)
 
-    def ota_log(self, lo: str, hi: str) -> DataFrame:
-        return self._read(self.ota_table).where(between_dt("dt", lo, hi)).select(*_LOG_COLS)
+    def list_log(self, lo: str | None, hi: str | None) -> DataFrame:
+        return self._scan(self.list_table, lo, hi, _LOG_COLS)
 
-    def orders(self, lo: str, hi: str) -> DataFrame:
-        return self._read(self.order_table).where(between_dt("dt", lo, hi)).select(*_ORDER_COLS)
+    def ota_log(self, lo: str | None, hi: str | None) -> DataFrame:
+        return self._scan(self.ota_table, lo, hi, _LOG_COLS)
+
+    def orders(self, lo: str | None, hi: str | None) -> DataFrame:
+        return self._scan(self.order_table, lo, hi, _ORDER_COLS)
 
     def user_tags(self) -> DataFrame:
         return self._read(self.tag_table).select("key", "tag")
 
-
-def in_dt_range(df: DataFrame, lo: str, hi: str) -> DataFrame:
-    return df.where(between_dt("dt", lo, hi))
-
-
-def all_dates() -> tuple[str, str]:
-    """A range that covers every partition (for whole-table scans)."""
-    return "00000000", "99999999"
-
-
-def dt_col_range(df: DataFrame) -> DataFrame:
-    """min/max partition value of a table (one small aggregate)."""
-    return df.agg(F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt"))

@@ -107,4 +107,4 @@ def window_bounds(anchor: Column, windows: DateWindows) -> dict[str, Column]:
     }
     if windows.output_offset is not None:
         out["output_dt"] = shift_col(anchor, windows.output_offset)
-    return out
+    return {k: v.alias(k) for k, v in out.items()}
