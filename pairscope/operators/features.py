@@ -2,9 +2,9 @@
 
 Formulation (aggregate first, window later).  The reference computes user
 totals with window functions over raw log rows and then groups to
-(user, route).  Here the raw rows are grouped to (user, anchor, route) first
-(partial aggregation before the only shuffle of raw rows), and user totals
-are computed from those far smaller pair rows:
+(user, route).  Here the raw rows are grouped to (user, anchor, route) first,
+with partial aggregation before the only shuffle of raw rows, and the user
+totals are windows over those far smaller pair rows:
 
   search_route_cnt = sum of the pair list counts     (count(if list) over user)
   ota_route_cnt    = sum of the pair ota counts
@@ -12,25 +12,32 @@ are computed from those far smaller pair rows:
   route_cnt        = number of pair rows              (count(1) over user, after
                                                        the 1:1 history/tag joins)
 
-A hot user therefore never sends its raw rows to one task: map-side partial
-aggregation collapses them to at most one row per route and map task, and
-after the shuffle its routes are spread by route hash.
-
-Recent-buyer exclusion (J3) removes whole users, so it is applied to the
-per-user aggregate (one row per user and anchor) instead of the raw log, and
-tags are attached there too: the pair rows are then joined once on
-(user, anchor) and once on (user, route) for the history flag.
+A hot user never sends its raw rows to one task: map-side partial aggregation
+collapses them to one row per route and map task.  The pair rows are then
+shuffled once, by user; the user windows, the recent-buyer exclusion, the tag
+join and the history join all run on that partitioning (their small sides
+are partitioned by user to match, or broadcast), so no pair row moves twice.
+This needs ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
+``pairscope.session``), which lets a partitioning on the user alone serve
+joins keyed by (user, anchor) and (user, route).
+
+Recent-buyer exclusion (J3) drops whole users.  When the buyer set is small
+enough to broadcast (counted first), it is an anti join that Catalyst pushes
+down to the raw log rows, a map-side filter.  Beyond that it is a left join
+plus null filter at pair level, which is not pushed below the aggregation
+and so never shuffles raw rows by user.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import (PROCESS_LIST, PROCESS_OTA, fallback, ratio)
 from ..schemas import FEATURE_COLUMNS
 from ..sources.tables import SourceTables
 from ..windows import SERVING, DateWindows, shift_col
+from .joins import BROADCAST_MAX_ROWS
 from .logs import (ANCHOR, ROUTE, USER, anchored_search_log, history_flag, history_summary,
                    recent_buyers, user_tag_flags)
 
@@ -81,8 +88,27 @@ def pair_aggregates(log: DataFrame, weight: str | None = None) -> DataFrame:
     return log.groupBy(*PAIR_KEYS).agg(*aggs)
 
 
+def by_user(df: DataFrame) -> DataFrame:
+    """Hash-partition on the user alone (the partitioning the feature tail shares)."""
+    return df.repartition(USER)
+
+
+def user_windows(pairs: DataFrame) -> DataFrame:
+    """W1 + W2 + W3 as windows over each user's pair rows (one row per pair kept)."""
+    w = Window.partitionBy(*USER_KEYS)
+    return pairs.select(
+        "*",
+        F.sum("search_route_single_cnt").over(w).cast("int").alias("search_route_cnt"),
+        F.sum("ota_route_single_cnt").over(w).cast("int").alias("ota_route_cnt"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("dep_set").over(w)))).alias("dep_city_cnt"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("arr_set").over(w)))).alias("arr_city_cnt"),
+        F.count(F.lit(1)).over(w).cast("int").alias("route_cnt"),
+    ).drop("dep_set", "arr_set")
+
+
 def user_aggregates(pairs: DataFrame) -> DataFrame:
-    """W1 + W2 + W3 per (user, anchor) from the pair rows."""
+    """W1 + W2 + W3 per (user, anchor) from the pair rows, one row per user
+    (the per-user report; the feature tail uses ``user_windows``)."""
     return pairs.groupBy(*USER_KEYS).agg(
         F.sum("search_route_single_cnt").cast("int").alias("search_route_cnt"),
         F.sum("ota_route_single_cnt").cast("int").alias("ota_route_cnt"),
@@ -94,7 +120,9 @@ def user_aggregates(pairs: DataFrame) -> DataFrame:
 
 def attach_user_tags(df: DataFrame, tags: DataFrame) -> DataFrame:
     """Left join of the tag flags on the user (untagged users keep nulls)."""
-    return df.join(tags.withColumnRenamed("key", USER), on=USER, how="left")
+    if "key" in tags.columns:
+        tags = tags.withColumnRenamed("key", USER)
+    return df.join(tags, on=USER, how="left")
 
 
 def attach_history_flag(pairs: DataFrame, summary: DataFrame, windows: DateWindows) -> DataFrame:
@@ -116,17 +144,26 @@ def feature_columns(df: DataFrame) -> list:
     return [derived.get(c, F.col(c)) for c in FEATURE_COLUMNS if c != "dt"]
 
 
-def assemble(tables: SourceTables, pairs: DataFrame, users: DataFrame,
-             anchors: list[str], windows: DateWindows) -> DataFrame:
-    """Shared tail of serving and training: tags, user totals, history flag."""
-    users = attach_user_tags(users, user_tag_flags(tables))
-    joined = pairs.join(users, on=USER_KEYS, how="inner")
-    return attach_history_flag(joined, history_summary(tables, anchors, windows.history), windows)
+def assemble(tables: SourceTables, pairs: DataFrame, anchors: list[str], windows: DateWindows,
+             buyers: DataFrame | None = None) -> DataFrame:
+    """Shared tail of serving and training: user windows, J3, tags, history flag."""
+    feats = user_windows(by_user(pairs))
+    if buyers is not None:
+        feats = exclude_recent_buyers(feats, buyers)
+    feats = attach_user_tags(feats, by_user(user_tag_flags(tables).withColumnRenamed("key", USER)))
+    summary = by_user(history_summary(tables, anchors, windows.history))
+    return attach_history_flag(feats, summary, windows)
+
 
+def exclude_recent_buyers(df: DataFrame, buyers: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Drop every row of a (user, anchor) that paid in the recent window.
 
-def exclude_recent_buyers(df: DataFrame, buyers: DataFrame) -> DataFrame:
-    """Drop every row of a (user, anchor) that paid in the recent window."""
-    return df.join(buyers, on=USER_KEYS, how="left_anti")
+    Broadcast anti join when the counted buyer set is small; otherwise a left
+    join with a null filter on the user-partitioned rows."""
+    if buyers.count() <= max_rows:
+        return df.join(F.broadcast(buyers), on=USER_KEYS, how="left_anti")
+    marked = by_user(buyers.withColumn("_recent", F.lit(True)))
+    return df.join(marked, on=USER_KEYS, how="left").where(F.col("_recent").isNull()).drop("_recent")
 
 
 def serving_log(tables: SourceTables, anchors: list[str], windows: DateWindows = SERVING) -> DataFrame:
@@ -139,8 +176,7 @@ def serving_features(tables: SourceTables, run_dates: list[str] | str,
     """The feature partition of each run date (dt = run date - 1)."""
     anchors = windows.check_anchors([run_dates] if isinstance(run_dates, str) else run_dates)
     pairs = pair_aggregates(serving_log(tables, anchors, windows))
-    users = exclude_recent_buyers(user_aggregates(pairs),
-                                  recent_buyers(tables, anchors, windows.recent_buyers))
-    feats = assemble(tables, pairs, users, anchors, windows)
+    buyers = recent_buyers(tables, anchors, windows.recent_buyers)
+    feats = assemble(tables, pairs, anchors, windows, buyers)
     out_dt = shift_col(F.col(ANCHOR), windows.output_offset).alias("dt")
     return feats.select(*feature_columns(feats), out_dt)

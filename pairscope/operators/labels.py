@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..schemas import TRAINING_COLUMNS
 from ..sources.tables import SourceTables
 from ..windows import MAX_ORDERS_PER_ROUTE, TRAINING, DateWindows
-from .features import assemble, feature_columns, pair_aggregates, user_aggregates
+from .features import assemble, feature_columns, pair_aggregates
 from .joins import sized_broadcast_join
 from .logs import ANCHOR, ROUTE, USER, anchored_search_log, paid_orders, recent_buyers
 
@@ -94,7 +94,7 @@ def training_set(tables: SourceTables, label_dates: list[str] | str,
     """One labelled feature row per (user, route, label day)."""
     anchors = _anchors(label_dates, windows)
     pairs = pair_aggregates(pre_order_searches(tables, anchors, windows), weight="fanout")
-    feats = assemble(tables, pairs, user_aggregates(pairs), anchors, windows)
+    feats = assemble(tables, pairs, anchors, windows)
     cols = feature_columns(feats) + [F.col("label"), F.col(ANCHOR).alias("label_dt")]
     out = feats.select(*cols)
     assert out.columns == TRAINING_COLUMNS

@@ -84,21 +84,23 @@ def history_summary(tables: SourceTables, anchors: list[str], window: Offsets) -
     (anchors lie within back-near days of each other).  So two aggregates
     per (user, route) decide the flag for every anchor, and the two-year
     history is scanned and shuffled once, partially aggregated map-side.
+    Days are aggregated as yyyyMMdd integers so that the aggregate is a hash
+    aggregate (min/max over strings would fall back to a sort aggregate).
     """
     lo, hi = window.span(anchors)
-    pivot = shift(min(anchors), -window.near)
-    dt = F.col("dt")
+    pivot = int(shift(min(anchors), -window.near))
+    day = F.col("dt").cast("int")
     return (paid_orders(tables, lo, hi)
             .where(F.col("order_route").isNotNull())
             .groupBy(USER, "order_route")
-            .agg(F.max(F.when(dt <= pivot, dt)).alias("last_on_or_before_pivot"),
-                 F.min(F.when(dt > pivot, dt)).alias("first_after_pivot")))
+            .agg(F.max(F.when(day <= pivot, day)).alias("last_on_or_before_pivot"),
+                 F.min(F.when(day > pivot, day)).alias("first_after_pivot")))
 
 
 def history_flag(anchor: Column, window: Offsets) -> Column:
     """P6 on top of ``history_summary`` columns, for a column of anchors."""
-    hit = ((F.col("first_after_pivot") <= shift_col(anchor, -window.near))
-           | (F.col("last_on_or_before_pivot") >= shift_col(anchor, -window.back)))
+    hit = ((F.col("first_after_pivot") <= shift_col(anchor, -window.near).cast("int"))
+           | (F.col("last_on_or_before_pivot") >= shift_col(anchor, -window.back).cast("int")))
     return F.when(F.coalesce(hit, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
 
 

@@ -26,12 +26,15 @@ _REQUIRED_CONF = {
 }
 
 # Settings for the execution model: runtime re-planning, skew splitting,
-# coalescing of small shuffle partitions.
+# coalescing of small shuffle partitions, and partition reuse: a partitioning
+# on the user alone may serve joins keyed by (user, anchor) / (user, route),
+# so the feature tail shuffles its pair rows once (see operators.features).
 _EXECUTION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -54,8 +57,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the correctness settings to an existing session (runtime confs only)."""
-    for k, v in _REQUIRED_CONF.items():
+    """Apply the pipeline's settings to an existing session (runtime confs only)."""
+    for k, v in {**_REQUIRED_CONF, **_EXECUTION_CONF}.items():
         spark.conf.set(k, v)
     return spark
 
