@@ -82,3 +82,33 @@ class CatalogTables(SourceTables):
     def user_tags(self) -> DataFrame:
         return self._read(self.tag_table).select("key", "tag")
 
+
+
+@dataclass
+class FrameTables(SourceTables):
+    """Source tables held as DataFrames (hand-written rows, or frames built upstream)."""
+    spark: SparkSession
+    list_df: DataFrame
+    ota_df: DataFrame
+    order_df: DataFrame
+    tag_df: DataFrame
+
+    @staticmethod
+    def _range(df: DataFrame, lo: str | None, hi: str | None) -> DataFrame:
+        if lo is not None:
+            df = df.where(F.col("dt") >= F.lit(lo))
+        if hi is not None:
+            df = df.where(F.col("dt") <= F.lit(hi))
+        return df
+
+    def list_log(self, lo: str | None, hi: str | None) -> DataFrame:
+        return self._range(self.list_df, lo, hi).select(*_LOG_COLS)
+
+    def ota_log(self, lo: str | None, hi: str | None) -> DataFrame:
+        return self._range(self.ota_df, lo, hi).select(*_LOG_COLS)
+
+    def orders(self, lo: str | None, hi: str | None) -> DataFrame:
+        return self._range(self.order_df, lo, hi).select(*_ORDER_COLS)
+
+    def user_tags(self) -> DataFrame:
+        return self.tag_df.select("key", "tag")

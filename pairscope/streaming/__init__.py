@@ -1,0 +1,7 @@
+"""Intentionally empty: the reference pipeline is a daily batch job.
+
+It has no streams, watermarks, stateful operators or late-data handling, so
+nothing is built here (building streaming operators the reference does not
+have is out of scope).  A daily run is a batch call of
+``pairscope.operators.features.serving_features`` for that run date.
+"""
