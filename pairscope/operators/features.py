@@ -21,11 +21,8 @@ This needs ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
 ``pairscope.session``), which lets a partitioning on the user alone serve
 joins keyed by (user, anchor) and (user, route).
 
-Recent-buyer exclusion (J3) drops whole users.  When the buyer set is small
-enough to broadcast (counted first), it is an anti join that Catalyst pushes
-down to the raw log rows, a map-side filter.  Beyond that it is a left join
-plus null filter at pair level, which is not pushed below the aggregation
-and so never shuffles raw rows by user.
+Recent-buyer exclusion (J3) drops whole users; it runs on the pair rows
+after the user shuffle (see ``exclude_recent_buyers``).
 """
 
 from __future__ import annotations
@@ -37,7 +34,6 @@ from ..functions.columns import (PROCESS_LIST, PROCESS_OTA, fallback, ratio)
 from ..schemas import FEATURE_COLUMNS
 from ..sources.tables import SourceTables
 from ..windows import SERVING, DateWindows, shift_col
-from .joins import BROADCAST_MAX_ROWS
 from .logs import (ANCHOR, ROUTE, USER, anchored_search_log, history_flag, history_summary,
                    recent_buyers, user_tag_flags)
 
@@ -150,19 +146,19 @@ def assemble(tables: SourceTables, pairs: DataFrame, anchors: list[str], windows
     feats = user_windows(by_user(pairs))
     if buyers is not None:
         feats = exclude_recent_buyers(feats, buyers)
-    feats = attach_user_tags(feats, by_user(user_tag_flags(tables).withColumnRenamed("key", USER)))
-    summary = by_user(history_summary(tables, anchors, windows.history))
-    return attach_history_flag(feats, summary, windows)
+    feats = attach_user_tags(feats, user_tag_flags(tables))
+    return attach_history_flag(feats, history_summary(tables, anchors, windows.history), windows)
 
 
-def exclude_recent_buyers(df: DataFrame, buyers: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def exclude_recent_buyers(df: DataFrame, buyers: DataFrame) -> DataFrame:
     """Drop every row of a (user, anchor) that paid in the recent window.
 
-    Broadcast anti join when the counted buyer set is small; otherwise a left
-    join with a null filter on the user-partitioned rows."""
-    if buyers.count() <= max_rows:
-        return df.join(F.broadcast(buyers), on=USER_KEYS, how="left_anti")
-    marked = by_user(buyers.withColumn("_recent", F.lit(True)))
+    Written as a left join plus null filter rather than an anti join: Catalyst
+    would push an anti join below the aggregation onto raw log rows (a raw
+    shuffle by user unless broadcast), while this stays on the user-partitioned
+    pair rows.  AQE turns it into a broadcast join when the buyer set proves
+    small at run time, and the pair rows never move either way."""
+    marked = buyers.withColumn("_recent", F.lit(True))
     return df.join(marked, on=USER_KEYS, how="left").where(F.col("_recent").isNull()).drop("_recent")
 
 
