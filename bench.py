@@ -3,7 +3,7 @@
 Runs each query at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS] and prints one JSON line.  Every query is executed in full
 with the ``noop`` sink (all rows computed, nothing collected to the driver);
-each is run ``$BENCH_REPEAT`` times (default 2) after one warm-up and the best
+each is run ``$BENCH_REPEAT`` times (default 3) after one warm-up and the best
 time is reported.
 """
 
@@ -44,7 +44,7 @@ def run(spark, name: str, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     spark = get_session(f"local[{cpus}]", int(cpus), extra={
         "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})

@@ -83,22 +83,20 @@ def classification_report(df: DataFrame, label: str = "label", pred: str = "pred
     s1, s0 = tp + fn, tn + fp
 
     def row(name, p, r, f, s):
-        return c.select(F.lit(name).alias("class"), p.alias("precision"), r.alias("recall"),
-                        f.alias("f1_score"), s.cast("long").alias("support"))
+        return F.struct(F.lit(name).alias("class"), p.cast("double").alias("precision"),
+                        r.cast("double").alias("recall"), f.cast("double").alias("f1_score"),
+                        s.cast("long").alias("support"))
 
-    rows = [
+    rows = F.array(
         row("0", p0, r0, f1_0, s0),
         row("1", p1, r1, f1_1, s1),
-        row("accuracy", F.lit(None).cast("double"), F.lit(None).cast("double"),
-            _zero_div(tp + tn, total), total),
+        row("accuracy", F.lit(None), F.lit(None), _zero_div(tp + tn, total), total),
         row("macro avg", (p0 + p1) / 2, (r0 + r1) / 2, (f1_0 + f1_1) / 2, total),
         row("weighted avg", _zero_div(p0 * s0 + p1 * s1, total), _zero_div(r0 * s0 + r1 * s1, total),
             _zero_div(f1_0 * s0 + f1_1 * s1, total), total),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    )
+    # One aggregate row fans out into the five report rows (no union of re-computed branches).
+    return c.select(F.inline(rows))
 
 
 def auc_hard_label(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
