@@ -5,12 +5,13 @@ for serving, label dates for training) and tags each row with the anchors
 whose window contains it (``anchor_dt``).  A row of day d belongs to the
 anchors d+near .. d+back, so one scan of the union range serves a whole
 backfill; each row is repeated at most ``back - near + 1`` times (2 for the
-search and recent-buyer windows).
+search and recent-buyer windows), by a broadcast join with the small
+day-to-anchor map.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import (PROCESS_LIST, PROCESS_OTA, TAG_STUDENT, TAG_TRADER,
@@ -23,15 +24,24 @@ USER = "qunar_username"
 ROUTE = "search_route"
 
 
+def anchor_map(spark: SparkSession, anchors: list[str], window: Offsets) -> DataFrame:
+    """(dt, anchor_dt) for every day in every anchor's window.
+
+    Its size is known on the driver: len(anchors) x (back - near + 1) rows."""
+    rows = [(shift(a, -k), a) for a in anchors for k in range(window.near, window.back + 1)]
+    return spark.createDataFrame(rows, "dt string, anchor_dt string")
+
+
 def assign_anchors(df: DataFrame, anchors: list[str], window: Offsets, dt: str = "dt") -> DataFrame:
-    """Add ``anchor_dt`` = every anchor A with A-back <= dt <= A-near."""
+    """Add ``anchor_dt`` = every anchor A with A-back <= dt <= A-near.
+
+    One anchor: a literal.  Several: an equi-join with the small day-to-anchor
+    map, broadcast (its size is bounded by the parameters), which repeats a
+    row once per anchor whose window contains its day."""
     if len(anchors) == 1:
         return df.withColumn(ANCHOR, F.lit(anchors[0]))
-    offset = F.explode(F.sequence(F.lit(window.near), F.lit(window.back)))
-    return (df.withColumn("_offset", offset)
-              .withColumn(ANCHOR, shift_col(dt, F.col("_offset")))
-              .where(F.col(ANCHOR).isin(anchors))
-              .drop("_offset"))
+    amap = F.broadcast(anchor_map(df.sparkSession, anchors, window).withColumnRenamed("dt", dt))
+    return df.join(amap, on=dt, how="inner")
 
 
 def _search_rows(log: DataFrame, process: str) -> DataFrame:

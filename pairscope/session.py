@@ -9,7 +9,6 @@ missing (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -81,11 +80,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder (one per call)."""
     return f"{shared_dir(spark)}/pairscope/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so that Python-side code can open a local path."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)

@@ -73,3 +73,12 @@ def test_model_train_score_save_load(spark):
     a, b = _rows(scored), _rows(again)
     assert a == b and len(a) == feats.count()
     assert all(0.0 <= r[2] <= 1.0 for r in a)
+
+
+def test_drop_table(spark):
+    table = _table(spark)
+    row = ("u1", 1, "D0-A0", 1, 1, 1.0, 0, 0, None, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0, 1, 1, 0, None, None, "x")
+    table.overwrite_partition(spark.createDataFrame([row], FEATURES).drop("dt"), "20240101")
+    assert table.read().count() == 1
+    table.drop()
+    assert not spark.catalog.tableExists(table.name)
