@@ -2,21 +2,29 @@
 
 Formulation (aggregate first, window later).  The reference computes user
 totals with window functions over raw log rows and then groups to
-(user, route).  Here the raw rows are grouped to (user, anchor, route) first,
-with partial aggregation before the only shuffle of raw rows, and the user
-totals are windows over those far smaller pair rows:
-
-  search_route_cnt = sum of the pair list counts     (count(if list) over user)
-  ota_route_cnt    = sum of the pair ota counts
-  dep_city_cnt     = size of the union of pair city sets (size(collect_set) over user)
-  route_cnt        = number of pair rows              (count(1) over user, after
-                                                       the 1:1 history/tag joins)
-
-A hot user never sends its raw rows to one task: map-side partial aggregation
-collapses them to one row per route and map task.  The pair rows are then
-shuffled once, by user; the user windows, the recent-buyer exclusion, the tag
-join and the history join all run on that partitioning (their small sides
-are partitioned by user to match, or broadcast), so no pair row moves twice.
+(user, route).  Here:
+
+1. Raw rows are grouped to *cells* (user, anchor, route, dep_city, arr_city)
+   with numeric aggregates only (counts or weight sums, min, max, sums), so the
+   raw-row aggregate is a code-generated hash aggregate with map-side partial
+   aggregation before the only shuffle of raw rows.  (A string or set
+   aggregate here would force a sort-based or object aggregate over every raw
+   row.)  Cells are nearly pairs: a route fixes its cities except for the null
+   route.
+2. Cells are shuffled once, by user.  User-level values are windows over the
+   user's cells, each computed once per user:
+     search_route_cnt = sum of list counts        (count(if list) over user)
+     ota_route_cnt    = sum of ota counts
+     dep_city_cnt     = size(collect_set(dep_city)) over user
+     route_cnt        = distinct routes of the user, a null route counting
+                        once (count(1) over user after the 1:1 joins)
+3. Cells fold into pairs with a second hash aggregate on the same partitioning
+   (no exchange), carrying the user values with max() as the reference does.
+
+A hot user never sends its raw rows to one task: partial aggregation leaves
+at most one row per cell and map task.  The recent-buyer exclusion, the tag
+join and the history join all run on the user partitioning (their small sides
+are broadcast, or partitioned by user to match), so no pair row moves twice.
 This needs ``spark.sql.requireAllClusterKeysForCoPartition=false`` (set by
 ``pairscope.session``), which lets a partitioning on the user alone serve
 joins keyed by (user, anchor) and (user, route).
@@ -39,49 +47,33 @@ from .logs import (ANCHOR, ROUTE, USER, anchored_search_log, history_flag, histo
 
 PAIR_KEYS = [USER, ANCHOR, ROUTE]
 USER_KEYS = [USER, ANCHOR]
+CELL_KEYS = PAIR_KEYS + ["dep_city", "arr_city"]
+USER_STATS = ["search_route_cnt", "ota_route_cnt", "dep_city_cnt", "arr_city_cnt", "route_cnt"]
 
 
-def pair_aggregates(log: DataFrame, weight: str | None = None) -> DataFrame:
-    """A1 + A2 per (user, anchor, route), plus the city sets for W2.
+def cell_aggregates(log: DataFrame, weight: str | None = None) -> DataFrame:
+    """A1 + A2 partial state per (user, anchor, route, dep_city, arr_city).
 
-    ``weight`` (training) is the multiplicity of each log row; counts become
-    sums of weights and averages weighted averages, min/max and sets are
-    unchanged.
-    """
+    ``weight`` (training) is the multiplicity of each log row: counts become
+    sums of weights and averages weighted averages; min/max are unchanged."""
     is_list = F.col("process") == PROCESS_LIST
     is_ota = F.col("process") == PROCESS_OTA
     pre = F.col("pre_days")
-
-    if weight is None:
-        def cnt(cond):
-            return F.count(F.when(cond, F.lit(1)))
-
-        def avg(cond):
-            return F.avg(F.when(cond, pre))
-    else:
-        w = F.col(weight)
-
-        def cnt(cond):
-            return F.coalesce(F.sum(F.when(cond, w)), F.lit(0))
-
-        def avg(cond):
-            return ratio(F.sum(F.when(cond, w * pre)), F.sum(F.when(cond & pre.isNotNull(), w)))
-
-    aggs = [
-        cnt(is_list).cast("int").alias("search_route_single_cnt"),
-        cnt(is_ota).cast("int").alias("ota_route_single_cnt"),
-        F.max(F.when(is_list, pre)).cast("double").alias("search_pre_days_max"),
-        F.min(F.when(is_list, pre)).cast("double").alias("search_pre_days_min"),
-        avg(is_list).cast("double").alias("search_pre_days_avg"),
-        F.max(F.when(is_ota, pre)).cast("double").alias("ota_pre_days_max_raw"),
-        F.min(F.when(is_ota, pre)).cast("double").alias("ota_pre_days_min_raw"),
-        avg(is_ota).cast("double").alias("ota_pre_days_avg_raw"),
-        F.collect_set("dep_city").alias("dep_set"),
-        F.collect_set("arr_city").alias("arr_set"),
-    ]
+    w = F.lit(1) if weight is None else F.col(weight)
+
+    def total(cond):
+        return F.coalesce(F.sum(F.when(cond, w)), F.lit(0)).cast("long")
+
+    aggs = []
+    for name, cond in (("list", is_list), ("ota", is_ota)):
+        aggs += [total(cond).alias(f"{name}_cnt"),
+                 F.max(F.when(cond, pre)).alias(f"{name}_pre_max"),
+                 F.min(F.when(cond, pre)).alias(f"{name}_pre_min"),
+                 F.sum(F.when(cond, w * pre)).cast("long").alias(f"{name}_pre_sum"),
+                 total(cond & pre.isNotNull()).alias(f"{name}_pre_n")]
     if "in_label" in log.columns:
         aggs.append(F.max(F.col("in_label").cast("int")).alias("label"))
-    return log.groupBy(*PAIR_KEYS).agg(*aggs)
+    return log.groupBy(*CELL_KEYS).agg(*aggs)
 
 
 def by_user(df: DataFrame) -> DataFrame:
@@ -89,29 +81,47 @@ def by_user(df: DataFrame) -> DataFrame:
     return df.repartition(USER)
 
 
-def user_windows(pairs: DataFrame) -> DataFrame:
-    """W1 + W2 + W3 as windows over each user's pair rows (one row per pair kept)."""
+def with_user_stats(cells: DataFrame) -> DataFrame:
+    """W1 + W2 + W3 as windows over each user's cells."""
     w = Window.partitionBy(*USER_KEYS)
-    return pairs.select(
+    route = F.col(ROUTE)
+    return cells.select(
         "*",
-        F.sum("search_route_single_cnt").over(w).cast("int").alias("search_route_cnt"),
-        F.sum("ota_route_single_cnt").over(w).cast("int").alias("ota_route_cnt"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("dep_set").over(w)))).alias("dep_city_cnt"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("arr_set").over(w)))).alias("arr_city_cnt"),
-        F.count(F.lit(1)).over(w).cast("int").alias("route_cnt"),
-    ).drop("dep_set", "arr_set")
+        F.sum("list_cnt").over(w).cast("int").alias("search_route_cnt"),
+        F.sum("ota_cnt").over(w).cast("int").alias("ota_route_cnt"),
+        F.size(F.collect_set("dep_city").over(w)).alias("dep_city_cnt"),
+        F.size(F.collect_set("arr_city").over(w)).alias("arr_city_cnt"),
+        (F.size(F.collect_set(route).over(w)) + F.max(route.isNull().cast("int")).over(w))
+        .cast("int").alias("route_cnt"),
+    )
+
+
+def pair_aggregates(log: DataFrame, weight: str | None = None) -> DataFrame:
+    """One row per (user, anchor, route) with A1/A2 and the user values of
+    W1-W3; the raw rows are shuffled once (as cells) and the cells once, by user."""
+    cells = with_user_stats(by_user(cell_aggregates(log, weight)))
+
+    def avg(prefix):
+        return ratio(F.sum(f"{prefix}_pre_sum"), F.sum(f"{prefix}_pre_n"))
+
+    aggs = [
+        F.sum("list_cnt").cast("int").alias("search_route_single_cnt"),
+        F.sum("ota_cnt").cast("int").alias("ota_route_single_cnt"),
+        F.max("list_pre_max").cast("double").alias("search_pre_days_max"),
+        F.min("list_pre_min").cast("double").alias("search_pre_days_min"),
+        avg("list").alias("search_pre_days_avg"),
+        F.max("ota_pre_max").cast("double").alias("ota_pre_days_max_raw"),
+        F.min("ota_pre_min").cast("double").alias("ota_pre_days_min_raw"),
+        avg("ota").alias("ota_pre_days_avg_raw"),
+    ] + [F.max(c).alias(c) for c in USER_STATS]
+    if "label" in cells.columns:
+        aggs.append(F.max("label").alias("label"))
+    return cells.groupBy(*PAIR_KEYS).agg(*aggs)
 
 
 def user_aggregates(pairs: DataFrame) -> DataFrame:
-    """W1 + W2 + W3 per (user, anchor) from the pair rows, one row per user
-    (the per-user report; the feature tail uses ``user_windows``)."""
-    return pairs.groupBy(*USER_KEYS).agg(
-        F.sum("search_route_single_cnt").cast("int").alias("search_route_cnt"),
-        F.sum("ota_route_single_cnt").cast("int").alias("ota_route_cnt"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("dep_set")))).alias("dep_city_cnt"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("arr_set")))).alias("arr_city_cnt"),
-        F.count(F.lit(1)).cast("int").alias("route_cnt"),
-    )
+    """W1 + W2 + W3 as one row per (user, anchor) (the per-user report)."""
+    return pairs.groupBy(*USER_KEYS).agg(*[F.max(c).alias(c) for c in USER_STATS])
 
 
 def attach_user_tags(df: DataFrame, tags: DataFrame) -> DataFrame:
@@ -142,11 +152,10 @@ def feature_columns(df: DataFrame) -> list:
 
 def assemble(tables: SourceTables, pairs: DataFrame, anchors: list[str], windows: DateWindows,
              buyers: DataFrame | None = None) -> DataFrame:
-    """Shared tail of serving and training: user windows, J3, tags, history flag."""
-    feats = user_windows(by_user(pairs))
+    """Shared tail of serving and training: J3, tags, history flag."""
     if buyers is not None:
-        feats = exclude_recent_buyers(feats, buyers)
-    feats = attach_user_tags(feats, user_tag_flags(tables))
+        pairs = exclude_recent_buyers(pairs, buyers)
+    feats = attach_user_tags(pairs, user_tag_flags(tables))
     return attach_history_flag(feats, history_summary(tables, anchors, windows.history), windows)
 
 
