@@ -1,0 +1,109 @@
+"""Brute-force Python versions of the serving and training queries.
+
+Literal re-statements of the reference queries' meaning on small lists of
+rows: window-first user counts over raw rows, the explicit fan-out join of
+searches to label-day order routes, left joins for history and tags.  Used to
+check the Spark operators on random inputs.
+"""
+
+from collections import defaultdict
+
+from pairscope.windows import shift
+
+JUNK = {None, "", "NULL", "null"}
+
+
+def _route(dep, arr):
+    return None if dep is None or arr is None else f"{dep}-{arr}"
+
+
+def _searches(lists, otas, lo, hi):
+    out = []
+    for process, rows in (("list", lists), ("ota", otas)):
+        for (user, dep, arr, pre, date, time, dt) in rows:
+            if user not in JUNK and lo <= dt <= hi:
+                out.append(dict(user=user, route=_route(dep, arr), dep=dep, arr=arr, pre=pre,
+                                log_time=f"{date} {time}", process=process))
+    return out
+
+
+def _paid(orders, lo, hi, hi_open=False):
+    return [o for o in orders if o[4] == 1 and o[0] not in JUNK and lo <= o[5]
+            and (o[5] < hi if hi_open else o[5] <= hi)]
+
+
+def _tags(tags):
+    flags = {}
+    for key, tag in tags:
+        if tag in ("is_trader", "is_student"):
+            t, s = flags.get(key, (0, 0))
+            flags[key] = (max(t, int(tag == "is_trader")), max(s, int(tag == "is_student")))
+    return flags
+
+
+def _features(rows, history, tags):
+    """rows: joined/log rows (one per row occurrence)."""
+    by_user = defaultdict(list)
+    for r in rows:
+        by_user[r["user"]].append(r)
+    out = {}
+    for user, rs in by_user.items():
+        s_cnt = sum(r["process"] == "list" for r in rs)
+        o_cnt = sum(r["process"] == "ota" for r in rs)
+        deps = {r["dep"] for r in rs if r["dep"] is not None}
+        arrs = {r["arr"] for r in rs if r["arr"] is not None}
+        groups = defaultdict(list)
+        for r in rs:
+            groups[r["route"]].append(r)
+        for route, g in groups.items():
+            lp = [r["pre"] for r in g if r["process"] == "list"]
+            op = [r["pre"] for r in g if r["process"] == "ota"]
+            smax = float(max(lp)) if lp else None
+            smin = float(min(lp)) if lp else None
+            savg = sum(lp) / len(lp) if lp else None
+            omax = float(max(op)) if op else smax
+            omin = float(min(op)) if op else smin
+            oavg = sum(op) / len(op) if op else savg
+            t = tags.get(user, (None, None))
+            out[(user, route)] = dict(
+                route_cnt=len(groups), search_route_cnt=s_cnt, search_route_single_cnt=len(lp),
+                search_rate=len(lp) / s_cnt if s_cnt else None,
+                ota_route_cnt=o_cnt, ota_route_single_cnt=len(op),
+                ota_rate=len(op) / o_cnt if o_cnt else None,
+                search_pre_days_max=smax, search_pre_days_min=smin, search_pre_days_avg=savg,
+                ota_pre_days_max=omax, ota_pre_days_min=omin, ota_pre_days_avg=oavg,
+                dep_city_cnt=len(deps), arr_city_cnt=len(arrs),
+                has_history_route=int(route is not None and (user, route) in history),
+                is_student=t[1], is_trader=t[0])
+    return out
+
+
+def serving(lists, otas, orders, tags, run):
+    lo, hi = shift(run, -2), shift(run, -1)
+    recent = {o[0] for o in _paid(orders, lo, hi)}
+    rows = [r for r in _searches(lists, otas, lo, hi) if r["user"] not in recent]
+    history = {(o[0], _route(o[1], o[2])) for o in _paid(orders, shift(run, -731), shift(run, -2), hi_open=True)}
+    return _features(rows, history, _tags(tags))
+
+
+def training(lists, otas, orders, tags, label):
+    groups = defaultdict(list)
+    for o in _paid(orders, label, label):
+        groups[(o[0], _route(o[1], o[2]))].append(o[3])
+    temp1 = {k: max(v) for k, v in groups.items() if len(v) < 20}
+    recent = {o[0] for o in _paid(orders, shift(label, -2), shift(label, -1))}
+    t = {k: v for k, v in temp1.items() if k[0] not in recent}
+    sets = defaultdict(set)
+    for (user, route) in t:
+        if route is not None:
+            sets[user].add(route)
+    rows = []
+    for r in _searches(lists, otas, shift(label, -2), shift(label, -1)):
+        for (user, _route_), tmax in t.items():
+            if user == r["user"] and r["log_time"] <= tmax:
+                rows.append(r)
+    history = {(o[0], _route(o[1], o[2])) for o in _paid(orders, shift(label, -732), shift(label, -1))}
+    out = _features(rows, history, _tags(tags))
+    for (user, route), f in out.items():
+        f["label"] = int(route in sets[user])
+    return out
