@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from helpers import sorted_rows
 from pairscope.operators import sampling
 from pairscope.functions.columns import hash_key
 
@@ -14,7 +15,7 @@ def _frame(spark, n=400, pos_every=7):
 
 
 def _keys(df):
-    return sorted(tuple(r) for r in df.select(*sampling.KEY).collect())
+    return sorted_rows(df.select(*sampling.KEY))
 
 
 def test_smallest_by_hash_equals_full_sort(spark):
