@@ -332,8 +332,9 @@ SELECT anchor_dt,
   strftime(d - INTERVAL 732 DAY, '%Y%m%d') AS training_history_lo,
   strftime(d - INTERVAL 1 DAY, '%Y%m%d') AS training_history_hi
 FROM days""",
-        "exclude_recent_buyers_log": serving_ctes(run) + """
-SELECT qunar_username, search_route, dep_city, arr_city, pre_days, log_time, process, dt FROM kept""",
+        "exclude_recent_buyers_log": serving_ctes(runs) + """
+SELECT qunar_username, search_route, dep_city, arr_city, pre_days, log_time, process, dt, anchor_dt AS run_dt
+FROM kept""",
         "pair_counts": log_all + "\n" + pair_select.format(cols="""
   CAST(count(CASE WHEN process = 'list' THEN 1 END) AS INTEGER) AS search_route_single_cnt,
   CAST(count(CASE WHEN process = 'ota' THEN 1 END) AS INTEGER) AS ota_route_single_cnt"""),

@@ -95,9 +95,9 @@ def _serving_pairs(spark, sf):
 
 def exclude_recent_buyers_log(spark, sf):
     t = _t(spark, sf)
-    log = feat.serving_log(t, [RUN_DATE])
-    kept = feat.exclude_recent_buyers(log, logs.recent_buyers(t, [RUN_DATE], SERVING.recent_buyers))
-    return kept.drop(logs.ANCHOR)
+    log = feat.serving_log(t, RUN_DATES)
+    kept = feat.exclude_recent_buyers(log, logs.recent_buyers(t, RUN_DATES, SERVING.recent_buyers))
+    return kept.withColumnRenamed(logs.ANCHOR, "run_dt")
 
 
 def pair_counts(spark, sf):

@@ -73,3 +73,16 @@ def test_pooled_label_days_equal_single_days(spark):
     single = sorted(sum((sorted_rows(training_set(t, d)) for d in days), []),
                     key=lambda r: tuple((x is None, str(x)) for x in r))
     assert pooled == single and pooled
+
+
+def test_training_history_window_edges(spark):
+    t = tables(spark, lists=[
+        search("u5", "D0", "A0", 1, "20240109"), search("u5", "D1", "A1", 1, "20240109"),
+    ], orders=[
+        order("u5", "D2", "A2", L),
+        order("u5", "D0", "A0", "20220108"),    # L-732: first history day
+        order("u5", "D1", "A1", "20220107"),    # L-733: outside
+    ])
+    rows = rows_by(training_set(t, L), "qunar_username", "search_route")
+    assert rows[("u5", "D0-A0")]["has_history_route"] == 1
+    assert rows[("u5", "D1-A1")]["has_history_route"] == 0
