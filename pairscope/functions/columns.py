@@ -19,10 +19,10 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def valid_user(c: Column | str) -> Column:
-    """``x is not null and x not in ('', 'NULL', 'null')``."""
-    c = _c(c)
-    return c.isNotNull() & ~c.isin(*JUNK_USER_NAMES)
+def valid_user(name: str) -> Column:
+    """``x is not null and x not in ('', 'NULL', 'null')`` on column ``name``."""
+    junk = ", ".join(f"'{v}'" for v in JUNK_USER_NAMES)
+    return F.expr(f"`{name}` IS NOT NULL AND `{name}` NOT IN ({junk})")
 
 
 def route_key(dep: Column | str = "dep_city", arr: Column | str = "arr_city") -> Column:

@@ -24,9 +24,9 @@ therefore also carries the equivalent ``ts`` range, which Parquet can use
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..windows import parse, shift
 from .tables import SourceTables
@@ -44,23 +44,14 @@ TAG_MOD = 40
 ARR_NULL_FROM_K = 96
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("int")
-
-
-def _username() -> Column:
-    m = F.col("user_id") % USER_MOD
-    expr = F.when(m == NULL_USER_MOD, F.lit(None).cast("string"))
-    for mod, name in JUNK_BY_MOD.items():
-        expr = expr.when(m == mod, F.lit(name))
-    return expr.otherwise(F.concat(F.lit("u"), F.col("user_id").cast("string")))
-
-
-def _cities(k: Column) -> tuple[Column, Column]:
-    dep = F.concat(F.lit("D"), (k % 4).cast("string"))
-    arr = F.when(k >= ARR_NULL_FROM_K, F.lit(None).cast("string")) \
-        .otherwise(F.concat(F.lit("A"), F.floor(k / 25).cast("int").cast("string")))
-    return dep, arr
+_K = "CAST(get_json_object(props, '$.k') AS INT)"
+_USERNAME = ("CASE user_id % {m} WHEN {n} THEN CAST(NULL AS STRING) "
+             + " ".join(f"WHEN {mod} THEN '{name}'" for mod, name in JUNK_BY_MOD.items())
+             + " ELSE concat('u', CAST(user_id AS STRING)) END").format(m=USER_MOD, n=NULL_USER_MOD)
+_DEP = f"concat('D', CAST({_K} % 4 AS STRING))"
+_ARR = (f"CASE WHEN {_K} >= {ARR_NULL_FROM_K} THEN CAST(NULL AS STRING) "
+        f"ELSE concat('A', CAST({_K} DIV 25 AS STRING)) END")
+_DT = "date_format(ts, 'yyyyMMdd')"
 
 
 @dataclass
@@ -68,27 +59,29 @@ class EventTables(SourceTables):
     spark: SparkSession
     sf_dir: str
 
+    @cached_property
+    def _relation(self) -> DataFrame:
+        """The events relation, resolved once (file listing and schema) per instance."""
+        return self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
+
     def _events(self, event_type: str, lo: str | None = None, hi: str | None = None) -> DataFrame:
         """Rows of one event type with dt in [lo, hi] (None: open bound)."""
-        ev = self.spark.read.parquet(f"{self.sf_dir}/events.parquet").where(F.col("event_type") == event_type)
+        cond = [f"event_type = '{event_type}'"]
         if lo is not None:
-            ev = ev.where(F.col("ts") >= F.lit(parse(lo).isoformat()).cast("timestamp_ntz"))
+            cond.append(f"ts >= TIMESTAMP_NTZ '{parse(lo).isoformat()} 00:00:00'")
         if hi is not None:
-            ev = ev.where(F.col("ts") < F.lit(parse(shift(hi, 1)).isoformat()).cast("timestamp_ntz"))
-        return ev
+            cond.append(f"ts < TIMESTAMP_NTZ '{parse(shift(hi, 1)).isoformat()} 00:00:00'")
+        return self._relation.where(" AND ".join(cond))
 
     def _log(self, event_type: str, lo: str, hi: str) -> DataFrame:
-        ev = self._events(event_type, lo, hi)
-        k = _k()
-        dep, arr = _cities(k)
-        return ev.select(
-            _username().alias("username"),
-            dep.alias("dep_city"),
-            arr.alias("arr_city"),
-            F.floor("value").cast("int").alias("pre_days"),
-            F.date_format("ts", "yyyy-MM-dd").alias("search_date"),
-            F.date_format("ts", "HH:mm:ss").alias("search_time"),
-            F.date_format("ts", "yyyyMMdd").alias("dt"),
+        return self._events(event_type, lo, hi).selectExpr(
+            f"{_USERNAME} AS username",
+            f"{_DEP} AS dep_city",
+            f"{_ARR} AS arr_city",
+            "CAST(floor(value) AS INT) AS pre_days",
+            "date_format(ts, 'yyyy-MM-dd') AS search_date",
+            "date_format(ts, 'HH:mm:ss') AS search_time",
+            f"{_DT} AS dt",
         )
 
     def list_log(self, lo: str, hi: str) -> DataFrame:
@@ -98,18 +91,17 @@ class EventTables(SourceTables):
         return self._log(OTA_EVENT, lo, hi)
 
     def orders(self, lo: str, hi: str) -> DataFrame:
-        ev = self._events(ORDER_EVENT, lo, hi)
-        dep, arr = _cities(_k())
-        return ev.select(
-            _username().alias("qunar_username"),
-            dep.alias("dep_city"),
-            arr.alias("arr_city"),
-            F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("create_time"),
-            F.when(F.col("event_id") % UNPAID_EVERY == 0, F.lit(0)).otherwise(F.lit(1)).alias("pay_ok"),
-            F.date_format("ts", "yyyyMMdd").alias("dt"),
+        return self._events(ORDER_EVENT, lo, hi).selectExpr(
+            f"{_USERNAME} AS qunar_username",
+            f"{_DEP} AS dep_city",
+            f"{_ARR} AS arr_city",
+            "date_format(ts, 'yyyy-MM-dd HH:mm:ss') AS create_time",
+            f"CASE WHEN event_id % {UNPAID_EVERY} = 0 THEN 0 ELSE 1 END AS pay_ok",
+            f"{_DT} AS dt",
         )
 
     def user_tags(self) -> DataFrame:
-        m = _k() % TAG_MOD
-        tag = F.when(m == 0, F.lit("is_student")).when(m == 1, F.lit("is_trader")).otherwise(F.lit("other"))
-        return self._events(TAG_EVENT).select(_username().alias("key"), tag.alias("tag"))
+        return self._events(TAG_EVENT).selectExpr(
+            f"{_USERNAME} AS key",
+            f"CASE {_K} % {TAG_MOD} WHEN 0 THEN 'is_student' WHEN 1 THEN 'is_trader' ELSE 'other' END AS tag",
+        )

@@ -58,9 +58,11 @@ class CatalogTables(SourceTables):
     tag_table: str
 
     def _read(self, name: str) -> DataFrame:
-        if "/" in name:
-            return self.spark.read.parquet(name)
-        return self.spark.table(name)
+        """Resolve each table once per instance (catalog lookup / file listing)."""
+        cache = self.__dict__.setdefault("_relations", {})
+        if name not in cache:
+            cache[name] = self.spark.read.parquet(name) if "/" in name else self.spark.table(name)
+        return cache[name]
 
     def _scan(self, name: str, lo: str | None, hi: str | None, cols: list[str]) -> DataFrame:
         df = self._read(name)
