@@ -79,7 +79,10 @@ def pre_order_searches(tables: SourceTables, label_dates: list[str] | str,
     anchors = _anchors(label_dates, windows)
     orders = label_orders_without_recent_buyers(tables, anchors, windows)
     log = anchored_search_log(tables, anchors, windows.searches)
-    joined = sized_broadcast_join(log, order_sets(orders), on=USER_KEYS, small_rows=orders.count())
+    # Size bound of the order sets (rows and array elements alike): the paid
+    # orders of the label days, counted in one scan stage.
+    bound = paid_orders(tables, anchors[0], anchors[-1]).where(F.col("dt").isin(anchors)).count()
+    joined = sized_broadcast_join(log, order_sets(orders), on=USER_KEYS, small_rows=bound)
     fanout = F.size(F.filter("order_set", lambda o: o["create_time_max"] >= F.col("log_time")))
     # array_contains semantics: a null route never matches (null -> label 0).
     in_label = F.coalesce(F.exists("order_set", lambda o: o["order_route"] == F.col(ROUTE)), F.lit(False))
