@@ -41,13 +41,13 @@ ota_log AS (
          strftime(ts, '%H:%M:%S') AS search_time, dt
   FROM evc WHERE event_type = 'click'
 ),
-wide_order AS (
-  SELECT username AS qunar_username, dep_city, arr_city,
+order_src AS (
+  SELECT username, dep_city, arr_city,
          strftime(ts, '%Y-%m-%d %H:%M:%S') AS create_time,
          CASE WHEN event_id % 10 = 0 THEN 0 ELSE 1 END AS pay_ok, dt
   FROM evc WHERE event_type = 'purchase'
 ),
-wide_user_tag AS (
+user_tag_src AS (
   SELECT username AS key,
          CASE WHEN k % 40 = 0 THEN 'is_student' WHEN k % 40 = 1 THEN 'is_trader' ELSE 'other' END AS tag
   FROM ev WHERE event_type = 'signup'
@@ -55,20 +55,20 @@ wide_user_tag AS (
 tag AS (
   SELECT key, max(CASE WHEN tag = 'is_trader' THEN 1 ELSE 0 END) AS is_trader,
          max(CASE WHEN tag = 'is_student' THEN 1 ELSE 0 END) AS is_student
-  FROM wide_user_tag WHERE tag IN ('is_trader', 'is_student') GROUP BY key
+  FROM user_tag_src WHERE tag IN ('is_trader', 'is_student') GROUP BY key
 ),
 searches AS (
-  SELECT username AS qunar_username, dep_city || '-' || arr_city AS search_route, dep_city, arr_city,
+  SELECT username, dep_city || '-' || arr_city AS search_route, dep_city, arr_city,
          pre_days, search_date || ' ' || search_time AS log_time, 'list' AS process, dt
   FROM list_log WHERE """ + VALID.format(u="username") + """
   UNION ALL
-  SELECT username AS qunar_username, dep_city || '-' || arr_city AS search_route, dep_city, arr_city,
+  SELECT username, dep_city || '-' || arr_city AS search_route, dep_city, arr_city,
          pre_days, search_date || ' ' || search_time AS log_time, 'ota' AS process, dt
   FROM ota_log WHERE """ + VALID.format(u="username") + """
 ),
 paid AS (
-  SELECT qunar_username, dep_city || '-' || arr_city AS order_route, dep_city, arr_city, create_time, dt
-  FROM wide_order WHERE pay_ok = 1 AND """ + VALID.format(u="qunar_username") + """
+  SELECT username, dep_city || '-' || arr_city AS order_route, dep_city, arr_city, create_time, dt
+  FROM order_src WHERE pay_ok = 1 AND """ + VALID.format(u="username") + """
 )"""
 
 
@@ -104,10 +104,10 @@ win AS (
     count(DISTINCT dep_city) OVER w AS dep_city_cnt,
     count(DISTINCT arr_city) OVER w AS arr_city_cnt
   FROM {src}
-  WINDOW w AS (PARTITION BY anchor_dt, qunar_username)
+  WINDOW w AS (PARTITION BY anchor_dt, username)
 ),
 grp AS (
-  SELECT anchor_dt, qunar_username, search_route,
+  SELECT anchor_dt, username, search_route,
     max(dep_city_cnt) AS dep_city_cnt, max(arr_city_cnt) AS arr_city_cnt,
     max(search_route_cnt) AS search_route_cnt,
     count(CASE WHEN process = 'list' THEN 1 END) AS search_route_single_cnt,
@@ -119,17 +119,17 @@ grp AS (
     max(CASE WHEN process = 'ota' THEN pre_days END) AS ota_pre_days_max,
     min(CASE WHEN process = 'ota' THEN pre_days END) AS ota_pre_days_min,
     avg(CASE WHEN process = 'ota' THEN pre_days END) AS ota_pre_days_avg{label_col}
-  FROM win GROUP BY anchor_dt, qunar_username, search_route
+  FROM win GROUP BY anchor_dt, username, search_route
 ),
 hist AS (
-  SELECT a.anchor_dt, p.qunar_username, p.order_route
+  SELECT a.anchor_dt, p.username, p.order_route
   FROM paid p JOIN anchors a ON p.dt >= a.h_lo AND p.dt <= a.h_hi
-  GROUP BY a.anchor_dt, p.qunar_username, p.order_route
+  GROUP BY a.anchor_dt, p.username, p.order_route
 ),
 feat AS (
   SELECT g.anchor_dt, a.out_dt,
-    g.qunar_username,
-    CAST(count(*) OVER (PARTITION BY g.anchor_dt, g.qunar_username) AS INTEGER) AS route_cnt,
+    g.username,
+    CAST(count(*) OVER (PARTITION BY g.anchor_dt, g.username) AS INTEGER) AS route_cnt,
     g.search_route,
     CAST(g.search_route_cnt AS INTEGER) AS search_route_cnt,
     CAST(g.search_route_single_cnt AS INTEGER) AS search_route_single_cnt,
@@ -149,13 +149,13 @@ feat AS (
     t.is_student, t.is_trader{", CAST(g.label AS INTEGER) AS label" if label else ""}
   FROM grp g
   JOIN anchors a ON g.anchor_dt = a.anchor_dt
-  LEFT JOIN hist h ON g.anchor_dt = h.anchor_dt AND g.qunar_username = h.qunar_username
+  LEFT JOIN hist h ON g.anchor_dt = h.anchor_dt AND g.username = h.username
                   AND g.search_route = h.order_route
-  LEFT JOIN tag t ON g.qunar_username = t.key
+  LEFT JOIN tag t ON g.username = t.key
 )"""
 
 
-FEATURE_SELECT = """qunar_username, route_cnt, search_route, search_route_cnt, search_route_single_cnt,
+FEATURE_SELECT = """username, route_cnt, search_route, search_route_cnt, search_route_single_cnt,
   search_rate, ota_route_cnt, ota_route_single_cnt, ota_rate, search_pre_days_max, search_pre_days_min,
   search_pre_days_avg, ota_pre_days_max, ota_pre_days_min, ota_pre_days_avg, dep_city_cnt, arr_city_cnt,
   has_history_route, is_student, is_trader"""
@@ -168,13 +168,13 @@ log AS (
   SELECT a.anchor_dt, s.* FROM searches s JOIN anchors a ON s.dt BETWEEN a.s_lo AND a.s_hi
 ),
 recent AS (
-  SELECT a.anchor_dt, p.qunar_username FROM paid p JOIN anchors a ON p.dt >= a.r_lo AND p.dt <= a.r_hi
-  GROUP BY a.anchor_dt, p.qunar_username
+  SELECT a.anchor_dt, p.username FROM paid p JOIN anchors a ON p.dt >= a.r_lo AND p.dt <= a.r_hi
+  GROUP BY a.anchor_dt, p.username
 ),
 kept AS (
   SELECT log.* FROM log LEFT JOIN recent r
-    ON log.anchor_dt = r.anchor_dt AND log.qunar_username = r.qunar_username
-  WHERE r.qunar_username IS NULL
+    ON log.anchor_dt = r.anchor_dt AND log.username = r.username
+  WHERE r.username IS NULL
 ),""" + _feature_tail("kept", label=False))
 
 
@@ -183,31 +183,31 @@ def training_ctes(anchors: list[str]) -> str:
     literal fan-out join of the reference."""
     return _with(FIXTURE, _anchor_table("anchors", anchors, TRAINING), f"""
 temp1 AS (
-  SELECT p.qunar_username, a.anchor_dt, p.order_route, max(p.create_time) AS create_time_max,
+  SELECT p.username, a.anchor_dt, p.order_route, max(p.create_time) AS create_time_max,
          CAST(count(*) AS INTEGER) AS order_cnt
   FROM paid p JOIN anchors a ON p.dt = a.anchor_dt
-  GROUP BY p.qunar_username, a.anchor_dt, p.order_route
+  GROUP BY p.username, a.anchor_dt, p.order_route
   HAVING count(*) < 20
 ),
 temp2 AS (
-  SELECT a.anchor_dt, p.qunar_username FROM paid p JOIN anchors a ON p.dt BETWEEN a.r_lo AND a.r_hi
-  GROUP BY a.anchor_dt, p.qunar_username
+  SELECT a.anchor_dt, p.username FROM paid p JOIN anchors a ON p.dt BETWEEN a.r_lo AND a.r_hi
+  GROUP BY a.anchor_dt, p.username
 ),
 t AS (
   SELECT temp1.* FROM temp1 LEFT JOIN temp2
-    ON temp1.qunar_username = temp2.qunar_username AND temp1.anchor_dt = temp2.anchor_dt
-  WHERE temp2.qunar_username IS NULL
+    ON temp1.username = temp2.username AND temp1.anchor_dt = temp2.anchor_dt
+  WHERE temp2.username IS NULL
 ),
 log AS (
   SELECT a.anchor_dt, s.* FROM searches s JOIN anchors a ON s.dt BETWEEN a.s_lo AND a.s_hi
 ),
 joined AS (
-  SELECT log.anchor_dt, log.qunar_username, log.search_route, log.dep_city, log.arr_city, log.pre_days,
+  SELECT log.anchor_dt, log.username, log.search_route, log.dep_city, log.arr_city, log.pre_days,
          log.process, log.log_time, t.order_route,
-         CASE WHEN EXISTS (SELECT 1 FROM t t2 WHERE t2.qunar_username = log.qunar_username
+         CASE WHEN EXISTS (SELECT 1 FROM t t2 WHERE t2.username = log.username
                            AND t2.anchor_dt = log.anchor_dt AND t2.order_route = log.search_route)
               THEN 1 ELSE 0 END AS label
-  FROM t JOIN log ON t.qunar_username = log.qunar_username AND t.anchor_dt = log.anchor_dt
+  FROM t JOIN log ON t.username = log.username AND t.anchor_dt = log.anchor_dt
   WHERE log.log_time <= t.create_time_max
 ),""" + _feature_tail("joined", label=True))
 
@@ -223,11 +223,11 @@ def _training(anchors, select: str) -> str:
 SERVING_ALL = f"SELECT {FEATURE_SELECT}, out_dt AS dt FROM feat"
 TRAINING_ALL = f"SELECT {FEATURE_SELECT}, label, anchor_dt AS label_dt FROM feat"
 HEURISTIC = "0.5 * coalesce(search_rate, 0.0) + 0.5 * CAST(coalesce(has_history_route, 0) AS DOUBLE)"
-KEY = "qunar_username, search_route, label_dt"
+KEY = "username, search_route, label_dt"
 
 
 def _hash(seed) -> str:
-    return (f"md5(concat_ws('|', coalesce(qunar_username, '\\N'), coalesce(search_route, '\\N'), "
+    return (f"md5(concat_ws('|', coalesce(username, '\\N'), coalesce(search_route, '\\N'), "
             f"coalesce(label_dt, '\\N'), '{seed}'))")
 
 
@@ -236,7 +236,7 @@ def _imputed_training(anchors) -> str:
     cols = []
     for c in FEATURE_SELECT.replace("\n", " ").split(","):
         c = c.strip()
-        cols.append(c if c in ("qunar_username", "search_route") else f"coalesce({c}, 0) AS {c}")
+        cols.append(c if c in ("username", "search_route") else f"coalesce({c}, 0) AS {c}")
     return (training_ctes(anchors) + f""",
 tr AS (SELECT {', '.join(cols)}, label, anchor_dt AS label_dt FROM feat),
 counts AS (SELECT label, count(*) AS n FROM tr GROUP BY label),
@@ -248,7 +248,7 @@ ranked AS (
 sample AS (SELECT * EXCLUDE (rk) FROM ranked WHERE rk <= {R.N_SAMPLE}),
 holdout AS (
   SELECT tr.* FROM tr WHERE NOT EXISTS (
-    SELECT 1 FROM sample s WHERE s.qunar_username IS NOT DISTINCT FROM tr.qunar_username
+    SELECT 1 FROM sample s WHERE s.username IS NOT DISTINCT FROM tr.username
       AND s.search_route IS NOT DISTINCT FROM tr.search_route AND s.label_dt = tr.label_dt)
 ),
 split AS (
@@ -261,7 +261,7 @@ split AS (
 def _scored_training(anchors) -> str:
     return training_ctes(anchors) + f""",
 sc AS (
-  SELECT qunar_username, search_route, anchor_dt AS label_dt, label, {HEURISTIC} AS score,
+  SELECT username, search_route, anchor_dt AS label_dt, label, {HEURISTIC} AS score,
          CASE WHEN {HEURISTIC} > 0.5 THEN 1 ELSE 0 END AS prediction
   FROM feat
 ),
@@ -297,29 +297,29 @@ def oracle_sql() -> dict[str, str]:
     runs, run, labels_, label = R.RUN_DATES, [R.RUN_DATE], R.LABEL_DATES, [R.LABEL_DATE]
     h_lo, h_hi = SERVING.history.bounds(R.RUN_DATE)
     dt = R.PUBLISH_DT
-    pair_select = ("SELECT qunar_username, anchor_dt AS run_dt, search_route, {cols} FROM kept_all "
-                   "GROUP BY qunar_username, anchor_dt, search_route")
+    pair_select = ("SELECT username, anchor_dt AS run_dt, search_route, {cols} FROM kept_all "
+                   "GROUP BY username, anchor_dt, search_route")
     log_all = _with(FIXTURE, _anchor_table("anchors", runs, SERVING), """
 kept_all AS (SELECT a.anchor_dt, s.* FROM searches s JOIN anchors a ON s.dt BETWEEN a.s_lo AND a.s_hi)""")
-    user_select = ("SELECT qunar_username, anchor_dt AS run_dt, {cols} FROM kept_all "
-                   "GROUP BY qunar_username, anchor_dt")
+    user_select = ("SELECT username, anchor_dt AS run_dt, {cols} FROM kept_all "
+                   "GROUP BY username, anchor_dt")
     q = {
         "serving_features": _serving(runs, SERVING_ALL),
         "serving_features_day": _serving(run, SERVING_ALL),
         "unified_search_log": _with(FIXTURE) + "\nSELECT * FROM searches",
         "valid_user_filter": _with(FIXTURE) + """
-SELECT source, u AS qunar_username, count(*) AS row_cnt FROM (
+SELECT source, u AS username, count(*) AS row_cnt FROM (
   SELECT 'list' AS source, username AS u FROM list_log
   UNION ALL SELECT 'ota', username FROM ota_log
-  UNION ALL SELECT 'orders', qunar_username FROM wide_order
+  UNION ALL SELECT 'orders', username FROM order_src
 ) x WHERE """ + VALID.format(u="u") + " GROUP BY source, u",
         "paid_orders_window": _with(FIXTURE) + f"\nSELECT * FROM paid WHERE dt >= '{h_lo}' AND dt <= '{h_hi}'",
         "recent_buyers": _with(FIXTURE, _anchor_table("anchors", labels_, TRAINING)) + """
-SELECT DISTINCT p.qunar_username, a.anchor_dt AS label_dt
+SELECT DISTINCT p.username, a.anchor_dt AS label_dt
 FROM paid p JOIN anchors a ON p.dt BETWEEN a.r_lo AND a.r_hi""",
         "order_history_routes": _with(FIXTURE) + f"""
-SELECT qunar_username, order_route FROM paid WHERE dt >= '{h_lo}' AND dt <= '{h_hi}'
-GROUP BY qunar_username, order_route""",
+SELECT username, order_route FROM paid WHERE dt >= '{h_lo}' AND dt <= '{h_hi}'
+GROUP BY username, order_route""",
         "user_tag_flags": _with(FIXTURE) + "\nSELECT key, is_trader, is_student FROM tag",
         "date_window_bounds": _with(FIXTURE) + """,
 days AS (SELECT DISTINCT dt AS anchor_dt, strptime(dt, '%Y%m%d') AS d FROM searches)
@@ -333,7 +333,7 @@ SELECT anchor_dt,
   strftime(d - INTERVAL 1 DAY, '%Y%m%d') AS training_history_hi
 FROM days""",
         "exclude_recent_buyers_log": serving_ctes(runs) + """
-SELECT qunar_username, search_route, dep_city, arr_city, pre_days, log_time, process, dt, anchor_dt AS run_dt
+SELECT username, search_route, dep_city, arr_city, pre_days, log_time, process, dt, anchor_dt AS run_dt
 FROM kept""",
         "pair_counts": log_all + "\n" + pair_select.format(cols="""
   CAST(count(CASE WHEN process = 'list' THEN 1 END) AS INTEGER) AS search_route_single_cnt,
@@ -354,32 +354,32 @@ FROM kept""",
         "user_route_cnt": log_all + "\n" + user_select.format(cols="""
   CAST(count(DISTINCT search_route) + max(CASE WHEN search_route IS NULL THEN 1 ELSE 0 END) AS INTEGER)
     AS route_cnt"""),
-        "pair_rates": _serving(runs, "SELECT qunar_username, search_route, out_dt AS dt, search_rate, ota_rate FROM feat"),
-        "lead_days_fallback": _serving(runs, "SELECT qunar_username, search_route, out_dt AS dt, "
+        "pair_rates": _serving(runs, "SELECT username, search_route, out_dt AS dt, search_rate, ota_rate FROM feat"),
+        "lead_days_fallback": _serving(runs, "SELECT username, search_route, out_dt AS dt, "
                                              "ota_pre_days_max, ota_pre_days_min, ota_pre_days_avg FROM feat"),
-        "history_route_flag": _serving(runs, "SELECT qunar_username, search_route, out_dt AS dt, "
+        "history_route_flag": _serving(runs, "SELECT username, search_route, out_dt AS dt, "
                                              "has_history_route FROM feat"),
-        "attach_user_tags": _serving(runs, "SELECT qunar_username, search_route, out_dt AS dt, "
+        "attach_user_tags": _serving(runs, "SELECT username, search_route, out_dt AS dt, "
                                            "is_student, is_trader FROM feat"),
         "impute_constant": _serving(runs, "SELECT " + ", ".join(
-            c.strip() if c.strip() in ("qunar_username", "search_route") else f"coalesce({c.strip()}, 0) AS {c.strip()}"
+            c.strip() if c.strip() in ("username", "search_route") else f"coalesce({c.strip()}, 0) AS {c.strip()}"
             for c in FEATURE_SELECT.replace("\n", " ").split(",")) + ", out_dt AS dt FROM feat"),
         "label_day_orders": training_ctes(labels_) + """
-SELECT qunar_username, anchor_dt AS label_dt, order_route, create_time_max, order_cnt,
-  CAST(count(order_route) OVER (PARTITION BY qunar_username, anchor_dt) AS INTEGER) AS route_set_cnt
+SELECT username, anchor_dt AS label_dt, order_route, create_time_max, order_cnt,
+  CAST(count(order_route) OVER (PARTITION BY username, anchor_dt) AS INTEGER) AS route_set_cnt
 FROM temp1""",
         "exclude_recent_buyers_orders": training_ctes(labels_) + """
-SELECT qunar_username, anchor_dt AS label_dt, order_route, create_time_max, order_cnt FROM t""",
+SELECT username, anchor_dt AS label_dt, order_route, create_time_max, order_cnt FROM t""",
         "pre_order_searches": training_ctes(labels_) + """
-SELECT qunar_username, anchor_dt AS label_dt, log_time, search_route, dep_city, arr_city, pre_days, process,
+SELECT username, anchor_dt AS label_dt, log_time, search_route, dep_city, arr_city, pre_days, process,
   CAST(count(*) AS INTEGER) AS fanout, max(label) AS in_label
-FROM joined GROUP BY qunar_username, anchor_dt, log_time, search_route, dep_city, arr_city, pre_days, process""",
-        "pair_label": training_ctes(labels_) + "\nSELECT qunar_username, search_route, anchor_dt AS label_dt, label FROM feat",
+FROM joined GROUP BY username, anchor_dt, log_time, search_route, dep_city, arr_city, pre_days, process""",
+        "pair_label": training_ctes(labels_) + "\nSELECT username, search_route, anchor_dt AS label_dt, label FROM feat",
         "training_set": _training(labels_, TRAINING_ALL),
         "training_set_day": _training(label, TRAINING_ALL),
         "feature_matrix": _training(labels_, "SELECT " + ", ".join(
             f"coalesce({c.strip()}, 0) AS {c.strip()}" for c in FEATURE_SELECT.replace("\n", " ").split(",")
-            if c.strip() not in ("qunar_username", "search_route")) + ", label FROM feat"),
+            if c.strip() not in ("username", "search_route")) + ", label FROM feat"),
         "balanced_sample": _imputed_training(labels_) + f"\nSELECT {KEY}, label FROM sample",
         "balanced_slices": _imputed_training(labels_) + f""",
 sl AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_hash(0)}) AS rk FROM tr)
@@ -436,6 +436,6 @@ SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 10) AS
             "SELECT out_dt AS dt, count(*) AS count FROM feat GROUP BY out_dt ORDER BY out_dt DESC LIMIT 5"),
         "tsv_roundtrip": _published_serving(SERVING_ALL + f" WHERE out_dt = '{dt}'"),
         "publish_scores": _published_serving(f"""
-SELECT qunar_username, search_route, {HEURISTIC} AS q_ratio, out_dt AS dt FROM feat WHERE out_dt = '{dt}'"""),
+SELECT username, search_route, {HEURISTIC} AS q_ratio, out_dt AS dt FROM feat WHERE out_dt = '{dt}'"""),
     }
     return q

@@ -20,7 +20,7 @@ from ..sources.tables import SourceTables
 from ..windows import Offsets, shift, shift_col
 
 ANCHOR = "anchor_dt"
-USER = "qunar_username"
+USER = "username"
 ROUTE = "search_route"
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Window
 from ..functions.columns import hash_key
 
 # Row key of a training row (unique: one row per user, route and label day).
-KEY = ["qunar_username", "search_route", "label_dt"]
+KEY = ["username", "search_route", "label_dt"]
 HEX_DIGITS = 8
 _SPACE = 16 ** HEX_DIGITS
 

@@ -84,7 +84,7 @@ def evaluate(scored: DataFrame, score_col: str = "score", threshold: float = met
 
 def score_features(features: DataFrame, fitted: PipelineModel | None = None,
                    fill_value: float = model.FILL_VALUE) -> DataFrame:
-    """M8: (qunar_username, search_route, q_ratio, dt) for every feature row."""
+    """M8: (username, search_route, q_ratio, dt) for every feature row."""
     if fitted is None:
         scored = model.impute(features, fill_value).withColumn("q_ratio", heuristic_score(features))
     else:

@@ -56,8 +56,8 @@ def valid_user_filter(spark, sf):
     users = (t.list_log(None, None).select(F.lit("list").alias("source"), F.col("username").alias("u"))
              .unionByName(t.ota_log(None, None).select(F.lit("ota").alias("source"), F.col("username").alias("u")))
              .unionByName(t.orders(None, None).select(F.lit("orders").alias("source"),
-                                                      F.col("qunar_username").alias("u"))))
-    return (users.where(valid_user("u")).groupBy("source", F.col("u").alias("qunar_username"))
+                                                      F.col("username").alias("u"))))
+    return (users.where(valid_user("u")).groupBy("source", F.col("u").alias("username"))
                  .agg(F.count(F.lit(1)).alias("row_cnt")))
 
 

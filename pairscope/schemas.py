@@ -17,7 +17,7 @@ SEARCH_LOG = T.StructType([
 ])
 
 ORDERS = T.StructType([
-    T.StructField("qunar_username", S),
+    T.StructField("username", S),
     T.StructField("dep_city", S),
     T.StructField("arr_city", S),
     T.StructField("create_time", S),   # yyyy-MM-dd HH:mm:ss
@@ -32,7 +32,7 @@ USER_TAGS = T.StructType([
 
 # Feature row, in table order (partition column last).
 FEATURES = T.StructType([
-    T.StructField("qunar_username", S),
+    T.StructField("username", S),
     T.StructField("route_cnt", I),
     T.StructField("search_route", S),
     T.StructField("search_route_cnt", I),
@@ -56,7 +56,7 @@ FEATURES = T.StructType([
 ])
 
 FEATURE_COLUMNS = [f.name for f in FEATURES.fields]
-ID_COLUMNS = ["qunar_username", "search_route"]
+ID_COLUMNS = ["username", "search_route"]
 # The 18 model inputs: everything but ids and the partition.
 MODEL_INPUTS = [c for c in FEATURE_COLUMNS if c not in ID_COLUMNS + ["dt"]]
 NUMERIC_FEATURES = MODEL_INPUTS
@@ -67,7 +67,7 @@ TRAINING_COLUMNS = [c for c in FEATURE_COLUMNS if c != "dt"] + ["label", "label_
 
 # Scored pairs / published result table.
 SCORES = T.StructType([
-    T.StructField("qunar_username", S),
+    T.StructField("username", S),
     T.StructField("search_route", S),
     T.StructField("q_ratio", D),
     T.StructField("dt", S),

@@ -33,14 +33,14 @@ def read_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def write_scores_csv(scores: DataFrame, path: str) -> str:
     """K3: scored pairs as comma-separated text with a header."""
-    (scores.select("qunar_username", "search_route", "q_ratio")
+    (scores.select("username", "search_route", "q_ratio")
            .write.mode("overwrite").option("header", True).option("nullValue", NULL_MARKER)
            .csv(path))
     return path
 
 
 def read_scores_csv(spark: SparkSession, path: str) -> DataFrame:
-    schema = T.StructType([T.StructField("qunar_username", T.StringType()),
+    schema = T.StructType([T.StructField("username", T.StringType()),
                            T.StructField("search_route", T.StringType()),
                            T.StructField("q_ratio", T.DoubleType())])
     return (spark.read.schema(schema).option("header", True).option("nullValue", NULL_MARKER)

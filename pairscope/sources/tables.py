@@ -7,7 +7,7 @@ the event fixture).
 
 Returned shapes (see ``pairscope.schemas``):
   list_log / ota_log  username, dep_city, arr_city, pre_days, search_date, search_time, dt
-  orders              qunar_username, dep_city, arr_city, create_time, pay_ok, dt
+  orders              username, dep_city, arr_city, create_time, pay_ok, dt
   user_tags           key, tag
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 
 _LOG_COLS = ["username", "dep_city", "arr_city", "pre_days", "search_date", "search_time", "dt"]
-_ORDER_COLS = ["qunar_username", "dep_city", "arr_city", "create_time", "pay_ok", "dt"]
+_ORDER_COLS = ["username", "dep_city", "arr_city", "create_time", "pay_ok", "dt"]
 
 
 class SourceTables:

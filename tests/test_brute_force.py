@@ -27,7 +27,7 @@ SETTINGS = settings(max_examples=6, deadline=None, derandomize=True,
 
 
 def _spark_rows(df):
-    return {(r["qunar_username"], r["search_route"]): r.asDict() for r in df.collect()}
+    return {(r["username"], r["search_route"]): r.asDict() for r in df.collect()}
 
 
 def _same(expected, got):

@@ -31,7 +31,7 @@ def feats(spark):
         ],
         tags=[("a", "is_trader"), ("b", "is_student"), ("b", "other"), ("c", "other")],
     )
-    return rows_by(serving_features(t, R), "qunar_username", "search_route")
+    return rows_by(serving_features(t, R), "username", "search_route")
 
 
 def test_rows_and_exclusions(feats):

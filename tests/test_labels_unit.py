@@ -23,7 +23,7 @@ def test_fanout_time_residual_and_having_edge(spark):
         search("u1", "D1", "A1", 8, L, "16:00:00"),    # after both: dropped
         search("u2", "D3", "A3", 9, "20240109", "08:00:00"),
     ], orders=orders)
-    rows = rows_by(training_set(t, L, windows), "qunar_username", "search_route")
+    rows = rows_by(training_set(t, L, windows), "username", "search_route")
     assert set(rows) == {("u1", "D0-A0"), ("u1", "D2-A2"), ("u2", "D3-A3")}
     a, b = rows[("u1", "D0-A0")], rows[("u1", "D2-A2")]
     assert (a["search_route_single_cnt"], b["search_route_single_cnt"], a["search_route_cnt"]) == (2, 1, 3)
@@ -35,7 +35,7 @@ def test_fanout_time_residual_and_having_edge(spark):
     # D3-A3 left the label set (20 orders) but D3-A0 keeps u2 in with fan-out 1
     c = rows[("u2", "D3-A3")]
     assert (c["label"], c["search_route_single_cnt"]) == (0, 1)
-    fan = {(r["qunar_username"], r["search_route"]): r["fanout"]
+    fan = {(r["username"], r["search_route"]): r["fanout"]
            for r in pre_order_searches(t, L, windows).collect()}
     assert fan == {("u1", "D0-A0"): 2, ("u1", "D2-A2"): 1, ("u2", "D3-A3"): 1}
 
@@ -50,7 +50,7 @@ def test_recent_buyers_excluded_history_kept_null_route_label(spark):
         order("u4", "D0", "A0", L), order("u4", "D1", None, L),            # null order route
         order("u4", "D0", "A0", "20240107"),                               # L-3: history
     ])
-    rows = rows_by(training_set(t, [L], TRAINING), "qunar_username", "search_route")
+    rows = rows_by(training_set(t, [L], TRAINING), "username", "search_route")
     assert set(rows) == {("u4", "D0-A0"), ("u4", None)}
     r = rows[("u4", "D0-A0")]
     # two order routes (one null) -> every search counted twice
@@ -83,6 +83,6 @@ def test_training_history_window_edges(spark):
         order("u5", "D0", "A0", "20220108"),    # L-732: first history day
         order("u5", "D1", "A1", "20220107"),    # L-733: outside
     ])
-    rows = rows_by(training_set(t, L), "qunar_username", "search_route")
+    rows = rows_by(training_set(t, L), "username", "search_route")
     assert rows[("u5", "D0-A0")]["has_history_route"] == 1
     assert rows[("u5", "D1-A1")]["has_history_route"] == 0

@@ -37,7 +37,7 @@ def test_serving_plan_shape(spark, no_broadcast):
     # cells once by all keys, cells once by user; the three small sides once
     # by their key and (two of them) again by user; pair rows never again
     assert plan.count("Exchange hashpartitioning") <= 7
-    assert plan.count("Exchange hashpartitioning(qunar_username#") >= 1
+    assert plan.count("Exchange hashpartitioning(username#") >= 1
     # the date range and event type reach the scan
     assert "PushedFilters: [IsNotNull(event_type), IsNotNull(ts), EqualTo(event_type,view)" in plan
 

@@ -10,7 +10,7 @@ from pairscope.functions.columns import hash_key
 def _frame(spark, n=400, pos_every=7):
     rows = [(f"u{i % 37}", None if i % 11 == 0 else f"D{i % 4}-A{i % 5}", f"202401{10 + i % 3}",
              1 if i % pos_every == 0 else 0) for i in range(n)]
-    df = spark.createDataFrame(rows, "qunar_username string, search_route string, label_dt string, label int")
+    df = spark.createDataFrame(rows, "username string, search_route string, label_dt string, label int")
     return df.dropDuplicates(sampling.KEY)
 
 
