@@ -30,11 +30,6 @@ def route_key(dep: Column | str = "dep_city", arr: Column | str = "arr_city") ->
     return F.concat(_c(dep), F.lit("-"), _c(arr))
 
 
-def between_dt(dt: Column | str, lo: str, hi: str) -> Column:
-    """Closed range on a yyyyMMdd partition column."""
-    return _c(dt).between(F.lit(lo), F.lit(hi))
-
-
 def ratio(part: Column | str, total: Column | str) -> Column:
     """``part * 1.0 / total`` in double; null when total is 0 or null."""
     return F.try_divide(_c(part).cast("double"), _c(total).cast("double"))
@@ -45,11 +40,6 @@ def fallback(primary: Column | str, secondary: Column | str) -> Column:
     return F.coalesce(_c(primary), _c(secondary))
 
 
-def presence_flag(c: Column | str) -> Column:
-    """``if(x is not null, 1, 0)``."""
-    return F.when(_c(c).isNotNull(), F.lit(1)).otherwise(F.lit(0))
-
-
 def hash_key(*cols: Column | str, seed: int | str = 0) -> Column:
     """Deterministic md5 hex of the key columns and a seed.
 

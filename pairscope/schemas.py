@@ -59,7 +59,6 @@ FEATURE_COLUMNS = [f.name for f in FEATURES.fields]
 ID_COLUMNS = ["username", "search_route"]
 # The 18 model inputs: everything but ids and the partition.
 MODEL_INPUTS = [c for c in FEATURE_COLUMNS if c not in ID_COLUMNS + ["dt"]]
-NUMERIC_FEATURES = MODEL_INPUTS
 
 # Training row: features without dt, plus label; label_dt names the label day
 # (one training set may pool several label days).
@@ -72,4 +71,3 @@ SCORES = T.StructType([
     T.StructField("q_ratio", D),
     T.StructField("dt", S),
 ])
-SCORE_COLUMNS = [f.name for f in SCORES.fields]
