@@ -30,16 +30,6 @@ def route_key(dep: Column | str = "dep_city", arr: Column | str = "arr_city") ->
     return F.concat(_c(dep), F.lit("-"), _c(arr))
 
 
-def ratio(part: Column | str, total: Column | str) -> Column:
-    """``part * 1.0 / total`` in double; null when total is 0 or null."""
-    return F.try_divide(_c(part).cast("double"), _c(total).cast("double"))
-
-
-def fallback(primary: Column | str, secondary: Column | str) -> Column:
-    """``if(primary is null, secondary, primary)``."""
-    return F.coalesce(_c(primary), _c(secondary))
-
-
 def hash_key(*cols: Column | str, seed: int | str = 0) -> Column:
     """Deterministic md5 hex of the key columns and a seed.
 

@@ -35,13 +35,13 @@ after the user shuffle (see ``exclude_recent_buyers``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import (PROCESS_LIST, PROCESS_OTA, fallback, ratio)
+from ..functions.columns import PROCESS_LIST, PROCESS_OTA
 from ..schemas import FEATURE_COLUMNS
 from ..sources.tables import SourceTables
-from ..windows import SERVING, DateWindows, shift_col
+from ..windows import SERVING, DateWindows, shift_sql
 from .logs import (ANCHOR, ROUTE, USER, anchored_search_log, history_flag, history_summary,
                    recent_buyers, user_tag_flags)
 
@@ -51,29 +51,29 @@ CELL_KEYS = PAIR_KEYS + ["dep_city", "arr_city"]
 USER_STATS = ["search_route_cnt", "ota_route_cnt", "dep_city_cnt", "arr_city_cnt", "route_cnt"]
 
 
+def _sum_if(cond: str, value: str) -> str:
+    return f"sum(CASE WHEN {cond} THEN {value} END)"
+
+
 def cell_aggregates(log: DataFrame, weight: str | None = None) -> DataFrame:
     """A1 + A2 partial state per (user, anchor, route, dep_city, arr_city).
 
     ``weight`` (training) is the multiplicity of each log row: counts become
     sums of weights and averages weighted averages; min/max are unchanged."""
-    is_list = F.col("process") == PROCESS_LIST
-    is_ota = F.col("process") == PROCESS_OTA
-    pre = F.col("pre_days")
-    w = F.lit(1) if weight is None else F.col(weight)
-
-    def total(cond):
-        return F.coalesce(F.sum(F.when(cond, w)), F.lit(0)).cast("long")
-
+    w = "1" if weight is None else f"`{weight}`"
     aggs = []
-    for name, cond in (("list", is_list), ("ota", is_ota)):
-        aggs += [total(cond).alias(f"{name}_cnt"),
-                 F.max(F.when(cond, pre)).alias(f"{name}_pre_max"),
-                 F.min(F.when(cond, pre)).alias(f"{name}_pre_min"),
-                 F.sum(F.when(cond, w * pre)).cast("long").alias(f"{name}_pre_sum"),
-                 total(cond & pre.isNotNull()).alias(f"{name}_pre_n")]
+    for name, process in (("list", PROCESS_LIST), ("ota", PROCESS_OTA)):
+        cond = f"process = '{process}'"
+        aggs += [
+            f"CAST(coalesce({_sum_if(cond, w)}, 0) AS BIGINT) AS {name}_cnt",
+            f"max(CASE WHEN {cond} THEN pre_days END) AS {name}_pre_max",
+            f"min(CASE WHEN {cond} THEN pre_days END) AS {name}_pre_min",
+            f"CAST({_sum_if(cond, f'{w} * pre_days')} AS BIGINT) AS {name}_pre_sum",
+            f"CAST(coalesce({_sum_if(cond + ' AND pre_days IS NOT NULL', w)}, 0) AS BIGINT) AS {name}_pre_n",
+        ]
     if "in_label" in log.columns:
-        aggs.append(F.max(F.col("in_label").cast("int")).alias("label"))
-    return log.groupBy(*CELL_KEYS).agg(*aggs)
+        aggs.append("max(CAST(in_label AS INT)) AS label")
+    return log.groupBy(*CELL_KEYS).agg(*[F.expr(a) for a in aggs])
 
 
 def by_user(df: DataFrame) -> DataFrame:
@@ -83,16 +83,15 @@ def by_user(df: DataFrame) -> DataFrame:
 
 def with_user_stats(cells: DataFrame) -> DataFrame:
     """W1 + W2 + W3 as windows over each user's cells."""
-    w = Window.partitionBy(*USER_KEYS)
-    route = F.col(ROUTE)
-    return cells.select(
+    w = f"OVER (PARTITION BY {', '.join(USER_KEYS)})"
+    return cells.selectExpr(
         "*",
-        F.sum("list_cnt").over(w).cast("int").alias("search_route_cnt"),
-        F.sum("ota_cnt").over(w).cast("int").alias("ota_route_cnt"),
-        F.size(F.collect_set("dep_city").over(w)).alias("dep_city_cnt"),
-        F.size(F.collect_set("arr_city").over(w)).alias("arr_city_cnt"),
-        (F.size(F.collect_set(route).over(w)) + F.max(route.isNull().cast("int")).over(w))
-        .cast("int").alias("route_cnt"),
+        f"CAST(sum(list_cnt) {w} AS INT) AS search_route_cnt",
+        f"CAST(sum(ota_cnt) {w} AS INT) AS ota_route_cnt",
+        f"size(collect_set(dep_city) {w}) AS dep_city_cnt",
+        f"size(collect_set(arr_city) {w}) AS arr_city_cnt",
+        # distinct routes, the null route counting once
+        f"CAST(size(collect_set({ROUTE}) {w}) + max(CAST({ROUTE} IS NULL AS INT)) {w} AS INT) AS route_cnt",
     )
 
 
@@ -102,26 +101,26 @@ def pair_aggregates(log: DataFrame, weight: str | None = None) -> DataFrame:
     cells = with_user_stats(by_user(cell_aggregates(log, weight)))
 
     def avg(prefix):
-        return ratio(F.sum(f"{prefix}_pre_sum"), F.sum(f"{prefix}_pre_n"))
+        return f"try_divide(CAST(sum({prefix}_pre_sum) AS DOUBLE), CAST(sum({prefix}_pre_n) AS DOUBLE))"
 
     aggs = [
-        F.sum("list_cnt").cast("int").alias("search_route_single_cnt"),
-        F.sum("ota_cnt").cast("int").alias("ota_route_single_cnt"),
-        F.max("list_pre_max").cast("double").alias("search_pre_days_max"),
-        F.min("list_pre_min").cast("double").alias("search_pre_days_min"),
-        avg("list").alias("search_pre_days_avg"),
-        F.max("ota_pre_max").cast("double").alias("ota_pre_days_max_raw"),
-        F.min("ota_pre_min").cast("double").alias("ota_pre_days_min_raw"),
-        avg("ota").alias("ota_pre_days_avg_raw"),
-    ] + [F.max(c).alias(c) for c in USER_STATS]
+        "CAST(sum(list_cnt) AS INT) AS search_route_single_cnt",
+        "CAST(sum(ota_cnt) AS INT) AS ota_route_single_cnt",
+        "CAST(max(list_pre_max) AS DOUBLE) AS search_pre_days_max",
+        "CAST(min(list_pre_min) AS DOUBLE) AS search_pre_days_min",
+        f"{avg('list')} AS search_pre_days_avg",
+        "CAST(max(ota_pre_max) AS DOUBLE) AS ota_pre_days_max_raw",
+        "CAST(min(ota_pre_min) AS DOUBLE) AS ota_pre_days_min_raw",
+        f"{avg('ota')} AS ota_pre_days_avg_raw",
+    ] + [f"max({c}) AS {c}" for c in USER_STATS]
     if "label" in cells.columns:
-        aggs.append(F.max("label").alias("label"))
-    return cells.groupBy(*PAIR_KEYS).agg(*aggs)
+        aggs.append("max(label) AS label")
+    return cells.groupBy(*PAIR_KEYS).agg(*[F.expr(a) for a in aggs])
 
 
 def user_aggregates(pairs: DataFrame) -> DataFrame:
     """W1 + W2 + W3 as one row per (user, anchor) (the per-user report)."""
-    return pairs.groupBy(*USER_KEYS).agg(*[F.max(c).alias(c) for c in USER_STATS])
+    return pairs.groupBy(*USER_KEYS).agg(*[F.expr(f"max({c}) AS {c}") for c in USER_STATS])
 
 
 def attach_user_tags(df: DataFrame, tags: DataFrame) -> DataFrame:
@@ -134,20 +133,25 @@ def attach_user_tags(df: DataFrame, tags: DataFrame) -> DataFrame:
 def attach_history_flag(pairs: DataFrame, summary: DataFrame, windows: DateWindows) -> DataFrame:
     """J4 + P6: has_history_route per (user, anchor, route)."""
     joined = pairs.join(summary.withColumnRenamed("order_route", ROUTE), on=[USER, ROUTE], how="left")
-    return (joined.withColumn("has_history_route", history_flag(F.col(ANCHOR), windows.history))
+    return (joined.withColumn("has_history_route", history_flag(ANCHOR, windows.history))
                   .drop("last_on_or_before_pivot", "first_after_pivot"))
 
 
-def feature_columns(df: DataFrame) -> list:
-    """P4 + P5 and the final column list in table order (without dt)."""
+def feature_exprs() -> list[str]:
+    """P4 + P5 and the final column list in table order (without dt), as SQL."""
+    def rate(part, total):
+        # part * 1.0 / total in double; null when total is 0
+        return f"try_divide(CAST({part} AS DOUBLE), CAST({total} AS DOUBLE))"
+
     derived = {
-        "search_rate": ratio("search_route_single_cnt", "search_route_cnt").alias("search_rate"),
-        "ota_rate": ratio("ota_route_single_cnt", "ota_route_cnt").alias("ota_rate"),
-        "ota_pre_days_max": fallback("ota_pre_days_max_raw", "search_pre_days_max").alias("ota_pre_days_max"),
-        "ota_pre_days_min": fallback("ota_pre_days_min_raw", "search_pre_days_min").alias("ota_pre_days_min"),
-        "ota_pre_days_avg": fallback("ota_pre_days_avg_raw", "search_pre_days_avg").alias("ota_pre_days_avg"),
+        "search_rate": rate("search_route_single_cnt", "search_route_cnt"),
+        "ota_rate": rate("ota_route_single_cnt", "ota_route_cnt"),
+        # one-way fallback: ota lead days take the search values when null
+        "ota_pre_days_max": "coalesce(ota_pre_days_max_raw, search_pre_days_max)",
+        "ota_pre_days_min": "coalesce(ota_pre_days_min_raw, search_pre_days_min)",
+        "ota_pre_days_avg": "coalesce(ota_pre_days_avg_raw, search_pre_days_avg)",
     }
-    return [derived.get(c, F.col(c)) for c in FEATURE_COLUMNS if c != "dt"]
+    return [f"{derived[c]} AS {c}" if c in derived else c for c in FEATURE_COLUMNS if c != "dt"]
 
 
 def assemble(tables: SourceTables, pairs: DataFrame, anchors: list[str], windows: DateWindows,
@@ -183,5 +187,4 @@ def serving_features(tables: SourceTables, run_dates: list[str] | str,
     pairs = pair_aggregates(serving_log(tables, anchors, windows))
     buyers = recent_buyers(tables, anchors, windows.recent_buyers)
     feats = assemble(tables, pairs, anchors, windows, buyers)
-    out_dt = shift_col(F.col(ANCHOR), windows.output_offset).alias("dt")
-    return feats.select(*feature_columns(feats), out_dt)
+    return feats.selectExpr(*feature_exprs(), f"{shift_sql(ANCHOR, windows.output_offset)} AS dt")

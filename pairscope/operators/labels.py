@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..schemas import TRAINING_COLUMNS
 from ..sources.tables import SourceTables
 from ..windows import MAX_ORDERS_PER_ROUTE, TRAINING, DateWindows
-from .features import assemble, feature_columns, pair_aggregates
+from .features import assemble, feature_exprs, pair_aggregates
 from .joins import sized_broadcast_join
 from .logs import ANCHOR, ROUTE, USER, anchored_search_log, paid_orders, recent_buyers
 
@@ -98,7 +98,6 @@ def training_set(tables: SourceTables, label_dates: list[str] | str,
     anchors = _anchors(label_dates, windows)
     pairs = pair_aggregates(pre_order_searches(tables, anchors, windows), weight="fanout")
     feats = assemble(tables, pairs, anchors, windows)
-    cols = feature_columns(feats) + [F.col("label"), F.col(ANCHOR).alias("label_dt")]
-    out = feats.select(*cols)
+    out = feats.selectExpr(*feature_exprs(), "label", f"{ANCHOR} AS label_dt")
     assert out.columns == TRAINING_COLUMNS
     return out

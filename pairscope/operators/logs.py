@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (PROCESS_LIST, PROCESS_OTA, TAG_STUDENT, TAG_TRADER,
                                  route_key, valid_user)
 from ..sources.tables import SourceTables
-from ..windows import Offsets, shift, shift_col
+from ..windows import Offsets, shift, shift_sql
 
 ANCHOR = "anchor_dt"
 USER = "username"
@@ -107,11 +107,12 @@ def history_summary(tables: SourceTables, anchors: list[str], window: Offsets) -
                  F.min(F.when(day > pivot, day)).alias("first_after_pivot")))
 
 
-def history_flag(anchor: Column, window: Offsets) -> Column:
-    """P6 on top of ``history_summary`` columns, for a column of anchors."""
-    hit = ((F.col("first_after_pivot") <= shift_col(anchor, -window.near).cast("int"))
-           | (F.col("last_on_or_before_pivot") >= shift_col(anchor, -window.back).cast("int")))
-    return F.when(F.coalesce(hit, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
+def history_flag(anchor: str, window: Offsets) -> Column:
+    """P6 on top of ``history_summary`` columns, for the anchor column ``anchor``."""
+    near = f"CAST({shift_sql(anchor, -window.near)} AS INT)"
+    back = f"CAST({shift_sql(anchor, -window.back)} AS INT)"
+    return F.expr(f"CASE WHEN coalesce(first_after_pivot <= {near} OR last_on_or_before_pivot >= {back}, false) "
+                  "THEN 1 ELSE 0 END")
 
 
 def user_tag_flags(tables: SourceTables) -> DataFrame:

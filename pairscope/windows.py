@@ -50,6 +50,11 @@ def date_range(first: str, last: str) -> list[str]:
     return [fmt(a + _dt.timedelta(days=i)) for i in range((b - a).days + 1)]
 
 
+def shift_sql(dt: str, days: int) -> str:
+    """SQL form of ``shift`` on a yyyyMMdd string column ``dt``."""
+    return f"date_format(date_add(to_date(`{dt}`, '{SPARK_DATE_FMT}'), {days}), '{SPARK_DATE_FMT}')"
+
+
 def shift_col(dt: Column | str, days: int | Column) -> Column:
     """Column form of ``shift`` on a yyyyMMdd string column."""
     c = F.col(dt) if isinstance(dt, str) else dt
