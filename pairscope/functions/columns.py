@@ -19,15 +19,19 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def valid_user(name: str) -> Column:
+def valid_user_sql(name: str) -> str:
     """``x is not null and x not in ('', 'NULL', 'null')`` on column ``name``."""
     junk = ", ".join(f"'{v}'" for v in JUNK_USER_NAMES)
-    return F.expr(f"`{name}` IS NOT NULL AND `{name}` NOT IN ({junk})")
+    return f"`{name}` IS NOT NULL AND `{name}` NOT IN ({junk})"
+
+
+def valid_user(name: str) -> Column:
+    return F.expr(valid_user_sql(name))
 
 
-def route_key(dep: Column | str = "dep_city", arr: Column | str = "arr_city") -> Column:
+def route_sql(dep: str = "dep_city", arr: str = "arr_city") -> str:
     """``concat(dep, '-', arr)``; null when either city is null."""
-    return F.concat(_c(dep), F.lit("-"), _c(arr))
+    return f"concat(`{dep}`, '-', `{arr}`)"
 
 
 def hash_key(*cols: Column | str, seed: int | str = 0) -> Column:

@@ -20,7 +20,7 @@ the row weight (counts become sums, averages weighted averages).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import TRAINING_COLUMNS
@@ -42,19 +42,24 @@ def label_day_orders(tables: SourceTables, label_dates: list[str] | str,
     """A7 + A8: per (user, label day, route) the last order time, routes
     ordered 20 times or more that day removed."""
     anchors = _anchors(label_dates, windows)
-    return (paid_orders(tables, anchors[0], anchors[-1])
-            .where(F.col("dt").isin(anchors))
-            .groupBy(USER, F.col("dt").alias(ANCHOR), "order_route")
-            .agg(F.max("create_time").alias("create_time_max"),
-                 F.count(F.lit(1)).cast("int").alias("order_cnt"))
-            .where(F.col("order_cnt") < MAX_ORDERS_PER_ROUTE))
+    return (_label_day_paid(tables, anchors)
+            .withColumnRenamed("dt", ANCHOR)
+            .groupBy(USER, ANCHOR, "order_route")
+            .agg(F.expr("max(create_time) AS create_time_max"),
+                 F.expr("CAST(count(1) AS INT) AS order_cnt"))
+            .where(f"order_cnt < {MAX_ORDERS_PER_ROUTE}"))
+
+
+def _label_day_paid(tables: SourceTables, anchors: list[str]) -> DataFrame:
+    days = ", ".join(f"'{a}'" for a in anchors)
+    return paid_orders(tables, anchors[0], anchors[-1]).where(f"dt IN ({days})")
 
 
 def with_route_set_size(label_orders: DataFrame) -> DataFrame:
     """W4 on top of the HAVING: ``size(collect_set(route))`` per user-day, i.e.
     the number of non-null routes left after the 20-order cut."""
-    w = Window.partitionBy(USER, ANCHOR)
-    return label_orders.withColumn("route_set_cnt", F.count("order_route").over(w).cast("int"))
+    return label_orders.selectExpr(
+        "*", f"CAST(count(order_route) OVER (PARTITION BY {USER}, {ANCHOR}) AS INT) AS route_set_cnt")
 
 
 def label_orders_without_recent_buyers(tables: SourceTables, label_dates: list[str] | str,
@@ -69,7 +74,7 @@ def order_sets(label_orders: DataFrame) -> DataFrame:
     """W4 as one row per (user, label day): the ordered routes and their last
     order times.  Its size is bounded by the routes one user orders in a day."""
     return (label_orders.groupBy(USER, ANCHOR)
-            .agg(F.collect_list(F.struct("create_time_max", "order_route")).alias("order_set")))
+            .agg(F.expr("collect_list(struct(create_time_max, order_route)) AS order_set")))
 
 
 def pre_order_searches(tables: SourceTables, label_dates: list[str] | str,
@@ -81,15 +86,15 @@ def pre_order_searches(tables: SourceTables, label_dates: list[str] | str,
     log = anchored_search_log(tables, anchors, windows.searches)
     # Size bound of the order sets (rows and array elements alike): the paid
     # orders of the label days, counted in one scan stage.
-    bound = paid_orders(tables, anchors[0], anchors[-1]).where(F.col("dt").isin(anchors)).count()
+    bound = _label_day_paid(tables, anchors).count()
     joined = sized_broadcast_join(log, order_sets(orders), on=USER_KEYS, small_rows=bound)
-    fanout = F.size(F.filter("order_set", lambda o: o["create_time_max"] >= F.col("log_time")))
-    # array_contains semantics: a null route never matches (null -> label 0).
-    in_label = F.coalesce(F.exists("order_set", lambda o: o["order_route"] == F.col(ROUTE)), F.lit(False))
-    return (joined.withColumn("fanout", fanout)
-                  .withColumn("in_label", in_label)
-                  .where(F.col("fanout") > 0)
-                  .drop("order_set"))
+    return (joined.selectExpr(
+                "*",
+                "size(filter(order_set, o -> o.create_time_max >= log_time)) AS fanout",
+                # array_contains semantics: a null route never matches (null -> label 0)
+                f"coalesce(exists(order_set, o -> o.order_route = {ROUTE}), false) AS in_label")
+            .where("fanout > 0")
+            .drop("order_set"))
 
 
 def training_set(tables: SourceTables, label_dates: list[str] | str,

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import (PROCESS_LIST, PROCESS_OTA, TAG_STUDENT, TAG_TRADER,
-                                 route_key, valid_user)
+                                 route_sql, valid_user_sql)
 from ..sources.tables import SourceTables
 from ..windows import Offsets, shift, shift_sql
 
@@ -45,13 +45,11 @@ def assign_anchors(df: DataFrame, anchors: list[str], window: Offsets, dt: str =
 
 
 def _search_rows(log: DataFrame, process: str) -> DataFrame:
-    return (log.where(valid_user("username"))
-               .select(F.col("username").alias(USER),
-                       route_key().alias(ROUTE),
-                       "dep_city", "arr_city", "pre_days",
-                       F.concat("search_date", F.lit(" "), "search_time").alias("log_time"),
-                       F.lit(process).alias("process"),
-                       "dt"))
+    return (log.where(valid_user_sql("username"))
+               .selectExpr(f"username AS {USER}", f"{route_sql()} AS {ROUTE}",
+                           "dep_city", "arr_city", "pre_days",
+                           "concat(search_date, ' ', search_time) AS log_time",
+                           f"'{process}' AS process", "dt"))
 
 
 def unified_search_log(tables: SourceTables, lo: str, hi: str) -> DataFrame:
@@ -68,9 +66,9 @@ def anchored_search_log(tables: SourceTables, anchors: list[str], window: Offset
 def paid_orders(tables: SourceTables, lo: str, hi: str) -> DataFrame:
     """S3 + F1-F3: paid orders of valid users in [lo, hi], with their route."""
     return (tables.orders(lo, hi)
-            .where((F.col("pay_ok") == 1) & valid_user(USER))
-            .select(USER, route_key().alias("order_route"), "dep_city", "arr_city",
-                    "create_time", "dt"))
+            .where(f"pay_ok = 1 AND {valid_user_sql(USER)}")
+            .selectExpr(USER, f"{route_sql()} AS order_route", "dep_city", "arr_city",
+                        "create_time", "dt"))
 
 
 def recent_buyers(tables: SourceTables, anchors: list[str], window: Offsets) -> DataFrame:
@@ -99,12 +97,12 @@ def history_summary(tables: SourceTables, anchors: list[str], window: Offsets) -
     """
     lo, hi = window.span(anchors)
     pivot = int(shift(min(anchors), -window.near))
-    day = F.col("dt").cast("int")
+    day = "CAST(dt AS INT)"
     return (paid_orders(tables, lo, hi)
-            .where(F.col("order_route").isNotNull())
+            .where("order_route IS NOT NULL")
             .groupBy(USER, "order_route")
-            .agg(F.max(F.when(day <= pivot, day)).alias("last_on_or_before_pivot"),
-                 F.min(F.when(day > pivot, day)).alias("first_after_pivot")))
+            .agg(F.expr(f"max(CASE WHEN {day} <= {pivot} THEN {day} END) AS last_on_or_before_pivot"),
+                 F.expr(f"min(CASE WHEN {day} > {pivot} THEN {day} END) AS first_after_pivot")))
 
 
 def history_flag(anchor: str, window: Offsets) -> Column:
@@ -117,9 +115,8 @@ def history_flag(anchor: str, window: Offsets) -> Column:
 
 def user_tag_flags(tables: SourceTables) -> DataFrame:
     """S4 + F4 + A9: tall tags -> one row per key with two 0/1 flags."""
-    tag = F.col("tag")
     return (tables.user_tags()
-            .where(tag.isin(TAG_TRADER, TAG_STUDENT))
+            .where(f"tag IN ('{TAG_TRADER}', '{TAG_STUDENT}')")
             .groupBy("key")
-            .agg(F.max(F.when(tag == TAG_TRADER, 1).otherwise(0)).alias("is_trader"),
-                 F.max(F.when(tag == TAG_STUDENT, 1).otherwise(0)).alias("is_student")))
+            .agg(F.expr(f"max(CASE WHEN tag = '{TAG_TRADER}' THEN 1 ELSE 0 END) AS is_trader"),
+                 F.expr(f"max(CASE WHEN tag = '{TAG_STUDENT}' THEN 1 ELSE 0 END) AS is_student")))
