@@ -347,6 +347,16 @@ def gbt_train_score(spark, sf):
     return pipelines.score_features(feat.serving_features(_t(spark, sf), RUN_DATE), fitted)
 
 
+def gbt_evaluate(spark, sf):
+    """C3 -> M6 -> C4 with the model: metrics on a seeded holdout sample, plus watch-set AUC."""
+    split = pipelines.build_training_split(_training(spark, sf), N_SAMPLE, TEST_SIZE)
+    fitted = model.train(split.sample, model.BoosterParams().with_iterations(GBT_ITERATIONS))
+    watch = model.watch_auc(fitted, split.sample)
+    holdout = sampling.hash_sample(split.holdout, HOLDOUT_N)
+    scored = model.score(fitted, holdout).withColumnRenamed("q_ratio", "score")
+    return pipelines.evaluate(scored)["binary_metrics"].withColumn("watch_auc", F.lit(watch))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
     # flagship first
     serving_features, serving_features_day,
@@ -362,5 +372,5 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     classification_report, auc_hard_label, score_histogram, auc_score,
     publish_features, feature_partition_extract, drop_partition, partition_counts_latest,
     tsv_roundtrip, publish_scores, peek_results,
-    gbt_train_score,
+    gbt_train_score, gbt_evaluate,
 ]}
