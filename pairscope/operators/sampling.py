@@ -7,7 +7,7 @@ depend on partitioning, task retries or executor loss, unlike ``rand()`` or
 ``randomSplit``.
 
 Exact-n without a global sort: the class size N is counted, and only rows
-whose 8-hex-digit prefix of h falls below a cut sized for about 1.5·n of the
+whose 15-hex-digit prefix of h falls below a cut sized for about 1.5·n of the
 N rows are kept (a pushed-down filter, no shuffle).  Those candidates always
 contain the n smallest hashes; if the cut was too tight (fewer than n
 candidates) it is doubled.  Only the candidates (about 1.5·n rows) reach the
@@ -24,7 +24,7 @@ from ..functions.columns import hash_key
 
 # Row key of a training row (unique: one row per user, route and label day).
 KEY = ["username", "search_route", "label_dt"]
-HEX_DIGITS = 8
+HEX_DIGITS = 15  # 60-bit resolution: the first cut is right even for n << N
 _SPACE = 16 ** HEX_DIGITS
 
 # The reference's seeds for the positive sample, the negative
@@ -38,7 +38,7 @@ def hash_col(seed: int, key: list[str] = KEY) -> Column:
 
 def hex_cut(fraction: float) -> str:
     """Hex prefix p such that ``prefix(h) < p`` holds for ``fraction`` of hashes."""
-    v = min(max(int(round(fraction * _SPACE)), 0), _SPACE)
+    v = min(max(int(round(fraction * _SPACE)), 1 if fraction > 0 else 0), _SPACE)
     return "g" * HEX_DIGITS if v >= _SPACE else format(v, f"0{HEX_DIGITS}x")
 
 
