@@ -45,6 +45,8 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
     conf = dict(_REQUIRED_CONF)
     conf.update(_EXECUTION_CONF)
+    # Checkpoint files of frames that are no longer referenced are removed.
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
