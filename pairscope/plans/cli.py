@@ -112,7 +112,7 @@ def main(argv=None):
     sp.add_argument("--training", required=True)
     sp.add_argument("--model", required=True)
     sp.add_argument("--n-sample", type=int, default=50_000)
-    sp.add_argument("--test-size", type=float, default=0.25)
+    sp.add_argument("--test-size", type=float, default=0.5)
     sp.add_argument("--iterations", type=int, default=1500)
     sp.add_argument("--fill-value", type=float, default=model.FILL_VALUE)
     sp.add_argument("--threshold", type=float, default=0.5)
