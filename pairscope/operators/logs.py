@@ -97,7 +97,7 @@ def history_summary(tables: SourceTables, anchors: list[str], window: Offsets) -
     """
     lo, hi = window.span(anchors)
     pivot = int(shift(min(anchors), -window.near))
-    day = "CAST(dt AS INT)"
+    day = "try_cast(dt AS INT)"
     return (paid_orders(tables, lo, hi)
             .where("order_route IS NOT NULL")
             .groupBy(USER, "order_route")
