@@ -39,7 +39,8 @@ def assign_anchors(df: DataFrame, anchors: list[str], window: Offsets, dt: str =
     map, broadcast (its size is bounded by the parameters), which repeats a
     row once per anchor whose window contains its day."""
     if len(anchors) == 1:
-        return df.withColumn(ANCHOR, F.lit(anchors[0]))
+        lo, hi = window.bounds(anchors[0])
+        return df.where(f"`{dt}` BETWEEN '{lo}' AND '{hi}'").withColumn(ANCHOR, F.lit(anchors[0]))
     amap = F.broadcast(anchor_map(df.sparkSession, anchors, window).withColumnRenamed("dt", dt))
     return df.join(amap, on=dt, how="inner")
 
