@@ -94,6 +94,16 @@ def watch_auc(model: PipelineModel, df: DataFrame, split_col: str = "split") ->
     return auc_score(scored).first()["auc"]
 
 
+def watch_losses(model: PipelineModel, df: DataFrame, every: int = 100, split_col: str = "split",
+                 value: float = FILL_VALUE) -> list[tuple[int, float]]:
+    """Log-loss of the booster on the watch rows after every ``every`` trees
+    (the reference prints its watch-set metric every 100 rounds)."""
+    watch = df.where(F.col(split_col) == F.lit("test")) if split_col in df.columns else df
+    assembled = model.stages[0].transform(impute(watch, value).withColumn("label", F.col("label").cast("double")))
+    losses = model.stages[-1].evaluateEachIteration(assembled)
+    return [(i + 1, float(v)) for i, v in enumerate(losses) if (i + 1) % every == 0 or i + 1 == len(losses)]
+
+
 def score(model: PipelineModel, df: DataFrame, value: float = FILL_VALUE) -> DataFrame:
     """M8: probability of the positive class as ``q_ratio`` next to the ids."""
     scored = model.transform(impute(df, value))

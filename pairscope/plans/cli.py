@@ -61,7 +61,8 @@ def cmd_train(spark, a):
     data = spark.read.parquet(a.training)
     split = pipelines.build_training_split(data, a.n_sample, a.test_size, a.fill_value)
     fitted = model.train(split.sample, model.BoosterParams().with_iterations(a.iterations), value=a.fill_value)
-    print(json.dumps({"watch_auc": model.watch_auc(fitted, split.sample)}))
+    print(json.dumps({"watch_auc": model.watch_auc(fitted, split.sample),
+                      "watch_logloss": model.watch_losses(fitted, split.sample)}))
     holdout = split.holdout
     if a.holdout_rows:
         holdout = sampling.hash_sample(holdout, a.holdout_rows)

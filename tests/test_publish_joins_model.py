@@ -73,6 +73,8 @@ def test_model_train_score_save_load(spark):
     a, b = _rows(scored), _rows(again)
     assert a == b and len(a) == feats.count()
     assert all(0.0 <= r[2] <= 1.0 for r in a)
+    losses = model.watch_losses(fitted, split.sample, every=1)
+    assert [i for i, _ in losses] == [1, 2, 3] and all(v > 0 for _, v in losses)
 
 
 def test_drop_table(spark):
