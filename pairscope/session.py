@@ -18,8 +18,6 @@ from pyspark.sql import SparkSession
 _REQUIRED_CONF = {
     # date_format / strftime agree only when both sides use UTC.
     "spark.sql.session.timeZone": "UTC",
-    # Re-publishing a date must replace that partition only.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A dt partition value like 20240101 must stay a string.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }

@@ -14,6 +14,8 @@ O4  rows are rebalanced on dt before the write: all rows of a day would
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,20 @@ from pyspark.sql import types as T
 PARTITION_COL = "dt"
 
 
+@contextmanager
+def _conf(spark: SparkSession, key: str, value: str):
+    """Set a session conf for the duration of one write, then restore it."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -50,9 +66,10 @@ class PartitionedTable:
         positionally (``insertInto`` is positional)."""
         fields = {f.name: f.dataType for f in self.schema.fields}
         out = df.select(*[F.col(c).cast(fields[c]).alias(c) for c in self.columns])
-        (out.hint("rebalance", PARTITION_COL)
-            .write.option("partitionOverwriteMode", "dynamic")
-            .insertInto(self.name, overwrite=True))
+        with _conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            (out.hint("rebalance", PARTITION_COL)
+                .write.option("partitionOverwriteMode", "dynamic")
+                .insertInto(self.name, overwrite=True))
         return self
 
     def overwrite_partition(self, df: DataFrame, dt: str) -> PartitionedTable:
