@@ -11,10 +11,12 @@ from .common import read_table
 from .exact_dedup import exact_dedup
 from .mixing import mix_sources
 from .sharding import shard_rows
+from .simhash import simhash_groups
 
 N_SHARDS = 16
 MIX_SEED = 11
 SHARD_SEED = 7
+SIMHASH_WIDTH, SIMHASH_BITS = 3, 3
 
 
 def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +33,16 @@ def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs, seed=MIX_SEED).select("doc_id", "source", "copy", "shuffle_key")
 
 
+def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(read_table(spark, sf_dir, "documents"), width=SIMHASH_WIDTH, max_bits=SIMHASH_BITS)
+    return groups.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+                         "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_feistel_shards, op6_poisson_mix, op10_exact_dedup)
+    f.__name__: f for f in (op5_feistel_shards, op6_poisson_mix, op7_simhash_groups, op10_exact_dedup)
 }
