@@ -24,6 +24,24 @@ def crc_sql(text: str) -> str:
             f"lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1]), 4294967295::BIGINT))")
 
 
+def op2_sql() -> str:
+    words = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+')"
+    shingles = ("SELECT id, unnest(list_distinct(list_transform(range(greatest(len(words) - 4, 1)), "
+                "lambda i: array_to_string(words[i + 1: i + 5], ' ')))) AS shingle FROM {words} WHERE len(words) > 0")
+    return f"""
+WITH doc_words AS (SELECT DISTINCT doc_id AS id, text, {words} AS words FROM documents),
+item_words AS (SELECT DISTINCT item_id AS id, text, {words} AS words FROM benchmark),
+doc_shingles AS ({shingles.format(words="doc_words")}),
+item_shingles AS ({shingles.format(words="item_words")}),
+sizes AS (SELECT id, count(*) AS n FROM item_shingles GROUP BY id),
+shared AS (
+  SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
+  FROM doc_shingles d JOIN item_shingles i USING (shingle) GROUP BY ALL)
+SELECT doc_id, item_id, n_shared, n AS n_item, n_shared::DOUBLE / n AS containment
+FROM shared JOIN sizes ON item_id = id WHERE n_shared >= ceil(0.8 * n - 1e-9)
+"""
+
+
 def feistel_sql(n: str, value: str, a: str, b: str, seed: int) -> tuple[str, str]:
     """Eight rounds over columns l, r; returns the select lists' text for a recursive step."""
     prime = 2147483647
@@ -105,4 +123,4 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_feistel_shards": op5_sql(), "op6_poisson_mix": op6_sql(), "op10_exact_dedup": op10_sql()}
+    return {"op2_decontamination": op2_sql(), "op5_feistel_shards": op5_sql(), "op6_poisson_mix": op6_sql(), "op10_exact_dedup": op10_sql()}

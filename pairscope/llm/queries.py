@@ -7,16 +7,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read_table
+from .common import held_out, read_table
+from .decontaminate import containment
 from .exact_dedup import exact_dedup
+from .langid import identify
+from .line_dedup import dedup_lines
 from .mixing import mix_sources
+from .quality import score_quality
 from .sharding import shard_rows
 from .simhash import simhash_groups
+from .token_counts import section_tokens
 
 N_SHARDS = 16
 MIX_SEED = 11
 SHARD_SEED = 7
 SIMHASH_WIDTH, SIMHASH_BITS = 3, 3
+WORD_SHINGLE, SIMILARITY = 5, 0.8
+QUALITY_THRESHOLD = 0.3
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containment(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
+                       width=WORD_SHINGLE, threshold=SIMILARITY).drop("digest")
+
+
+def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"),
+                         threshold=QUALITY_THRESHOLD)
+
+
+def op4_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return section_tokens(read_table(spark, sf_dir, "documents"), rule="most")
 
 
 def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,10 +60,20 @@ def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "component_id")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_feistel_shards, op6_poisson_mix, op7_simhash_groups, op10_exact_dedup)
+    f.__name__: f for f in (op2_decontamination, op3_quality_trees, op4_section_tokens, op5_feistel_shards,
+                            op6_poisson_mix, op7_simhash_groups, op8_line_dedup, op9_language_id, op10_exact_dedup)
 }
