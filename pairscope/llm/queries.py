@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from .common import held_out, read_table
 from .decontaminate import containment
 from .exact_dedup import exact_dedup
+from .html_extract import extract
 from .langid import identify
 from .line_dedup import dedup_lines
-from .mixing import mix_sources
+from .mixing import mix_sources, shuffled
 from .quality import score_quality
 from .sharding import shard_rows
 from .simhash import simhash_groups
@@ -26,6 +27,10 @@ WORD_SHINGLE, SIMILARITY = 5, 0.8
 QUALITY_THRESHOLD = 0.3
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"),
                        width=WORD_SHINGLE, threshold=SIMILARITY).drop("digest")
@@ -51,7 +56,7 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix_sources(docs, seed=MIX_SEED).select("doc_id", "source", "copy", "shuffle_key")
+    return shuffled(mix_sources(docs, seed=MIX_SEED).select("doc_id", "source", "copy", "shuffle_key"))
 
 
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +79,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontamination, op3_quality_trees, op4_section_tokens, op5_feistel_shards,
-                            op6_poisson_mix, op7_simhash_groups, op8_line_dedup, op9_language_id, op10_exact_dedup)
+    f.__name__: f for f in (op1_html_extract, op2_decontamination, op3_quality_trees, op4_section_tokens,
+                            op5_feistel_shards, op6_poisson_mix, op7_simhash_groups, op8_line_dedup, op9_language_id,
+                            op10_exact_dedup)
 }
