@@ -1,0 +1,50 @@
+"""Small tables with the awkward cases every operator has to bear."""
+
+import random
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHES = ("id", "digest", "fp", "root", "shard", "slot", "copy", "score", "lang_pred", "n_lines", "node", "size", "key", "kept")
+
+
+def documents(spark, sf="/root/testdata/sf0.001"):
+    return spark.read.parquet(f"{sf}/documents.parquet")
+
+
+def messy_rows(spark, n=60):
+    rows = [tuple(r) for r in documents(spark).orderBy("doc_id").limit(n).collect()]
+    long_text = " ".join(f"word{i % 977} und the la" for i in range(20_000)) + "\n" + "x" * 100_000
+    return rows + [
+        (None, None, None, None, None), (None, rows[1][1], "en", None, 3), (9001, None, "en", "src0", None),
+        (9002, "", "fr", None, 0), (9003, "   \n\t\n", None, "src1", 4), (9004, "12345 !!", "en", "src1", 8),
+        (9005, long_text, "en", "src2", len(long_text)), (9006, "Привет 日本語 🙂", None, "srcX", 10),
+        rows[3], rows[3], rows[4], (9007, rows[5][1], "en", "src3", 1), (9008, rows[5][1], "en", "src3", 1),
+        (9009, "a", "en", "src3", 1), (None, None, None, None, None),
+    ]
+
+
+def messy(spark, n=60, clashes=True):
+    df = spark.createDataFrame(messy_rows(spark, n), SCHEMA)
+    if clashes:
+        for c in CLASHES:
+            df = df.selectExpr("*", f"concat('old ', doc_id) as {c}")
+    return df
+
+
+def union_find(n, links):
+    parent = list(range(n))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+    for a, b in links:
+        parent[find(a)] = find(b)
+    return [find(i) for i in range(n)]
+
+
+def edited(rng: random.Random, text: str, share: float) -> str:
+    words = text.split(" ")
+    for _ in range(max(1, int(len(words) * share))):
+        words[rng.randrange(len(words))] = f"edit{rng.randrange(9)}"
+    return " ".join(words)
