@@ -47,7 +47,8 @@ def gram_counts(text: str | None) -> np.ndarray | None:
     code = np.where(letter, code, np.uint32(32))
     keep = letter.copy()
     keep[1:] |= letter[:-1]          # the first of a run of other characters stays, as the space
-    code = np.concatenate([[np.uint32(32)], code[keep], [np.uint32(32)]]).astype(np.uint32)
+    code = code[keep][: None if letter[-1] else -1]
+    code = np.concatenate([[np.uint32(32)], code, [np.uint32(32)]]).astype(np.uint32)
     counts = np.zeros(BUCKETS, np.int64)
     for lo in range(0, len(code), CHUNK):
         part = code[lo: lo + CHUNK + 2]
@@ -69,17 +70,17 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
 
-    def vector(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slots = np.flatnonzero(counts)
-        x = (1.0 + np.log(counts[slots])) * self.idf[slots]
-        return slots, x / max(float(np.sqrt(x @ x)), 1e-12)
+    def values(self, slots: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """TF-IDF of the n-grams in ``slots``, of length 1."""
+        x = (1.0 + np.log(counts)) * self.idf[slots]
+        return x / max(float(np.sqrt(x @ x)), 1e-12)
 
-    def logits(self, counts: np.ndarray) -> np.ndarray:
-        slots, x = self.vector(counts)
-        return x @ self.weights[slots] + self.bias
+    def logits(self, slots: np.ndarray, values: np.ndarray) -> np.ndarray:
+        return values @ self.weights[slots] + self.bias
 
     def probabilities(self, counts: np.ndarray) -> np.ndarray:
-        return softmax(self.logits(counts) / self.temperature)
+        slots = np.flatnonzero(counts)
+        return softmax(self.logits(slots, self.values(slots, counts[slots])) / self.temperature)
 
 
 def softmax(v: np.ndarray) -> np.ndarray:
@@ -193,12 +194,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     number = {c: i for i, c in enumerate(classes)}
     fitting, held = [], []
     for r in sample:
-        counts = np.zeros(BUCKETS, np.int64)
-        counts[np.frombuffer(r.slots, np.int32)] = np.frombuffer(r.counts, np.int32)
-        (held if r.calibrates else fitting).append((counts, number[r.lang]))
-    model.weights, model.bias = ftrl([(*model.vector(c), y) for c, y in fitting], len(classes))
+        slots = np.frombuffer(r.slots, np.int32)
+        row = slots, model.values(slots, np.frombuffer(r.counts, np.int32)), number[r.lang]
+        (held if r.calibrates else fitting).append(row)
+    model.weights, model.bias = ftrl(fitting, len(classes))
     if held:
-        model.temperature = calibrate(np.stack([model.logits(c) for c, _ in held]), np.array([y for _, y in held]))
+        model.temperature = calibrate(np.stack([model.logits(slots, x) for slots, x, _ in held]), np.array([y for *_, y in held]))
     return model
 
 
