@@ -115,16 +115,21 @@ def blocks_of(page: str | None) -> list[Block]:
             if tag == "hr":
                 flush()
         elif tag in BLOCK:
-            flush()
             if closing:
+                found = -1
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
-                        close(i)
+                        found = i
                         break
                     if tag == "p" or tag in ENDS and stack[i][0] in ENDS[tag][1]:
                         break
-                in_link = in_link and tag not in ("li", "div", "nav", "p")
+                if found >= 0 or tag == "p":               # other stray end tags are passed over
+                    flush()
+                    in_link = in_link and tag not in ("li", "div", "nav", "p")
+                if found >= 0:
+                    close(found)
             else:
+                flush()
                 if stack and stack[-1][0] == "p" and tag not in ("ins", "label", "button"):
                     close(len(stack) - 1)
                 if tag in ENDS:

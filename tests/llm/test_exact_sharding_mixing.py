@@ -1,0 +1,150 @@
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from pairscope.llm import exact_dedup, mixing, sharding
+
+from .data import SCHEMA, messy, messy_rows
+
+
+# ------------------------------------------------------------- exact dedup
+@pytest.mark.parametrize("digest", ["sha2({text}, 256)", "substring(sha2({text}, 256), 1, 1)", "'same'"])
+def test_exact_dedup_against_plain_groups(spark, digest):
+    rows = messy_rows(spark)
+    got = exact_dedup.exact_dedup(messy(spark), salts=3, digest=digest).collect()
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r[1] or ""].append(r[0])
+    assert len(got) == len(rows)
+    want = []
+    for text, ids in groups.items():
+        best = max((i for i in ids if i is not None), default=None)
+        seen = False
+        for i in ids:
+            keep = i == best and not seen
+            seen |= keep
+            want.append((i, best, len(ids), keep) + ((hashlib.sha256(text.encode()).hexdigest(),) if digest.startswith("sha2") else ()))
+    have = [(r.doc_id, r.keep_id, r.group_size, r.kept) + ((r.text_sha256,) if digest.startswith("sha2") else ()) for r in got]
+    assert Counter(have) == Counter(want)
+    assert sum(r.kept for r in got) == len(groups)
+
+
+def test_exact_dedup_of_nothing(spark):
+    assert exact_dedup.exact_dedup(messy(spark).limit(0)).count() == 0
+
+
+# ---------------------------------------------------------------- sharding
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 16, 17, 100, 1009])
+def test_feistel_is_a_permutation(n):
+    assert sorted(sharding.permute_python(i, n, 7) for i in range(n)) == list(range(n))
+
+
+def test_feistel_depends_on_the_seed_and_spreads():
+    n = 5000
+    a = [sharding.permute_python(i, n, 1) for i in range(n)]
+    b = [sharding.permute_python(i, n, 2) for i in range(n)]
+    assert sum(x == y for x, y in zip(a, b)) < 20
+    by_shard = Counter(a[i] % 16 for i in range(n // 2))    # the first half of the rows spreads over all shards
+    assert max(by_shard.values()) < 1.5 * min(by_shard.values())
+
+
+def test_walk_leaves_no_row_outside(spark):
+    from pyspark.sql import functions as F
+    for n in (2, 3, 7, 1000, 65537):
+        out = sharding.permuted(spark.range(n), "id", n, 3, "p")
+        assert out.agg(F.countDistinct("p"), F.min("p"), F.max("p")).first()[:] == (n, 0, n - 1)
+        assert {(r.id, r.p) for r in out.limit(50).collect()} <= {(i, sharding.permute_python(i, n, 3)) for i in range(n)}
+
+
+def test_shards_of_messy_rows(spark):
+    df = messy(spark)
+    rows = sharding.shard_rows(df, 16, ["doc_id"], 7, buckets=8).collect()
+    n = df.count()
+    assert sorted(r.row_number for r in rows) == list(range(n))
+    sizes = Counter(r.shard for r in rows)
+    assert max(sizes.values()) - min(sizes[s] for s in range(16)) <= 1
+    for s in range(16):
+        assert sorted(r.slot for r in rows if r.shard == s) == list(range(sizes[s]))
+    assert all((r.shard, r.slot) == (p % 16, p // 16) for r in rows for p in [sharding.permute_python(r.row_number, n, 7)])
+    assert Counter((r.doc_id, r.text) for r in rows) == Counter((r.doc_id, r.text) for r in df.collect())
+    again = sharding.shard_rows(df.repartition(13), 16, ["doc_id"], 7, buckets=8).collect()
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, again))          # partitions do not matter
+
+
+def test_many_identical_rows_are_numbered_without_gaps(spark):
+    df = spark.range(250_000).selectExpr("cast(null as long) as doc_id", "'x' as text")
+    out = sharding.shard_rows(df, 16, ["doc_id"], 7).selectExpr("min(row_number) lo", "max(row_number) hi", "count(distinct row_number) n").first()
+    assert (out.lo, out.hi, out.n) == (0, 249_999, 250_000)
+
+
+def test_shards_of_nothing(spark):
+    assert sharding.shard_rows(messy(spark).limit(0), 16, ["doc_id"]).count() == 0
+
+
+# ------------------------------------------------------------------ mixing
+def poisson(mean, u):
+    p = c = math.exp(-mean)
+    k = 0
+    while u >= c and k < 200:
+        k += 1
+        p *= mean / k
+        c += p
+    return k
+
+
+def uniform(text):
+    return int(hashlib.md5(text.encode()).hexdigest()[:13], 16) / 2 ** 52
+
+
+def expected_counts(rows, weights=None, budget=None, seed=11):
+    size = Counter()
+    for r in rows:
+        size[r[3]] += len((r[1] or "").encode()) + 1
+    w = {s: (1.0 if weights is None else weights.get(s, 0.0)) for s in size}
+    total, budget = sum(w.values()), sum(size.values()) if budget is None else budget
+    out = Counter()
+    for r in rows:
+        rate = w[r[3]] / total * budget / size[r[3]] if total else 0
+        if rate <= 0:
+            continue
+        key = ":".join([str(seed), "" if r[0] is None else str(r[0]), hashlib.md5((r[1] or "").encode()).hexdigest()])
+        parts = max(1, math.ceil(rate / 8))
+        n = sum(poisson(8.0 if i < parts else rate - 8.0 * (parts - 1), uniform(f"{key}:{i}")) for i in range(1, parts + 1))
+        if n:
+            out[(r[0], r[1])] += n
+    return out
+
+
+@pytest.mark.parametrize("weights,budget", [(None, None), ({"src0": 3.0, "src1": 1.0, "gone": 5.0}, 2e6), ({"none": 1.0}, None)])
+def test_mixing_against_plain_poisson(spark, weights, budget):
+    rows = messy_rows(spark)
+    got = mixing.mix_sources(messy(spark), weights=weights, budget=budget).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == expected_counts(rows, weights, budget)
+
+
+def test_null_source_weighs_like_any_other(spark):
+    rows = [(i, "t" * 50, None, None if i % 2 else "a", 50) for i in range(4000)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA)).groupBy("source").count().collect()
+    assert {r.source for r in got} == {None, "a"} and all(abs(r["count"] - 2000) < 250 for r in got)
+
+
+def test_rates_meet_the_target_weights(spark):
+    from pyspark.sql import functions as F
+    rows = [(i, "x" * 100, None, "big" if i % 10 else "small", 100) for i in range(20_000)]
+    got = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), weights={"big": 1.0, "small": 3.0}, budget=2e6)
+    shares = {r.source: r.n for r in got.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert shares["small"] / sum(shares.values()) == pytest.approx(0.75, abs=0.02)
+    assert sum(shares.values()) == pytest.approx(2e6 / 101, rel=0.03)
+
+
+def test_shuffle_is_a_total_order_of_distinct_copies(spark):
+    out = mixing.shuffled(mixing.mix_sources(messy(spark, clashes=False))).collect()
+    keys = [r.shuffle_key for r in out]
+    assert keys == sorted(keys) and mixing.mix_sources(messy(spark).limit(0)).count() == 0
+
+
+def test_crc_of_ids_is_the_contract():
+    assert zlib.crc32(b"") % 5 == 0     # a null id counts as held out
