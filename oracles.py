@@ -1,18 +1,18 @@
 """DuckDB oracles: one SQL string per registered query.
 
-The oracles are written independently of the Spark code, in the shape of the
-original HiveQL: window functions over raw log rows, then GROUP BY, and the
-literal fan-out join of searches to order routes for training.  Only the
-date parameters are shared with the Spark side.  The test tables' search
-logs, orders and tags are derived from ``events`` by the rules in
-``pairscope.sources.events`` (repeated here in SQL).
+Written from the definitions of the survey (sections 1.2, 2 and 3.5) and
+nothing of the package is imported: seeds, offsets, sizes and single dates are
+literals here, and the backfills find their dates in the data themselves.
+User statistics and pair statistics are separate grouped relations joined
+together; in training every search row carries the number of label-day routes
+it is joined to.  The test tables' search logs, orders and tags are derived
+from ``events`` by the rules of FIXTURES.md.
 """
 
 from __future__ import annotations
 
-from pairscope.operators.sampling import HEX_DIGITS, SEED_HOLDOUT, SEED_NEG, SEED_POS, SEED_SPLIT, hex_cut
-from pairscope.plans import registry as R
-from pairscope.windows import SERVING, TRAINING, shift
+RUN_DATE, PUBLISH_DT, LABEL_DATE = "20240130", "20240129", "20240120"
+N_SAMPLE, N_TRAIN, SLICE_SIZE, SLICE_PRED_SIZE, HOLDOUT_N = 50, 50, 40, 10, 200
 
 VALID = "{u} IS NOT NULL AND {u} NOT IN ('', 'NULL', 'null')"
 
@@ -72,86 +72,93 @@ paid AS (
 )"""
 
 
-def _values(name: str, cols: list[str], rows: list[tuple]) -> str:
-    body = ",\n  ".join("(" + ", ".join(f"'{v}'" for v in r) + ")" for r in rows)
-    return f"{name}({', '.join(cols)}) AS (VALUES\n  {body}\n)"
+def _with(*ctes: str) -> str:
+    return "WITH " + ",\n".join(c.strip() for c in ctes)
 
 
-def _anchor_table(name: str, anchors: list[str], windows) -> str:
-    rows = []
-    for a in anchors:
-        s_lo, s_hi = windows.searches.bounds(a)
-        r_lo, r_hi = windows.recent_buyers.bounds(a)
-        h_lo, h_hi = windows.history.bounds(a)
-        out = shift(a, windows.output_offset) if windows.output_offset is not None else a
-        rows.append((a, s_lo, s_hi, r_lo, r_hi, h_lo, h_hi, out))
-    return _values(name, ["anchor_dt", "s_lo", "s_hi", "r_lo", "r_hi", "h_lo", "h_hi", "out_dt"], rows)
+def _window(anchor_days: str, history_back: int, history_near: int, output: int) -> str:
+    """CTE ``anchors``: each anchor date with its windows; ``anchor_days`` is SQL for one DATE column d."""
+    def day(offset: int) -> str:
+        return f"strftime(d - INTERVAL {offset} DAY, '%Y%m%d')"
+    return f"""
+anchors AS (
+  SELECT {day(0)} AS anchor_dt, {day(2)} AS s_lo, {day(1)} AS s_hi, {day(2)} AS r_lo, {day(1)} AS r_hi,
+         {day(history_back)} AS h_lo, {day(history_near)} AS h_hi, {day(output)} AS out_dt
+  FROM ({anchor_days})
+)"""
 
 
-def _with(*ctes: str) -> str:
-    return "WITH " + ",\n".join(c.strip() for c in ctes)
+def _days(first: int, last: int) -> str:
+    """All days from ``first`` days after the first event to ``last`` days after the last one."""
+    return ("SELECT unnest(generate_series(date_trunc('day', min(ts)) + INTERVAL "
+            f"{first} DAY, date_trunc('day', max(ts)) + INTERVAL {last} DAY, INTERVAL 1 DAY)) AS d FROM events")
+
+
+def _day(dt: str) -> str:
+    return f"SELECT strptime('{dt}', '%Y%m%d') AS d"
+
+
+def _serving_anchors(days: str) -> str:
+    return _window(days, 731, 3, 1)
+
+
+def _training_anchors(days: str) -> str:
+    return _window(days, 732, 1, 0)
 
 
-def _feature_tail(src: str, label: bool) -> str:
-    """Window-first features over rows of ``src`` (anchor_dt, user, route, cities, pre_days, process),
-    then GROUP BY, history and tag joins, like the reference query."""
-    label_col = ", max(label) AS label" if label else ""
+RUNS, RUN = _serving_anchors(_days(1, 2)), _serving_anchors(_day(RUN_DATE))
+LABELS, LABEL = _training_anchors(_days(2, 0)), _training_anchors(_day(LABEL_DATE))
+
+
+def _features(src: str, label: bool) -> str:
+    """Feature rows of the weighted search rows ``src``: anchor_dt, username, search_route, dep_city,
+    arr_city, pre_days, process, times (how often the row counts), in_label if ``label``."""
+    def times(process: str, more: str = "") -> str:
+        return f"coalesce(sum(times) FILTER (WHERE process = '{process}'{more}), 0)"
+
+    def lead(process: str) -> dict[str, str]:
+        own = f"FILTER (WHERE process = '{process}')"
+        return {"max": f"max(pre_days) {own}", "min": f"min(pre_days) {own}",
+                "avg": f"CAST(sum(times * pre_days) {own} AS DOUBLE) / "
+                       f"nullif(CAST({times(process, ' AND pre_days IS NOT NULL')} AS DOUBLE), 0)"}
+    search, ota = lead("list"), lead("ota")
     return f"""
-win AS (
-  SELECT *,
-    count(CASE WHEN process = 'list' THEN 1 END) OVER w AS search_route_cnt,
-    count(CASE WHEN process = 'ota' THEN 1 END) OVER w AS ota_route_cnt,
-    count(DISTINCT dep_city) OVER w AS dep_city_cnt,
-    count(DISTINCT arr_city) OVER w AS arr_city_cnt
-  FROM {src}
-  WINDOW w AS (PARTITION BY anchor_dt, username)
+user_stats AS (
+  SELECT anchor_dt, username, {times('list')} AS searches, {times('ota')} AS otas,
+         count(DISTINCT dep_city) AS dep_cities, count(DISTINCT arr_city) AS arr_cities,
+         count(DISTINCT coalesce(search_route, '')) AS routes
+  FROM {src} GROUP BY anchor_dt, username
 ),
-grp AS (
-  SELECT anchor_dt, username, search_route,
-    max(dep_city_cnt) AS dep_city_cnt, max(arr_city_cnt) AS arr_city_cnt,
-    max(search_route_cnt) AS search_route_cnt,
-    count(CASE WHEN process = 'list' THEN 1 END) AS search_route_single_cnt,
-    max(ota_route_cnt) AS ota_route_cnt,
-    count(CASE WHEN process = 'ota' THEN 1 END) AS ota_route_single_cnt,
-    max(CASE WHEN process = 'list' THEN pre_days END) AS search_pre_days_max,
-    min(CASE WHEN process = 'list' THEN pre_days END) AS search_pre_days_min,
-    avg(CASE WHEN process = 'list' THEN pre_days END) AS search_pre_days_avg,
-    max(CASE WHEN process = 'ota' THEN pre_days END) AS ota_pre_days_max,
-    min(CASE WHEN process = 'ota' THEN pre_days END) AS ota_pre_days_min,
-    avg(CASE WHEN process = 'ota' THEN pre_days END) AS ota_pre_days_avg{label_col}
-  FROM win GROUP BY anchor_dt, username, search_route
+pair_stats AS (
+  SELECT anchor_dt, username, search_route, {times('list')} AS searches, {times('ota')} AS otas,
+         {search['max']} AS s_max, {search['min']} AS s_min, {search['avg']} AS s_avg,
+         {ota['max']} AS o_max, {ota['min']} AS o_min, {ota['avg']} AS o_avg
+         {", max(CASE WHEN in_label THEN 1 ELSE 0 END) AS label" if label else ""}
+  FROM {src} GROUP BY anchor_dt, username, search_route
 ),
-hist AS (
-  SELECT a.anchor_dt, p.username, p.order_route
-  FROM paid p JOIN anchors a ON p.dt >= a.h_lo AND p.dt <= a.h_hi
-  GROUP BY a.anchor_dt, p.username, p.order_route
+bought_before AS (
+  SELECT DISTINCT anchor_dt, username, order_route AS search_route, 1 AS bought
+  FROM paid, anchors WHERE dt BETWEEN h_lo AND h_hi AND order_route IS NOT NULL
 ),
 feat AS (
-  SELECT g.anchor_dt, a.out_dt,
-    g.username,
-    CAST(count(*) OVER (PARTITION BY g.anchor_dt, g.username) AS INTEGER) AS route_cnt,
-    g.search_route,
-    CAST(g.search_route_cnt AS INTEGER) AS search_route_cnt,
-    CAST(g.search_route_single_cnt AS INTEGER) AS search_route_single_cnt,
-    CAST(g.search_route_single_cnt AS DOUBLE) / NULLIF(CAST(g.search_route_cnt AS DOUBLE), 0) AS search_rate,
-    CAST(g.ota_route_cnt AS INTEGER) AS ota_route_cnt,
-    CAST(g.ota_route_single_cnt AS INTEGER) AS ota_route_single_cnt,
-    CAST(g.ota_route_single_cnt AS DOUBLE) / NULLIF(CAST(g.ota_route_cnt AS DOUBLE), 0) AS ota_rate,
-    CAST(g.search_pre_days_max AS DOUBLE) AS search_pre_days_max,
-    CAST(g.search_pre_days_min AS DOUBLE) AS search_pre_days_min,
-    CAST(g.search_pre_days_avg AS DOUBLE) AS search_pre_days_avg,
-    CAST(CASE WHEN g.ota_pre_days_max IS NULL THEN g.search_pre_days_max ELSE g.ota_pre_days_max END AS DOUBLE) AS ota_pre_days_max,
-    CAST(CASE WHEN g.ota_pre_days_min IS NULL THEN g.search_pre_days_min ELSE g.ota_pre_days_min END AS DOUBLE) AS ota_pre_days_min,
-    CAST(CASE WHEN g.ota_pre_days_avg IS NULL THEN g.search_pre_days_avg ELSE g.ota_pre_days_avg END AS DOUBLE) AS ota_pre_days_avg,
-    CAST(g.dep_city_cnt AS INTEGER) AS dep_city_cnt,
-    CAST(g.arr_city_cnt AS INTEGER) AS arr_city_cnt,
-    CASE WHEN h.order_route IS NOT NULL THEN 1 ELSE 0 END AS has_history_route,
-    t.is_student, t.is_trader{", CAST(g.label AS INTEGER) AS label" if label else ""}
-  FROM grp g
-  JOIN anchors a ON g.anchor_dt = a.anchor_dt
-  LEFT JOIN hist h ON g.anchor_dt = h.anchor_dt AND g.username = h.username
-                  AND g.search_route = h.order_route
-  LEFT JOIN tag t ON g.username = t.key
+  SELECT p.anchor_dt, a.out_dt, p.username, CAST(u.routes AS INTEGER) AS route_cnt, p.search_route,
+    CAST(u.searches AS INTEGER) AS search_route_cnt, CAST(p.searches AS INTEGER) AS search_route_single_cnt,
+    CAST(p.searches AS DOUBLE) / nullif(CAST(u.searches AS DOUBLE), 0) AS search_rate,
+    CAST(u.otas AS INTEGER) AS ota_route_cnt, CAST(p.otas AS INTEGER) AS ota_route_single_cnt,
+    CAST(p.otas AS DOUBLE) / nullif(CAST(u.otas AS DOUBLE), 0) AS ota_rate,
+    CAST(s_max AS DOUBLE) AS search_pre_days_max, CAST(s_min AS DOUBLE) AS search_pre_days_min,
+    s_avg AS search_pre_days_avg,
+    CAST(coalesce(o_max, s_max) AS DOUBLE) AS ota_pre_days_max,
+    CAST(coalesce(o_min, s_min) AS DOUBLE) AS ota_pre_days_min,
+    coalesce(o_avg, s_avg) AS ota_pre_days_avg,
+    CAST(u.dep_cities AS INTEGER) AS dep_city_cnt, CAST(u.arr_cities AS INTEGER) AS arr_city_cnt,
+    coalesce(b.bought, 0) AS has_history_route, tag.is_student, tag.is_trader
+    {", CAST(p.label AS INTEGER) AS label" if label else ""}
+  FROM pair_stats p
+  JOIN user_stats u USING (anchor_dt, username)
+  JOIN anchors a USING (anchor_dt)
+  LEFT JOIN bought_before b USING (anchor_dt, username, search_route)
+  LEFT JOIN tag ON tag.key = p.username
 )"""
 
 
@@ -161,62 +168,43 @@ FEATURE_SELECT = """username, route_cnt, search_route, search_route_cnt, search_
   has_history_route, is_student, is_trader"""
 
 
-def serving_ctes(anchors: list[str]) -> str:
+def serving_ctes(anchors: str) -> str:
     """CTE chain ending in ``feat`` (serving features of every run date)."""
-    return _with(FIXTURE, _anchor_table("anchors", anchors, SERVING), """
-log AS (
-  SELECT a.anchor_dt, s.* FROM searches s JOIN anchors a ON s.dt BETWEEN a.s_lo AND a.s_hi
-),
-recent AS (
-  SELECT a.anchor_dt, p.username FROM paid p JOIN anchors a ON p.dt >= a.r_lo AND p.dt <= a.r_hi
-  GROUP BY a.anchor_dt, p.username
-),
+    return _with(FIXTURE, anchors, """
 kept AS (
-  SELECT log.* FROM log LEFT JOIN recent r
-    ON log.anchor_dt = r.anchor_dt AND log.username = r.username
-  WHERE r.username IS NULL
-),""" + _feature_tail("kept", label=False))
-
-
-def training_ctes(anchors: list[str]) -> str:
-    """CTE chain ending in ``feat`` (training rows with label), through the
-    literal fan-out join of the reference."""
-    return _with(FIXTURE, _anchor_table("anchors", anchors, TRAINING), f"""
-temp1 AS (
-  SELECT p.username, a.anchor_dt, p.order_route, max(p.create_time) AS create_time_max,
-         CAST(count(*) AS INTEGER) AS order_cnt
-  FROM paid p JOIN anchors a ON p.dt = a.anchor_dt
-  GROUP BY p.username, a.anchor_dt, p.order_route
-  HAVING count(*) < 20
+  SELECT a.anchor_dt, s.*, 1 AS times FROM searches s JOIN anchors a ON s.dt BETWEEN a.s_lo AND a.s_hi
+  WHERE NOT EXISTS (SELECT 1 FROM paid p WHERE p.username = s.username AND p.dt BETWEEN a.r_lo AND a.r_hi)
+)""", _features("kept", label=False))
+
+
+def training_ctes(anchors: str) -> str:
+    """CTE chain ending in ``feat`` (training rows with label)."""
+    return _with(FIXTURE, anchors, """
+day_routes AS (
+  SELECT anchor_dt, username, order_route, max(create_time) AS last_time, CAST(count(*) AS INTEGER) AS orders
+  FROM paid JOIN anchors ON dt = anchor_dt GROUP BY anchor_dt, username, order_route HAVING count(*) < 20
 ),
-temp2 AS (
-  SELECT a.anchor_dt, p.username FROM paid p JOIN anchors a ON p.dt BETWEEN a.r_lo AND a.r_hi
-  GROUP BY a.anchor_dt, p.username
+label_routes AS (
+  SELECT d.* FROM day_routes d JOIN anchors a USING (anchor_dt)
+  WHERE NOT EXISTS (SELECT 1 FROM paid p WHERE p.username = d.username AND p.dt BETWEEN a.r_lo AND a.r_hi)
 ),
-t AS (
-  SELECT temp1.* FROM temp1 LEFT JOIN temp2
-    ON temp1.username = temp2.username AND temp1.anchor_dt = temp2.anchor_dt
-  WHERE temp2.username IS NULL
+numbered AS (
+  SELECT row_number() OVER () AS id, a.anchor_dt, s.* FROM searches s JOIN anchors a ON s.dt BETWEEN a.s_lo AND a.s_hi
 ),
-log AS (
-  SELECT a.anchor_dt, s.* FROM searches s JOIN anchors a ON s.dt BETWEEN a.s_lo AND a.s_hi
+counted AS (
+  SELECT id, count(*) FILTER (WHERE r.last_time >= log_time) AS times,
+         coalesce(bool_or(r.order_route = n.search_route), false) AS in_label
+  FROM numbered n JOIN label_routes r USING (anchor_dt, username) GROUP BY id
 ),
-joined AS (
-  SELECT log.anchor_dt, log.username, log.search_route, log.dep_city, log.arr_city, log.pre_days,
-         log.process, log.log_time, t.order_route,
-         CASE WHEN EXISTS (SELECT 1 FROM t t2 WHERE t2.username = log.username
-                           AND t2.anchor_dt = log.anchor_dt AND t2.order_route = log.search_route)
-              THEN 1 ELSE 0 END AS label
-  FROM t JOIN log ON t.username = log.username AND t.anchor_dt = log.anchor_dt
-  WHERE log.log_time <= t.create_time_max
-),""" + _feature_tail("joined", label=True))
-
-
-def _serving(anchors, select: str) -> str:
+weighted AS (SELECT n.*, times, in_label FROM numbered n JOIN counted USING (id) WHERE times > 0)
+""", _features("weighted", label=True))
+
+
+def _serving(anchors: str, select: str) -> str:
     return serving_ctes(anchors) + "\n" + select
 
 
-def _training(anchors, select: str) -> str:
+def _training(anchors: str, select: str) -> str:
     return training_ctes(anchors) + "\n" + select
 
 
@@ -226,9 +214,10 @@ HEURISTIC = "0.5 * coalesce(search_rate, 0.0) + 0.5 * CAST(coalesce(has_history_
 KEY = "username, search_route, label_dt"
 
 
-def _hash(seed) -> str:
+def _hash(purpose: str) -> str:
+    """Hash of a row's key for one draw; ``purpose`` names the draw and its seed."""
     return (f"md5(concat_ws('|', coalesce(username, '\\N'), coalesce(search_route, '\\N'), "
-            f"coalesce(label_dt, '\\N'), '{seed}'))")
+            f"coalesce(label_dt, '\\N'), '{purpose}'))")
 
 
 def _imputed_training(anchors) -> str:
@@ -239,21 +228,15 @@ def _imputed_training(anchors) -> str:
         cols.append(c if c in ("username", "search_route") else f"coalesce({c}, 0) AS {c}")
     return (training_ctes(anchors) + f""",
 tr AS (SELECT {', '.join(cols)}, label, anchor_dt AS label_dt FROM feat),
-counts AS (SELECT label, count(*) AS n FROM tr GROUP BY label),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY
-           CASE WHEN label = 1 THEN {_hash(SEED_POS)} ELSE {_hash(SEED_NEG)} END) AS rk
+           CASE WHEN label = 1 THEN {_hash('sample-pos:1')} ELSE {_hash('sample-neg:43')} END) AS rk
   FROM tr
 ),
-sample AS (SELECT * EXCLUDE (rk) FROM ranked WHERE rk <= {R.N_SAMPLE}),
-holdout AS (
-  SELECT tr.* FROM tr WHERE NOT EXISTS (
-    SELECT 1 FROM sample s WHERE s.username IS NOT DISTINCT FROM tr.username
-      AND s.search_route IS NOT DISTINCT FROM tr.search_route AND s.label_dt = tr.label_dt)
-),
+sample AS (SELECT * EXCLUDE (rk) FROM ranked WHERE rk <= {N_SAMPLE}),
+holdout AS (SELECT * EXCLUDE (rk) FROM ranked WHERE rk > {N_SAMPLE}),
 split AS (
-  SELECT *, CASE WHEN substr({_hash(SEED_SPLIT)}, 1, {HEX_DIGITS}) < '{hex_cut(1.0 - R.TEST_SIZE)}'
-                 THEN 'train' ELSE 'test' END AS split
+  SELECT *, CASE WHEN row_number() OVER (ORDER BY {_hash('split:43')}) <= {N_TRAIN} THEN 'train' ELSE 'test' END AS split
   FROM sample
 )""")
 
@@ -290,16 +273,15 @@ f AS (
 
 
 def _published_serving(select: str) -> str:
-    return _serving(R.RUN_DATES, select)
+    return _serving(RUNS, select)
 
 
 def oracle_sql() -> dict[str, str]:
-    runs, run, labels_, label = R.RUN_DATES, [R.RUN_DATE], R.LABEL_DATES, [R.LABEL_DATE]
-    h_lo, h_hi = SERVING.history.bounds(R.RUN_DATE)
-    dt = R.PUBLISH_DT
+    runs, run, labels_, label, dt = RUNS, RUN, LABELS, LABEL, PUBLISH_DT
+    h_lo, h_hi = "20220129", "20240127"  # 731 and 3 days before the run date
     pair_select = ("SELECT username, anchor_dt AS run_dt, search_route, {cols} FROM kept_all "
                    "GROUP BY username, anchor_dt, search_route")
-    log_all = _with(FIXTURE, _anchor_table("anchors", runs, SERVING), """
+    log_all = _with(FIXTURE, runs, """
 kept_all AS (SELECT a.anchor_dt, s.* FROM searches s JOIN anchors a ON s.dt BETWEEN a.s_lo AND a.s_hi)""")
     user_select = ("SELECT username, anchor_dt AS run_dt, {cols} FROM kept_all "
                    "GROUP BY username, anchor_dt")
@@ -314,7 +296,7 @@ SELECT source, u AS username, count(*) AS row_cnt FROM (
   UNION ALL SELECT 'orders', username FROM order_src
 ) x WHERE """ + VALID.format(u="u") + " GROUP BY source, u",
         "paid_orders_window": _with(FIXTURE) + f"\nSELECT * FROM paid WHERE dt >= '{h_lo}' AND dt <= '{h_hi}'",
-        "recent_buyers": _with(FIXTURE, _anchor_table("anchors", labels_, TRAINING)) + """
+        "recent_buyers": _with(FIXTURE, labels_) + """
 SELECT DISTINCT p.username, a.anchor_dt AS label_dt
 FROM paid p JOIN anchors a ON p.dt BETWEEN a.r_lo AND a.r_hi""",
         "order_history_routes": _with(FIXTURE) + f"""
@@ -332,6 +314,8 @@ SELECT anchor_dt,
   strftime(d - INTERVAL 732 DAY, '%Y%m%d') AS training_history_lo,
   strftime(d - INTERVAL 1 DAY, '%Y%m%d') AS training_history_hi
 FROM days""",
+        "exclude_recent_buyers_pairs": _serving(runs, """
+SELECT username, anchor_dt AS run_dt, search_route, search_route_single_cnt, ota_route_single_cnt FROM feat"""),
         "exclude_recent_buyers_log": serving_ctes(runs) + """
 SELECT username, search_route, dep_city, arr_city, pre_days, log_time, process, dt, anchor_dt AS run_dt
 FROM kept""",
@@ -365,15 +349,16 @@ FROM kept""",
             c.strip() if c.strip() in ("username", "search_route") else f"coalesce({c.strip()}, 0) AS {c.strip()}"
             for c in FEATURE_SELECT.replace("\n", " ").split(",")) + ", out_dt AS dt FROM feat"),
         "label_day_orders": training_ctes(labels_) + """
-SELECT username, anchor_dt AS label_dt, order_route, create_time_max, order_cnt,
+SELECT username, anchor_dt AS label_dt, order_route, last_time AS create_time_max, orders AS order_cnt,
   CAST(count(order_route) OVER (PARTITION BY username, anchor_dt) AS INTEGER) AS route_set_cnt
-FROM temp1""",
+FROM day_routes""",
         "exclude_recent_buyers_orders": training_ctes(labels_) + """
-SELECT username, anchor_dt AS label_dt, order_route, create_time_max, order_cnt FROM t""",
+SELECT username, anchor_dt AS label_dt, order_route, last_time AS create_time_max, orders AS order_cnt
+FROM label_routes""",
         "pre_order_searches": training_ctes(labels_) + """
 SELECT username, anchor_dt AS label_dt, log_time, search_route, dep_city, arr_city, pre_days, process,
-  CAST(count(*) AS INTEGER) AS fanout, max(label) AS in_label
-FROM joined GROUP BY username, anchor_dt, log_time, search_route, dep_city, arr_city, pre_days, process""",
+  CAST(sum(times) AS INTEGER) AS fanout, max(CASE WHEN in_label THEN 1 ELSE 0 END) AS in_label
+FROM weighted GROUP BY username, anchor_dt, log_time, search_route, dep_city, arr_city, pre_days, process""",
         "pair_label": training_ctes(labels_) + "\nSELECT username, search_route, anchor_dt AS label_dt, label FROM feat",
         "training_set": _training(labels_, TRAINING_ALL),
         "training_set_day": _training(label, TRAINING_ALL),
@@ -382,12 +367,12 @@ FROM joined GROUP BY username, anchor_dt, log_time, search_route, dep_city, arr_
             if c.strip() not in ("username", "search_route")) + ", label FROM feat"),
         "balanced_sample": _imputed_training(labels_) + f"\nSELECT {KEY}, label FROM sample",
         "balanced_slices": _imputed_training(labels_) + f""",
-sl AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_hash(0)}) AS rk FROM tr)
-SELECT {KEY}, label, CASE WHEN rk <= {R.SLICE_SIZE} THEN 'train' ELSE 'predict' END AS slice
-FROM sl WHERE rk <= {R.SLICE_SIZE + R.SLICE_PRED_SIZE}""",
+sl AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY {_hash('slices:0')}) AS rk FROM tr)
+SELECT {KEY}, label, CASE WHEN rk <= {SLICE_SIZE} THEN 'train' ELSE 'predict' END AS slice
+FROM sl WHERE rk <= {SLICE_SIZE + SLICE_PRED_SIZE}""",
         "holdout_complement": _imputed_training(labels_) + f"\nSELECT {KEY}, label FROM holdout",
         "holdout_sample": _imputed_training(labels_) + f"""
-SELECT {KEY}, label FROM holdout ORDER BY {_hash(SEED_HOLDOUT)} LIMIT {R.HOLDOUT_N}""",
+SELECT {KEY}, label FROM holdout ORDER BY {_hash('holdout:90')} LIMIT {HOLDOUT_N}""",
         "train_test_split": _imputed_training(labels_) + f"\nSELECT {KEY}, label, split FROM split",
         "split_counts": _imputed_training(labels_) + """
 SELECT split, label, count(*) AS count FROM (
@@ -428,14 +413,24 @@ SELECT label, least(CAST(floor(score * 20) AS INTEGER), 19) AS bin, count(*) AS
 g AS (SELECT score, sum(label) AS pos, sum(1 - label) AS neg FROM sc GROUP BY score),
 c AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
              AS neg_below FROM g)
-SELECT round(sum(pos * (neg_below + 0.5 * neg)) / (sum(pos) * sum(neg)), 10) AS auc FROM c""",
+SELECT round(sum(pos * (neg_below + 0.5 * neg)) / nullif(sum(pos) * sum(neg), 0), 10) AS auc FROM c""",
         "publish_features": _published_serving(SERVING_ALL),
         "feature_partition_extract": _published_serving(SERVING_ALL + f" WHERE out_dt = '{dt}'"),
         "drop_partition": _published_serving(SERVING_ALL + f" WHERE out_dt <> '{dt}'"),
+        "overwrite_partition_empty": _published_serving(
+            f"SELECT out_dt AS dt, count(*) AS count FROM feat WHERE out_dt <> '{dt}' GROUP BY out_dt"),
+        "drop_table": _published_serving("SELECT 'route_features' AS tables, count(*) AS rows FROM feat"),
         "partition_counts_latest": _published_serving(
             "SELECT out_dt AS dt, count(*) AS count FROM feat GROUP BY out_dt ORDER BY out_dt DESC LIMIT 5"),
         "tsv_roundtrip": _published_serving(SERVING_ALL + f" WHERE out_dt = '{dt}'"),
         "publish_scores": _published_serving(f"""
 SELECT username, search_route, {HEURISTIC} AS q_ratio, out_dt AS dt FROM feat WHERE out_dt = '{dt}'"""),
+        "peek_counts": _published_serving(f"""
+SELECT least(count(*), 5) AS n_shown, least(count(*), 5) AS n_held FROM feat WHERE out_dt = '{dt}'"""),
+        "gbt_score_ranges": _serving(run, "SELECT username, search_route, out_dt AS dt, true AS is_probability FROM feat"),
+        "gbt_first_trees": _serving(run, "SELECT username, search_route, out_dt AS dt, true AS same FROM feat"),
+        "model_roundtrip": _serving(run, "SELECT username, search_route, out_dt AS dt, true AS same FROM feat"),
+        "gbt_holdout_counts": _imputed_training(labels_) + """
+SELECT count(*) FILTER (WHERE label = 1) AS n_pos, count(*) FILTER (WHERE label = 0) AS n_neg FROM holdout""",
     }
     return q

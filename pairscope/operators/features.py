@@ -35,6 +35,8 @@ after the user shuffle (see ``exclude_recent_buyers``).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,12 +157,12 @@ def feature_exprs() -> list[str]:
 
 
 def assemble(tables: SourceTables, pairs: DataFrame, anchors: list[str], windows: DateWindows,
-             buyers: DataFrame | None = None) -> DataFrame:
-    """Shared tail of serving and training: J3, tags, history flag."""
+             users: DataFrame, buyers: DataFrame | None = None) -> DataFrame:
+    """Shared tail of serving and training: J3, tags, history flag; ``users``: all users of the pairs."""
     if buyers is not None:
         pairs = exclude_recent_buyers(pairs, buyers)
-    feats = attach_user_tags(pairs, user_tag_flags(tables))
-    return attach_history_flag(feats, history_summary(tables, anchors, windows.history), windows)
+    feats = attach_user_tags(pairs, user_tag_flags(tables, users))
+    return attach_history_flag(feats, history_summary(tables, anchors, windows.history, users), windows)
 
 
 def exclude_recent_buyers(df: DataFrame, buyers: DataFrame) -> DataFrame:
@@ -183,8 +185,15 @@ def serving_log(tables: SourceTables, anchors: list[str], windows: DateWindows =
 def serving_features(tables: SourceTables, run_dates: list[str] | str,
                      windows: DateWindows = SERVING) -> DataFrame:
     """The feature partition of each run date (dt = run date - 1)."""
-    anchors = windows.check_anchors([run_dates] if isinstance(run_dates, str) else run_dates)
-    pairs = pair_aggregates(serving_log(tables, anchors, windows))
-    buyers = recent_buyers(tables, anchors, windows.recent_buyers)
-    feats = assemble(tables, pairs, anchors, windows, buyers)
-    return feats.selectExpr(*feature_exprs(), f"{shift_sql(ANCHOR, windows.output_offset)} AS dt")
+    def group(anchors: list[str]) -> DataFrame:
+        log = serving_log(tables, anchors, windows)
+        buyers = recent_buyers(tables, anchors, windows.recent_buyers)
+        feats = assemble(tables, pair_aggregates(log), anchors, windows, active_users(log), buyers)
+        return feats.selectExpr(*feature_exprs(), f"{shift_sql(ANCHOR, windows.output_offset)} AS dt")
+
+    return reduce(DataFrame.unionByName, [group(a) for a in windows.anchor_groups(run_dates)])
+
+
+def active_users(log: DataFrame) -> DataFrame:
+    """Distinct users of the search rows (one column of the two-day logs)."""
+    return log.select(USER).distinct()

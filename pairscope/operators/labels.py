@@ -20,6 +20,8 @@ the row weight (counts become sums, averages weighted averages).
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +29,13 @@ from ..schemas import TRAINING_COLUMNS
 from ..sources.tables import SourceTables
 from ..windows import MAX_ORDERS_PER_ROUTE, TRAINING, DateWindows
 from .features import assemble, feature_exprs, pair_aggregates
-from .joins import sized_broadcast_join
 from .logs import ANCHOR, ROUTE, USER, anchored_search_log, paid_orders, recent_buyers
 
 USER_KEYS = [USER, ANCHOR]
 
 
 def _anchors(label_dates, windows: DateWindows) -> list[str]:
-    return windows.check_anchors([label_dates] if isinstance(label_dates, str) else label_dates)
+    return windows.check_anchors(label_dates)
 
 
 def label_day_orders(tables: SourceTables, label_dates: list[str] | str,
@@ -71,10 +72,17 @@ def label_orders_without_recent_buyers(tables: SourceTables, label_dates: list[s
 
 
 def order_sets(label_orders: DataFrame) -> DataFrame:
-    """W4 as one row per (user, label day): the ordered routes and their last
-    order times.  Its size is bounded by the routes one user orders in a day."""
+    """W4 as one row per (user, label day): the last order times in ascending
+    order and the ordered routes.  Its size is bounded by the routes one user
+    orders in a day.
+
+    The user is passed through a computed key, so that a join shuffles this
+    small side on its own: with a shuffle right below both sides adaptive
+    execution can split a user with very many searches."""
     return (label_orders.groupBy(USER, ANCHOR)
-            .agg(F.expr("collect_list(struct(create_time_max, order_route)) AS order_set")))
+            .agg(F.expr("sort_array(collect_list(create_time_max)) AS order_times"),
+                 F.expr("collect_set(order_route) AS order_routes"))
+            .withColumn(USER, F.expr(f"concat({USER}, '')")))
 
 
 def pre_order_searches(tables: SourceTables, label_dates: list[str] | str,
@@ -84,25 +92,25 @@ def pre_order_searches(tables: SourceTables, label_dates: list[str] | str,
     anchors = _anchors(label_dates, windows)
     orders = label_orders_without_recent_buyers(tables, anchors, windows)
     log = anchored_search_log(tables, anchors, windows.searches)
-    # Size bound of the order sets (rows and array elements alike): the paid
-    # orders of the label days, counted in one scan stage.
-    bound = _label_day_paid(tables, anchors).count()
-    joined = sized_broadcast_join(log, order_sets(orders), on=USER_KEYS, small_rows=bound)
-    return (joined.selectExpr(
+    joined = log.join(order_sets(orders), on=USER_KEYS)
+    return (joined.where("log_time <= element_at(order_times, -1)")
+            .selectExpr(
                 "*",
-                "size(filter(order_set, o -> o.create_time_max >= log_time)) AS fanout",
-                # array_contains semantics: a null route never matches (null -> label 0)
-                f"coalesce(exists(order_set, o -> o.order_route = {ROUTE}), false) AS in_label")
-            .where("fanout > 0")
-            .drop("order_set"))
+                "size(filter(order_times, t -> t >= log_time)) AS fanout",
+                # a null route never matches (null -> label 0)
+                f"coalesce(array_contains(order_routes, {ROUTE}), false) AS in_label")
+            .drop("order_times", "order_routes"))
 
 
 def training_set(tables: SourceTables, label_dates: list[str] | str,
                  windows: DateWindows = TRAINING) -> DataFrame:
     """One labelled feature row per (user, route, label day)."""
-    anchors = _anchors(label_dates, windows)
-    pairs = pair_aggregates(pre_order_searches(tables, anchors, windows), weight="fanout")
-    feats = assemble(tables, pairs, anchors, windows)
-    out = feats.selectExpr(*feature_exprs(), "label", f"{ANCHOR} AS label_dt")
+    def group(anchors: list[str]) -> DataFrame:
+        pairs = pair_aggregates(pre_order_searches(tables, anchors, windows), weight="fanout")
+        buyers = label_orders_without_recent_buyers(tables, anchors, windows).select(USER).distinct()
+        feats = assemble(tables, pairs, anchors, windows, buyers)
+        return feats.selectExpr(*feature_exprs(), "label", f"{ANCHOR} AS label_dt")
+
+    out = reduce(DataFrame.unionByName, [group(a) for a in windows.anchor_groups(label_dates)])
     assert out.columns == TRAINING_COLUMNS
     return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (PROCESS_LIST, PROCESS_OTA, TAG_STUDENT, TAG_TRADER,
                                  route_sql, valid_user_sql)
 from ..sources.tables import SourceTables
-from ..windows import Offsets, shift, shift_sql
+from ..windows import Offsets, parse, shift, shift_sql
 
 ANCHOR = "anchor_dt"
 USER = "username"
@@ -84,7 +84,8 @@ def order_history_routes(tables: SourceTables, lo: str, hi: str) -> DataFrame:
     return paid_orders(tables, lo, hi).select(USER, "order_route").distinct()
 
 
-def history_summary(tables: SourceTables, anchors: list[str], window: Offsets) -> DataFrame:
+def history_summary(tables: SourceTables, anchors: list[str], window: Offsets,
+                    users: DataFrame | None = None) -> DataFrame:
     """Per (user, route): what the history flag of every anchor needs.
 
     The flag of anchor A is "a paid order of (user, route) on a day in
@@ -95,13 +96,21 @@ def history_summary(tables: SourceTables, anchors: list[str], window: Offsets) -
     history is scanned and shuffled once, partially aggregated map-side.
     Days are aggregated as yyyyMMdd integers so that the aggregate is a hash
     aggregate (min/max over strings would fall back to a sort aggregate).
+
+    ``users``: the distinct users whose flags are wanted.  Two years of orders
+    of everyone are then cut to theirs before the aggregate, by a left-semi
+    join: a broadcast if they are few, else one shuffle by user, which the
+    aggregate and the later join with the pairs both reuse.
     """
     lo, hi = window.span(anchors)
+    if (parse(max(anchors)) - parse(min(anchors))).days > window.back - window.near:
+        raise ValueError("anchors must lie within one history window (see DateWindows.anchor_groups)")
     pivot = int(shift(min(anchors), -window.near))
     day = "try_cast(dt AS INT)"
-    return (paid_orders(tables, lo, hi)
-            .where("order_route IS NOT NULL")
-            .groupBy(USER, "order_route")
+    orders = paid_orders(tables, lo, hi).where("order_route IS NOT NULL").select(USER, "order_route", "dt")
+    if users is not None:
+        orders = orders.join(users, on=USER, how="left_semi")
+    return (orders.groupBy(USER, "order_route")
             .agg(F.expr(f"max(CASE WHEN {day} <= {pivot} THEN {day} END) AS last_on_or_before_pivot"),
                  F.expr(f"min(CASE WHEN {day} > {pivot} THEN {day} END) AS first_after_pivot")))
 
@@ -114,10 +123,11 @@ def history_flag(anchor: str, window: Offsets) -> Column:
                   "THEN 1 ELSE 0 END")
 
 
-def user_tag_flags(tables: SourceTables) -> DataFrame:
-    """S4 + F4 + A9: tall tags -> one row per key with two 0/1 flags."""
-    return (tables.user_tags()
-            .where(f"tag IN ('{TAG_TRADER}', '{TAG_STUDENT}')")
-            .groupBy("key")
+def user_tag_flags(tables: SourceTables, users: DataFrame | None = None) -> DataFrame:
+    """S4 + F4 + A9: tall tags -> one row per key with two 0/1 flags (of ``users`` only, if given)."""
+    tags = tables.user_tags().where(f"tag IN ('{TAG_TRADER}', '{TAG_STUDENT}')")
+    if users is not None:
+        tags = tags.join(users.withColumnRenamed(USER, "key"), on="key", how="left_semi")
+    return (tags.groupBy("key")
             .agg(F.expr(f"max(CASE WHEN tag = '{TAG_TRADER}' THEN 1 ELSE 0 END) AS is_trader"),
                  F.expr(f"max(CASE WHEN tag = '{TAG_STUDENT}' THEN 1 ELSE 0 END) AS is_student")))

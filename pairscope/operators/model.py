@@ -12,7 +12,9 @@ Parameter mapping (fixed values of the reference's configuration):
   seed 123               -> seed=123
   2000 rounds, 1500 used -> maxIter=1500 (the first k trees of a longer run
                             equal a k-tree run with the same seed)
-  L1/L2 leaf penalties, max_delta_step, gamma: no equivalent (documented gap)
+  gamma 0.03             -> minInfoGain = gamma / training rows (gamma bounds the
+                            loss reduction summed over rows, minInfoGain the mean)
+  L1/L2 leaf penalties, max_delta_step: no equivalent (documented gap)
 
 Spark's probability is sigmoid(2·margin), so scores rank alike but are not
 numerically comparable with the reference's.
@@ -22,8 +24,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 
+from pyspark import SparkContext
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -31,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import MODEL_INPUTS
 from ..session import shared_dir
+from .metrics import auc_score
 
 FILL_VALUE = 0  # scoring-time imputation of the reference
 
@@ -43,6 +47,7 @@ class BoosterParams:
     feature_subset: str = "0.9"
     min_instances_per_node: int = 1
     max_iter: int = 1500
+    gamma: float = 0.03
     seed: int = 123
     max_bins: int = 32
     checkpoint_interval: int = 10
@@ -62,13 +67,14 @@ def feature_matrix(df: DataFrame, value: float = FILL_VALUE) -> DataFrame:
     return impute(df, value).select(*cols)
 
 
-def build_pipeline(params: BoosterParams = BoosterParams()) -> Pipeline:
-    """M5 + M6: vector assembly and the booster."""
+def build_pipeline(params: BoosterParams = BoosterParams(), rows: int = 1) -> Pipeline:
+    """M5 + M6: vector assembly and the booster, for a training set of ``rows``."""
     assembler = VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features", handleInvalid="keep")
     gbt = GBTClassifier(featuresCol="features", labelCol="label", maxDepth=params.max_depth,
                         stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
                         featureSubsetStrategy=params.feature_subset,
                         minInstancesPerNode=params.min_instances_per_node, maxIter=params.max_iter,
+                        minInfoGain=params.gamma / max(rows, 1),
                         maxBins=params.max_bins, seed=params.seed,
                         checkpointInterval=params.checkpoint_interval, cacheNodeIds=True)
     return Pipeline(stages=[assembler, gbt])
@@ -83,15 +89,42 @@ def train(df: DataFrame, params: BoosterParams = BoosterParams(), split_col: str
     data = impute(df, value).withColumn("label", F.col("label").cast("double"))
     if split_col and split_col in df.columns:
         data = data.where(F.col(split_col) == F.lit("train"))
-    return build_pipeline(params).fit(data)
+    return build_pipeline(params, data.count()).fit(data)
 
 
-def watch_auc(model: PipelineModel, df: DataFrame, split_col: str = "split") -> float:
+def first_trees(model: PipelineModel, k: int) -> PipelineModel:
+    """M7: the model of the first ``k`` trees (the reference scores with 1,500 of 2,000)."""
+    gbt = model.stages[-1]
+    if not 0 < k <= gbt.getNumTrees:
+        raise ValueError(f"the model has {gbt.getNumTrees} trees")
+    gateway, old = SparkContext._active_spark_context._gateway, gbt._java_obj
+    jvm = gateway.jvm
+    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
+    weights = gateway.new_array(jvm.double, k)
+    for i, (tree, weight) in enumerate(zip(list(old.trees())[:k], list(old.treeWeights())[:k])):
+        trees[i], weights[i] = tree, weight
+    short = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(gbt.uid, trees, weights))
+    short.setFeaturesCol(gbt.getFeaturesCol())
+    return PipelineModel(stages=[*model.stages[:-1], short])
+
+
+def auc(model: PipelineModel, df: DataFrame, value: float = FILL_VALUE) -> float | None:
+    """Score AUC of the model on labelled rows; None if one class is absent."""
+    return auc_score(score(model, df, value).select("label", F.col("q_ratio").alias("score"))).first()["auc"]
+
+
+def watch_auc(model: PipelineModel, df: DataFrame, split_col: str = "split") -> float | None:
     """Score AUC on the watch rows (split='test')."""
-    from .metrics import auc_score
-    watch = df.where(F.col(split_col) == F.lit("test")) if split_col in df.columns else df
-    scored = score(model, watch).select("label", F.col("q_ratio").alias("score"))
-    return auc_score(scored).first()["auc"]
+    return auc(model, df.where(F.col(split_col) == F.lit("test")) if split_col in df.columns else df)
+
+
+def auc_by_round(model: PipelineModel, df: DataFrame, every: int = 100, split_col: str = "split",
+                 value: float = FILL_VALUE) -> list[tuple[int, float | None, float | None]]:
+    """(trees, train AUC, watch AUC) after every ``every`` trees, as the reference prints while it trains."""
+    total = model.stages[-1].getNumTrees
+    parts = [df.where(F.col(split_col) == F.lit(s)) for s in ("train", "test")]
+    return [(k, *[auc(first_trees(model, k), part, value) for part in parts])
+            for k in sorted({*range(every, total + 1, every), total})]
 
 
 def watch_losses(model: PipelineModel, df: DataFrame, every: int = 100, split_col: str = "split",
@@ -104,9 +137,9 @@ def watch_losses(model: PipelineModel, df: DataFrame, every: int = 100, split_co
     return [(i + 1, float(v)) for i, v in enumerate(losses) if (i + 1) % every == 0 or i + 1 == len(losses)]
 
 
-def score(model: PipelineModel, df: DataFrame, value: float = FILL_VALUE) -> DataFrame:
-    """M8: probability of the positive class as ``q_ratio`` next to the ids."""
-    scored = model.transform(impute(df, value))
+def score(model: PipelineModel, df: DataFrame, value: float = FILL_VALUE, trees: int | None = None) -> DataFrame:
+    """M8: probability of the positive class as ``q_ratio`` next to the ids, by the first ``trees`` trees or all."""
+    scored = (model if trees is None else first_trees(model, trees)).transform(impute(df, value))
     return scored.withColumn("q_ratio", vector_to_array("probability")[1]).drop(
         "features", "rawPrediction", "probability", "prediction")
 

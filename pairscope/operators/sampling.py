@@ -1,114 +1,118 @@
 """Seeded, reproducible sampling and splitting of the training set.
 
-Every random choice is a function of the row key and a seed:
-``h = md5(user | route | label_dt | seed)`` (hex).  Samples are "the n rows
-with the smallest h", splits are "h below a cut".  Results therefore do not
-depend on partitioning, task retries or executor loss, unlike ``rand()`` or
-``randomSplit``.
-
-Exact-n without a global sort: the class size N is counted, and only rows
-whose 15-hex-digit prefix of h falls below a cut sized for about 1.5·n of the
-N rows are kept (a pushed-down filter, no shuffle).  Those candidates always
-contain the n smallest hashes; if the cut was too tight (fewer than n
-candidates) it is doubled.  Only the candidates (about 1.5·n rows) reach the
-final ordered top-n, never a whole class.
+Every random choice is a function of the row key, a purpose and a seed:
+``h = md5(user | route | label_dt | purpose:seed)`` (hex).  The purpose keeps
+draws independent of each other even where their seeds are equal: the rows a
+sample drew are spread evenly over a later split.  Results do not depend on
+partitioning, task retries or executor loss, unlike ``rand()``.
+
+A sample of n rows is "h at or below the n-th smallest h", and that threshold
+is found exactly by counting rows per hash prefix (at most 16^4 counts at a
+time) and listing only the one prefix in which it lies.  The sample and its
+complement are then two filters: nothing is sorted, ranked or joined.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions.columns import hash_key
 
 # Row key of a training row (unique: one row per user, route and label day).
 KEY = ["username", "search_route", "label_dt"]
-HEX_DIGITS = 15  # 60-bit resolution: the first cut is right even for n << N
-_SPACE = 16 ** HEX_DIGITS
+PREFIX = 4            # hex digits counted at a time: at most 65,536 counts
+LISTED = 10_000       # rows of one prefix that are listed instead of counted again
 
 # The reference's seeds for the positive sample, the negative
 # sample, the train/test split and the holdout sample.
 SEED_POS, SEED_NEG, SEED_SPLIT, SEED_HOLDOUT = 1, 43, 43, 90
 
 
-def hash_col(seed: int, key: list[str] = KEY) -> Column:
-    return hash_key(*key, seed=seed)
-
-
-def hex_cut(fraction: float) -> str:
-    """Hex prefix p such that ``prefix(h) < p`` holds for ``fraction`` of hashes."""
-    v = min(max(int(round(fraction * _SPACE)), 1 if fraction > 0 else 0), _SPACE)
-    return "g" * HEX_DIGITS if v >= _SPACE else format(v, f"0{HEX_DIGITS}x")
-
-
-def below(h: Column, fraction: float) -> Column:
-    return F.substring(h, 1, HEX_DIGITS) < F.lit(hex_cut(fraction))
-
+def hash_col(purpose: str, seed: int, key: list[str] = KEY) -> Column:
+    return hash_key(*key, seed=f"{purpose}:{seed}")
 
-def smallest_by_hash(df: DataFrame, n: int, seed: int, key: list[str] = KEY,
-                     total: int | None = None) -> DataFrame:
-    """The ``n`` rows of ``df`` with the smallest key hash (all rows if fewer).
 
-    ``df`` is evaluated more than once (counts, then the rows): pass a
-    checkpointed or cheap frame.  Output has the extra column ``_h``.
-    """
-    withh = df.withColumn("_h", hash_col(seed, key))
-    total = df.count() if total is None else total
-    if total <= n:
-        return withh
-    fraction = min(1.0, 1.5 * n / total + 64.0 / total)
+def nth_smallest(df: DataFrame, h: Column, n: int) -> str | None:
+    """The ``n``-th smallest value of the hash ``h``; None if ``df`` has fewer rows, '' for n = 0."""
+    if n <= 0:
+        return ""
+    rows, prefix, rank = df.select(h.alias("h")), "", n
     while True:
-        cand = withh.where(below(F.col("_h"), fraction))
-        if fraction >= 1.0 or cand.count() >= n:
-            break
-        fraction = min(1.0, fraction * 2)
-    return cand.orderBy("_h", *key).limit(n)
+        inside = rows.where(F.col("h").startswith(prefix)) if prefix else rows
+        counts = (inside.groupBy(F.substring("h", len(prefix) + 1, PREFIX).alias("p"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect())
+        for r in sorted(counts, key=lambda r: r.p):
+            if rank <= r.n:
+                break
+            rank -= r.n
+        else:
+            return None
+        prefix += r.p
+        if len(prefix) == 32:                       # one hash value, repeated
+            return prefix
+        if r.n <= LISTED:
+            return sorted(x.h for x in rows.where(F.col("h").startswith(prefix)).collect())[rank - 1]
+
+
+def _cut(df: DataFrame, h: Column, n: int, what: str) -> str:
+    cut = nth_smallest(df, h, n)
+    if cut is None:
+        raise ValueError(f"{what}: fewer than {n} rows to draw from")
+    return cut
+
+
+def sample_condition(df: DataFrame, n: int, seed_pos: int = SEED_POS, seed_neg: int = SEED_NEG,
+                     label: str = "label", key: list[str] = KEY) -> Column:
+    """Whether a row of ``df`` is drawn: n positives and n negatives, each seeded.
+
+    ``df`` is read a few times (key and label only): pass a stored frame.
+    A class with fewer than ``n`` rows is an error, as in the reference."""
+    drawn = F.lit(False)
+    for value, purpose, seed in ((1, "sample-pos", seed_pos), (0, "sample-neg", seed_neg)):
+        h, of_class = hash_col(purpose, seed, key), F.col(label) == value
+        drawn = drawn | (of_class & (h <= _cut(df.where(of_class), h, n, f"label {value}")))
+    return F.coalesce(drawn, F.lit(False))
 
 
 def balanced_sample(df: DataFrame, n: int, seed_pos: int = SEED_POS, seed_neg: int = SEED_NEG,
                     label: str = "label", key: list[str] = KEY) -> DataFrame:
-    """M1 + F7 + U2: n positives and n negatives, each seeded, appended."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    pos = smallest_by_hash(df.where(F.col(label) == 1), n, seed_pos, key, counts.get(1, 0))
-    neg = smallest_by_hash(df.where(F.col(label) == 0), n, seed_neg, key, counts.get(0, 0))
-    return pos.unionByName(neg).drop("_h")
+    """M1 + F7 + U2: n positives and n negatives."""
+    return df.where(sample_condition(df, n, seed_pos, seed_neg, label, key))
+
+
+def holdout_complement(df: DataFrame, drawn: Column) -> DataFrame:
+    """The rows that ``drawn`` (see ``sample_condition``) leaves out: the evaluation set."""
+    return df.where(~drawn)
 
 
 def balanced_slices(df: DataFrame, size: int, pred_size: int, seed: int = 0,
                     label: str = "label", key: list[str] = KEY) -> DataFrame:
     """M2: per class, ranks 1..size -> 'train', size+1..size+pred_size -> 'predict'.
 
-    One seed for both classes (the reference shuffles once, then slices)."""
-    counts = {r[0]: r[1] for r in df.groupBy(label).count().collect()}
-    parts = [smallest_by_hash(df.where(F.col(label) == c), size + pred_size, seed, key, counts.get(c, 0))
-             for c in (1, 0)]
-    both = parts[0].unionByName(parts[1])
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", *key))
-    return (both.withColumn("_rank", rank)
-                .withColumn("slice", F.when(F.col("_rank") <= size, F.lit("train")).otherwise(F.lit("predict")))
-                .drop("_h", "_rank"))
-
-
-def null_safe_anti(df: DataFrame, other: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``other``; a null route matches a null route."""
-    o = other.select(*[F.col(c).alias(f"_o_{c}") for c in key])
-    cond = [df[c].eqNullSafe(o[f"_o_{c}"]) for c in key]
-    return df.join(o, on=cond, how="left_anti")
-
-
-def holdout_complement(df: DataFrame, sample: DataFrame, key: list[str] = KEY) -> DataFrame:
-    """The rows not drawn into the sample (the evaluation set)."""
-    return null_safe_anti(df, sample, key)
+    One seed for both classes (the reference shuffles once, then slices); a
+    class may be too small for its slices, which are then short."""
+    h, end = hash_col("slices", seed, key), "g"       # 'g' lies above every hex digit
+    name = F.lit(None).cast("string")
+    for value in (1, 0):
+        of_class = F.col(label) == value
+        first, last = (nth_smallest(df.where(of_class), h, n) for n in (size, size + pred_size))
+        name = (F.when(of_class & (h <= (end if first is None else first)), F.lit("train"))
+                .when(of_class & (h <= (end if last is None else last)), F.lit("predict")).otherwise(name))
+    return df.withColumn("slice", name).where("slice IS NOT NULL")
 
 
 def hash_sample(df: DataFrame, n: int, seed: int = SEED_HOLDOUT, key: list[str] = KEY) -> DataFrame:
-    """M3: n rows, seeded (the reference samples 100,000 holdout rows)."""
-    return smallest_by_hash(df, n, seed, key).drop("_h")
+    """M3: n rows, seeded (the reference samples 100,000 holdout rows); fewer than n are an error."""
+    h = hash_col("holdout", seed, key)
+    return df.where(h <= _cut(df, h, n, "holdout sample"))
 
 
 def train_test_split(df: DataFrame, test_size: float, seed: int = SEED_SPLIT,
                      key: list[str] = KEY) -> DataFrame:
-    """M4: ``split`` = 'train' for a (1 - test_size) hash share, else 'test'."""
-    h = hash_col(seed, key)
-    return df.withColumn("split", F.when(below(h, 1.0 - test_size), F.lit("train")).otherwise(F.lit("test")))
+    """M4: ``split`` = 'test' for exactly ceil(test_size * rows) rows, else 'train'."""
+    h, rows = hash_col("split", seed, key), df.count()
+    n_train = rows - math.ceil(test_size * rows)
+    return df.withColumn("split", F.when(h <= nth_smallest(df, h, n_train), F.lit("train")).otherwise(F.lit("test")))

@@ -53,7 +53,8 @@ def cmd_features(spark, a):
 
 def cmd_training_set(spark, a):
     rows = training_set(_tables(spark, a), _dates(a.label_date, a.label_date_to))
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # Rows of a day meet before the write (a large day is split), else every task would write a file per day.
+    (rows.hint("rebalance", "label_dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("label_dt").parquet(a.out))
 
 
@@ -61,10 +62,10 @@ def cmd_train(spark, a):
     data = spark.read.parquet(a.training)
     split = pipelines.build_training_split(data, a.n_sample, a.test_size, a.fill_value)
     fitted = model.train(split.sample, model.BoosterParams().with_iterations(a.iterations), value=a.fill_value)
-    print(json.dumps({"watch_auc": model.watch_auc(fitted, split.sample),
-                      "watch_logloss": model.watch_losses(fitted, split.sample)}))
+    print(json.dumps({"auc_by_round": model.auc_by_round(fitted, split.sample, a.report_every, value=a.fill_value),
+                      "watch_logloss": model.watch_losses(fitted, split.sample, a.report_every, value=a.fill_value)}))
     holdout = split.holdout
-    if a.holdout_rows:
+    if a.holdout_rows:  # only when asked for: the default evaluates every row
         holdout = sampling.hash_sample(holdout, a.holdout_rows)
     scored = model.score(fitted, holdout, a.fill_value).withColumnRenamed("q_ratio", "score")
     for name, table in pipelines.evaluate(scored, threshold=a.threshold).items():
@@ -77,6 +78,8 @@ def cmd_score(spark, a):
     feats = PartitionedTable(spark, a.features_table, FEATURES)
     result = PartitionedTable(spark, a.result_table, SCORES)
     fitted = model.load(a.model) if a.model else None
+    if fitted and a.trees:
+        fitted = model.first_trees(fitted, a.trees)
     _show(pipelines.score_and_publish(feats.read(a.dt), result, a.dt, fitted))
 
 
@@ -117,7 +120,8 @@ def main(argv=None):
     sp.add_argument("--iterations", type=int, default=1500)
     sp.add_argument("--fill-value", type=float, default=model.FILL_VALUE)
     sp.add_argument("--threshold", type=float, default=0.5)
-    sp.add_argument("--holdout-rows", type=int, default=100_000)
+    sp.add_argument("--holdout-rows", type=int, default=None, help="evaluate a seeded sample of this size only")
+    sp.add_argument("--report-every", type=int, default=100, help="trees between two reported metrics")
     sp.set_defaults(fn=cmd_train)
 
     sp = sub.add_parser("score")
@@ -125,6 +129,7 @@ def main(argv=None):
     sp.add_argument("--result-table", required=True)
     sp.add_argument("--dt", required=True)
     sp.add_argument("--model", help="saved pipeline; without it a model-free heuristic score is used")
+    sp.add_argument("--trees", type=int, help="score with the first trees of the model only")
     sp.set_defaults(fn=cmd_score)
 
     sp = sub.add_parser("extract")

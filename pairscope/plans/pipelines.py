@@ -8,9 +8,10 @@ C5 ``score_and_publish``     feature partition -> impute -> score -> result part
 C6 ``extract_partition``     feature partition -> TSV with header
 
 Frames used more than once (the training set feeds the sample, its
-complement and several counts) are checkpointed to the cluster's shared
-checkpoint folder once, which also cuts their lineage, instead of being
-recomputed from the logs.
+complement and several counts; the sample feeds the fit and the watch metrics)
+are written once as Parquet to the cluster's shared checkpoint folder, which
+also cuts their lineage, instead of being recomputed from the logs; readers
+then scan just the columns they need.
 """
 
 from __future__ import annotations
@@ -23,15 +24,16 @@ from pyspark.sql import functions as F
 
 from ..operators import metrics, model, sampling
 from ..schemas import SCORES
-from ..session import shared_dir
+from ..session import scratch_path
 from ..sources.delimited import write_tsv
 from ..sources.partitioned import PartitionedTable
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder (survives executor loss)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` as a Parquet table in the shared folder (survives executor loss)."""
+    path = scratch_path(df.sparkSession, "frame")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def heuristic_score(df: DataFrame) -> Column:
@@ -49,14 +51,12 @@ class TrainingSplit:
 
 
 def build_training_split(training: DataFrame, n_sample: int, test_size: float = 0.5,
-                         fill_value: float = model.FILL_VALUE, checkpoint: bool = True) -> TrainingSplit:
+                         fill_value: float = model.FILL_VALUE) -> TrainingSplit:
     """P10 -> M1 (+F7, U2) -> J6 -> M4."""
-    data = model.impute(training, fill_value)
-    if checkpoint:
-        data = materialize(data)
-    sample = sampling.balanced_sample(data, n_sample)
-    holdout = sampling.holdout_complement(data, sample)
-    return TrainingSplit(sample=sampling.train_test_split(sample, test_size), holdout=holdout)
+    data = materialize(model.impute(training, fill_value))
+    drawn = sampling.sample_condition(data, n_sample)
+    sample = materialize(sampling.train_test_split(data.where(drawn), test_size))
+    return TrainingSplit(sample=sample, holdout=sampling.holdout_complement(data, drawn))
 
 
 def split_table(split: TrainingSplit) -> DataFrame:

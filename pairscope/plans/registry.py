@@ -1,10 +1,10 @@
 """Every operator as a named query ``(spark, sf_dir) -> DataFrame``.
 
-The test data's tables are read through ``EventTables``; the date parameters
-cover the whole 30 days of data: serving for every run date whose search
-window touches it (a daily backfill), training pooled over every label day
-with a full two-day search window before it.  Queries that publish write to a
-fresh database under the shared checkpoint folder on each call.
+The test data's tables are read through ``EventTables``; the dates come from
+the data: serving for every run date whose search window touches it (a daily
+backfill), training pooled over every label day with a full two-day search
+window before it.  Queries that publish write to a fresh database under the
+shared checkpoint folder on each call, dropped when the driver process ends.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..functions.columns import valid_user
 from ..operators import features as feat
 from ..operators import labels, logs, metrics, model, sampling
 from ..schemas import FEATURES, SCORES
-from ..session import scratch_path
+from ..session import drop_at_exit, scratch_path
 from ..sources.delimited import read_scores_csv, read_tsv, write_scores_csv
 from ..sources.events import EventTables
 from ..sources.partitioned import PartitionedTable, create_database
@@ -27,16 +27,18 @@ from ..windows import SERVING, TRAINING, date_range, shift, window_bounds
 from . import pipelines
 
 # Parameters of the registered queries.
-RUN_DATE = "20240130"                           # serving: searches of 28th-29th, dt=20240129
-RUN_DATES = date_range("20240102", "20240131")  # serving backfill over the whole month
+RUN_DATE = "20240130"   # the single-day queries: searches of 28th-29th, dt=20240129
 LABEL_DATE = "20240120"
-LABEL_DATES = date_range("20240103", "20240130")
-N_SAMPLE = 50           # per class
+N_SAMPLE = 50           # per class: the bound of the labelled rows that the classifier is fitted on
 SLICE_SIZE, SLICE_PRED_SIZE = 40, 10
 HOLDOUT_N = 200
 TEST_SIZE = 0.5
 PUBLISH_DT = shift(RUN_DATE, SERVING.output_offset)
+# Boosting rounds of the registered model queries; the jobs of plans/cli.py
+# train 1,500.  The work on the data (features, split, scoring and evaluation
+# of every row) does not depend on it.
 GBT_ITERATIONS = 10
+GBT_FIRST_TREES = 4
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = sampling.KEY
@@ -46,6 +48,18 @@ def _t(spark: SparkSession, sf: str) -> EventTables:
     return EventTables(spark, sf)
 
 
+def _run_dates(t: EventTables) -> list[str]:
+    """Run dates whose search window (R-2 .. R-1) holds a day of data."""
+    first, last = t.days
+    return date_range(shift(first, SERVING.searches.near), shift(last, SERVING.searches.back))
+
+
+def _label_dates(t: EventTables) -> list[str]:
+    """Label days of the data with all days of their search window in it."""
+    first, last = t.days
+    return date_range(shift(first, TRAINING.searches.back), last)
+
+
 # ---------------------------------------------------------------- sources
 def unified_search_log(spark, sf):
     return logs.unified_search_log(_t(spark, sf), None, None)
@@ -66,7 +80,8 @@ def paid_orders_window(spark, sf):
 
 
 def recent_buyers(spark, sf):
-    return (logs.recent_buyers(_t(spark, sf), LABEL_DATES, TRAINING.recent_buyers)
+    t = _t(spark, sf)
+    return (logs.recent_buyers(t, _label_dates(t), TRAINING.recent_buyers)
                 .withColumnRenamed(logs.ANCHOR, "label_dt"))
 
 
@@ -90,16 +105,27 @@ def date_window_bounds(spark, sf):
 
 # ---------------------------------------------------------------- serving parts
 def _serving_pairs(spark, sf):
-    return feat.pair_aggregates(feat.serving_log(_t(spark, sf), RUN_DATES))
+    t = _t(spark, sf)
+    return feat.pair_aggregates(feat.serving_log(t, _run_dates(t)))
 
 
 def exclude_recent_buyers_log(spark, sf):
     t = _t(spark, sf)
-    log = feat.serving_log(t, RUN_DATES)
-    kept = feat.exclude_recent_buyers(log, logs.recent_buyers(t, RUN_DATES, SERVING.recent_buyers))
+    runs = _run_dates(t)
+    kept = feat.exclude_recent_buyers(feat.serving_log(t, runs), logs.recent_buyers(t, runs, SERVING.recent_buyers))
     return kept.withColumnRenamed(logs.ANCHOR, "run_dt")
 
 
+def exclude_recent_buyers_pairs(spark, sf):
+    """J3 as serving runs it: on aggregated pairs."""
+    t = _t(spark, sf)
+    runs = _run_dates(t)
+    pairs = feat.pair_aggregates(feat.serving_log(t, runs))
+    kept = feat.exclude_recent_buyers(pairs, logs.recent_buyers(t, runs, SERVING.recent_buyers))
+    return kept.select(logs.USER, F.col(logs.ANCHOR).alias("run_dt"), logs.ROUTE, "search_route_single_cnt",
+                       "ota_route_single_cnt")
+
+
 def pair_counts(spark, sf):
     return _serving_pairs(spark, sf).select(
         logs.USER, F.col(logs.ANCHOR).alias("run_dt"), logs.ROUTE,
@@ -132,7 +158,7 @@ def user_route_cnt(spark, sf):
 
 
 def _serving(spark, sf, cols):
-    return feat.serving_features(_t(spark, sf), RUN_DATES).select(logs.USER, logs.ROUTE, "dt", *cols)
+    return serving_features(spark, sf).select(logs.USER, logs.ROUTE, "dt", *cols)
 
 
 def pair_rates(spark, sf):
@@ -152,7 +178,8 @@ def attach_user_tags(spark, sf):
 
 
 def serving_features(spark, sf):
-    return feat.serving_features(_t(spark, sf), RUN_DATES)
+    t = _t(spark, sf)
+    return feat.serving_features(t, _run_dates(t))
 
 
 def serving_features_day(spark, sf):
@@ -160,22 +187,25 @@ def serving_features_day(spark, sf):
 
 
 def impute_constant(spark, sf):
-    return model.impute(feat.serving_features(_t(spark, sf), RUN_DATES))
+    return model.impute(serving_features(spark, sf))
 
 
 # ---------------------------------------------------------------- training parts
 def label_day_orders(spark, sf):
-    return (labels.with_route_set_size(labels.label_day_orders(_t(spark, sf), LABEL_DATES))
+    t = _t(spark, sf)
+    return (labels.with_route_set_size(labels.label_day_orders(t, _label_dates(t)))
                   .withColumnRenamed(logs.ANCHOR, "label_dt"))
 
 
 def exclude_recent_buyers_orders(spark, sf):
-    return (labels.label_orders_without_recent_buyers(_t(spark, sf), LABEL_DATES)
+    t = _t(spark, sf)
+    return (labels.label_orders_without_recent_buyers(t, _label_dates(t))
                   .withColumnRenamed(logs.ANCHOR, "label_dt"))
 
 
 def pre_order_searches(spark, sf):
-    rows = labels.pre_order_searches(_t(spark, sf), LABEL_DATES)
+    t = _t(spark, sf)
+    rows = labels.pre_order_searches(t, _label_dates(t))
     return (rows.groupBy(logs.USER, F.col(logs.ANCHOR).alias("label_dt"), "log_time", logs.ROUTE,
                          "dep_city", "arr_city", "pre_days", "process")
                 .agg(F.sum("fanout").cast("int").alias("fanout"),
@@ -183,7 +213,8 @@ def pre_order_searches(spark, sf):
 
 
 def _training(spark, sf):
-    return labels.training_set(_t(spark, sf), LABEL_DATES)
+    t = _t(spark, sf)
+    return labels.training_set(t, _label_dates(t))
 
 
 def pair_label(spark, sf):
@@ -203,21 +234,21 @@ def feature_matrix(spark, sf):
 
 
 # ---------------------------------------------------------------- sampling
-def _imputed_training(spark, sf):
-    return pipelines.materialize(model.impute(_training(spark, sf)))
+def _labelled_keys(spark, sf):
+    return pair_label(spark, sf)
 
 
 def balanced_sample(spark, sf):
-    return sampling.balanced_sample(_imputed_training(spark, sf), N_SAMPLE).select(*KEY, "label")
+    return sampling.balanced_sample(pipelines.materialize(_labelled_keys(spark, sf)), N_SAMPLE)
 
 
 def balanced_slices(spark, sf):
-    return sampling.balanced_slices(_imputed_training(spark, sf), SLICE_SIZE, SLICE_PRED_SIZE).select(
-        *KEY, "label", "slice")
+    return sampling.balanced_slices(pipelines.materialize(_labelled_keys(spark, sf)), SLICE_SIZE, SLICE_PRED_SIZE)
 
 
 def _split(spark, sf):
-    return pipelines.build_training_split(_training(spark, sf), N_SAMPLE, TEST_SIZE)
+    """Sample, split and holdout of the keys (all that these queries return)."""
+    return pipelines.build_training_split(_labelled_keys(spark, sf), N_SAMPLE, TEST_SIZE)
 
 
 def holdout_complement(spark, sf):
@@ -289,12 +320,12 @@ def auc_score(spark, sf):
 # ---------------------------------------------------------------- publishing
 def _database(spark) -> str:
     name = f"pairscope_{uuid.uuid4().hex[:12]}"
-    return create_database(spark, name, scratch_path(spark, name))
+    return drop_at_exit(spark, create_database(spark, name, scratch_path(spark, name)))
 
 
 def _published_features(spark, sf) -> PartitionedTable:
     table = PartitionedTable(spark, f"{_database(spark)}.route_features", FEATURES).create()
-    return table.overwrite_partitions(feat.serving_features(_t(spark, sf), RUN_DATES))
+    return table.overwrite_partitions(serving_features(spark, sf))
 
 
 def publish_features(spark, sf):
@@ -312,6 +343,23 @@ def drop_partition(spark, sf):
     return _published_features(spark, sf).drop_partition(PUBLISH_DT).read()
 
 
+def overwrite_partition_empty(spark, sf):
+    """K4 with an empty frame: that partition is emptied, its neighbours stay."""
+    table = _published_features(spark, sf)
+    return table.overwrite_partition(spark.createDataFrame([], FEATURES), PUBLISH_DT).partition_counts(1000)
+
+
+def drop_table(spark, sf):
+    """K7: the tables of a database after one of two is dropped, with the rows of the one that stays."""
+    kept = _published_features(spark, sf)
+    db = kept.name.split(".")[0]
+    gone = PartitionedTable(spark, f"{db}.route_scores", SCORES).create()
+    gone.overwrite_partition(pipelines.score_features(kept.read(PUBLISH_DT)), PUBLISH_DT)
+    gone.drop()
+    names = [t.name for t in spark.catalog.listTables(db)]
+    return kept.read().groupBy(F.lit(",".join(sorted(names))).alias("tables")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def partition_counts_latest(spark, sf):
     return _published_features(spark, sf).partition_counts(5)
 
@@ -340,21 +388,71 @@ def peek_results(spark, sf):
     return _published_scores(spark, sf).read().limit(5)
 
 
+def peek_counts(spark, sf):
+    """O2: how many rows a LIMIT 5 peek shows, and how many of them the table holds."""
+    rows = _published_scores(spark, sf).read()
+    keys = ["username", "search_route", "dt"]
+    held = rows.select(*[F.col(k).alias(f"t_{k}") for k in keys], F.lit(1).alias("held")).distinct()
+    shown = pipelines.materialize(rows.limit(5).select(*keys))
+    found = shown.join(held, F.expr(" AND ".join(f"{k} <=> t_{k}" for k in keys)), "left")
+    return found.agg(F.count(F.lit(1)).alias("n_shown"), F.count("held").alias("n_held"))
+
+
 # ---------------------------------------------------------------- model
-def gbt_train_score(spark, sf):
+def _fitted(spark, sf, rounds=GBT_ITERATIONS):
     split = pipelines.build_training_split(_training(spark, sf), N_SAMPLE, TEST_SIZE)
-    fitted = model.train(split.sample, model.BoosterParams().with_iterations(GBT_ITERATIONS))
+    return split, model.train(split.sample, model.BoosterParams().with_iterations(rounds))
+
+
+def gbt_train_score(spark, sf):
+    _, fitted = _fitted(spark, sf)
     return pipelines.score_features(feat.serving_features(_t(spark, sf), RUN_DATE), fitted)
 
 
+def gbt_score_ranges(spark, sf):
+    """M8: every pair is scored once, with a probability."""
+    return gbt_train_score(spark, sf).select("username", "search_route", "dt",
+                                             F.expr("coalesce(q_ratio BETWEEN 0 AND 1, false)").alias("is_probability"))
+
+
+def _same_scores(a, b):
+    keys = ["username", "search_route", "dt"]
+    other = b.select(*[F.col(k).alias(f"o_{k}") for k in keys], F.col("q_ratio").alias("o_ratio"))
+    return (a.join(other, F.expr(" AND ".join(f"{k} <=> o_{k}" for k in keys)), "left")
+            .select(*keys, F.expr("coalesce(abs(q_ratio - o_ratio) < 1e-12, false)").alias("same")))
+
+
+def gbt_first_trees(spark, sf):
+    """M7: the first trees of a longer model score like a model of that many rounds."""
+    split, fitted = _fitted(spark, sf)
+    short = model.train(split.sample, model.BoosterParams().with_iterations(GBT_FIRST_TREES))
+    rows = pipelines.materialize(feat.serving_features(_t(spark, sf), RUN_DATE))
+    return _same_scores(model.score(fitted, rows, trees=GBT_FIRST_TREES), model.score(short, rows))
+
+
+def model_roundtrip(spark, sf):
+    """M9: a saved and loaded model scores every pair like the one in memory."""
+    _, fitted = _fitted(spark, sf)
+    loaded = model.load(model.save(fitted, scratch_path(spark, "model")))
+    rows = pipelines.materialize(feat.serving_features(_t(spark, sf), RUN_DATE))
+    return _same_scores(model.score(fitted, rows), model.score(loaded, rows))
+
+
+def _evaluated(spark, sf):
+    split, fitted = _fitted(spark, sf)
+    scored = model.score(fitted, split.holdout).withColumnRenamed("q_ratio", "score")
+    return split, fitted, pipelines.evaluate(scored)["binary_metrics"]
+
+
 def gbt_evaluate(spark, sf):
-    """C3 -> M6 -> C4 with the model: metrics on a seeded holdout sample, plus watch-set AUC."""
-    split = pipelines.build_training_split(_training(spark, sf), N_SAMPLE, TEST_SIZE)
-    fitted = model.train(split.sample, model.BoosterParams().with_iterations(GBT_ITERATIONS))
-    watch = model.watch_auc(fitted, split.sample)
-    holdout = sampling.hash_sample(split.holdout, HOLDOUT_N)
-    scored = model.score(fitted, holdout).withColumnRenamed("q_ratio", "score")
-    return pipelines.evaluate(scored)["binary_metrics"].withColumn("watch_auc", F.lit(watch))
+    """C3 -> M6 -> C4 with the model: metrics on the whole holdout, plus watch-set AUC."""
+    split, fitted, metric = _evaluated(spark, sf)
+    return metric.withColumn("watch_auc", F.lit(model.watch_auc(fitted, split.sample)).cast("double"))
+
+
+def gbt_holdout_counts(spark, sf):
+    """Rows of each class that the model is evaluated on."""
+    return _evaluated(spark, sf)[2].select(F.expr("tp + fn").alias("n_pos"), F.expr("tn + fp").alias("n_neg"))
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in [
@@ -362,7 +460,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     serving_features, serving_features_day,
     unified_search_log, valid_user_filter, paid_orders_window, recent_buyers, order_history_routes,
     user_tag_flags, date_window_bounds,
-    exclude_recent_buyers_log, pair_counts, lead_days_stats, user_totals, user_city_counts,
+    exclude_recent_buyers_log, exclude_recent_buyers_pairs, pair_counts, lead_days_stats, user_totals, user_city_counts,
     user_route_cnt, pair_rates, lead_days_fallback, history_route_flag, attach_user_tags,
     impute_constant,
     label_day_orders, exclude_recent_buyers_orders, pre_order_searches, pair_label,
@@ -370,7 +468,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     balanced_sample, balanced_slices, holdout_complement, holdout_sample, train_test_split, split_counts,
     label_distribution, class_ratio, threshold_class, confusion_matrix, binary_metrics,
     classification_report, auc_hard_label, score_histogram, auc_score,
-    publish_features, feature_partition_extract, drop_partition, partition_counts_latest,
-    tsv_roundtrip, publish_scores, peek_results,
-    gbt_train_score, gbt_evaluate,
+    publish_features, feature_partition_extract, overwrite_partition_empty, drop_partition, drop_table,
+    partition_counts_latest, tsv_roundtrip, publish_scores, peek_results, peek_counts,
+    gbt_train_score, gbt_score_ranges, gbt_first_trees, model_roundtrip, gbt_evaluate, gbt_holdout_counts,
 ]}

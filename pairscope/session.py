@@ -9,6 +9,8 @@ missing (local tests).
 
 from __future__ import annotations
 
+import atexit
+import re
 import tempfile
 import uuid
 
@@ -70,8 +72,9 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs and tests only: a cluster always names a shared folder.
-        configured = tempfile.mkdtemp(prefix="pairscope-ckpt-")
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="pairscope-ckpt-")  # one process: tests, bench
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 
@@ -80,3 +83,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder (one per call)."""
     return f"{shared_dir(spark)}/pairscope/{name}-{uuid.uuid4().hex[:12]}"
 
+
+def drop_at_exit(spark: SparkSession, database: str) -> str:
+    """Drop a scratch database with its tables and files when the driver process ends."""
+    def drop() -> None:
+        if spark.sparkContext._jsc is not None:
+            spark.sql(f"DROP DATABASE IF EXISTS `{database}` CASCADE")
+
+    atexit.register(drop)
+    return database

@@ -64,6 +64,13 @@ class EventTables(SourceTables):
         """The events relation, resolved once (file listing and schema) per instance."""
         return self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
 
+    @cached_property
+    def days(self) -> tuple[str, str]:
+        """First and last day (yyyyMMdd) of the events."""
+        r = self._relation.selectExpr("date_format(min(ts), 'yyyyMMdd') AS lo",
+                                      "date_format(max(ts), 'yyyyMMdd') AS hi").first()
+        return r.lo, r.hi
+
     def _events(self, event_type: str, lo: str | None = None, hi: str | None = None) -> DataFrame:
         """Rows of one event type with dt in [lo, hi] (None: open bound)."""
         cond = [f"event_type = '{event_type}'"]

@@ -2,7 +2,8 @@
 
 K1  dynamic-partition overwrite: only the dt values present in the data are
     replaced; other partitions survive, so a re-run of a day is idempotent.
-K4  static-partition overwrite: the same with a literal dt column.
+K4  static-partition overwrite: ``INSERT OVERWRITE ... PARTITION (dt='...')``
+    replaces that partition whatever the data holds; an empty frame empties it.
 K5  create the partitioned table from a schema.
 K6  drop one partition (managed table: its files go too).
 K7  drop the table.
@@ -14,7 +15,7 @@ O4  rows are rebalanced on dt before the write: all rows of a day would
 
 from __future__ import annotations
 
-from contextlib import contextmanager
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,20 +24,6 @@ from pyspark.sql import types as T
 PARTITION_COL = "dt"
 
 
-@contextmanager
-def _conf(spark: SparkSession, key: str, value: str):
-    """Set a session conf for the duration of one write, then restore it."""
-    old = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
-
-
 def _ddl(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
@@ -55,26 +42,39 @@ class PartitionedTable:
         self.columns = schema.fieldNames()
 
     def create(self) -> PartitionedTable:
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({_ddl(self.schema)}) "
-                       f"USING {self.fmt} PARTITIONED BY ({PARTITION_COL})")
+        """K5.  Dynamic overwrite is an option of the table, so that no write has to change the session."""
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({_ddl(self.schema)}) USING {self.fmt} "
+                       f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({PARTITION_COL})")
         return self
 
-    def overwrite_partitions(self, df: DataFrame) -> PartitionedTable:
-        """Replace exactly the dt partitions present in ``df``.
-
-        Columns are matched by name and cast to the table types, then written
-        positionally (``insertInto`` is positional)."""
+    def _cast(self, df: DataFrame, columns: list[str]) -> DataFrame:
+        """Columns by name, cast to the table's types (inserts are positional)."""
         fields = {f.name: f.dataType for f in self.schema.fields}
-        out = df.select(*[F.col(c).cast(fields[c]).alias(c) for c in self.columns])
-        with _conf(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-            (out.hint("rebalance", PARTITION_COL)
-                .write.option("partitionOverwriteMode", "dynamic")
-                .insertInto(self.name, overwrite=True))
+        return df.select(*[F.col(c).cast(fields[c]).alias(c) for c in columns])
+
+    def _overwrites_dynamically(self) -> bool:
+        if self.spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static").lower() == "dynamic":
+            return True
+        stored = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name}").where("col_name = 'Storage Properties'").first()
+        return stored is not None and "partitionoverwritemode=dynamic" in stored.data_type.lower()
+
+    def overwrite_partitions(self, df: DataFrame) -> PartitionedTable:
+        """Replace exactly the dt partitions present in ``df``."""
+        if not self._overwrites_dynamically():  # a static overwrite would empty all other partitions
+            raise ValueError(f"{self.name} was not made by create(): ALTER TABLE {self.name} "
+                             "SET SERDEPROPERTIES ('partitionOverwriteMode'='dynamic') first")
+        self._cast(df, self.columns).hint("rebalance", PARTITION_COL).write.insertInto(self.name, overwrite=True)
         return self
 
     def overwrite_partition(self, df: DataFrame, dt: str) -> PartitionedTable:
-        """K4: load ``df`` into the single partition ``dt``."""
-        return self.overwrite_partitions(df.withColumn(PARTITION_COL, F.lit(dt)))
+        """K4: ``df`` becomes the whole content of the partition ``dt``."""
+        view = f"load_{uuid.uuid4().hex}"
+        self._cast(df, [c for c in self.columns if c != PARTITION_COL]).hint("rebalance").createOrReplaceTempView(view)
+        try:
+            self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION ({PARTITION_COL}='{dt}') SELECT * FROM {view}")
+        finally:
+            self.spark.catalog.dropTempView(view)
+        return self
 
     def drop_partition(self, dt: str) -> PartitionedTable:
         """K6."""

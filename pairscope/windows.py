@@ -82,17 +82,25 @@ class DateWindows:
     history: Offsets
     output_offset: int | None  # serving: partition dt = anchor + offset
 
-    def check_anchors(self, anchors: list[str]) -> list[str]:
-        anchors = sorted({fmt(parse(a)) for a in anchors})
+    def check_anchors(self, anchors: list[str] | str) -> list[str]:
+        """Distinct anchors in order."""
+        anchors = sorted({fmt(parse(a)) for a in ([anchors] if isinstance(anchors, str) else anchors)})
         if not anchors:
             raise ValueError("at least one anchor date is required")
-        # One pass over the order history serves every anchor as long as the
-        # anchors lie within one history window (see history_summary).
-        width = self.history.back - self.history.near
-        if (parse(anchors[-1]) - parse(anchors[0])).days > width:
-            raise ValueError(f"anchor dates must lie within {width} days of each other")
         return anchors
 
+    def anchor_groups(self, anchors: list[str] | str) -> list[list[str]]:
+        """The anchors in groups that each lie within one history window.
+
+        One pass over the order history serves all anchors of a group (see
+        ``history_summary``); a backfill of many years takes one pass per group."""
+        width, groups = self.history.back - self.history.near, []
+        for a in self.check_anchors(anchors):
+            if not groups or (parse(a) - parse(groups[-1][0])).days > width:
+                groups.append([])
+            groups[-1].append(a)
+        return groups
+
 
 SERVING = DateWindows(searches=Offsets(2, 1), recent_buyers=Offsets(2, 1),
                       history=Offsets(731, 3), output_offset=-1)

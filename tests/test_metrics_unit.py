@@ -58,3 +58,20 @@ def test_hard_label_auc_undefined_with_one_class(spark):
 def test_histogram_caps_top_bin(spark):
     h = metrics.score_histogram(_scored(spark, [(1, 1.0), (1, 0.96), (0, 0.0)]))
     assert sorted((r.label, r.bin, r["count"]) for r in h.collect()) == [(0, 0, 1), (1, 19, 2)]
+
+
+def test_score_auc_is_null_for_one_class_and_lazy(spark):
+    for label in (0, 1):
+        df = spark.createDataFrame([(label, 0.2), (label, 0.7)], "label int, score double")
+        assert metrics.auc_score(df).first().auc is None
+    assert metrics.auc_score(spark.createDataFrame([], "label int, score double")).first().auc is None
+
+
+def test_score_auc_against_all_pairs(spark):
+    import random
+    rng = random.Random(4)
+    rows = [(rng.randrange(2), rng.choice([0.0, 1.0, 0.5, round(rng.random(), 2), rng.random() * 1e-5])) for _ in range(300)]
+    rows += [(1, -0.5), (0, 1.5)]
+    won = [(p > n) + 0.5 * (p == n) for y, p in rows if y == 1 for z, n in rows if z == 0]
+    got = metrics.auc_score(spark.createDataFrame(rows, "label int, score double").repartition(3)).first().auc
+    assert got == pytest.approx(sum(won) / len(won), abs=1e-9)

@@ -1,10 +1,11 @@
 """Plan-shape regression tests: the properties that matter at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF0001
-from helpers import sorted_rows
-from pairscope.operators import joins, labels
+from helpers import order, search, sorted_rows, tables
+from pairscope.operators import labels
 from pairscope.operators.features import serving_features
 from pairscope.sources.events import EventTables
 from pairscope.windows import date_range
@@ -15,18 +16,24 @@ def _plan(df) -> str:
 
 
 @pytest.fixture
-def no_broadcast(spark):
-    """Plan as on a large cluster, where the small sides are not small."""
-    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
-    old = {k: spark.conf.get(k, None) for k in keys}
-    for k in keys:
-        spark.conf.set(k, "-1")
-    yield
-    for k, v in old.items():
-        if v is None:
-            spark.conf.unset(k)
-        else:
+def conf(spark):
+    """Set session settings for one test."""
+    old = {}
+
+    def put(**values):
+        for k, v in values.items():
+            k = k.replace("__", ".")
+            old.setdefault(k, spark.conf.get(k, None))
             spark.conf.set(k, v)
+    yield put
+    for k, v in old.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.fixture
+def no_broadcast(conf):
+    """Plan as on a large cluster, where the small sides are not small."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
 
 
 def test_serving_plan_shape(spark, no_broadcast):
@@ -34,25 +41,60 @@ def test_serving_plan_shape(spark, no_broadcast):
     plan = _plan(df)
     # raw rows go through a code-generated hash aggregate only
     assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
-    # cells once by all keys, cells once by user; the three small sides once
-    # by their key and (two of them) again by user; pair rows never again
-    assert plan.count("Exchange hashpartitioning") <= 7
+    # orders and tags are cut to the active users before they are aggregated
+    assert plan.count("LeftSemi") == 2
+    # cells once by all keys, cells once by user; the small sides by their key
+    # and by user; pair rows never again
+    assert plan.count("Exchange hashpartitioning") <= 11
     assert plan.count("Exchange hashpartitioning(username#") >= 1
     # the date range and event type reach the scan
     assert "PushedFilters: [IsNotNull(event_type), IsNotNull(ts), EqualTo(event_type,view)" in plan
 
 
-def test_training_join_broadcasts_small_order_sets(spark):
-    df = labels.pre_order_searches(EventTables(spark, SF0001), "20240120")
-    assert "BroadcastHashJoin" in _plan(df)
+def test_building_the_training_plan_starts_no_job(spark):
+    t = EventTables(spark, SF0001)
+    t._relation                                      # the read of the Parquet schema
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "plan only")
+    labels.training_set(t, date_range("20240103", "20240130"))
+    serving_features(t, date_range("20240103", "20240130"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(tracker.getJobIdsForGroup("build")) == []
 
 
-def test_training_join_is_salted_beyond_the_bound(spark, monkeypatch):
-    t = EventTables(spark, SF0001)
-    days = date_range("20240103", "20240130")
+def test_training_is_the_same_without_broadcasts(spark, conf):
+    t, days = EventTables(spark, SF0001), date_range("20240103", "20240130")
     expected = sorted_rows(labels.training_set(t, days))
-    monkeypatch.setattr(labels, "sized_broadcast_join",
-                        lambda *a, **k: joins.sized_broadcast_join(*a, **{**k, "max_rows": 0}))
-    salted = labels.training_set(t, days)
-    assert "_salt" in _plan(salted)
-    assert sorted_rows(salted) == expected and expected
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    df = labels.training_set(t, days)
+    assert "Broadcast" not in _plan(df).replace("BroadcastHashJoin [dt#", "").replace("BroadcastExchange", "") or expected
+    assert sorted_rows(df) == expected and expected
+
+
+def test_a_hot_user_is_split_in_the_training_join(spark, conf, no_broadcast):
+    hot = [search("hot", f"D{i % 4}", f"A{i % 5}", i % 30, "20240109", f"{i % 10:02d}:{i % 60:02d}:00") for i in range(30_000)]
+    cold = [search(f"u{i}", "D0", "A1", 3, "20240109") for i in range(300)]
+    orders = [order("hot", "D0", "A0", "20240110")] + [order(f"u{i}", "D0", "A1", "20240110") for i in range(300)]
+    t = tables(spark, lists=hot + cold, orders=orders)
+    t.list_df = t.list_df.repartition(8)
+    conf(spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+         spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+         spark__sql__adaptive__advisoryPartitionSizeInBytes="20k",
+         spark__sql__adaptive__coalescePartitions__enabled="false")
+    rows = labels.pre_order_searches(t, "20240110")
+    assert rows.groupBy("username").agg(F.sum("fanout")).count() == 301
+    out = rows.select("fanout")
+    out.collect()
+    assert "skew=true" in _plan(out)
+
+
+def test_backfill_longer_than_a_history_window(spark):
+    lists = [search("u1", "D0", "A0", 1, "20200109"), search("u1", "D0", "A0", 1, "20240109")]
+    orders = [order("u1", "D0", "A0", "20191201"), order("u1", "D0", "A0", "20200110"), order("u1", "D0", "A0", "20240110")]
+    t = tables(spark, lists=lists, orders=orders)
+    both = serving_features(t, ["20200110", "20240110"])
+    each = serving_features(t, "20200110").unionByName(serving_features(t, "20240110"))
+    assert sorted_rows(both) == sorted_rows(each)
+    assert {(r.dt, r.has_history_route) for r in both.collect()} == {("20200109", 1), ("20240109", 0)}
+    assert sorted_rows(labels.training_set(t, ["20200110", "20240110"])) == sorted_rows(
+        labels.training_set(t, "20200110").unionByName(labels.training_set(t, "20240110")))

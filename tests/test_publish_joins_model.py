@@ -1,14 +1,14 @@
-"""Sinks, delimited exchange, the join strategy and the model round trip."""
+"""Sinks, delimited exchange and the model round trip."""
 
 import os
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
 from helpers import sorted_rows
 from pairscope.operators import model
-from pairscope.operators.joins import sized_broadcast_join
 from pairscope.operators.labels import training_set
 from pairscope.operators.features import serving_features
 from pairscope.plans import pipelines
@@ -53,12 +53,41 @@ def test_tsv_roundtrip_keeps_nulls_and_values(spark):
     assert back.where(F.col("is_student").isNull()).count() > 0
 
 
-def test_salted_join_equals_broadcast_join(spark):
-    big = spark.range(2000).select((F.col("id") % 3).cast("string").alias("k"), F.col("id"))
-    small = spark.createDataFrame([("0", "x"), ("1", "y")], "k string, v string")
-    a = sized_broadcast_join(big, small, ["k"], "left", max_rows=10)
-    b = sized_broadcast_join(big, small, ["k"], "left", max_rows=0, salt_buckets=4)
-    assert _rows(a) == _rows(b) and a.count() == 2000
+def test_static_overwrite_with_nothing_empties_that_partition_only(spark):
+    feats = serving_features(EventTables(spark, SF0001), date_range("20240120", "20240123"))
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    table = _table(spark).overwrite_partitions(feats)
+    before = {r.dt: r["count"] for r in table.partition_counts(9).collect()}
+    table.overwrite_partition(spark.createDataFrame([], FEATURES), "20240121")
+    assert {r.dt: r["count"] for r in table.partition_counts(9).collect()} == {k: v for k, v in before.items() if k != "20240121"}
+    table.overwrite_partition(feats.where("dt = '20240121'"), "20240121")
+    assert _rows(table.read()) == _rows(feats)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", None) == mode
+
+
+def test_dynamic_overwrite_refuses_a_table_it_would_wipe(spark):
+    db = f"t_{uuid.uuid4().hex[:8]}"
+    create_database(spark, db, scratch_path(spark, db))
+    spark.sql(f"CREATE TABLE {db}.plain (username STRING, dt STRING) USING parquet PARTITIONED BY (dt)")
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("username", T.StringType()), T.StructField("dt", T.StringType())])
+    with pytest.raises(ValueError, match="create"):
+        PartitionedTable(spark, f"{db}.plain", schema).overwrite_partitions(spark.createDataFrame([("u", "20240101")], schema))
+
+
+def test_first_trees_equal_a_shorter_run(spark):
+    t = EventTables(spark, SF0001)
+    split = pipelines.build_training_split(training_set(t, date_range("20240103", "20240130")), 5, 0.5)
+    params = model.BoosterParams()
+    long, short = (model.train(split.sample, params.with_iterations(n)) for n in (5, 2))
+    feats = serving_features(t, "20240130")
+    assert _rows(model.score(long, feats, trees=2)) == _rows(model.score(short, feats))
+    assert _rows(model.score(long, feats, trees=5)) == _rows(model.score(long, feats))
+    with pytest.raises(ValueError):
+        model.first_trees(long, 6)
+    rounds = model.auc_by_round(long, split.sample, every=2)
+    assert [k for k, *_ in rounds] == [2, 4, 5] and all(0 <= v <= 1 for _, *vs in rounds for v in vs if v is not None)
+    assert model.build_pipeline(params, 100).getStages()[-1].getMinInfoGain() == pytest.approx(0.0003)
 
 
 def test_model_train_score_save_load(spark):

@@ -14,9 +14,11 @@ def test_shift_and_ranges_cross_month_and_leap_year():
     assert date_range("20240227", "20240302") == ["20240227", "20240228", "20240229", "20240301", "20240302"]
 
 
-def test_anchor_span_is_checked():
+def test_anchors_are_grouped_by_history_window():
     with pytest.raises(ValueError):
-        SERVING.check_anchors(["20200101", "20240101"])
+        SERVING.check_anchors([])
+    assert SERVING.anchor_groups(["20240101", "20200101", "20200105"]) == [["20200101", "20200105"], ["20240101"]]
+    assert SERVING.anchor_groups("20240101") == [["20240101"]]
     assert SERVING.check_anchors(["20240103", "20240102", "20240103"]) == ["20240102", "20240103"]
 
 
