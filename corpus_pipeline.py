@@ -17,7 +17,7 @@ from pairscope.llm.mixing import mix_sources, shuffled
 from pairscope.llm.sharding import shard_rows
 from pairscope.llm.simhash import drop_near_duplicates
 
-MIN_LANGUAGE_SCORE = 0.4      # the languages' shares of an unknown script stay below it
+MIN_LANGUAGE_SCORE = 0.3      # an even guess among four languages is 0.25; unknown scripts stay just above that
 SIMHASH_WIDTH, SIMHASH_BITS = 3, 3
 BENCHMARK_WIDTH, BENCHMARK_CONTAINMENT = 5, 0.8
 MIX_SEED, SHARD_SEED, N_SHARDS = 11, 7, 16

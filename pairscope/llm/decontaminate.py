@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import fresh, materialise
+from .common import fresh, materialise, small_batches
 
 WORDS = re.compile(r"\w+")
 BITS_PER_SHINGLE = 2048
-CODES_KEPT = 1 << 20       # words whose code a task remembers
+CODES_KEPT = 1 << 17       # words whose code a task remembers
 
 
 class Codes(dict):
@@ -109,6 +109,7 @@ def containment(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_t
     Other columns are ignored; empty tables give an empty result.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     pieces = materialise(signatures(item_shingles(items, item_id, item_text, width), threshold), "item-shingles")
     stats = pieces.agg(F.count("*").alias("n"), F.min("n").alias("least")).first()
     signed = spark.sparkContext.broadcast(bloom.build(pieces.where("signed"), "hash", stats.n, BITS_PER_SHINGLE))

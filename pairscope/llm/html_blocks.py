@@ -154,7 +154,7 @@ class Slots(dict):
         self.size = size
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1 << 18:
+        if len(self) > 1 << 16:
             self.clear()
         slot = self[word] = crc32(word.encode("utf-8", "surrogatepass")) % self.size
         return slot

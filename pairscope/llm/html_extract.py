@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
 from .html_blocks import NUMBERS, PATH_SLOTS, WORD_SLOTS, Block, Generator, Slots, blocks_of, inputs
 
 PATH_SIZE, WORD_SIZE, HIDDEN = 20, 10, 20
@@ -202,6 +203,7 @@ def extract(pages: DataFrame, html_col: str = "html", model: Labeller | None = N
     rows; other columns, nulls too, are passed on; existing columns of the new
     names are replaced; an empty table gives an empty result.
     """
+    small_batches(pages.sparkSession)
     pages = pages.drop("text", "n_chars", "n_blocks", "n_main")
     shared = pages.sparkSession.sparkContext.broadcast((model or train()).p)   # 0.2 MB
 

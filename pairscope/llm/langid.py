@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, held_out
+from .common import fresh, held_out, small_batches
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -167,28 +167,30 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     Learns from rows with a language that are not held out (crc32 of the id mod
     5 is 0).  Document frequencies count all of them; the weights are fitted on
-    at most ``max_rows`` rows, the same number per language, those with the
-    smallest hash of their text.
+    at most ``max_rows`` rows, about the same number per language, those with
+    the smallest hash of their text.
     """
     known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(id_col).alias("out")).where(
         "not out and lang is not null and text is not null").drop("out")
     got = known.select("text").mapInPandas(_frequencies, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
     df = np.zeros(BUCKETS + 1)
     df[got["slot"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
-    classes = sorted(r.lang for r in known.select("lang").distinct().collect())
+    digest = F.xxhash64("text", F.lit(1))
+    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct(digest).alias("n")).collect()}
+    classes = sorted(sizes)
     if not classes or df[BUCKETS] == 0:
         return None
     per_class = max(4, max_rows // len(classes))
-    digest = F.xxhash64("text", F.lit(1))
-    # Copies of a text count once; the limit per language is taken in every task (window group limit).
-    edges = (known.select("lang", digest.alias("h")).distinct()
-             .withColumn("r", F.expr("row_number() over (partition by lang order by h)"))
-             .where(F.col("r") <= per_class).groupBy("lang").agg(F.max("h").alias("most")))
+    # A language with more texts gives those whose hash lies below its share of all hashes.  Copies of a text count once.
+    edges = docs.sparkSession.createDataFrame(
+        [(c, (1 << 63) - 1 if n <= per_class else int(-(1 << 63) + (1 << 64) * 0.9 * per_class / n)) for c, n in sizes.items()],
+        "lang string, most long")
     sample = (known.withColumn("h", digest).join(F.broadcast(edges), "lang").where("h <= most").drop("most")
               .dropDuplicates(["lang", "h"]).withColumn("calibrates", F.expr("pmod(h, 4) = 0"))
               .mapInPandas(_features, "lang string, h long, calibrates boolean, slots binary, counts binary")
               .collect())
     sample.sort(key=lambda r: (r.lang, r.h))
+    sample = [r for c in classes for r in [x for x in sample if x.lang == c][:per_class]]
     idf = np.log((1 + df[BUCKETS]) / (1 + df[:BUCKETS])) + 1
     model = Model(classes, idf, np.zeros((BUCKETS, len(classes))), np.zeros(len(classes)))
     number = {c: i for i, c in enumerate(classes)}
@@ -239,10 +241,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     every row if there is nothing to learn from (an empty table, no labels).
     Repeated rows and null or clashing other columns do not matter.
     """
+    small_batches(docs.sparkSession)
     return predict(docs, fit(docs, id_col, text_col, lang_col, max_rows), id_col, text_col)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.5, id_col: str = "doc_id", text_col: str = "text",
+def keep_identified(docs: DataFrame, min_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang") -> DataFrame:
     """Rows of ``docs`` whose language is identified: not ``und``, score at least ``min_score``."""
     names = [fresh(docs.columns, c) for c in ("lang_pred", "score")]

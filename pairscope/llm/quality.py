@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import gbt
-from .common import held_out, materialise
+from .common import held_out, materialise, small_batches
 
 #: Bound of the labelled documents fitted on (a parameter of ``fit``).
 MAX_ROWS = 20000
@@ -105,6 +105,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     scores; without labels every score is 1/2.  Other columns are ignored; an
     empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     stats = materialise(document_statistics(docs, id_col, text_col), "statistics")
     shared = docs.sparkSession.sparkContext.broadcast(fit(stats, labels, id_col, label_col, max_rows))  # trees x nodes numbers
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, materialise, remove_table
+from .common import fresh, materialise, remove_table, small_batches
 from .components import LINKS, components, forest
 
 HASH_SEED = 42
@@ -285,6 +285,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fingerprint 0) are linked like any others.  Other columns are ignored; an
     empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     rows = materialise(fingerprints(docs, id_col, text_col, width), "fingerprints")
     nodes = materialise(rows.groupBy("fp").agg(F.min("id").alias("id")), "nodes")
     if nodes.isEmpty():

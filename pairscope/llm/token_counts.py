@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splitting pattern of that vocabulary (fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -114,6 +116,7 @@ def _attribute(rows: DataFrame, id_col: str, separator: str | None, rule: str, v
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     spark: SparkSession = rows.sparkSession
+    small_batches(spark)
     with open(vocabulary, "rb") as f:                # a parameter of the job, read once by the driver
         shared = spark.sparkContext.broadcast(f.read())
 

@@ -107,7 +107,7 @@ def test_held_out_languages_are_not_learned(spark):
 def test_unknown_script_scores_low_and_sparse_weights(spark):
     model = langid.fit(documents(spark, SF001))
     for text in ("Привет мир как дела", "日本語のテキスト", "ελληνικά κείμενο"):
-        assert model.probabilities(langid.gram_counts(text)).max() < 0.4
+        assert model.probabilities(langid.gram_counts(text)).max() < 0.3
     assert 0.2 < (model.weights == 0).mean() and 0.3 < model.temperature < 3
 
 
