@@ -96,15 +96,37 @@ def test_signature_estimates_similarity():
     assert abs(np.mean(errors)) < 0.02
 
 
-def test_buckets_over_batches_and_giants(monkeypatch):
-    monkeypatch.setattr(L, "GIANT", 10)
+@pytest.mark.parametrize("giant", [40, 10 ** 6])
+def test_buckets_over_batches_and_giants(monkeypatch, giant):
+    monkeypatch.setattr(L, "GIANT", giant)
     rng = np.random.default_rng(3)
-    key = np.sort(np.concatenate([rng.integers(0, 40, 100), np.full(80, 7)]))
-    df = pd.DataFrame({"key": key, "node": rng.integers(0, 60, len(key))}).sort_values(["key", "node"])
-    want = {frozenset(g) for g in df.groupby("key")["node"].apply(set) if len(g) > 1}
+    key = np.concatenate([rng.integers(0, 40, 100), np.full(80, 7)])
+    node = rng.integers(0, 60, len(key))
+    want = {frozenset(g) for g in pd.DataFrame({"k": key, "n": node}).groupby("k")["n"].apply(set) if len(g) > 1}
+    parts = [L.packed(node[i:i + 9], key[i:i + 9], 5) for i in range(0, len(key), 9)]
+    rows = pd.concat(parts).sort_values("chunk", kind="stable")
     for size in (1, 3, 1000):
-        got = pd.concat(list(L.buckets(df.iloc[i:i + size] for i in range(0, len(df), size))))
+        got = pd.concat(list(L.buckets(rows.iloc[i:i + size] for i in range(0, len(rows), size))))
         assert {frozenset(g) for g in got.groupby("bucket")["node"].apply(set)} == want
+    if giant > 1000:
+        assert (got.groupby("bucket")["node"].min() == got.groupby("bucket")["lead"].first()).all()
+    assert not list(L.buckets(iter([])))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_families_against_all_pairs(seed):
+    rng = random.Random(seed)
+    base = [" ".join(f"{rng.choice('abcdef')}{rng.randrange(99)}" for _ in range(30)) + (" 日本" if seed == 3 and k == 1 else "") for k in range(3)]
+    lines = sorted({edited(rng, rng.choice(base), rng.choice([0.0, 0.03, 0.1, 0.3])) for _ in range(60)} | set(base))
+    family = L.Family()
+    units = [sorted(rng.sample(range(len(lines)), rng.randrange(2, 25))) for _ in range(8)]
+    for u in units:
+        family.add(u, [lines[i] for i in u], [0] * len(u))
+    grams = [L.shingles(t) for t in lines]
+    links = {(i, j) for u in units for i in u for j in u if i < j and len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j]) - 1e-12}
+    roots = union_find(len(lines), links)
+    got = union_find(len(lines), list(zip(*family.links())))
+    assert len(set(zip(roots, got))) == len(set(roots)) == len(set(got))
 
 
 def test_line_dedup_of_nothing(spark):
