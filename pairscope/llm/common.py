@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,23 +32,27 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage with files that every executor can read, so a lost
-    executor never forces the work before this point to run again.
+    executor never forces the work before this point to run again.  The files
+    are deleted when the driver process ends.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    if spark.sparkContext._jsc is not None:    # else the session has been stopped before
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def remove_table(df: DataFrame) -> None:
-    """Delete the files behind a frame returned by ``materialise``."""
-    spark = df.sparkSession
+    """Delete the files behind a frame returned by ``materialise`` before the driver process ends."""
     files = df.inputFiles()
-    if not files:
-        return
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if files:
+        _remove(df.sparkSession, files[0].rpartition("/")[0])
 
 
 def fresh(columns: list[str], name: str) -> str:
