@@ -31,6 +31,9 @@ HEADLINE = [
     "classification_report",   # C4 metrics
     "publish_features",        # K1 write + re-publish + read back
     "tsv_roundtrip",           # K2 + S6
+    "history_route_flag",      # J4 + P6
+    "gbt_train_score",         # M6 + M8, 10 rounds
+    "gbt_evaluate",            # M6 + C4 over the whole holdout, 10 rounds
 ]
 
 
