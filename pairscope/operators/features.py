@@ -45,7 +45,7 @@ from ..schemas import FEATURE_COLUMNS
 from ..sources.tables import SourceTables
 from ..windows import SERVING, DateWindows, shift_sql
 from .logs import (ANCHOR, ROUTE, USER, anchored_search_log, history_flag, history_summary,
-                   recent_buyers, user_tag_flags)
+                   recent_buyers, unified_search_log, user_tag_flags)
 
 PAIR_KEYS = [USER, ANCHOR, ROUTE]
 USER_KEYS = [USER, ANCHOR]
@@ -186,14 +186,14 @@ def serving_features(tables: SourceTables, run_dates: list[str] | str,
                      windows: DateWindows = SERVING) -> DataFrame:
     """The feature partition of each run date (dt = run date - 1)."""
     def group(anchors: list[str]) -> DataFrame:
-        log = serving_log(tables, anchors, windows)
         buyers = recent_buyers(tables, anchors, windows.recent_buyers)
-        feats = assemble(tables, pair_aggregates(log), anchors, windows, active_users(log), buyers)
+        feats = assemble(tables, pair_aggregates(serving_log(tables, anchors, windows)), anchors, windows,
+                         active_users(tables, anchors, windows), buyers)
         return feats.selectExpr(*feature_exprs(), f"{shift_sql(ANCHOR, windows.output_offset)} AS dt")
 
     return reduce(DataFrame.unionByName, [group(a) for a in windows.anchor_groups(run_dates)])
 
 
-def active_users(log: DataFrame) -> DataFrame:
-    """Distinct users of the search rows (one column of the two-day logs)."""
-    return log.select(USER).distinct()
+def active_users(tables: SourceTables, anchors: list[str], windows: DateWindows) -> DataFrame:
+    """Distinct users who searched in the days that the anchors span (one column of the logs)."""
+    return unified_search_log(tables, *windows.searches.span(anchors)).select(USER).distinct()
