@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pairscope.llm import gbt, html_blocks, html_extract, langid, quality, token_counts
 from pairscope.llm.common import held_out
 
-from .data import SCHEMA, documents, messy, messy_rows
+from .data import documents, messy, messy_rows
 
 SF001 = "/root/testdata/sf0.01"
 
