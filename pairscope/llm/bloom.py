@@ -39,9 +39,16 @@ def build(hashes: DataFrame, column: str, count: int, bits_per_value: int) -> Bl
         for batch in batches:
             yield pd.DataFrame({"slot": np.unique(np.concatenate(slots(batch["h"].to_numpy().view(np.uint64), log_bits)))})
 
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:            # a row a batch: millions of rows would fill the driver
+            yield pd.DataFrame({"words": [batch["word"].to_numpy(np.uint32).tobytes()],
+                                "bits": [batch["bits"].to_numpy(np.int64).astype(np.uint32).tobytes()]})
+
     words = (hashes.select(F.col(column).alias("h")).mapInPandas(run, "slot long")
              .groupBy(F.expr("slot div 32").alias("word"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits")).toPandas())
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 32 as int))")).alias("bits"))
+             .mapInPandas(pack, "words binary, bits binary"))
     out = np.zeros(1 << (log_bits - 5), np.uint32)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).astype(np.uint32)
+    for r in words.collect():
+        out[np.frombuffer(r.words, np.uint32)] = np.frombuffer(r.bits, np.uint32)
     return Bloom(out.view(np.uint8), log_bits)

@@ -129,6 +129,35 @@ def test_families_against_all_pairs(seed):
     assert len(set(zip(roots, got))) == len(set(roots)) == len(set(got))
 
 
+def test_finding_a_root_cuts_no_chain():
+    family = L.Family()
+    family.root = {0: 1, 1: 2, 2: 3, 3: 4, 4: 4}
+    assert family.find(0) == 4 and [family.find(n) for n in range(5)] == [4] * 5
+
+
+def test_short_near_copies_against_own_shingling(spark):
+    """One changed character, or one swapped six-letter word, in lines of 20 to 100 characters."""
+    def windows(t):
+        return {t[i:i + 5] for i in range(max(len(t) - 4, 1))}
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, lines, characters, words = [], [], 0, 0
+    for n in range(20, 101):
+        for kind in range(2):
+            middle = "".join(rng.sample(letters, 6))
+            half = ["".join(rng.choice(letters) for _ in range(m)) for m in ((n - 8) // 2, n - 8 - (n - 8) // 2)]
+            line = f"{half[0]} {middle} {half[1]}"
+            other = f"{half[0]} {''.join(rng.sample(letters.upper(), 6)).lower()} {half[1]}" if kind else line[:n // 2] + "#" + line[n // 2 + 1:]
+            a, b = windows(line), windows(other)
+            near = len(a & b) / len(a | b) >= 0.8 - 1e-12
+            characters, words = characters + (near and not kind), words + (near and kind)
+            lines += [(len(rows), line, 0), (len(rows) + 1, other, int(near))]
+            rows += [(len(rows), line), (len(rows) + 1, other)]
+    assert characters >= 52 and words >= 8      # from 49 and about 90 characters on
+    got = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.text, r.n_dropped) for r in got} == {i: ("" if gone else t, gone) for i, t, gone in lines}
+
+
 def test_line_dedup_of_nothing(spark):
     assert L.dedup_lines(messy(spark).limit(0)).count() == 0
 
