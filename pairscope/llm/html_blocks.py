@@ -16,10 +16,14 @@ TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"
     r"|[^<]+|<", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
+XMP_END = re.compile(r"</xmp(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I)
 NAME_PARTS = re.compile(r"[a-z]+")
 #: Their content is not text of the page, up to the end tag.
-RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noembed", "noframes"}
-HIDDEN = {"template", "svg", "math", "select", "object", "canvas", "audio", "video", "datalist"}
+RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "noembed", "noframes"}
+#: Up to their end tag, or the end of the block around them.
+HIDDEN = {"template", "select", "object", "canvas", "audio", "video", "datalist", "annotation", "annotation-xml", "desc", "metadata"}
+#: A paragraph that starts in one of these does not end the paragraph around it.
+CLOSED_OFF = {"template", "object"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 BLOCK = {"address", "article", "aside", "blockquote", "body", "button", "caption", "center", "dd", "details", "dialog",
          "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6",
@@ -58,13 +62,16 @@ def blocks_of(page: str | None) -> list[Block]:
 
     Comments, scripts, styles and the like are left out; character references
     are decoded; white space runs become one space; empty runs are dropped.
+    Formulas and the text of drawings stay (a drawing outside of any block is
+    an ornament of the page and has none), and so does ``xmp`` as it stands.
     Unclosed and stray tags are borne as browsers do in the common cases.
     """
     page = page or ""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
-    linked, in_link, hidden = 0, False, 0
+    linked, in_link = 0, False
+    hidden: list[tuple[str, int]] = []       # open hidden elements, and how many blocks are around them
     path: tuple[str, ...] | None = None
 
     def flush() -> None:
@@ -82,6 +89,8 @@ def blocks_of(page: str | None) -> list[Block]:
     def close(index: int) -> None:
         nonlocal path
         del stack[index:]
+        while hidden and hidden[-1][1] > index:
+            hidden.pop()
         path = None
 
     at, end = 0, len(page)
@@ -104,10 +113,35 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag in RAW and not closing:
             stop = re.compile(rf"</{re.escape(tag)}(?=[\s/>]|\Z)[^>]*(?:>|\Z)", re.I).search(page, at)
             at = stop.end() if stop else end
-            if tag not in ("script", "style", "noscript"):
+            if tag not in ("script", "style", "noscript", "title"):
                 flush()
-        elif tag in HIDDEN:
-            hidden = max(0, hidden + (-1 if closing else 0 if attributes.endswith("/") else 1))
+        elif tag == "xmp" and not closing:
+            stop = XMP_END.search(page, at)
+            flush()
+            if stack and stack[-1][0] == "p":
+                close(len(stack) - 1)
+            if not hidden:
+                path = (*current(), *path_words(tag, attributes))
+                pieces.append(page[at: stop.start() if stop else end])
+                linked = len(pieces[0]) if in_link else 0
+                flush()
+                path = None
+            at = stop.end() if stop else end
+        elif tag in HIDDEN or tag == "svg" and (closing or not stack):
+            if not closing:
+                if not attributes.endswith("/"):
+                    hidden.append((tag, len(stack)))
+            else:
+                for i in range(len(hidden) - 1, -1, -1):
+                    if hidden[i][0] == tag:
+                        around = hidden[i][1]
+                        if len(stack) > around:
+                            flush()
+                            close(around)
+                        del hidden[i:]
+                        break
+        elif tag in ("text", "mtr", "mtd"):
+            pieces.append(" ")
         elif tag == "a":
             in_link = not closing
         elif tag in ("br", "hr"):
@@ -130,7 +164,10 @@ def blocks_of(page: str | None) -> list[Block]:
                     close(found)
             else:
                 flush()
-                if stack and stack[-1][0] == "p" and tag not in ("ins", "label", "button"):
+                if hidden and hidden[-1][0] == "svg":      # blocks break out of a drawing
+                    hidden.pop()
+                if (stack and stack[-1][0] == "p" and tag not in ("ins", "label", "button")
+                        and not (hidden and hidden[-1][0] in CLOSED_OFF and hidden[-1][1] == len(stack))):
                     close(len(stack) - 1)
                 if tag in ENDS:
                     for i in range(len(stack) - 1, -1, -1):

@@ -199,6 +199,19 @@ def test_blocks(page, want):
     assert [b.text for b in html_blocks.blocks_of(page)] == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation encoding='application/x-tex'>x=1</annotation></math> holds.</p>", ["So x=1 holds."]),
+    ("<p>See <svg><title>icon</title><style>t{}</style><desc>d</desc><text>Left</text><text>Right</text></svg> there.</p>", ["See Left Right there."]),
+    ("<svg><text>s</text></svg><p>a</p>", ["a"]), ("<svg><path><p>a</p>", ["a"]), ("<p>a<xmp><b>x</b> &amp;</xmp>b", ["a", "<b>x</b> &amp;", "b"]),
+    *[(f"<div><div>a<{tag} data=x>fallback</div><p>b</p></div><p>c</p>", ["a", "b", "c"]) for tag in ("object", "video", "audio", "canvas", "select")],
+    ("<p>a<video src=x>fallback<p>b<p>c", ["a", "b", "c"]), ("<p>a<object><p>fallback</p></object>b</p><p>c", ["a", "b", "c"]),
+    ("<div>a<video><div>fallback</video>b</div>c", ["a", "b", "c"]), ("<p>a<video>x<object>y</video>b</p>", ["ab"]),
+    ("<p>a<template><p>x</p></template>b</p>", ["a", "b"]), ("</video><p>a</object>b</p>", ["ab"]),
+])
+def test_hidden_elements_end_and_shown_ones_stay(page, want):
+    assert [b.text for b in html_blocks.blocks_of(page)] == want
+
+
 def test_deep_and_broken_pages_take_bounded_time():
     assert len(html_blocks.blocks_of("<div>x" * 20_000)) == 20_000
     assert html_blocks.blocks_of("<div class='" * 100_000) == []
