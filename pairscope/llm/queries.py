@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, read_table
+from .common import held_out, materialise, read_table
 from .decontaminate import containment
 from .exact_dedup import exact_dedup
 from .html_extract import extract
@@ -47,7 +47,7 @@ def op4_section_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
-        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
+        "*", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
     return shard_rows(docs, N_SHARDS, ["doc_id", "text_crc32", "size"], SHARD_SEED).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -55,8 +55,9 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return shuffled(mix_sources(docs, seed=MIX_SEED).select("doc_id", "source", "copy", "shuffle_key"))
+    # The mixed corpus is written with all its columns; its list, which is returned, is put in the same order.
+    mixed = materialise(shuffled(mix_sources(read_table(spark, sf_dir, "documents"), seed=MIX_SEED)), "mixed")
+    return shuffled(mixed.select("doc_id", "source", "copy", "shuffle_key"))
 
 
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,6 +44,24 @@ def test_contract_columns_come_first(spark, name):
     assert [f"{a} {b}" for a, b in queries.QUERIES[name](spark, SF).dtypes][: len(CONTRACT[name])] == CONTRACT[name]
 
 
+def test_mix_and_shards_move_whole_rows(spark, monkeypatch):
+    whole, moved = set(spark.read.parquet(f"{SF}/documents.parquet").columns), {}
+
+    def watch(name):
+        f = getattr(queries, name)
+
+        def run(df, *args, **kwargs):
+            out = f(df, *args, **kwargs)
+            moved.setdefault(name, out.columns)
+            return out
+        monkeypatch.setattr(queries, name, run)
+    for name in ("shuffled", "shard_rows"):
+        watch(name)
+    assert queries.op6_poisson_mix(spark, SF).columns == ["doc_id", "source", "copy", "shuffle_key"]
+    queries.op5_feistel_shards(spark, SF)
+    assert whole < set(moved["shuffled"]) and whole < set(moved["shard_rows"])
+
+
 def test_every_operator_has_one_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
 
