@@ -122,5 +122,88 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op11_sql() -> str:
+    near = """near{r} AS MATERIALIZED (
+  SELECT vec_id, label, pos, w, part, m.d AS d, m.entry AS entry FROM (
+    SELECT vec_id, label, p.pos, w, part, min({{'d': CAST(list_inner_product(part, part) + list_inner_product(c, c)
+             - 2 * list_inner_product(part, c) AS BIGINT), 'entry': entry}}) AS m
+    FROM parts p JOIN book{r} b ON p.pos = b.pos GROUP BY vec_id, label, p.pos, w, part))"""
+    book = """book{n} AS MATERIALIZED (
+  SELECT b.pos, b.entry, coalesce(m.c, b.c) AS c
+  FROM book{r} b LEFT JOIN (
+    SELECT pos, entry, list(CAST(floor(s / n) AS DOUBLE) ORDER BY i) AS c FROM (
+      SELECT pos, entry, i, sum(part[i]) AS s, count(*) AS n
+      FROM near{r}, LATERAL (SELECT unnest(range(1, w + 1)) AS i) GROUP BY pos, entry, i)
+    GROUP BY pos, entry) m ON b.pos = m.pos AND b.entry = m.entry)"""
+    rounds = ",\n".join(near.format(r=r) + ",\n" + book.format(r=r, n=r + 1) for r in range(4))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, label, pos, len(v) // 4 AS w, v[pos * (len(v) // 4) + 1: (pos + 1) * (len(v) // 4)] AS part
+  FROM kept, LATERAL (SELECT unnest(range(4)) AS pos)),
+book0 AS MATERIALIZED (
+  SELECT pos, row_number() OVER (PARTITION BY pos ORDER BY vec_id) - 1 AS entry, part AS c FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 256)),
+{rounds},
+{near.format(r=4)},
+coded AS (
+  SELECT vec_id, label, string_agg(lpad(lower(to_hex(entry)), 2, '0'), '' ORDER BY pos) AS code, CAST(sum(d) AS BIGINT) AS error
+  FROM near4 GROUP BY vec_id, label),
+digest AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY pos, entry, i)) AS h
+  FROM (SELECT pos, entry, unnest(c) AS x, unnest(range(len(c))) AS i FROM book4))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM coded, digest
+"""
+
+
+def op13_sql() -> str:
+    return """
+WITH docs AS (
+  SELECT doc_id, coalesce(CAST(source AS VARCHAR), '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+failing AS (
+  SELECT doc_id, part, list_filter([
+    CASE WHEN len(words) < 200 THEN 'A' END,
+    CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+    CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' END,
+    CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END,
+    CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' END], lambda f: f IS NOT NULL) AS fails
+  FROM docs),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+  FROM failing LEFT JOIN marks USING (doc_id) GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT [a.f, b.f, c.f, d.f, e.f] AS fs
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT fs, step, fs[step] AS f, fs[1: step - 1] AS earlier, fs[1: step] AS so_far
+  FROM orders, LATERAL (SELECT unnest(range(1, 6)) AS step)),
+counts AS (
+  SELECT part, array_to_string(fs, '') AS filter_order, step, f,
+    coalesce(sum(n) FILTER (WHERE NOT list_has_any(fails, so_far)), 0) AS kept,
+    coalesce(sum(n) FILTER (WHERE list_contains(fails, f) AND NOT list_has_any(fails, earlier)), 0) AS removed,
+    coalesce(sum(n) FILTER (WHERE list_contains(fails, f) AND list_has_any(fails, earlier)), 0) AS redundant,
+    coalesce(sum(n) FILTER (WHERE list_contains(fails, f) AND len(fails) = 1), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (WHERE list_contains(fails, f) AND NOT list_has_any(fails, earlier)), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (WHERE list_contains(fails, f) AND NOT list_has_any(fails, earlier)), 0) AS toxic_lost
+  FROM masks, steps GROUP BY part, fs, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counts
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": op2_sql(), "op5_feistel_shards": op5_sql(), "op6_poisson_mix": op6_sql(), "op10_exact_dedup": op10_sql()}
+    return {"op2_decontamination": op2_sql(), "op5_feistel_shards": op5_sql(), "op6_poisson_mix": op6_sql(),
+            "op10_exact_dedup": op10_sql(), "op11_vector_codes": op11_sql(), "op13_filter_audit": op13_sql()}

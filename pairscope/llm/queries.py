@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from .common import held_out, materialise, read_table
 from .decontaminate import containment
 from .exact_dedup import exact_dedup
+from .filter_audit import audit
 from .html_extract import extract
 from .langid import identify
 from .line_dedup import dedup_lines
 from .mixing import mix_sources, shuffled
 from .quality import score_quality
+from .quality_rules import judge
 from .sharding import shard_rows
 from .simhash import simhash_groups
 from .token_counts import section_tokens
+from .vector_codes import compress
 
 N_SHARDS = 16
 MIX_SEED = 11
@@ -79,8 +82,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_html_extract, op2_decontamination, op3_quality_trees, op4_section_tokens,
                             op5_feistel_shards, op6_poisson_mix, op7_simhash_groups, op8_line_dedup, op9_language_id,
-                            op10_exact_dedup)
+                            op10_exact_dedup, op11_vector_codes, op12_quality_rules, op13_filter_audit)
 }
