@@ -20,7 +20,7 @@ def rows_of(columns, rows):
 @pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF)
     want = con.execute(oracles.oracle_sql()[name])
@@ -35,6 +35,11 @@ CONTRACT = {
     "op5_feistel_shards": ["doc_id bigint", "size bigint", "text_crc32 bigint", "law string", "shard int", "slot bigint", "grown_shard int"],
     "op7_simhash_groups": ["doc_id bigint", "fingerprint string", "component_id bigint"],
     "op9_language_id": ["doc_id bigint", "held_out boolean", "lang_pred string", "score double"],
+    "op11_vector_codes": ["vec_id bigint", "code string", "error bigint", "label_error bigint", "codebooks_sha256 string"],
+    "op12_quality_rules": ["doc_id bigint", "n_words bigint", "word_chars bigint", "n_symbols bigint", "n_dup_lines bigint", "n_repeat_words bigint",
+                           "base_failed boolean", "kept boolean"],
+    "op13_filter_audit": ["part string", "filter_order string", "step int", "kept bigint", "removed bigint", "redundant bigint",
+                          "unique_fails bigint", "good_lost bigint", "toxic_lost bigint", "shapley bigint"],
     "op10_exact_dedup": ["doc_id bigint", "keep_id bigint", "group_size bigint", "kept boolean", "text_sha256 string"],
 }
 
