@@ -1,6 +1,7 @@
 """Connected components of a distributed set of links.
 
-Links are first contracted inside each partition, then alternating large-star
+Links are first contracted inside each partition.  If few enough are left
+(their number is checked) one task contracts these; else alternating large-star
 and small-star rounds run until every node points at the smallest node of its
 component.  Each round is group-by-minimum (combined map-side) and a join on
 the node, and ends in a table in the shared folder; nothing but one flag per
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import materialise, remove_table
 
 LINKS = "a long, b long"
+#: Contracted links (16 bytes each) that one task finishes.
+ONE_TASK = 1 << 20
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,7 +71,7 @@ def _to_minimum(links: DataFrame, node: str, other: str) -> DataFrame:
     return links.join(smallest, F.col(node) == F.col("n")).withColumn("m", F.least("m", node)).drop("n")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, one_task: int = ONE_TASK) -> DataFrame:
     """``links`` (a long, b long) to (node, root): each node of a link that is not the smallest
     of its component, with that smallest node.  Repeated links, loops and either direction are
     fine; links with a null end are ignored; no links give an empty result.
@@ -76,6 +79,10 @@ def components(links: DataFrame) -> DataFrame:
     links = links.where("a <> b").select("a", "b").mapInPandas(contract, LINKS)
     current = materialise(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                           .distinct(), "links")
+    if current.count() <= one_task:
+        done = materialise(current.repartition(1).mapInPandas(contract, LINKS), "links")
+        remove_table(current)
+        return done.select(F.col("a").alias("node"), F.col("b").alias("root"))
     while True:
         tangled = (current.select(F.col("a").alias("n"), F.lit(1).alias("child"), F.lit(0).alias("root"))
                    .unionAll(current.select("b", F.lit(0), F.lit(1)))

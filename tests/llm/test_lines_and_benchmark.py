@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from pairscope.llm import decontaminate as D
@@ -60,12 +61,17 @@ def test_line_dedup_against_all_pairs(spark, block):
 
 
 def test_lines_that_share_half_a_hash_get_other_nodes():
+    from pairscope.llm import bloom
     lines = [f"line number {i} with some words" for i in range(30)]
     halves = L.line_hashes(lines).tolist()
     collided = frozenset(a for a, _ in halves[:5])
-    nodes = L.nodes_of(lines, collided)
+    bits = np.zeros(1 << 17, np.uint8)
+    for at in bloom.slots(np.array([a for a, _ in halves[:5]], np.int64).view(np.uint64), 20):
+        np.bitwise_or.at(bits, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    for shared in (collided, bloom.Bloom(bits, 20)):
+        nodes = L.nodes_of(lines, shared)
+        assert [n == a for n, (a, _) in zip(nodes, halves)] == [False] * 5 + [True] * 25 and len(set(nodes)) == 30
     assert L.nodes_of(lines, frozenset()) == [a for a, _ in halves]
-    assert [n == a for n, (a, _) in zip(nodes, halves)] == [False] * 5 + [True] * 25 and len(set(nodes)) == 30
 
 
 def test_shingle_numbers_tell_shingles_apart():
@@ -96,21 +102,110 @@ def test_signature_estimates_similarity():
     assert abs(np.mean(errors)) < 0.02
 
 
-@pytest.mark.parametrize("giant", [40, 10 ** 6])
-def test_buckets_over_batches_and_giants(monkeypatch, giant):
+@pytest.mark.parametrize("giant, frequent", [(40, 64), (10 ** 6, 64), (40, 3), (10 ** 6, 3)])
+def test_buckets_over_batches_and_giants(monkeypatch, giant, frequent):
     monkeypatch.setattr(L, "GIANT", giant)
+    monkeypatch.setattr(L, "FREQUENT", frequent)
     rng = np.random.default_rng(3)
-    key = np.concatenate([rng.integers(0, 40, 100), np.full(80, 7)])
+    key = np.concatenate([rng.integers(0, 40, 100), np.full(80, 7)]) * 0x1234567890ABCDE
     node = rng.integers(0, 60, len(key))
-    want = {frozenset(g) for g in pd.DataFrame({"k": key, "n": node}).groupby("k")["n"].apply(set) if len(g) > 1}
-    parts = [L.packed(node[i:i + 9], key[i:i + 9], 5) for i in range(0, len(key), 9)]
-    rows = pd.concat(parts).sort_values("chunk", kind="stable")
+    want = {(a, b) for g in pd.DataFrame({"k": key, "n": node}).groupby("k")["n"].apply(set) for a in g for b in g}
+    sketch = np.stack([node, node * 3 + 1], axis=1).astype(np.uint64)
+    parts = [L.packed(node[i:i + 20], key[i:i + 20, None], 5, sketch[i:i + 20]).to_pandas() for i in range(0, len(key), 20)]
+    docs = [(15 + i, np.array([0, i], np.int32).tobytes(), np.array([7, 8, i, -i]).tobytes(), None if i == 3 else f"d{i}", i) for i in range(4)]
+    rows = pd.concat([*parts, pd.DataFrame(docs, columns=L.PACKED.names)]).sort_values("chunk", kind="stable")
     for size in (1, 3, 1000):
-        got = pd.concat(list(L.buckets(rows.iloc[i:i + size] for i in range(0, len(rows), size))))
-        assert {frozenset(g) for g in got.groupby("bucket")["node"].apply(set)} == want
-    if giant > 1000:
-        assert (got.groupby("bucket")["node"].min() == got.groupby("bucket")["lead"].first()).all()
-    assert not list(L.buckets(iter([])))
+        batches = (pa.RecordBatch.from_pandas(rows.iloc[i:i + size], L.PACKED, preserve_index=False) for i in range(0, len(rows), size))
+        got = pd.concat([b.to_pandas() for b in L.gathered(batches, 5)])
+        known = got[got["kind"] == L.SKETCH]
+        assert sorted(known["node"]) == sorted(set(node.tolist()))
+        assert (known["s0"] == known["node"]).all() and (known["s1"] == known["node"] * 3 + 1).all()
+        lines = got[got["kind"] == L.LINE]
+        assert sorted(zip(lines["digest"], lines["line"], lines["n"], lines["node"], lines["b"])) == sorted(
+            x for i in range(4) for x in ((i, 0, 2, 7, 8), (i, i, 2, i, -i)))
+        met = {(a, b) for g in got[got["kind"] == L.MEMBER].groupby("bucket")["node"].apply(set) for a in g for b in g}
+        if giant > 1000 and frequent == 64:        # named by the smallest node: all that it meets is together
+            assert met >= {(a, b) for a, b in want if (a, a) in met and (b, b) in met}
+        assert {(a, b) for a, b in want if a != b} <= met
+    assert not list(L.gathered(iter([]), 5))
+
+
+@pytest.mark.parametrize("n, sides", [(2, 1), (5, 1), (64, 1), (65, 1), (400, 1), (50, 3), (300, 3)])
+def test_sketch_links_against_all_pairs(n, sides):
+    rng = np.random.default_rng(n)
+    base = rng.integers(0, 4, (6, 64))
+    unit, side, node, lanes = [], [], [], []
+    for u in range(5):
+        for i in range(n):
+            own = base[rng.integers(0, 6)].copy()
+            at = rng.choice(64, rng.integers(0, 30), replace=False)
+            own[at] = rng.integers(0, 4, len(at))
+            unit.append(u)
+            side.append(int(rng.integers(1, 3)) if sides > 1 else 0)
+            node.append(int(rng.integers(0, 10 ** 6)))
+            lanes.append(own)
+    lanes = np.array(lanes)
+    sketch = np.bitwise_or.reduce(lanes.astype(np.uint64).reshape(-1, 2, 32) << np.arange(0, 64, 2, dtype=np.uint64), axis=2)
+    agree = (lanes[:, None] == lanes[None]).sum(axis=2)
+    assert (L.agreeing(sketch[:, None], sketch[None]) == agree).all()
+    unit, side, node = np.array(unit), np.array(side), np.array(node)
+    near = (agree >= L.AGREE) & (unit[:, None] == unit) & ((side[:, None] != side) | (side == 0))
+    number = {v: i for i, v in enumerate(sorted(set(node.tolist())))}
+    links = [(number[node[i]], number[node[j]]) for i, j in zip(*np.nonzero(near))]
+    a, b = L.link_sketches(unit, side, node, sketch)
+    want, got = (union_find(len(number), x) for x in (links, [(number[x], number[y]) for x, y in zip(a.tolist(), b.tolist())]))
+    assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_small_units_against_all_pairs(seed):
+    rng = random.Random(seed)
+    units = []
+    for _ in range(40):
+        base = "".join(rng.choice("abcdé ") for _ in range(rng.choice([1, 3, 5, 30, 90])))
+        units.append([base] + [edited(rng, base, 0.1) if rng.random() < 0.3 else base + rng.choice(["", "x", " tail", "é" * 9]) for _ in range(rng.randrange(1, 6))])
+    rows = pd.DataFrame([(u, 0, 100 * u + i, t) for u, own in enumerate(units) for i, t in enumerate(own)], columns=["unit", "side", "node", "payload"])
+    near = [(100 * u + i, 100 * u + j) for u, own in enumerate(units) for i in range(len(own)) for j in range(i)
+            if len(L.shingles(own[i]) & L.shingles(own[j])) >= 0.8 * len(L.shingles(own[i]) | L.shingles(own[j])) - 1e-12]
+    for small in (0, 6):
+        got = union_find(4000, list(zip(*L.compare_lines(rows, small))))
+        want = union_find(4000, near)
+        assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+
+
+def test_components_in_rounds_and_in_one_task(spark):
+    from pairscope.llm.components import components
+    rng = random.Random(11)
+    links = [(rng.randrange(900), rng.randrange(900)) for _ in range(500)] + [(i, i + 1) for i in range(1000, 1400)] + [(5, 5), (None, 3)]
+    df = spark.createDataFrame(links, "a long, b long").repartition(5)
+    roots = union_find(1500, [(a, b) for a, b in links if a is not None])
+    least = {}
+    for i, r in enumerate(roots):
+        least.setdefault(r, i)
+    want = {i: least[r] for i, r in enumerate(roots) if least[r] != i}
+    assert {r.node: r.root for r in components(df, one_task=0).collect()} == want == {r.node: r.root for r in components(df).collect()}
+
+
+def test_large_groups_are_connected_in_blocks(spark):
+    """Groups far beyond a block, dense ones and ones that fall apart: the same components as all pairs."""
+    rng = random.Random(7)
+    base = [" ".join(f"{rng.choice('abcdef')}{rng.randrange(99)}" for _ in range(30)) for _ in range(4)]
+    lines = sorted({edited(rng, base[min(int(rng.expovariate(1.5)), 3)], rng.choice([0.0, 0.03, 0.06, 0.2])) for _ in range(260)})
+    rows = spark.createDataFrame([(g, 1000 * g + i, t) for g in (1, 2) for i, t in enumerate(lines) if g == 1 or i < 20], "group long, node long, payload string")
+    links = [(r.a, r.b) for r in L.linked(rows, L.compare_lines, 25).collect()]
+    grams = [L.shingles(t) for t in lines]
+    near = [(i, j) for i in range(len(lines)) for j in range(i) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j]) - 1e-12]
+    want = union_find(2020, [(1000 + i, 1000 + j) for i, j in near] + [(2000 + i, 2000 + j) for i, j in near if i < 20 and j < 20])
+    got = union_find(2020, links)
+    assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+
+
+def test_repeated_rows_keep_one_copy_of_their_lines(spark):
+    rows = [(1, "one line\nanother", "a")] * 3 + [(1, "one line\nanother", "b"), (None, "third line", "c"), (None, "third line", "d"), (2, "own", "a")]
+    got = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    kept = [(r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got.collect()]
+    assert Counter(kept) == Counter([(1, "one line\nanother", 2, 0)] + [(1, "", 2, 2)] * 3 + [(None, "third line", 1, 0), (None, "", 1, 1), (2, "own", 1, 0)])
+    assert sorted(r.source for r in got.collect()) == ["a"] * 4 + ["b", "c", "d"]
 
 
 @pytest.mark.parametrize("seed", range(4))
