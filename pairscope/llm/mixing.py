@@ -21,6 +21,13 @@ PART = 8.0
 #: Terms of the cumulative sum for one part: P(Poisson(8) > 60) < 2^-53, the
 #: spacing of the uniform numbers, so no draw is cut off.
 TERMS = 60
+#: Parts drawn in one row; a document with a larger mean is split into pieces
+#: of this many, which are drawn in tasks of their own.
+PIECE = 512
+#: Numbers of copies that a piece has room for: P(Poisson(4096) > 2^20) is 0.
+ROOM = 1 << 20
+#: Values that one row is expanded to at once.
+STEP = 100_000
 #: Bytes of source names and rates up to which the rates are broadcast.
 BROADCAST_BYTES = 16 << 20
 
@@ -69,39 +76,73 @@ def source_rates(docs: DataFrame, source_col: str, size: Column, weights: dict[s
 
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                 weights: dict[str, float] | None = None, budget: float | None = None, seed: int = 11) -> DataFrame:
-    """``docs`` repeated to the target weights: its columns, ``copy`` (1..count) and ``shuffle_key``.
+    """``docs`` repeated to the target weights: its columns, ``copy`` (long, from 1 on) and ``shuffle_key``.
 
     A source's size is the UTF-8 bytes of its texts plus one a document, so no
     source has size 0.  A null source is a source of its own; a null text has
     no bytes.  Equal rows (id and text) draw equal counts.  Sorting by
     ``shuffle_key`` is the global shuffle; see ``shuffled``.  Existing columns
     ``copy`` and ``shuffle_key`` are replaced.  An empty table gives an empty one.
+
+    Rates have no bound: a document that is repeated more than 4,096 times in
+    the mean is drawn and expanded in pieces in many tasks (its copies then
+    number from piece x 2^20 + 1 on).  A very long text is copied as often as it
+    is drawn.
     """
     docs = docs.drop("copy", "shuffle_key")
     size = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + 1
     rates = source_rates(docs, source_col, size, weights, budget)
-    key, rate, mixed, count = (fresh(docs.columns, c) for c in ("seed_key", "rate", "mixed_source", "count"))
+    key, rate, mixed, count, piece, chunk = (fresh([*docs.columns, "copy"], c) for c in (
+        "seed_key", "rate", "mixed_source", "count", "piece", "chunk"))
     rates = materialise(rates.select(F.col("source").alias(mixed), F.col("rate").alias(rate)), "rates")
     room = rates.agg(F.sum(F.coalesce(F.octet_length(mixed), F.lit(0)) + 64)).first()[0] or 0
     if room <= BROADCAST_BYTES:  # beyond it a shuffled join, whose hot sources adaptive execution splits
         rates = F.broadcast(rates)
     ident = (f"concat_ws(':', '{seed}', coalesce(cast(`{id_col}` as string), ''), "
              f"md5(coalesce(`{text_col}`, '')))")
+    seeded = docs.withColumn(key, F.expr(ident)).join(rates, F.expr(f"`{source_col}` <=> {mixed}")).where(f"{rate} > 0")
+    small = seeded.where(f"{rate} <= {PIECE * PART}").withColumn(piece, F.lit(0).cast("long"))
+    out = _copies(small, key, rate, count, piece, chunk)
+    if rates.where(f"{rate} > {PIECE * PART}").limit(1).count():
+        # The pieces of much repeated documents are dealt out anew, so that no task draws or expands more than a few.
+        last = f"cast(ceil({rate} / {PIECE * PART}) as long) - 1"
+        large = _expanded(seeded.where(f"{rate} > {PIECE * PART}"), f"{last} + 1", piece, chunk)
+        out = out.unionByName(_copies(large.repartition(F.expr(f"xxhash64({key}, {piece})")), key, rate, count, piece, chunk))
+    return (out.withColumn("shuffle_key", F.expr(f"md5(concat({key}, '/', copy))"))
+            .select(*docs.columns, "copy", "shuffle_key"))
+
+
+def _expanded(df: DataFrame, n: str, column: str, chunk: str) -> DataFrame:
+    """Each row once for every ``column`` from 0 to ``n`` - 1 (a long), by arrays of bounded size."""
+    return (df.withColumn(chunk, F.explode(F.expr(f"sequence(0L, ({n} - 1) div {STEP})")))
+            .withColumn(column, F.explode(F.expr(f"sequence({chunk} * {STEP}, least({n}, ({chunk} + 1) * {STEP}) - 1)")))
+            .drop(chunk))
+
+
+def _copies(df: DataFrame, key: str, rate: str, count: str, piece: str, chunk: str) -> DataFrame:
+    """``df`` repeated by the counts drawn for its pieces, with ``copy``.
+
+    Piece p draws the parts p * PIECE + 1 and on, up to PIECE of them: parts of
+    mean PART and at last what is left of the rate.
+    """
+    n_parts = f"greatest(cast(ceil({rate} / {PART}) as long), 1L)"
+    lo, hi = f"({piece} * {PIECE} + 1)", f"least({n_parts}, ({piece} + 1) * {PIECE})"
+    u = uniform_sql(f"concat({key}, chr(58), i)")
     draws = poisson_sql("m.mean", "m.u")
-    n_parts = f"cast(ceil({rate} / {PART}) as int)"
-    counted = (
-        docs.withColumn(key, F.expr(ident))
-        .join(rates, F.expr(f"`{source_col}` <=> {mixed}"))
-        .withColumn(count, F.expr(
-            f"if({rate} <= 0, 0, aggregate(transform(transform(sequence(1, greatest({n_parts}, 1)), i -> named_struct("
-            f"'mean', if(i < {n_parts}, {PART}D, {rate} - {PART}D * ({n_parts} - 1)), "
-            f"'u', {uniform_sql(f'concat({key}, chr(58), i)')})), m -> {draws}), 0, (a, x) -> a + x))")))
-    return (counted.where(f"{count} > 0")
-            .withColumn("copy", F.explode(F.expr(f"sequence(1, {count})")))
-            .withColumn("shuffle_key", F.expr(f"md5(concat({key}, '/', copy))"))
-            .drop(key, rate, mixed, count))
-
-
-def shuffled(mixed: DataFrame) -> DataFrame:
-    """The global shuffle: rows in the order of their hash keys, range-partitioned."""
-    return mixed.orderBy("shuffle_key")
+    drawn = df.withColumn(count, F.expr(
+        f"aggregate(transform(transform(sequence({lo}, {hi}), i -> named_struct("
+        f"'mean', if(i < {n_parts}, {PART}D, {rate} - {PART}D * ({n_parts} - 1)), "
+        f"'u', {u})), m -> {draws}), 0L, (a, x) -> a + x)"))
+    return (_expanded(drawn.where(f"{count} > 0"), count, "copy", chunk)
+            .withColumn("copy", F.expr(f"{piece} * {ROOM} + copy + 1")))
+
+
+def shuffled(mixed: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The global shuffle: rows in the order of their hash keys.
+
+    The keys are uniform, so partition i takes the i-th range of their first 32
+    bits: no pass over the rows has to look for ranges, and every copy is drawn once.
+    """
+    n = partitions or int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = F.expr(f"cast(conv(substr(shuffle_key, 1, 8), 16, 10) as bigint) * {n} div 4294967296L")
+    return mixed.repartitionById(n, at.cast("int")).sortWithinPartitions("shuffle_key")

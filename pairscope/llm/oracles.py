@@ -66,12 +66,16 @@ def op5_sql() -> str:
 WITH RECURSIVE {CRC_CTES},
 docs AS (
   SELECT doc_id, coalesce(strlen(text), 0)::BIGINT + 1 AS size, {crc_sql("coalesce(text, '')")} AS text_crc32,
-         {crc_sql("coalesce(CAST(doc_id AS VARCHAR), '')")} % 4096 AS bucket
+         text
   FROM documents, crc_table),
+bucketed AS (
+  SELECT doc_id, size, text_crc32,
+         {crc_sql("concat(coalesce(CAST(doc_id AS VARCHAR), ''), '/', text_crc32, '/', size)")} % 4096 AS bucket
+  FROM docs, crc_table),
 numbered AS (
   SELECT doc_id, size, text_crc32, count(*) OVER () AS n,
          row_number() OVER (ORDER BY bucket, doc_id NULLS FIRST, text_crc32, size) - 1 AS row_number
-  FROM docs),
+  FROM bucketed),
 sides AS (
   SELECT row_number, n, CAST(ceil(sqrt(n)) AS BIGINT) AS a FROM numbered),
 walk AS (

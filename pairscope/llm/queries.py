@@ -52,7 +52,10 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
         "*", (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
-    return shard_rows(docs, N_SHARDS, ["doc_id", "text_crc32", "size"], SHARD_SEED).select(
+    keys = ["doc_id", "text_crc32", "size"]
+    # The sharded rows are written with all their columns; their digest is returned.
+    sharded = materialise(shard_rows(docs, N_SHARDS, keys, SHARD_SEED, bucket_by=keys), "sharded")
+    return sharded.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "row_number")
 

@@ -99,50 +99,75 @@ def permuted(df: DataFrame, number: str, n: int, seed: int, out: str) -> DataFra
             .drop(*names))
 
 
-def number_rows(df: DataFrame, order_by: list[str], number: str, buckets: int = 4096) -> tuple[DataFrame, int]:
+def row_hashes(columns: list[str]) -> list:
+    """128 bits of a row as two hashes: no two different rows of any corpus share both."""
+    return [F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)]
+
+
+def number_rows(df: DataFrame, order_by: list[str], number: str, buckets: int = 4096,
+                bucket_by: list[str] | None = None) -> tuple[DataFrame, int]:
     """Number the rows 0..N-1 without a global sort; returns the frame and N.
 
-    The order is: crc32 bucket of the first key's text, then the keys (nulls
-    first), then a hash of the whole row.  Rows equal in every column are
-    merged into one entry with a count first (map-side), so no group of
-    repeats is ever sorted in one task; their numbers follow each other.
+    The order is: bucket, then the keys ``order_by`` (nulls first), then a hash
+    of the whole row.  The bucket comes from the texts of ``bucket_by``, or
+    from the row's hash, so that however many rows share a key they are not
+    sorted in one task.  Only keys, hashes and counts are sorted (rows equal in
+    every column are one entry, counted map-side); whole rows move once, to
+    find their number by hash.
     """
     cols = df.columns
-    names = [fresh(cols, c) for c in ("bucket", "rowhash", "copies", "upto", "start", "base", "at", "chunk")]
-    bucket, rowhash, copies, upto, start, base, at, chunk = names
-    first = F.coalesce(F.col(order_by[0]).cast("string"), F.lit(""))
-    entries = df.groupBy(*cols).agg(F.count("*").alias(copies)).withColumns({
-        bucket: F.pmod(F.crc32(first), F.lit(buckets)), rowhash: F.xxhash64(*cols)})
-    w = Window.partitionBy(bucket).orderBy(*[F.asc_nulls_first(c) for c in order_by], rowhash)
-    entries = materialise(entries.withColumn(
-        upto, F.sum(copies).over(w.rowsBetween(Window.unboundedPreceding, 0))), "numbered")
+    names = [fresh(cols, c) for c in ("bucket", "row_a", "row_b", "copies", "upto", "start", "base", "at", "chunk", "key_a", "key_b")]
+    bucket, row_a, row_b, copies, upto, start, base, at, chunk, key_a, key_b = names
+    if bucket_by is None:
+        place = F.pmod(row_a, F.lit(buckets))
+    else:
+        text = F.concat_ws("/", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in bucket_by])
+        place = F.pmod(F.crc32(text), F.lit(buckets))
+    keys = [f"k{i}_{row_a}" for i in range(len(order_by))]
+    hashed = df.withColumns(dict(zip((row_a, row_b), row_hashes(cols))))
+    entries = (hashed.select(place.cast("int").alias(bucket), row_a, row_b, *[F.col(c).alias(k) for c, k in zip(order_by, keys)])
+               .groupBy(bucket, row_a, row_b, *keys).agg(F.count("*").alias(copies)))
+    w = Window.partitionBy(bucket).orderBy(*[F.asc_nulls_first(k) for k in keys], row_a, row_b)
+    entries = materialise(entries.withColumn(upto, F.sum(copies).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+                          .select(bucket, F.col(row_a).alias(key_a), F.col(row_b).alias(key_b), copies, upto), "numbered")
     # One row per bucket, so its size is bounded by the parameter.
     sizes = entries.groupBy(bucket).agg(F.max(upto).alias(base))
     before = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(bucket, F.coalesce(F.sum(base).over(before), F.lit(0)).alias(start))
     total = sizes.agg(F.sum(base)).first()[0] or 0
-    step = 100_000
-    return (entries.join(F.broadcast(starts), bucket)
-            .withColumn(base, F.expr(f"{start} + {upto} - {copies}"))
-            .withColumn(chunk, F.explode(F.expr(f"sequence(0L, ({copies} - 1) div {step})")))
-            .withColumn(at, F.explode(F.expr(
-                f"sequence({chunk} * {step}, least({copies}, ({chunk} + 1) * {step}) - 1)")))
-            .withColumn(number, F.expr(f"{base} + {at}"))
-            .select(*cols, number)), total
+    placed = (entries.join(F.broadcast(starts), bucket)
+              .select(key_a, key_b, copies, F.expr(f"{start} + {upto} - {copies}").alias(base)))
+    found = F.expr(f"{row_a} = {key_a} and {row_b} = {key_b}")
+    # The narrow side is hashed, so that whole rows are not sorted.
+    out = hashed.join(placed.where(f"{copies} = 1").hint("shuffle_hash"), found).select(*cols, F.col(base).alias(number))
+    repeated = placed.where(f"{copies} > 1")
+    if not entries.where(f"{copies} > 1").isEmpty():
+        # Repeats of a row are merged map-side and dealt their numbers in chunks, so many of them are no hot group.
+        step = 100_000
+        merged = hashed.join(repeated.select(key_a, key_b), found, "left_semi").groupBy(*cols, row_a, row_b).agg(F.count("*").alias(upto))
+        dealt = (merged.join(repeated, found)
+                 .withColumn(chunk, F.explode(F.expr(f"sequence(0L, ({copies} - 1) div {step})")))
+                 .withColumn(at, F.explode(F.expr(
+                     f"sequence({chunk} * {step}, least({copies}, ({chunk} + 1) * {step}) - 1)"))))
+        out = out.unionByName(dealt.select(*cols, F.expr(f"{base} + {at}").alias(number)))
+    return out, total
 
 
 def shard_rows(df: DataFrame, n_shards: int, order_by: list[str], seed: int = 7,
-               buckets: int = 4096) -> DataFrame:
+               buckets: int = 4096, bucket_by: list[str] | None = None) -> DataFrame:
     """``df`` plus ``shard`` (int), ``slot`` (long) and ``row_number`` (long).
 
     Existing columns of those names are replaced.  ``order_by`` names the
-    columns whose values fix the row numbers; nulls are ordinary values, rows
-    equal in them are ordered by a hash of the whole row, and rows equal in
-    every column are interchangeable, so the result depends on the rows alone
-    and not on files or partitions.  An empty table gives an empty result.
+    columns whose values fix the row numbers within a bucket (see
+    ``number_rows``); nulls are ordinary values, rows equal in them are ordered
+    by a hash of the whole row, and rows equal in every column are
+    interchangeable, so the result depends on the rows alone and not on files
+    or partitions.  A very long text is hashed and moved once, and never
+    sorted; very many rows of one id, or none, spread over all buckets.  An
+    empty table gives an empty result.
     """
     df = df.drop("shard", "slot", "row_number")
-    numbered, total = number_rows(df, order_by, "row_number", buckets)
+    numbered, total = number_rows(df, order_by, "row_number", buckets, bucket_by)
     place = fresh(numbered.columns, "place")
     return (permuted(numbered, "row_number", total, seed, place)
             .withColumns({"shard": F.expr(f"cast({place} % {n_shards} as int)"),
