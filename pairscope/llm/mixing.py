@@ -21,9 +21,10 @@ PART = 8.0
 #: Terms of the cumulative sum for one part: P(Poisson(8) > 60) < 2^-53, the
 #: spacing of the uniform numbers, so no draw is cut off.
 TERMS = 60
-#: Parts drawn in one row; a document with a larger mean is split into pieces
-#: of this many, which are drawn in tasks of their own.
-PIECE = 512
+#: A document with a larger mean is split into pieces of this mean, which are
+#: drawn in tasks of their own, in fewer parts of a larger mean.
+PIECE = 4096.0
+LARGE_PART, LARGE_TERMS = 256.0, 512     # P(Poisson(256) > 512) < 2^-53
 #: Numbers of copies that a piece has room for: P(Poisson(4096) > 2^20) is 0.
 ROOM = 1 << 20
 #: Values that one row is expanded to at once.
@@ -37,13 +38,13 @@ def uniform_sql(parts: str) -> str:
     return f"(cast(conv(substr(md5({parts}), 1, 13), 16, 10) as bigint) / 4503599627370496.0D)"
 
 
-def poisson_sql(mean: str, uniform: str) -> str:
+def poisson_sql(mean: str, uniform: str, terms: int = TERMS) -> str:
     """Inverse Poisson distribution function at ``uniform`` (SQL text).
 
     Walks p(k) = p(k-1) * mean / k; the count is the number of k whose
     cumulative probability is at or below the uniform number.
     """
-    return (f"aggregate(sequence(1, {TERMS}), named_struct('p', exp(-{mean}), 'c', exp(-{mean}), 'u', {uniform}, "
+    return (f"aggregate(sequence(1, {terms}), named_struct('p', exp(-{mean}), 'c', exp(-{mean}), 'u', {uniform}, "
             f"'k', if({uniform} >= exp(-{mean}), 1, 0)), (s, i) -> named_struct("
             f"'p', s.p * {mean} / i, 'c', s.c + s.p * {mean} / i, 'u', s.u, "
             f"'k', s.k + if(s.u >= s.c + s.p * {mean} / i, 1, 0)), s -> s.k)")
@@ -101,13 +102,14 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ident = (f"concat_ws(':', '{seed}', coalesce(cast(`{id_col}` as string), ''), "
              f"md5(coalesce(`{text_col}`, '')))")
     seeded = docs.withColumn(key, F.expr(ident)).join(rates, F.expr(f"`{source_col}` <=> {mixed}")).where(f"{rate} > 0")
-    small = seeded.where(f"{rate} <= {PIECE * PART}").withColumn(piece, F.lit(0).cast("long"))
-    out = _copies(small, key, rate, count, piece, chunk)
-    if rates.where(f"{rate} > {PIECE * PART}").limit(1).count():
+    small = seeded.where(f"{rate} <= {PIECE}").withColumn(piece, F.lit(0).cast("long"))
+    out = _copies(small, key, rate, count, piece, chunk, PART, TERMS)
+    if rates.where(f"{rate} > {PIECE}").limit(1).count():
         # The pieces of much repeated documents are dealt out anew, so that no task draws or expands more than a few.
-        last = f"cast(ceil({rate} / {PIECE * PART}) as long) - 1"
-        large = _expanded(seeded.where(f"{rate} > {PIECE * PART}"), f"{last} + 1", piece, chunk)
-        out = out.unionByName(_copies(large.repartition(F.expr(f"xxhash64({key}, {piece})")), key, rate, count, piece, chunk))
+        large = _expanded(seeded.where(f"{rate} > {PIECE}"), f"cast(ceil({rate} / {PIECE}) as long)", piece, chunk)
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))     # stated, so that few bytes are not put together
+        out = out.unionByName(_copies(large.repartition(n, F.expr(f"xxhash64({key}, {piece})")), key, rate, count, piece, chunk,
+                                      LARGE_PART, LARGE_TERMS))
     return (out.withColumn("shuffle_key", F.expr(f"md5(concat({key}, '/', copy))"))
             .select(*docs.columns, "copy", "shuffle_key"))
 
@@ -119,19 +121,20 @@ def _expanded(df: DataFrame, n: str, column: str, chunk: str) -> DataFrame:
             .drop(chunk))
 
 
-def _copies(df: DataFrame, key: str, rate: str, count: str, piece: str, chunk: str) -> DataFrame:
+def _copies(df: DataFrame, key: str, rate: str, count: str, piece: str, chunk: str, part: float, terms: int) -> DataFrame:
     """``df`` repeated by the counts drawn for its pieces, with ``copy``.
 
-    Piece p draws the parts p * PIECE + 1 and on, up to PIECE of them: parts of
-    mean PART and at last what is left of the rate.
+    The rate is a sum of parts of mean ``part`` and what is left; a piece draws
+    its own of them.
     """
-    n_parts = f"greatest(cast(ceil({rate} / {PART}) as long), 1L)"
-    lo, hi = f"({piece} * {PIECE} + 1)", f"least({n_parts}, ({piece} + 1) * {PIECE})"
+    each = int(PIECE / part)
+    n_parts = f"greatest(cast(ceil({rate} / {part}) as long), 1L)"
+    lo, hi = f"({piece} * {each} + 1)", f"least({n_parts}, ({piece} + 1) * {each})"
     u = uniform_sql(f"concat({key}, chr(58), i)")
-    draws = poisson_sql("m.mean", "m.u")
+    draws = poisson_sql("m.mean", "m.u", terms)
     drawn = df.withColumn(count, F.expr(
         f"aggregate(transform(transform(sequence({lo}, {hi}), i -> named_struct("
-        f"'mean', if(i < {n_parts}, {PART}D, {rate} - {PART}D * ({n_parts} - 1)), "
+        f"'mean', if(i < {n_parts}, {part}D, {rate} - {part}D * ({n_parts} - 1)), "
         f"'u', {u})), m -> {draws}), 0L, (a, x) -> a + x)"))
     return (_expanded(drawn.where(f"{count} > 0"), count, "copy", chunk)
             .withColumn("copy", F.expr(f"{piece} * {ROOM} + copy + 1")))

@@ -112,7 +112,7 @@ drawn AS (
   SELECT doc_id, source, key, i, count(*) FILTER (WHERE u >= c) AS n
   FROM parts JOIN cdf USING (mean) GROUP BY doc_id, source, key, i),
 counts AS (SELECT doc_id, source, key, CAST(sum(n) AS BIGINT) AS n FROM drawn GROUP BY doc_id, source, key)
-SELECT doc_id, source, CAST(copy AS INTEGER) AS copy, md5(concat(key, '/', copy)) AS shuffle_key
+SELECT doc_id, source, CAST(copy AS BIGINT) AS copy, md5(concat(key, '/', copy)) AS shuffle_key
 FROM counts, LATERAL (SELECT unnest(range(1, n + 1)) AS copy)
 """
 

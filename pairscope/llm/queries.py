@@ -61,9 +61,9 @@ def op5_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The mixed corpus is written with all its columns; its list, which is returned, is put in the same order.
+    # The mixed corpus is written with all its columns; the list of it is returned.
     mixed = materialise(shuffled(mix_sources(read_table(spark, sf_dir, "documents"), seed=MIX_SEED)), "mixed")
-    return shuffled(mixed.select("doc_id", "source", "copy", "shuffle_key"))
+    return mixed.select("doc_id", "source", "copy", "shuffle_key")
 
 
 def op7_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
