@@ -10,6 +10,7 @@ boundary is allocated by an explicit rule.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,6 +23,11 @@ from .common import small_batches
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Splitting pattern of that vocabulary (fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: White space as that pattern knows it (fixed value).
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+RUNS = re.compile(f"[{WHITE}]{{256,}}")
+#: White space characters in a row up to which the pattern is left to find their end.
+LONG = 1 << 16
 #: most: the section with most of the token's characters, ties to the earlier;
 #: first: the section of its first character that lies in any; split: every
 #: section gets the share of the token's characters that it holds.
@@ -35,13 +41,38 @@ class Encoder:
         import tiktoken
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.splits = pattern == PATTERN
         self.lengths = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, i in ranks.items():
             self.lengths[i] = len(token)
 
+    def ids(self, text: str) -> np.ndarray:
+        """Token ids of the whole text.
+
+        The pattern steps back over white space to find the last of it before a
+        word, which exhausts its stack on a very long run.  Such a run is one
+        piece of the pattern, but for its last character if more text follows,
+        so it is cut out and encoded as that piece; the tokens are the same.
+        """
+        parts, at = [], 0
+        if self.splits and len(text) > LONG:
+            for m in RUNS.finditer(text):
+                end = m.end() - (m.end() < len(text))
+                if m.end() - m.start() > LONG:
+                    parts += [self._encode(text[at: m.start()]), self._run(text[m.start(): end])]
+                    at = end
+        return np.concatenate([*parts, self._encode(text[at:])])
+
+    def _encode(self, text: str) -> np.ndarray:
+        return self.encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)
+
+    def _run(self, blanks: str) -> np.ndarray:
+        """White space alone, which is one piece of the pattern whatever its length."""
+        return np.asarray(self.encoding._encode_single_piece(blanks), np.int64)
+
     def spans(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """First character and end of each token; a character that several tokens share counts for each of them."""
-        ids = self.encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=()).astype(np.int64)
+        ids = self.ids(text)
         if not len(ids):
             return np.empty(0, np.int64), np.empty(0, np.int64)
         end = np.cumsum(self.lengths[ids])
@@ -95,7 +126,8 @@ def section_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Sections are lines with their line end, numbered from 0; their tokens add
     up to those of the document.  A null or empty text has one empty section
-    with no tokens.  Repeated rows give repeated results, a null id stays null;
+    with no tokens.  Very long texts are encoded whole, runs of millions of
+    blanks or line feeds too.  Repeated rows give repeated results, a null id stays null;
     other columns are ignored; an empty table gives an empty result.
     """
     return _attribute(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), id_col, None, rule, vocabulary, pattern)
