@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 from zlib import crc32
 
@@ -72,6 +74,8 @@ def blocks_of(page: str | None) -> list[Block]:
     pieces: list[str] = []
     linked, in_link = 0, False
     hidden: list[tuple[str, int]] = []       # open hidden elements, and how many blocks are around them
+    deeper: list[str] = []                   # open elements beyond the depth, which no path shows
+    beyond: Counter[str] = Counter()         # their tags
     path: tuple[str, ...] | None = None
 
     def flush() -> None:
@@ -89,6 +93,8 @@ def blocks_of(page: str | None) -> list[Block]:
     def close(index: int) -> None:
         nonlocal path
         del stack[index:]
+        deeper.clear()
+        beyond.clear()
         while hidden and hidden[-1][1] > index:
             hidden.pop()
         path = None
@@ -149,7 +155,13 @@ def blocks_of(page: str | None) -> list[Block]:
             if tag == "hr":
                 flush()
         elif tag in BLOCK:
-            if closing:
+            if closing and beyond[tag]:                    # closes the last of these, and what is open within
+                flush()
+                while True:
+                    beyond[deeper[-1]] -= 1
+                    if deeper.pop() == tag:
+                        break
+            elif closing:
                 found = -1
                 for i in range(len(stack) - 1, -1, -1):
                     if stack[i][0] == tag:
@@ -179,6 +191,9 @@ def blocks_of(page: str | None) -> list[Block]:
                 if len(stack) < DEPTH:
                     stack.append((tag, path_words(tag, attributes)))
                     path = None
+                else:
+                    deeper.append(tag)
+                    beyond[tag] += 1
     flush()
     return out
 
@@ -235,6 +250,7 @@ ROLES = {
     "share": (["div"], ["share", "social", "sharing", "follow"], ["Share", "Tweet", "Like", "Print", "Email this"]),
 }
 MAIN = ["content", "post", "entry content", "article body", "story", "main", "post content", "text", "page content", "article"]
+WORDS = 6000         # different words of a generator's texts
 SYLLABLES = ["an", "er", "th", "ion", "en", "es", "re", "ou", "ti", "la", "de", "que", "sch", "un", "ei", "ra", "mo", "ka", "li", "so"]
 
 
@@ -243,18 +259,20 @@ class Generator:
 
     def __init__(self, seed: int):
         self.rng = np.random.default_rng(seed)
+        self.plain = random.Random(seed)
+        self.words = ["".join(self.plain.choices(SYLLABLES, k=self.plain.randrange(1, 5))) for _ in range(WORDS)]
 
     def pick(self, items):
-        return items[int(self.rng.integers(len(items)))]
+        return self.plain.choice(items)
 
     def chance(self, p: float) -> bool:
-        return bool(self.rng.random() < p)
+        return self.plain.random() < p
 
     def word(self) -> str:
-        return "".join(self.pick(SYLLABLES) for _ in range(int(self.rng.integers(1, 5))))
+        return self.plain.choice(self.words)
 
     def sentence(self, n: int) -> str:
-        words = [self.word() for _ in range(n)]
+        words = self.plain.choices(self.words, k=n)
         if n > 6 and self.chance(0.5):
             words[n // 2] += ","
         return " ".join(words).capitalize() + ("." if self.chance(0.85) else "")
@@ -286,7 +304,8 @@ class Generator:
             elif role == "menu" or self.chance(0.25):
                 parts.append(f'<li><a href="/{self.word()}">{own}</a></li>')
             else:
-                parts.append(self.pick([f"<p>{own}</p>", f"<div>{own}</div>", f'<div><a href="#">{own}</a></div>', f"<h3>{own}</h3>"]))
+                parts.append(self.pick([f"<p>{own}</p>", f"<div>{own}</div>", f'<div><a href="#">{own}</a></div>', f"<h3>{own}</h3>", f"<h2>{own}</h2>",
+                                        f"<h4>{own}</h4>"]))
         inner = "".join(parts)
         if "<li>" in inner:
             inner = f"<ul>{inner}</ul>"
@@ -296,28 +315,67 @@ class Generator:
             inner = own
         return f"<{tag} {telling}>{inner}</{tag}>"
 
+    def own(self, text: str, tag: str, link: float = 0.0) -> str:
+        """An element of the main text, now and then as a link."""
+        self.mains.append(text)
+        inner = f'<a href="/{self.word()}">{text}</a>' if self.chance(link) else text
+        return f"<{tag}>{inner}</{tag}>"
+
+    def short(self) -> str:
+        return self.sentence(int(self.rng.integers(1, 7)))
+
+    def part(self) -> str:
+        """A list, table or the like of the main text."""
+        kind, n = self.pick(["list", "list", "list", "details", "dl", "table", "figure", "pre"]), int(self.rng.integers(1, 6))
+        if kind == "list":
+            tag, link = self.pick(["ul", "ul", "ol"]), self.pick([0.0, 0.3, 1.0])
+            return f"<{tag}>{''.join(self.own(self.short() if self.chance(0.6) else self.prose(), 'li', link) for _ in range(n))}</{tag}>"
+        if kind == "details":
+            return f"<details>{self.own(self.short(), 'summary')}{''.join(self.own(self.prose(), 'p') for _ in range(n))}</details>"
+        if kind == "dl":
+            return f"<dl>{''.join(self.own(self.short(), 'dt') + self.own(self.prose(), 'dd') for _ in range(n))}</dl>"
+        if kind == "table":
+            wide, head = int(self.rng.integers(1, 4)), self.chance(0.6)
+            rows = [[self.own(self.short() if self.chance(0.7) else str(int(self.rng.integers(1, 9999))), "th" if head and not i else "td", 0.05)
+                     for _ in range(wide)] for i in range(n + 1)]
+            caption = self.own(self.short(), "caption") if self.chance(0.3) else ""
+            return f"<table>{caption}{''.join('<tr>' + ''.join(r) + '</tr>' for r in rows)}</table>"
+        if kind == "figure":
+            return f"<figure><img src=x>{self.own(self.short(), 'figcaption')}</figure>"
+        return self.own(self.prose(), "pre")
+
+    def opening(self) -> str:
+        """Title of the main text, plain or in a header of its own with a line on author and date."""
+        title = self.own(self.sentence(int(self.rng.integers(2, 12))), self.pick(["h1", "h1", "h1", "h2"]))
+        if self.chance(0.65):
+            return title
+        by = self.own(self.pick(["By ", "Written by ", "From ", "Published ", ""]) + " ".join(self.word().capitalize() for _ in range(2)),
+                      self.pick(["p", "p", "div", "address"]))
+        return f"<header>{title}{by if self.chance(0.8) else ''}</header>"
+
     def main(self) -> str:
         out = []
         if self.chance(0.8):
-            title = self.sentence(int(self.rng.integers(2, 12)))
-            self.mains.append(title)
-            out.append(f"<h1>{title}</h1>")
+            out.append(self.opening())
         for _ in range(1 + int(self.rng.geometric(0.12))):
-            text = self.prose()
             kind = self.rng.random()
-            self.mains.append(text)
-            if kind < 0.7:
-                out.append(f"<p>{text}</p>")
-            elif kind < 0.76:
+            if kind < 0.62:
+                out.append(self.own(self.prose(), "p", 0.03))
+            elif kind < 0.67:
+                text = self.prose()
+                self.mains.append(text)
                 out.append(f"<p><b>{text}<br>")
-            elif kind < 0.82:
-                out.append(f"<h2>{text}</h2>")
-            elif kind < 0.88:
-                out.append(f"<ul><li>{text}</li></ul>")
-            elif kind < 0.93:
+            elif kind < 0.73:
+                out.append(self.own(self.prose() if self.chance(0.3) else self.short(), self.pick(["h2", "h2", "h3", "h4"])))
+            elif kind < 0.90:
+                out.append(self.part())
+            elif kind < 0.95:
+                text = self.own(self.prose(), "p") if self.chance(0.4) else self.prose()
+                if not text.startswith("<"):
+                    self.mains.append(text)
                 out.append(f"<blockquote>{text}</blockquote>")
             else:
-                out.append(f"<div>{text}</div>")
+                out.append(self.own(self.prose(), "div"))
             if self.chance(0.07):
                 out.append(self.around(self.pick(["advert", "share", "form", "sidebar", "notice"])))
         inner = "".join(out)

@@ -15,14 +15,14 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import small_batches
 from .html_blocks import NUMBERS, PATH_SLOTS, WORD_SLOTS, Block, Generator, Slots, blocks_of, inputs
 
 PATH_SIZE, WORD_SIZE, HIDDEN = 20, 10, 20
-TRAIN_PAGES, EPOCHS, BATCH = 1200, 4, 24
+TRAIN_PAGES, EPOCHS, BATCH = 2400, 4, 24
 GROUP_BLOCKS = 20_000     # blocks of pages labelled together
 
 
@@ -179,6 +179,22 @@ def train(seed: int = 3, pages: int = TRAIN_PAGES, epochs: int = EPOCHS) -> Labe
     return model
 
 
+_fitted: dict[tuple, dict[str, np.ndarray]] = {}
+
+
+def fitted(spark: SparkSession, seed: int = 3, pages: int = TRAIN_PAGES, epochs: int = EPOCHS) -> Labeller:
+    """``train`` as a Spark task, so that an executor does the work; kept for the next call of this process."""
+    key = (seed, pages, epochs)
+    if key not in _fitted:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for _ in batches:
+                p = train(*key).p
+                yield pd.DataFrame({"name": list(p), "shape": [list(v.shape) for v in p.values()], "data": [v.tobytes() for v in p.values()]})
+        rows = spark.range(1).repartition(1).mapInPandas(run, "name string, shape array<int>, data binary").collect()   # 0.2 MB
+        _fitted[key] = {r.name: np.frombuffer(r.data, np.float32).reshape(r.shape).copy() for r in rows}
+    return Labeller(_fitted[key])
+
+
 def label_pages(model: Labeller, pages: list[list[Block]], slots: tuple[Slots, Slots]) -> list[np.ndarray]:
     """Whether each block is main text; pages of similar length are read together."""
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
@@ -199,13 +215,14 @@ def extract(pages: DataFrame, html_col: str = "html", model: Labeller | None = N
     """``pages`` without its html, plus text, n_chars, n_blocks and n_main.
 
     ``text`` joins the main blocks in page order by one space; it is empty if
-    the html is null, empty or has no main block.  Repeated pages give repeated
+    the html is null, empty or has no main block.  A page of a million blocks is
+    read whole, in a batch of its own.  Repeated pages give repeated
     rows; other columns, nulls too, are passed on; existing columns of the new
     names are replaced; an empty table gives an empty result.
     """
     small_batches(pages.sparkSession)
     pages = pages.drop("text", "n_chars", "n_blocks", "n_main")
-    shared = pages.sparkSession.sparkContext.broadcast((model or train()).p)   # 0.2 MB
+    shared = pages.sparkSession.sparkContext.broadcast((model or fitted(pages.sparkSession)).p)   # 0.2 MB
 
     @F.pandas_udf("text string, n_blocks long, n_main long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
