@@ -67,7 +67,10 @@ def shingle_text(words: list[str], at: int, width: int) -> str:
 
 
 def item_shingles(items: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(item_key, shingle, hash) of the distinct shingles; equal word sequences are one item_key."""
+    """(item_key, shingle, hash, width) of the distinct shingles; equal word sequences are one item_key.
+
+    An item of fewer words than ``width`` is one shingle, as wide as the item.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         codes = Codes()
         for batch in batches:
@@ -78,8 +81,8 @@ def item_shingles(items: DataFrame, id_col: str, text_col: str, width: int) -> D
                 if len(first):
                     yield pd.DataFrame({"item_key": xxhash.xxh128_hexdigest(" ".join(words)),
                                         "shingle": [shingle_text(words, int(i), width) for i in first],
-                                        "hash": h[first].view(np.int64)})
-    return (items.select(F.col(text_col).alias("text")).mapInPandas(run, "item_key string, shingle string, hash long")
+                                        "hash": h[first].view(np.int64), "width": min(width, len(words))})
+    return (items.select(F.col(text_col).alias("text")).mapInPandas(run, "item_key string, shingle string, hash long, width int")
             .distinct())
 
 
@@ -102,16 +105,17 @@ def containment(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_t
 
     A document holds an item if it has at least ``threshold`` of the item's
     distinct word shingles.  Words are lower-case runs of letters, digits and
-    underscores; an item of fewer than ``width`` words is one shingle, which
-    only an equally short document can have; items and documents without words
-    (null or empty) match nothing.  ``digest`` is the MD5 of the document's
+    underscores; an item of fewer than ``width`` words is one shingle as wide
+    as it, and documents are searched for shingles of each such width too;
+    items and documents without words (null or empty) match nothing.  ``digest`` is the MD5 of the document's
     text.  Rows that repeat an id and text give one row; ids may be null.
     Other columns are ignored; empty tables give an empty result.
     """
     spark = docs.sparkSession
     small_batches(spark)
     pieces = materialise(signatures(item_shingles(items, item_id, item_text, width), threshold), "item-shingles")
-    stats = pieces.agg(F.count("*").alias("n"), F.min("n").alias("least")).first()
+    stats = pieces.agg(F.count("*").alias("n"), F.min("n").alias("least"), F.collect_set("width").alias("widths")).first()
+    short = sorted(w for w in stats.widths if w < width)        # widths of items below the width, each searched on its own
     signed = spark.sparkContext.broadcast(bloom.build(pieces.where("signed"), "hash", stats.n, BITS_PER_SHINGLE))
     every = spark.sparkContext.broadcast(bloom.build(pieces, "hash", stats.n, BITS_PER_SHINGLE))
     need = math.ceil(threshold * (stats.least or 1) - 1e-9)
@@ -122,15 +126,15 @@ def containment(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_t
             rows: list[tuple] = []
             for key, digest, text in zip(batch["id"], batch["digest"], batch["text"]):
                 words = words_of(text)
-                h = shingle_hashes(words, codes, width)
-                hit = signed.value.holds(h)
-                if not hit.any():
+                searched = [(width, shingle_hashes(words, codes, width))]
+                searched += [(w, shingle_hashes(words, codes, w)) for w in short if len(words) >= w]
+                if not any(signed.value.holds(h).any() for _, h in searched):
                     continue
-                size = len(np.unique(h))
+                size = len(np.unique(searched[0][1]))
                 if size < need:
                     continue
-                at = np.flatnonzero(every.value.holds(h))
-                rows += [(key, digest, size, t) for t in {shingle_text(words, int(i), width) for i in at}]
+                rows += [(key, digest, size, t) for t in {shingle_text(words, int(i), w) for w, h in searched
+                                                          for i in np.flatnonzero(every.value.holds(h))}]
             yield pd.DataFrame(rows, columns=["id", "digest", "size", "shingle"])
 
     source = docs.select(F.col(doc_id).alias("id"), F.md5(F.coalesce(F.col(doc_text), F.lit(""))).alias("digest"),
@@ -143,8 +147,9 @@ def containment(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_t
     texts = materialise(hits.select("digest", "size", "shingle").distinct(), "texts")
     candidates = (texts.join(pieces.where("signed"), "shingle")
                   .where(f"size >= ceil({threshold}D * n - 1e-9)").select("digest", "item_key").distinct())
-    found = (texts.join(pieces.select("item_key", "shingle", "n"), "shingle")
-             .join(candidates, ["digest", "item_key"], "left_semi")
+    # Shingles meet the items of candidate pairs only: one that very many items and documents share does not multiply out.
+    found = (candidates.join(texts.select("digest", "shingle"), "digest")
+             .join(pieces.select("item_key", "shingle", "n"), ["item_key", "shingle"])
              .groupBy("digest", "item_key", "n").agg(F.count("*").alias("n_shared"))
              .where(f"n_shared >= ceil({threshold}D * n - 1e-9)"))
     keyed = materialise(_item_keys(items, item_id, item_text), "item-keys")

@@ -26,17 +26,19 @@ def crc_sql(text: str) -> str:
 
 def op2_sql() -> str:
     words = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}_]+')"
-    shingles = ("SELECT id, unnest(list_distinct(list_transform(range(greatest(len(words) - 4, 1)), "
-                "lambda i: array_to_string(words[i + 1: i + 5], ' ')))) AS shingle FROM {words} WHERE len(words) > 0")
+    shingles = ("unnest(list_distinct(list_transform(range(len(words) - w + 1), "
+                "lambda i: array_to_string(words[i + 1: i + w], ' ')))) AS shingle")
     return f"""
 WITH doc_words AS (SELECT DISTINCT doc_id AS id, text, {words} AS words FROM documents),
-item_words AS (SELECT DISTINCT item_id AS id, text, {words} AS words FROM benchmark),
-doc_shingles AS ({shingles.format(words="doc_words")}),
-item_shingles AS ({shingles.format(words="item_words")}),
+item_words AS (SELECT DISTINCT id, words, least(len(words), 5) AS w
+               FROM (SELECT item_id AS id, {words} AS words FROM benchmark) WHERE len(words) > 0),
+widths AS (SELECT DISTINCT w FROM item_words),
+doc_shingles AS (SELECT id, w, {shingles} FROM doc_words, widths WHERE len(words) >= w),
+item_shingles AS (SELECT id, w, {shingles} FROM item_words),
 sizes AS (SELECT id, count(*) AS n FROM item_shingles GROUP BY id),
 shared AS (
   SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared
-  FROM doc_shingles d JOIN item_shingles i USING (shingle) GROUP BY ALL)
+  FROM doc_shingles d JOIN item_shingles i USING (shingle, w) GROUP BY ALL)
 SELECT doc_id, item_id, n_shared, n AS n_item, n_shared::DOUBLE / n AS containment
 FROM shared JOIN sizes ON item_id = id WHERE n_shared >= ceil(0.8 * n - 1e-9)
 """
