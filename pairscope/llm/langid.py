@@ -24,6 +24,12 @@ BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 CHUNK = 1 << 20           # characters hashed at a time
 UNKNOWN = "und"
+#: Languages that are learned, those with most texts (a parameter of ``fit``): bounds the weights, 32,769 a language.
+MAX_LANGUAGES = 256
+#: A text is identified if its score lies this far from an even guess to certainty, however many languages are known,
+#: and at least this share of its n-grams occurs in the training documents (0.99 of a text in a learned language does,
+#: about 0.2 in a script that no document has).
+MIN_LIFT, MIN_KNOWN = 1 / 15, 0.5
 #: Bound of the labelled rows fitted on, over all languages (a parameter of
 #: ``fit``); a quarter of them only fit the temperature.
 MAX_ROWS = 2400
@@ -69,6 +75,7 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     temperature: float = 1.0
+    seen: np.ndarray | None = None      # whether the training documents have an n-gram
 
     def values(self, slots: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """TF-IDF of the n-grams in ``slots``, of length 1."""
@@ -162,13 +169,14 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        max_rows: int = MAX_ROWS) -> Model | None:
+        max_rows: int = MAX_ROWS, max_languages: int = MAX_LANGUAGES) -> Model | None:
     """Model of the languages in ``lang_col``; None if no labelled row is left.
 
     Learns from rows with a language that are not held out (crc32 of the id mod
     5 is 0).  Document frequencies count all of them; the weights are fitted on
     at most ``max_rows`` rows, about the same number per language, those with
-    the smallest hash of their text.
+    the smallest hash of their text.  Of more than ``max_languages`` values in
+    ``lang_col`` those with most texts are learned.
     """
     known = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), held_out(id_col).alias("out")).where(
         "not out and lang is not null and text is not null").drop("out")
@@ -176,11 +184,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     df = np.zeros(BUCKETS + 1)
     df[got["slot"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
     digest = F.xxhash64("text", F.lit(1))
-    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct(digest).alias("n")).collect()}
+    sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.approx_count_distinct(digest).alias("n"))
+             .orderBy(F.desc("n"), "lang").limit(max_languages).collect()}
     classes = sorted(sizes)
     if not classes or df[BUCKETS] == 0:
         return None
-    per_class = max(4, max_rows // len(classes))
+    per_class = max(1, max_rows // len(classes))
     # A language with more texts gives those whose hash lies below its share of all hashes.  Copies of a text count once.
     edges = docs.sparkSession.createDataFrame(
         [(c, (1 << 63) - 1 if n <= per_class else int(-(1 << 63) + (1 << 64) * 0.9 * per_class / n)) for c, n in sizes.items()],
@@ -192,7 +201,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     sample.sort(key=lambda r: (r.lang, r.h))
     sample = [r for c in classes for r in [x for x in sample if x.lang == c][:per_class]]
     idf = np.log((1 + df[BUCKETS]) / (1 + df[:BUCKETS])) + 1
-    model = Model(classes, idf, np.zeros((BUCKETS, len(classes))), np.zeros(len(classes)))
+    model = Model(classes, idf, np.zeros((BUCKETS, len(classes))), np.zeros(len(classes)), seen=df[:BUCKETS] > 0)
     number = {c: i for i, c in enumerate(classes)}
     fitting, held = [], []
     for r in sample:
@@ -206,36 +215,41 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` plus lang_pred and score; existing columns of those names are replaced."""
-    docs = docs.drop("lang_pred", "score")
+    """``docs`` plus lang_pred, score and known (the share of its n-grams that training documents have).
+
+    Existing columns of those names are replaced.
+    """
+    docs = docs.drop("lang_pred", "score", "known")
     if model is None:
-        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0)})
+        return docs.withColumns({"lang_pred": F.lit(UNKNOWN), "score": F.lit(0.0), "known": F.lit(0.0)})
     shared = docs.sparkSession.sparkContext.broadcast(model)  # buckets x languages numbers
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, known double")
     def classify(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for batch in texts:
-            langs, scores = [], []
+            langs, scores, known = [], [], []
             for text in batch:
                 counts = gram_counts(text)
                 if counts is None:
                     langs.append(UNKNOWN)
                     scores.append(0.0)
+                    known.append(0.0)
                 else:
                     p = m.probabilities(counts)
                     langs.append(m.classes[int(p.argmax())])
                     scores.append(float(p.max()))
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+                    known.append(float(counts[m.seen].sum() / counts.sum()))
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "known": known})
 
     out = fresh(docs.columns, "prediction")
     return (docs.withColumn(out, classify(F.col(text_col)))
-            .select(*docs.columns, f"{out}.lang_pred", f"{out}.score"))
+            .select(*docs.columns, f"{out}.lang_pred", f"{out}.score", f"{out}.known"))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              max_rows: int = MAX_ROWS) -> DataFrame:
-    """``docs`` plus lang_pred (a learned language) and score (its calibrated probability).
+    """``docs`` plus lang_pred (a learned language), score (its calibrated probability) and known (see ``predict``).
 
     A null text, or one without a letter, is ``und`` with score 0, and so is
     every row if there is nothing to learn from (an empty table, no labels).
@@ -245,11 +259,20 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     return predict(docs, fit(docs, id_col, text_col, lang_col, max_rows), id_col, text_col)
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.3, id_col: str = "doc_id", text_col: str = "text",
-                    lang_col: str = "lang") -> DataFrame:
-    """Rows of ``docs`` whose language is identified: not ``und``, score at least ``min_score``."""
-    names = [fresh(docs.columns, c) for c in ("lang_pred", "score")]
+def keep_identified(docs: DataFrame, min_lift: float = MIN_LIFT, min_known: float = MIN_KNOWN, id_col: str = "doc_id",
+                    text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS) -> DataFrame:
+    """Rows of ``docs`` whose language is identified.
+
+    That is, not ``und``; of k learned languages the score is at least 1/k plus
+    ``min_lift`` of the way to 1 (always met by a single language); and at least
+    ``min_known`` of the n-grams are known.
+    """
+    small_batches(docs.sparkSession)
     bare = docs.select(*[F.col(c).alias(f"c_{c}") for c in docs.columns])
-    found = identify(bare, f"c_{id_col}", f"c_{text_col}", f"c_{lang_col}")
-    return (found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_score))
+    names = f"c_{id_col}", f"c_{text_col}"
+    model = fit(bare, *names, f"c_{lang_col}", max_rows)
+    k = len(model.classes) if model else 1
+    least = 1 / k + min_lift * (1 - 1 / k) if k > 1 else 0.0
+    found = predict(bare, model, *names)
+    return (found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least) & (F.col("known") >= min_known))
             .select(*[F.col(f"c_{c}").alias(c) for c in docs.columns]))
