@@ -80,6 +80,22 @@ def test_many_identical_rows_are_numbered_without_gaps(spark):
     assert (out.lo, out.hi, out.n) == (0, 249_999, 250_000)
 
 
+def test_many_rows_of_one_null_id_spread_over_all_buckets(spark):
+    df = spark.range(100_000).selectExpr("cast(null as long) as doc_id", "concat('text ', id) as text")
+    out = sharding.shard_rows(df, 16, ["doc_id"], 7).selectExpr("min(row_number) lo", "max(row_number) hi", "count(distinct row_number) n").first()
+    assert (out.lo, out.hi, out.n) == (0, 99_999, 100_000)
+    from pyspark.sql import functions as F
+    sizes = [r["count"] for r in df.groupBy(F.pmod(F.xxhash64("doc_id", "text"), F.lit(64))).count().collect()]
+    assert len(sizes) == 64 and max(sizes) < 2 * 100_000 / 64
+
+
+def test_repeats_among_different_rows(spark):
+    rows = [(1, "a", "x")] * 5 + [(1, "a", "y")] + [(None, "b", None)] * 3 + [(2, None, None), (3, "c" * 100_000, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, k0_row_a string")
+    got = sharding.shard_rows(df, 4, ["doc_id", "text"], 7).collect()
+    assert Counter(r[:3] for r in got) == Counter(rows) and sorted(r.row_number for r in got) == list(range(len(rows)))
+
+
 def test_shards_of_nothing(spark):
     assert sharding.shard_rows(messy(spark).limit(0), 16, ["doc_id"]).count() == 0
 
@@ -140,6 +156,30 @@ def test_rates_meet_the_target_weights(spark):
     assert sum(shares.values()) == pytest.approx(2e6 / 101, rel=0.03)
 
 
+def test_a_rate_of_ten_million_is_drawn_and_expanded_in_many_tasks(spark):
+    from pyspark.sql import functions as F
+    rows = [(1, "rare", None, "small", 4), (2, "y" * 99, None, "big", 99)]
+    mixed = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), weights={"small": 1.0}, budget=5e7).select("doc_id", "copy")
+    out = (mixed.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.min("copy").alias("lo"), F.max("doc_id").alias("id"))
+           .collect())
+    n = sum(r["n"] for r in out)
+    assert abs(n - 1e7) < 6 * 1e7 ** 0.5 and {r.id for r in out} == {1} and min(r.lo for r in out) == 1
+    assert len(out) == 4 and max(r["n"] for r in out) < 0.4 * n              # every task has its part
+
+
+def test_large_rates_have_the_mean_and_variance_of_poisson(spark):
+    from pyspark.sql import functions as F
+    rows = [(i, f"text {i:03d}", None, "s", 8) for i in range(60)]
+    budget = 60 * 9 * 9000.0
+    got = mixing.mix_sources(spark.createDataFrame(rows, SCHEMA), budget=budget).groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.countDistinct("copy").alias("distinct"))
+    counts = [r.n for r in got.collect()]
+    assert all(r.n == r.distinct for r in got.collect()) and len(counts) == 60
+    mean = sum(counts) / 60
+    assert abs(mean - 9000) < 5 * (9000 / 60) ** 0.5
+    assert 0.5 < sum((c - mean) ** 2 for c in counts) / 59 / 9000 < 1.8
+
+
 def test_shuffle_is_a_total_order_of_distinct_copies(spark):
     out = mixing.shuffled(mixing.mix_sources(messy(spark, clashes=False))).collect()
     keys = [r.shuffle_key for r in out]

@@ -259,16 +259,18 @@ def test_line_dedup_of_nothing(spark):
 
 # --------------------------------------------------------- decontamination
 def brute_containment(rows, items, width=5, share=0.8):
-    def grams(t):
-        w = re.findall(r"\w+", (t or "").lower())
-        return {" ".join(w[i:i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set()
+    def grams(w, n):
+        return {" ".join(w[i:i + n]) for i in range(len(w) - n + 1)}
     out = set()
-    sets = [(i, grams(t)) for i, t in items]
+    sets = [(i, re.findall(r"\w+", (t or "").lower())) for i, t in items]
     for r in rows:
-        have = grams(r[1])
-        for i, s in sets:
-            if s and len(s & have) >= share * len(s) - 1e-9:
-                out.add((r[0], i, len(s & have), len(s)))
+        words = re.findall(r"\w+", (r[1] or "").lower())
+        have = {n: grams(words, n) for n in range(1, width + 1)}
+        for i, w in sets:
+            n = min(len(w), width)
+            s = grams(w, n) if w else set()
+            if s and len(s & have[n]) >= share * len(s) - 1e-9:
+                out.add((r[0], i, len(s & have[n]), len(s)))
     return out
 
 
@@ -276,7 +278,7 @@ def brute_containment(rows, items, width=5, share=0.8):
 def planted(spark):
     rng = random.Random(8)
     items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()]
-    items += [(900, None), (901, ""), (902, "Two words"), (903, "!!"), (904, items[0][1]), (None, items[1][1]),
+    items += [(900, None), (901, ""), (902, "Two words"), (903, "!!"), (906, "quixotic"), (907, "one of four words"), (904, items[0][1]), (None, items[1][1]),
               (905, " ".join(f"w{i}" for i in range(3000)))]
     rows = messy_rows(spark)
     filler = rows[9][1]
@@ -294,6 +296,8 @@ def planted(spark):
         elif kind == 3:
             t = " ".join(w[: len(w) // 2])                            # half of an item is no match
         rows.append((40_000 + k, filler * rng.randrange(4) + " " + t + " " + filler, "en", "s", 1))
+    rows += [(42_000, f"{filler} A Quixotic idea, {filler}", "en", "s", 1), (42_001, "one of four", "en", "s", 1),
+             (42_002, f"this is one, of four words; {filler}", "en", "s", 1), (42_003, f"{filler} two, words", "en", "s", 1), (42_004, "two", "en", "s", 1)]
     rows += [(41_000, "two WORDS", "en", "s", 1), (41_001, "here are two words more", "en", "s", 1),
              (41_002, " ".join(f"w{i}" for i in range(2500)), "en", "s", 1), (41_003, " ".join(f"w{i}" for i in range(2300)), "en", "s", 1)]
     return rows, items

@@ -10,6 +10,7 @@ from pairscope.llm import gbt, html_blocks, html_extract, langid, quality, token
 from pairscope.llm.common import held_out
 
 from .data import documents, messy, messy_rows
+from .layouts import LAYOUTS
 
 SF001 = "/root/testdata/sf0.01"
 
@@ -33,6 +34,42 @@ def test_trees_walk_like_a_plain_tree():
     assert ((model.score(x) > 0.5) == y).mean() > 0.98
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_histogram_fit_against_exact_splits(seed):
+    """Few distinct values, so no bin hides a cut: every split gains as much as the best of an exhaustive search."""
+    rng = np.random.default_rng(seed)
+    x = rng.integers(0, 6, (120, 3)).astype(float)
+    y = ((x[:, 0] > 2) ^ (x[:, 1] > 3) ^ (rng.random(120) < 0.1)).astype(float)
+    model = gbt.fit(x, y, trees=4, depth=3, rate=0.3, bins=200, penalty=1.0, least=4)
+    p = (y.sum() + 1) / (len(y) + 2)
+    margin = np.full(len(y), np.log(p / (1 - p)))
+    assert model.bias == pytest.approx(margin[0])
+    splits = 0
+    for t in range(4):
+        prob = 1 / (1 + np.exp(-margin))
+        g, h = prob - y, prob * (1 - prob)
+
+        def gain(rows, f, cut):
+            sides = [[r for r in rows if x[r, f] <= cut], [r for r in rows if x[r, f] > cut]]
+            if min(map(len, sides)) < 4:
+                return 0.0
+            return sum(g[s].sum() ** 2 / (h[s].sum() + 1.0) for s in sides) - g[rows].sum() ** 2 / (h[rows].sum() + 1.0)
+        todo = [(0, list(range(len(y))))]
+        while todo:
+            node, rows = todo.pop()
+            if node >= 7:
+                assert model.value[t, node - 7] == pytest.approx(-0.3 * g[rows].sum() / (h[rows].sum() + 1.0))
+                margin[rows] += model.value[t, node - 7]
+                continue
+            f, cut = model.feature[t, node], model.cut[t, node]
+            best = max((gain(rows, i, c) for i in range(3) for c in range(6)), default=0.0) if rows else 0.0
+            if best > 1e-8:
+                assert gain(rows, f, cut) == pytest.approx(best, abs=1e-9)
+                splits += 1
+            todo += [(2 * node + 1, [r for r in rows if x[r, f] <= cut]), (2 * node + 2, [r for r in rows if x[r, f] > cut])]
+    assert np.allclose(model.margin(x), margin) and splits > 10
+
+
 def test_trees_without_rows_or_with_one_class():
     assert gbt.fit(np.zeros((0, 3)), np.zeros(0)).score(np.ones((2, 3))).tolist() == [0.5, 0.5]
     assert (gbt.fit(np.ones((50, 3)), np.ones(50)).score(np.zeros((2, 3))) > 0.9).all()
@@ -111,6 +148,79 @@ def test_unknown_script_scores_low_and_sparse_weights(spark):
     assert 0.2 < (model.weights == 0).mean() and 0.3 < model.temperature < 3
 
 
+def invented(spark, languages, texts, seed=3):
+    """Texts in invented languages, each of some letter pairs of its own."""
+    rng = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(languages):
+        own = ["".join(rng.sample(letters, 2)) for _ in range(14)]
+        for i in range(texts):
+            words = ["".join(rng.choice(own) for _ in range(rng.randrange(1, 4))) for _ in range(rng.randrange(20, 60))]
+            rows.append((1000 * k + i, " ".join(words), f"l{k}"))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows
+
+
+STRANGE = ["Привет мир как дела сегодня у вас дома", "日本語のテキストをここに書いてください", "ελληνικά κείμενο για τον κόσμο"]
+
+
+@pytest.mark.parametrize("languages, texts", [(1, 40), (2, 40), (4, 40), (40, 30)])
+def test_identified_languages_however_many_there_are(spark, languages, texts):
+    docs, rows = invented(spark, languages, texts)
+    strange = spark.createDataFrame([(10 ** 6 + i, t, None) for i, t in enumerate(STRANGE)], docs.schema)
+    kept = {r.doc_id for r in langid.keep_identified(docs.unionByName(strange)).collect()}
+    assert kept == {r[0] for r in rows}                                  # no clear text goes, no strange script stays
+
+
+def test_only_the_most_frequent_of_too_many_languages_are_learned(spark):
+    docs, rows = invented(spark, 6, 20)
+    dirty = docs.unionByName(spark.range(40).selectExpr("id + 50000", "'some odd text'", "concat('junk', id)").toDF(*docs.columns))
+    model = langid.fit(dirty, max_rows=100, max_languages=6)
+    assert model.classes == [f"l{k}" for k in range(6)]
+
+
+def test_ftrl_against_a_scalar_update():
+    rng = np.random.default_rng(4)
+    rows = [(np.sort(rng.choice(9, 3, replace=False)), rng.random(3), int(rng.integers(3))) for _ in range(12)]
+    weights, bias = langid.ftrl(rows, 3, epochs=2, alpha=0.4, beta=1.0, l1=0.05, l2=0.3, seed=9)
+    z, n = {}, {}
+
+    def w(key):
+        zs, ns, l1 = z.get(key, 0.0), n.get(key, 0.0), 0.0 if key[0] == "bias" else 0.05
+        return 0.0 if abs(zs) <= l1 else -(zs - (1 if zs > 0 else -1) * l1) / ((1.0 + ns ** 0.5) / 0.4 + 0.3)
+    order = np.random.default_rng(9)
+    for _ in range(2):
+        for i in order.permutation(len(rows)):
+            slots, x, y = rows[i]
+            held = [(int(s), float(v)) for s, v in zip(slots, x)] + [("bias", 1.0)]
+            logit = [sum(v * w((s, c)) for s, v in held) for c in range(3)]
+            e = [np.exp(l - max(logit)) for l in logit]
+            old = {(s, c): w((s, c)) for s, _ in held for c in range(3)}
+            for c in range(3):
+                error = e[c] / sum(e) - (c == y)
+                for s, v in held:
+                    g, ns = v * error, n.get((s, c), 0.0)
+                    z[s, c] = z.get((s, c), 0.0) + g - ((ns + g * g) ** 0.5 - ns ** 0.5) / 0.4 * old[s, c]
+                    n[s, c] = ns + g * g
+    assert np.allclose(bias, [w(("bias", c)) for c in range(3)])
+    assert np.allclose(weights[:9], [[w((s, c)) for c in range(3)] for s in range(9)]) and not weights[9:].any()
+
+
+def test_temperature_against_a_grid():
+    rng = np.random.default_rng(2)
+    y = rng.integers(0, 3, 60)
+    logits = rng.normal(size=(60, 3)) * 4
+    logits[np.arange(60), y] += 3
+    target = np.full((60, 3), 1 / 62 / 2)
+    target[np.arange(60), y] = 1 - 1 / 62
+
+    def loss(t):
+        v = logits / t
+        return float(np.mean(np.log(np.exp(v).sum(axis=1)) - (target * v).sum(axis=1)))
+    got = langid.calibrate(logits, y)
+    assert loss(got) <= min(loss(t) for t in np.exp(np.linspace(-4, 4, 2000))) + 1e-9
+
+
 def test_language_of_messy_rows(spark):
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(messy(spark)).where("doc_id >= 9000").collect()}
     assert all(got[i] == ("und", 0.0) for i in (9001, 9002, 9003, 9004))
@@ -142,6 +252,40 @@ def test_spans_cover_the_text(encoder, text):
     assert (start[1:] <= end[:-1]).all() and (start[1:] >= end[:-1] - 1).all()    # a character is shared at most
 
 
+def test_long_white_space_is_cut_where_the_pattern_cuts(encoder, monkeypatch):
+    monkeypatch.setattr(token_counts, "LONG", 3)
+    monkeypatch.setattr(token_counts, "RUNS", re.compile(f"[{token_counts.WHITE}]{{2,}}"))
+    rng = random.Random(6)
+    pieces = [" ", "  ", "\n", "\n\n\n", "\t \t", "\xa0", "\u2003\u2003", "\u3000", "\r\n" * 3, " " * 9, "word", "it's", "12", "!?", "é", "日本", "\x1c\x1c\x1c\x1c"]
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(1, 30)))
+        assert encoder.ids(text).tolist() == encoder.encoding.encode_ordinary(text), repr(text)
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", "x", " \n"])
+@pytest.mark.parametrize("n", [10 ** 6, 5 * 10 ** 6])
+@pytest.mark.parametrize("around", [("", ""), ("head", "tail of it")])
+def test_very_long_runs(encoder, unit, n, around):
+    if unit == "x" and n > 10 ** 6:
+        n = 2 * 10 ** 6
+    text = around[0] + unit * (n // len(unit)) + around[1]
+    ids = encoder.ids(text)
+    assert encoder.lengths[ids].sum() == len(text)
+    start, end = encoder.spans(text)
+    assert (start[0], end[-1]) == (0, len(text)) and (start[1:] == end[:-1]).all()
+    if unit != "x":                                                     # the same tokens as of a run that the pattern can bear
+        short = around[0] + unit * (200_000 // len(unit)) + around[1]
+        want = encoder.encoding.encode_ordinary(short)
+        assert encoder.ids(short).tolist() == want
+        assert ids[:50].tolist() == want[:50] and ids[-20:].tolist() == want[-20:]
+
+
+def test_very_long_runs_in_a_job(spark):
+    rows = [(1, " " * 3_000_000 + "a"), (2, "a\n" + "\t" * 2_000_000 + "b"), (3, "plain text")]
+    got = token_counts.section_tokens(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("doc_id").sum("tokens").collect()
+    assert {r[0] for r in got} == {1, 2, 3} and all(r[1] > 0 for r in got)
+
+
 @pytest.mark.parametrize("text", TEXTS)
 @pytest.mark.parametrize("rule", token_counts.RULES)
 def test_allocation_against_every_pair(encoder, text, rule):
@@ -212,6 +356,16 @@ def test_hidden_elements_end_and_shown_ones_stay(page, want):
     assert [b.text for b in html_blocks.blocks_of(page)] == want
 
 
+@pytest.mark.parametrize("depth", [3, 511, 512, 513, 700])
+def test_ends_beyond_the_depth_close_what_they_opened(depth):
+    page = "<article>" + "<div>" * depth + "<p>inner</p>" + "</div>" * depth + "<p>after</p></article><footer><p>end</p></footer>"
+    blocks = html_blocks.blocks_of(page)
+    assert [b.text for b in blocks] == ["inner", "after", "end"]
+    assert blocks[1].path == ("article", "p") and blocks[2].path == ("footer", "p")
+    odd = html_blocks.blocks_of("<div>" * depth + "<ul><li>a<li>b</ul><p>c" + "</div>" * depth + "d")
+    assert [b.text for b in odd] == ["a", "b", "c", "d"] and odd[-1].path == ()
+
+
 def test_deep_and_broken_pages_take_bounded_time():
     assert len(html_blocks.blocks_of("<div>x" * 20_000)) == 20_000
     assert html_blocks.blocks_of("<div class='" * 100_000) == []
@@ -258,6 +412,18 @@ def test_pages_of_the_table(spark):
         assert r.text == " ".join(plain.split()) and r.n_chars == len(r.text)
 
 
+@pytest.fixture(scope="module")
+def labeller():
+    return html_extract.train()
+
+
+@pytest.mark.parametrize("name, page, want", LAYOUTS, ids=[x[0] for x in LAYOUTS])
+def test_layouts_that_the_generator_does_not_make(labeller, name, page, want):
+    blocks = html_blocks.blocks_of(page)
+    keep = html_extract.label_pages(labeller, [blocks], (html_blocks.Slots(html_blocks.PATH_SLOTS), html_blocks.Slots(html_blocks.WORD_SLOTS)))[0]
+    assert " ".join(b.text for b, k in zip(blocks, keep) if k) == want
+
+
 def test_pages_with_other_layouts(spark):
     page = ("<html><body><header class=site-header><a href=/>Logo</a><nav><ul><li><a href=/a>Home</a><li><a href=/b>About</a></ul></nav></header>"
             "<div class=cookie-notice>We use cookies. <button>Accept</button></div><main><article class=post><h1>Title of it</h1>"
