@@ -17,7 +17,8 @@ from pairscope.llm.mixing import mix_sources, shuffled
 from pairscope.llm.sharding import shard_rows
 from pairscope.llm.simhash import drop_near_duplicates
 
-MIN_LANGUAGE_SCORE = 0.3      # an even guess among four languages is 0.25; unknown scripts stay just above that
+MIN_LANGUAGE_LIFT = 1 / 15    # of the way from an even guess to certainty, however many languages are known
+MIN_KNOWN_GRAMS = 0.5         # share of a text's character n-grams that the training documents have
 SIMHASH_WIDTH, SIMHASH_BITS = 3, 3
 BENCHMARK_WIDTH, BENCHMARK_CONTAINMENT = 5, 0.8
 MIX_SEED, SHARD_SEED, N_SHARDS = 11, 7, 16
@@ -25,7 +26,7 @@ MIX_SEED, SHARD_SEED, N_SHARDS = 11, 7, 16
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in an identified language."""
-    return keep_identified(docs, MIN_LANGUAGE_SCORE)
+    return keep_identified(docs, MIN_LANGUAGE_LIFT, MIN_KNOWN_GRAMS)
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
