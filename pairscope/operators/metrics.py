@@ -10,7 +10,9 @@ usual area under the ROC curve of the raw score.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.5
@@ -109,24 +111,25 @@ def auc_hard_label(df: DataFrame, label: str = "label", pred: str = "prediction"
 
 
 def auc_score(df: DataFrame, label: str = "label", score: str = "score", digits: int = 10,
-              buckets: int = 4096) -> DataFrame:
-    """A15, score form: area under the ROC curve of the raw score, as one lazy row.
+              buckets: int = 4096, by: Sequence[str] = ()) -> DataFrame:
+    """A15, score form: area under the ROC curve of the raw score, as one lazy row, or one per value of ``by``.
 
     The rank formula: every positive counts the negatives scored below it, and
     half of those scored alike.  Equal scores are merged first; running counts
-    are kept per score bucket, and only one row per bucket (a fixed number)
-    meets in a single task.  Null when one class is absent (undefined)."""
+    are kept per score bucket, and only one row per bucket (a fixed number per
+    group) meets in a single task.  Null when one class is absent (undefined)."""
     s = F.col(score).cast("double")
-    ties = (df.where(s.isNotNull()).groupBy(s.alias("s"))
+    keys = list(by)
+    ties = (df.where(s.isNotNull()).groupBy(*keys, s.alias("s"))
             .agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) == 0).cast("long")).alias("neg"))
             .withColumn("b", F.least(F.greatest(F.floor(F.col("s") * buckets), F.lit(0)), F.lit(buckets - 1))))
-    below = "coalesce(sum(neg) over (partition by b order by s rows between unbounded preceding and 1 preceding), 0)"
-    per_bucket = (ties.withColumn("below", F.expr(below)).groupBy("b")
+    within = Window.partitionBy(*keys, "b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = (ties.withColumn("below", F.coalesce(F.sum("neg").over(within), F.lit(0))).groupBy(*keys, "b")
                   .agg(F.sum(F.expr("pos * (below + 0.5D * neg)")).alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
-    before = "coalesce(sum(neg) over (order by b rows between unbounded preceding and 1 preceding), 0)"
-    return (per_bucket.withColumn("before", F.expr(before))
+    over = Window.partitionBy(*keys).orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    return (per_bucket.withColumn("before", F.coalesce(F.sum("neg").over(over), F.lit(0))).groupBy(*keys)
             .agg(F.sum(F.expr("won + pos * before")).alias("won"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-            .select(F.expr(f"round(try_divide(won, cast(pos as double) * neg), {digits})").alias("auc")))
+            .select(*keys, F.expr(f"round(try_divide(won, cast(pos as double) * neg), {digits})").alias("auc")))
 
 
 def score_histogram(df: DataFrame, label: str = "label", score: str = "score", bins: int = HIST_BINS) -> DataFrame:

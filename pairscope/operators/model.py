@@ -1,59 +1,26 @@
-"""Feature matrix, imputation and the distributed boosted-tree classifier.
-
-The reference trains a single-machine booster; this build uses Spark ML's
-``GBTClassifier`` (trees grown by distributed histogram aggregation).
-Parameter mapping (fixed values of the reference's configuration):
-
-  max_depth 7            -> maxDepth=7
-  eta 0.01               -> stepSize=0.01
-  subsample 0.75         -> subsamplingRate=0.75
-  colsample 0.9          -> featureSubsetStrategy='0.9' (per node, not per tree)
-  min_child_weight 0.8   -> minInstancesPerNode=1
-  seed 123               -> seed=123
-  2000 rounds, 1500 used -> maxIter=1500 (the first k trees of a longer run
-                            equal a k-tree run with the same seed)
-  gamma 0.03             -> minInfoGain = gamma / training rows (gamma bounds the
-                            loss reduction summed over rows, minInfoGain the mean)
-  L1/L2 leaf penalties, max_delta_step: no equivalent (documented gap)
-
-Spark's probability is sigmoid(2·margin), so scores rank alike but are not
-numerically comparable with the reference's.
+"""Feature matrix, imputation and the boosted-tree model of the jobs.
+
+The booster itself is ``operators.booster``; its parameters are the fixed
+values of the reference's configuration, penalties and child weight included.
+Draws of rows and columns and the bin edges are its own, so scores rank like
+the reference's but are not equal to them digit by digit.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
-
-from pyspark import SparkContext
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import MODEL_INPUTS
-from ..session import shared_dir
+from . import booster
+from .booster import Booster, BoosterParams
 from .metrics import auc_score
 
 FILL_VALUE = 0  # scoring-time imputation of the reference
-
-
-@dataclass(frozen=True)
-class BoosterParams:
-    max_depth: int = 7
-    step_size: float = 0.01
-    subsampling_rate: float = 0.75
-    feature_subset: str = "0.9"
-    min_instances_per_node: int = 1
-    max_iter: int = 1500
-    gamma: float = 0.03
-    seed: int = 123
-    max_bins: int = 32
-    checkpoint_interval: int = 10
-
-    def with_iterations(self, n: int) -> BoosterParams:
-        return replace(self, max_iter=n)
+#: Trees that the reference scores with, of those it trains.
+SCORE_TREES = 1500
+#: What identifies a training row (its draw per tree depends on it).
+ROW_KEY = ["username", "search_route", "label_dt"]
 
 
 def impute(df: DataFrame, value: float = FILL_VALUE, columns: list[str] = MODEL_INPUTS) -> DataFrame:
@@ -67,89 +34,64 @@ def feature_matrix(df: DataFrame, value: float = FILL_VALUE) -> DataFrame:
     return impute(df, value).select(*cols)
 
 
-def build_pipeline(params: BoosterParams = BoosterParams(), rows: int = 1) -> Pipeline:
-    """M5 + M6: vector assembly and the booster, for a training set of ``rows``."""
-    assembler = VectorAssembler(inputCols=MODEL_INPUTS, outputCol="features", handleInvalid="keep")
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxDepth=params.max_depth,
-                        stepSize=params.step_size, subsamplingRate=params.subsampling_rate,
-                        featureSubsetStrategy=params.feature_subset,
-                        minInstancesPerNode=params.min_instances_per_node, maxIter=params.max_iter,
-                        minInfoGain=params.gamma / max(rows, 1),
-                        maxBins=params.max_bins, seed=params.seed,
-                        checkpointInterval=params.checkpoint_interval, cacheNodeIds=True)
-    return Pipeline(stages=[assembler, gbt])
+def _part(df: DataFrame, name: str, split_col: str | None) -> DataFrame:
+    return df.where(F.col(split_col) == F.lit(name)) if split_col and split_col in df.columns else df
 
 
 def train(df: DataFrame, params: BoosterParams = BoosterParams(), split_col: str | None = "split",
-          value: float = FILL_VALUE) -> PipelineModel:
-    """M6: fit on the imputed rows with split='train' (all rows without a split
-    column).  The reference's watch set only reports a metric (its early
-    stopping has no effect), so it is not used to stop: see ``watch_auc``."""
-    shared_dir(df.sparkSession)  # tree lineage is cut by checkpoints in the shared folder
-    data = impute(df, value).withColumn("label", F.col("label").cast("double"))
-    if split_col and split_col in df.columns:
-        data = data.where(F.col(split_col) == F.lit("train"))
-    return build_pipeline(params, data.count()).fit(data)
-
-
-def first_trees(model: PipelineModel, k: int) -> PipelineModel:
+          value: float = FILL_VALUE, path: str | None = None, stop_after: int | None = None) -> Booster:
+    """M6: boost the imputed rows with split='train' (all rows without a split column).
+
+    ``path`` names the folder of the boosting state: a run that stopped is
+    continued from there.  The reference's watch set only reports a metric (its
+    early stopping has no effect), so it is not used to stop: see ``watch_table``."""
+    data = _part(impute(df, value), "train", split_col)
+    return booster.train(data, MODEL_INPUTS, "label", [c for c in ROW_KEY if c in df.columns], params, path, stop_after)
+
+
+def first_trees(model: Booster, k: int) -> Booster:
     """M7: the model of the first ``k`` trees (the reference scores with 1,500 of 2,000)."""
-    gbt = model.stages[-1]
-    if not 0 < k <= gbt.getNumTrees:
-        raise ValueError(f"the model has {gbt.getNumTrees} trees")
-    gateway, old = SparkContext._active_spark_context._gateway, gbt._java_obj
-    jvm = gateway.jvm
-    trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
-    weights = gateway.new_array(jvm.double, k)
-    for i, (tree, weight) in enumerate(zip(list(old.trees())[:k], list(old.treeWeights())[:k])):
-        trees[i], weights[i] = tree, weight
-    short = GBTClassificationModel(jvm.org.apache.spark.ml.classification.GBTClassificationModel(gbt.uid, trees, weights))
-    short.setFeaturesCol(gbt.getFeaturesCol())
-    return PipelineModel(stages=[*model.stages[:-1], short])
-
-
-def auc(model: PipelineModel, df: DataFrame, value: float = FILL_VALUE) -> float | None:
-    """Score AUC of the model on labelled rows; None if one class is absent."""
-    return auc_score(score(model, df, value).select("label", F.col("q_ratio").alias("score"))).first()["auc"]
-
-
-def watch_auc(model: PipelineModel, df: DataFrame, split_col: str = "split") -> float | None:
-    """Score AUC on the watch rows (split='test')."""
-    return auc(model, df.where(F.col(split_col) == F.lit("test")) if split_col in df.columns else df)
-
-
-def auc_by_round(model: PipelineModel, df: DataFrame, every: int = 100, split_col: str = "split",
-                 value: float = FILL_VALUE) -> list[tuple[int, float | None, float | None]]:
-    """(trees, train AUC, watch AUC) after every ``every`` trees, as the reference prints while it trains."""
-    total = model.stages[-1].getNumTrees
-    parts = [df.where(F.col(split_col) == F.lit(s)) for s in ("train", "test")]
-    return [(k, *[auc(first_trees(model, k), part, value) for part in parts])
-            for k in sorted({*range(every, total + 1, every), total})]
-
-
-def watch_losses(model: PipelineModel, df: DataFrame, every: int = 100, split_col: str = "split",
-                 value: float = FILL_VALUE) -> list[tuple[int, float]]:
-    """Log-loss of the booster on the watch rows after every ``every`` trees
-    (the reference prints its watch-set metric every 100 rounds)."""
-    watch = df.where(F.col(split_col) == F.lit("test")) if split_col in df.columns else df
-    assembled = model.stages[0].transform(impute(watch, value).withColumn("label", F.col("label").cast("double")))
-    losses = model.stages[-1].evaluateEachIteration(assembled)
-    return [(i + 1, float(v)) for i, v in enumerate(losses) if (i + 1) % every == 0 or i + 1 == len(losses)]
-
-
-def score(model: PipelineModel, df: DataFrame, value: float = FILL_VALUE, trees: int | None = None) -> DataFrame:
+    return model.first(k)
+
+
+def scoring_model(model: Booster) -> Booster:
+    """The trees that are scored with: the first SCORE_TREES, or all of a shorter model."""
+    return model.first(SCORE_TREES) if len(model.trees) > SCORE_TREES else model
+
+
+def watch_table(model: Booster, df: DataFrame, every: int = 100, split_col: str = "split", value: float = FILL_VALUE) -> DataFrame:
+    """(split, rounds, rows, auc, logloss) after every ``every`` trees, as the reference prints while it trains.
+
+    Staged margins give one row per row and checkpoint in one walk over all
+    trees; one grouped rank aggregate gives every AUC.
+    """
+    rows = impute(df, value).withColumn("label", F.col("label").cast("int"))
+    if split_col not in rows.columns:
+        rows = rows.withColumn(split_col, F.lit("train"))
+    staged = booster.staged_scores(rows, model, every, [split_col, "label"])
+    loss = staged.groupBy(split_col, "rounds").agg(
+        F.count("*").alias("rows"),
+        F.round(F.avg(F.expr("-ln(if(label = 1, score, 1 - score))")), 10).alias("logloss"))
+    keys = [split_col, "rounds"]
+    return loss.join(auc_score(staged, by=keys), keys).select(split_col, "rounds", "rows", "auc", "logloss")
+
+
+def watch_auc(model: Booster, df: DataFrame, split_col: str = "split", value: float = FILL_VALUE) -> float | None:
+    """Score AUC on the watch rows (split='test'); None if one class is absent."""
+    scored = score(model, _part(df, "test", split_col), value)
+    return auc_score(scored.select("label", F.col("q_ratio").alias("score"))).first()["auc"]
+
+
+def score(model: Booster, df: DataFrame, value: float = FILL_VALUE, trees: int | None = None) -> DataFrame:
     """M8: probability of the positive class as ``q_ratio`` next to the ids, by the first ``trees`` trees or all."""
-    scored = (model if trees is None else first_trees(model, trees)).transform(impute(df, value))
-    return scored.withColumn("q_ratio", vector_to_array("probability")[1]).drop(
-        "features", "rawPrediction", "probability", "prediction")
+    return impute(df, value).withColumn("q_ratio", booster.score_column(model if trees is None else model.first(trees)))
 
 
-def save(model: PipelineModel, path: str) -> str:
+def save(model: Booster, path: str) -> str:
     """M9."""
-    model.write().overwrite().save(path)
-    return path
+    return booster.save(model, SparkSession.active(), path)
 
 
-def load(path: str) -> PipelineModel:
+def load(path: str) -> Booster:
     """M9."""
-    return PipelineModel.load(path)
+    return booster.load(SparkSession.active(), path)

@@ -1,0 +1,194 @@
+"""The booster against a row-by-row statement of itself, its state on disk, and its watch table."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from helpers import sorted_rows
+from pairscope.operators import booster, metrics, model
+from pairscope.operators.booster import BoosterParams
+from pairscope.schemas import MODEL_INPUTS
+from pairscope.session import scratch_path
+
+FEATURES = ["a", "b", "c", "d"]
+PARAMS = BoosterParams(max_iter=6, max_depth=4, step_size=0.3, save_every=2)
+
+
+def rows_of(n, seed=1):
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        a, b, c, d = rng.gauss(0, 1), rng.randrange(5), rng.choice([0.0, 1.5, None]), rng.random()
+        out.append((f"u{i}", a, float(b), c, d, int(a + (b > 2) + rng.gauss(0, 0.5) > 0.8)))
+    return out
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "id string, a double, b double, c double, d double, label int")
+
+
+def trained(spark, rows, p=PARAMS, **options):
+    return booster.train(frame(spark, rows), FEATURES, "label", ["id"], p, **options)
+
+
+def plain_trees(bins, label, key, n_cuts, p):
+    """The method, one row and one candidate at a time."""
+    def weight(g, h):
+        if h < p.min_child_weight:
+            return 0.0
+        return -math.copysign(max(abs(g) - p.l1, 0.0), g) / (h + p.l2)
+
+    def gain(g, h):
+        w = weight(g, h)
+        return -(2 * g * w + (h + p.l2) * w * w + 2 * p.l1 * abs(w))
+    margin, out = [0.0] * len(bins), []
+    for t in range(p.max_iter):
+        take = booster.drawn_rows(key, t, p)
+        prob = [1 / (1 + math.exp(-m)) for m in margin]
+        g = [round((q - y) * 2 ** 30) / 2 ** 30 for q, y in zip(prob, label)]
+        h = [max(round(q * (1 - q) * 2 ** 30), 1) / 2 ** 30 for q in prob]
+
+        def node(rows, level):
+            G, H = sum(g[i] for i in rows), sum(h[i] for i in rows)
+            best = (booster.LEAST_GAIN, None)
+            if level < p.max_depth:
+                for f in booster.drawn_columns(len(n_cuts), t, level, p).tolist():
+                    for b in range(n_cuts[f]):
+                        left = [i for i in rows if bins[i][f] <= b]
+                        hl, gl = sum(h[i] for i in left), sum(g[i] for i in left)
+                        if hl >= p.min_child_weight and H - hl >= p.min_child_weight:
+                            v = gain(gl, hl) + gain(G - gl, H - hl) - gain(G, H)
+                            if v > best[0] + 1e-12:
+                                best = (v, (f, b))
+            leaf = {"value": p.step_size * weight(G, H)}
+            if best[1] is None:
+                return leaf
+            f, b = best[1]
+            sides = [node([i for i in rows if bins[i][f] <= b], level + 1), node([i for i in rows if bins[i][f] > b], level + 1)]
+            if all("value" in s for s in sides) and best[0] < p.gamma:
+                return leaf
+            return {"split": (f, b), "sides": sides}
+        tree = node([i for i in range(len(bins)) if take[i]], 0)
+        out.append(tree)
+        for i, row in enumerate(bins):
+            at = tree
+            while "split" in at:
+                at = at["sides"][int(row[at["split"][0]] > at["split"][1])]
+            margin[i] += at["value"]
+    return out, margin
+
+
+def as_plain(tree, node=0):
+    if node >= len(tree.feature) or tree.feature[node] < 0:
+        return {"value": float(tree.value[node])}
+    return {"split": (int(tree.feature[node]), int(tree.split[node])), "sides": [as_plain(tree, 2 * node + 1), as_plain(tree, 2 * node + 2)]}
+
+
+def flat(tree):
+    return [("split", tree["split"])] + flat(tree["sides"][0]) + flat(tree["sides"][1]) if "split" in tree else [("value", round(tree["value"], 9))]
+
+
+@pytest.mark.parametrize("change", [{}, {"gamma": 0.5, "l1": 0.1}, {"l1": 0.0, "l2": 3.0, "min_child_weight": 4.0, "max_delta_step": 0.0},
+                                    {"subsample": 0.4, "columns_per_tree": 0.5, "columns_per_level": 0.5}])
+def test_trees_against_row_by_row_boosting(spark, change):
+    p = BoosterParams(**{**PARAMS.__dict__, **change})
+    rows = rows_of(200)
+    got = trained(spark, rows, p, in_task=True)
+    x = np.array([[np.nan if v is None else v for v in r[1:5]] for r in rows], float)
+    bins = got.bins(x)
+    key = {r.id: r.key for r in frame(spark, rows).selectExpr("id", "xxhash64(id) as key").collect()}
+    want, margin = plain_trees(bins.tolist(), [r[5] for r in rows], np.array([key[r[0]] for r in rows]), [len(c) for c in got.cuts], p)
+    assert [flat(as_plain(t)) for t in got.trees] == [flat(t) for t in want]
+    assert np.allclose(got.staged_margins(x, [p.max_iter])[:, 0], margin)
+    assert any("split" in t for t in want)
+
+
+def same_trees(a, b):
+    return len(a.trees) == len(b.trees) and all(
+        np.array_equal(x.feature, y.feature) and np.array_equal(x.split, y.split) and np.array_equal(x.value, y.value)
+        for x, y in zip(a.trees, b.trees))
+
+
+def test_spark_sums_give_the_trees_of_one_task(spark):
+    rows = rows_of(150, 3)
+    p = PARAMS.with_iterations(3)
+    task = trained(spark, rows, p, in_task=True)
+    for parts in (1, 5):
+        spread = booster.train(frame(spark, rows).repartition(parts), FEATURES, "label", ["id"], p, in_task=False)
+        assert same_trees(task, spread)
+
+
+def test_a_stopped_run_goes_on_to_the_same_trees(spark):
+    rows = rows_of(120, 4)
+    whole = trained(spark, rows, PARAMS.with_iterations(7))
+    path = scratch_path(spark, "run")
+    first = trained(spark, rows, PARAMS.with_iterations(7), path=path, stop_after=3)
+    assert len(first.trees) == 4
+    late = booster.Progress(spark, path)
+    late.add_trees(4, first.trees[:1])                      # a run that was killed while it saved
+    assert same_trees(whole, trained(spark, rows, PARAMS.with_iterations(7), path=path))
+    assert same_trees(whole.first(4), first)
+    with pytest.raises(ValueError, match="other parameters"):
+        trained(spark, rows, BoosterParams(**{**PARAMS.__dict__, "l2": 2.0}), path=path)
+
+
+def test_awkward_training_rows(spark):
+    rows = rows_of(60, 5)
+    nulls = rows + [("n1", None, None, None, None, 1), ("n2", float("nan"), 1.0, None, 0.2, 0), ("n3", 0.0, 0.0, 0.0, 0.0, None), rows[0], rows[0]]
+    got = trained(spark, nulls)
+    assert len(got.trees) == PARAMS.max_iter and all(np.isfinite(t.value).all() for t in got.trees)
+    assert trained(spark, []).trees == []
+    one = trained(spark, [(*r[:5], 1) for r in rows])
+    assert (one.staged_margins(np.zeros((1, 4)), [6]) > 0).all()
+    constant = trained(spark, [(r[0], 1.0, 1.0, 1.0, 1.0, r[5]) for r in rows])
+    assert all((t.feature < 0).all() for t in constant.trees)
+
+
+def test_split_table_against_counting(spark):
+    rows = rows_of(80, 6)
+    got = {(r.feature, r.cut): r for r in booster.split_table(frame(spark, rows), FEATURES, "label", ["id"], PARAMS).collect()}
+    for f, name in ((1, "a"), (2, "b"), (4, "d")):
+        values = sorted({r[f] for r in rows})
+        cuts = [(x + y) / 2 for x, y in zip(values, values[1:])]
+        assert sorted(c for n, c in got if n == name) == cuts
+        for c in cuts:
+            left = [r for r in rows if r[f] < c]
+            r = got[name, c]
+            assert r.h_left == 0.25 * len(left) and r.g_left == sum(0.5 - x[5] for x in left)
+
+
+def test_watch_table_against_pairs(spark):
+    rng = random.Random(2)
+    rows = [tuple(rng.choice([0.0, 1.0, 2.0, 5.0, None]) for _ in MODEL_INPUTS) + (f"u{i}", "r", "d", rng.choice(["train", "test"]), rng.randrange(2))
+            for i in range(60)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in MODEL_INPUTS) + ", username string, search_route string, label_dt string, split string, label int")
+    fitted = model.train(df, PARAMS.with_iterations(5))
+    got = {(r.split, r.rounds): r for r in model.watch_table(fitted, df, 2).collect()}
+    assert set(got) == {(s, k) for s in ("train", "test") for k in (2, 4, 5)}
+    for (split, rounds), r in got.items():
+        scored = [(x.label, x.q_ratio) for x in model.score(fitted, df.where(f"split = '{split}'"), trees=rounds).collect()]
+        pos, neg = [s for y, s in scored if y == 1], [s for y, s in scored if y == 0]
+        auc = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+        loss = -sum(math.log(s if y else 1 - s) for y, s in scored) / len(scored)
+        assert r.rows == len(scored) and r.auc == pytest.approx(auc, abs=1e-9) and r.logloss == pytest.approx(loss, abs=1e-9)
+    assert model.watch_auc(fitted, df) == got["test", 5].auc
+
+
+def test_grouped_auc_equals_single_ones(spark):
+    rng = random.Random(3)
+    rows = [(g, rng.randrange(2), rng.choice([0.1, 0.2, 0.55, rng.random()])) for g in "abc" for _ in range(70)] + [("one", 1, 0.4)]
+    df = spark.createDataFrame(rows, "g string, label int, score double")
+    grouped = {r.g: r.auc for r in metrics.auc_score(df, by=["g"]).collect()}
+    assert grouped == {g: metrics.auc_score(df.where(f"g = '{g}'")).first().auc for g in ("a", "b", "c", "one")} and grouped["one"] is None
+
+
+def test_scores_follow_the_saved_model(spark):
+    rows = rows_of(50, 8)
+    got = trained(spark, rows)
+    path = booster.save(got, spark, scratch_path(spark, "booster"))
+    again = booster.load(spark, path)
+    assert same_trees(got, again) and again.features == FEATURES
+    df = frame(spark, rows)
+    assert sorted_rows(df.select("id", booster.score_column(got))) == sorted_rows(df.select("id", booster.score_column(again)))
