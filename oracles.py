@@ -210,6 +210,8 @@ def _training(anchors: str, select: str) -> str:
 
 SERVING_ALL = f"SELECT {FEATURE_SELECT}, out_dt AS dt FROM feat"
 TRAINING_ALL = f"SELECT {FEATURE_SELECT}, label, anchor_dt AS label_dt FROM feat"
+#: The 18 model inputs.
+MODEL_INPUTS = [c.strip() for c in FEATURE_SELECT.replace("\n", " ").split(",") if c.strip() not in ("username", "search_route")]
 HEURISTIC = "0.5 * coalesce(search_rate, 0.0) + 0.5 * CAST(coalesce(has_history_route, 0) AS DOUBLE)"
 KEY = "username, search_route, label_dt"
 
@@ -272,6 +274,28 @@ f AS (
 )"""
 
 
+def _split_gains() -> str:
+    """Penalised gain of every midpoint cut at margin 0: g = 1/2 - label and h = 1/4 a row, L1 = L2 = 1, least child weight 0.8."""
+    values = ", ".join(f"{{'feature': '{c}', 'value': CAST({c} AS DOUBLE)}}" for c in MODEL_INPUTS)
+    soft = "sign({g}) * greatest(abs({g}) - 1, 0)"
+    best = "CASE WHEN {h} >= 0.8 THEN pow(" + soft + ", 2) / ({h} + 1) ELSE 0 END"
+    left, right, both = (best.format(g=g, h=h) for g, h in (("g_left", "h_left"), ("g_right", "h_right"),
+                                                            ("(g_left + g_right)", "(h_left + h_right)")))
+    return f""",
+long AS (SELECT label, u.feature, u.value FROM (SELECT label, unnest([{values}]) AS u FROM split WHERE split = 'train')),
+steps AS (SELECT feature, value, lead(value) OVER (PARTITION BY feature ORDER BY value) AS next
+          FROM (SELECT DISTINCT feature, value FROM long)),
+cuts AS (SELECT feature, (value + next) / 2 AS cut FROM steps WHERE next IS NOT NULL),
+sums AS (
+  SELECT c.feature, cut, sum(0.5 - label) FILTER (WHERE value < cut) AS g_left, 0.25 * count(*) FILTER (WHERE value < cut) AS h_left,
+         sum(0.5 - label) FILTER (WHERE value >= cut) AS g_right, 0.25 * count(*) FILTER (WHERE value >= cut) AS h_right
+  FROM cuts c JOIN long l ON c.feature = l.feature GROUP BY c.feature, cut)
+SELECT feature, cut, CAST(g_left AS DOUBLE) AS g_left, CAST(h_left AS DOUBLE) AS h_left, CAST(g_right AS DOUBLE) AS g_right,
+  CAST(h_right AS DOUBLE) AS h_right,
+  round(CASE WHEN h_left >= 0.8 AND h_right >= 0.8 THEN CAST({left} + {right} - {both} AS DOUBLE) ELSE 0 END, 9) AS gain
+FROM sums"""
+
+
 def _published_serving(select: str) -> str:
     return _serving(RUNS, select)
 
@@ -425,8 +449,17 @@ SELECT round(sum(pos * (neg_below + 0.5 * neg)) / nullif(sum(pos) * sum(neg), 0)
         "tsv_roundtrip": _published_serving(SERVING_ALL + f" WHERE out_dt = '{dt}'"),
         "publish_scores": _published_serving(f"""
 SELECT username, search_route, {HEURISTIC} AS q_ratio, out_dt AS dt FROM feat WHERE out_dt = '{dt}'"""),
+        "publish_model_scores": _published_serving(f"""
+SELECT username, search_route, out_dt AS dt, true AS is_probability, 2 AS refused FROM feat WHERE out_dt = '{dt}'"""),
+        "publish_features_orc": _published_serving(SERVING_ALL),
+        "history_state_routes": _with(FIXTURE) + f"""
+SELECT DISTINCT username, order_route FROM paid WHERE dt >= '{h_lo}' AND dt <= '{h_hi}' AND order_route IS NOT NULL""",
+        "serving_features_stored": _serving(run, SERVING_ALL),
+        "colocated_flags": _published_serving(f"""
+SELECT username, search_route, out_dt AS dt, is_student, is_trader, has_history_route FROM feat WHERE out_dt = '{dt}'"""),
         "peek_counts": _published_serving(f"""
 SELECT least(count(*), 5) AS n_shown, least(count(*), 5) AS n_held FROM feat WHERE out_dt = '{dt}'"""),
+        "gbt_split_gains": _imputed_training(labels_) + _split_gains(),
         "gbt_score_ranges": _serving(run, "SELECT username, search_route, out_dt AS dt, true AS is_probability FROM feat"),
         "gbt_first_trees": _serving(run, "SELECT username, search_route, out_dt AS dt, true AS same FROM feat"),
         "model_roundtrip": _serving(run, "SELECT username, search_route, out_dt AS dt, true AS same FROM feat"),

@@ -1,8 +1,6 @@
 """One feature row per (user, route): the serving query and its parts.
 
-Formulation (aggregate first, window later).  The reference computes user
-totals with window functions over raw log rows and then groups to
-(user, route).  Here:
+Formulation (aggregate first):
 
 1. Raw rows are grouped to *cells* (user, anchor, route, dep_city, arr_city)
    with numeric aggregates only (counts or weight sums, min, max, sums), so the
@@ -10,16 +8,18 @@ totals with window functions over raw log rows and then groups to
    aggregation before the only shuffle of raw rows.  (A string or set
    aggregate here would force a sort-based or object aggregate over every raw
    row.)  Cells are nearly pairs: a route fixes its cities except for the null
-   route.
-2. Cells are shuffled once, by user.  User-level values are windows over the
-   user's cells, each computed once per user:
+   route.  They are stored once: the user values, the pairs and the set of
+   users are all taken from that table, and each log is read once.
+2. User values are aggregates of the cells, one row per (user, anchor):
      search_route_cnt = sum of list counts        (count(if list) over user)
      ota_route_cnt    = sum of ota counts
-     dep_city_cnt     = size(collect_set(dep_city)) over user
+     dep_city_cnt     = distinct dep_city          (size(collect_set) over user)
      route_cnt        = distinct routes of the user, a null route counting
                         once (count(1) over user after the 1:1 joins)
-3. Cells fold into pairs with a second hash aggregate on the same partitioning
-   (no exchange), carrying the user values with max() as the reference does.
+   Distinct values are (user, anchor, value) rows that spread over all tasks
+   and are then counted by partial sums, so no task holds a user's cells.
+3. Cells are shuffled once, by user, and fold into pairs with a second hash
+   aggregate on that partitioning, streaming; the user values join there.
 
 A hot user never sends its raw rows to one task: partial aggregation leaves
 at most one row per cell and map task.  The recent-buyer exclusion, the tag
@@ -31,10 +31,15 @@ joins keyed by (user, anchor) and (user, route).
 
 Recent-buyer exclusion (J3) drops whole users; it runs on the pair rows
 after the user shuffle (see ``exclude_recent_buyers``).
+
+Tags and order history come from the source tables, or from the stored tables
+of ``operators.history_state`` and a bucketed tag table, which lie partitioned
+by user already.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -42,10 +47,12 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import PROCESS_LIST, PROCESS_OTA
 from ..schemas import FEATURE_COLUMNS
+from ..session import stored
+from ..sources.partitioned import PartitionedTable
 from ..sources.tables import SourceTables
 from ..windows import SERVING, DateWindows, shift_sql
-from .logs import (ANCHOR, ROUTE, USER, anchored_search_log, history_flag, history_summary,
-                   recent_buyers, unified_search_log, user_tag_flags)
+from .history_state import HistoryState
+from .logs import ANCHOR, ROUTE, USER, anchored_search_log, history_flag, history_summary, recent_buyers, user_tag_flags
 
 PAIR_KEYS = [USER, ANCHOR, ROUTE]
 USER_KEYS = [USER, ANCHOR]
@@ -83,25 +90,26 @@ def by_user(df: DataFrame) -> DataFrame:
     return df.repartition(USER)
 
 
-def with_user_stats(cells: DataFrame) -> DataFrame:
-    """W1 + W2 + W3 as windows over each user's cells."""
-    w = f"OVER (PARTITION BY {', '.join(USER_KEYS)})"
-    return cells.selectExpr(
-        "*",
-        f"CAST(sum(list_cnt) {w} AS INT) AS search_route_cnt",
-        f"CAST(sum(ota_cnt) {w} AS INT) AS ota_route_cnt",
-        f"size(collect_set(dep_city) {w}) AS dep_city_cnt",
-        f"size(collect_set(arr_city) {w}) AS arr_city_cnt",
+def user_stats(cells: DataFrame) -> DataFrame:
+    """W1 + W2 + W3: one row per (user, anchor)."""
+    return cells.groupBy(*USER_KEYS).agg(
+        F.expr("CAST(sum(list_cnt) AS INT) AS search_route_cnt"),
+        F.expr("CAST(sum(ota_cnt) AS INT) AS ota_route_cnt"),
+        F.expr("CAST(count(DISTINCT dep_city) AS INT) AS dep_city_cnt"),
+        F.expr("CAST(count(DISTINCT arr_city) AS INT) AS arr_city_cnt"),
         # distinct routes, the null route counting once
-        f"CAST(size(collect_set({ROUTE}) {w}) + max(CAST({ROUTE} IS NULL AS INT)) {w} AS INT) AS route_cnt",
-    )
+        F.expr(f"CAST(count(DISTINCT {ROUTE}) + max(CAST({ROUTE} IS NULL AS INT)) AS INT) AS route_cnt"))
 
 
 def pair_aggregates(log: DataFrame, weight: str | None = None) -> DataFrame:
-    """One row per (user, anchor, route) with A1/A2 and the user values of
-    W1-W3; the raw rows are shuffled once (as cells) and the cells once, by user."""
-    cells = with_user_stats(by_user(cell_aggregates(log, weight)))
+    """One row per (user, anchor, route) with A1/A2 and the user values of W1-W3.
+
+    The cells of the raw rows are stored first (this starts a job)."""
+    return pairs_of(stored(cell_aggregates(log, weight), "cells"))
+
 
+def pairs_of(cells: DataFrame) -> DataFrame:
+    """The pairs of stored cells, partitioned by user."""
     def avg(prefix):
         return f"try_divide(CAST(sum({prefix}_pre_sum) AS DOUBLE), CAST(sum({prefix}_pre_n) AS DOUBLE))"
 
@@ -114,10 +122,11 @@ def pair_aggregates(log: DataFrame, weight: str | None = None) -> DataFrame:
         "CAST(max(ota_pre_max) AS DOUBLE) AS ota_pre_days_max_raw",
         "CAST(min(ota_pre_min) AS DOUBLE) AS ota_pre_days_min_raw",
         f"{avg('ota')} AS ota_pre_days_avg_raw",
-    ] + [f"max({c}) AS {c}" for c in USER_STATS]
+    ]
     if "label" in cells.columns:
         aggs.append("max(label) AS label")
-    return cells.groupBy(*PAIR_KEYS).agg(*[F.expr(a) for a in aggs])
+    pairs = by_user(cells).groupBy(*PAIR_KEYS).agg(*[F.expr(a) for a in aggs])
+    return pairs.join(by_user(user_stats(cells)), USER_KEYS)
 
 
 def user_aggregates(pairs: DataFrame) -> DataFrame:
@@ -156,13 +165,31 @@ def feature_exprs() -> list[str]:
     return [f"{derived[c]} AS {c}" if c in derived else c for c in FEATURE_COLUMNS if c != "dt"]
 
 
+@dataclass
+class StoredTables:
+    """Tables that daily runs keep: the order history as day bits, and the tag flags of a snapshot day."""
+    history: HistoryState | None = None
+    tags: PartitionedTable | None = None
+    tags_dt: str | None = None
+
+
 def assemble(tables: SourceTables, pairs: DataFrame, anchors: list[str], windows: DateWindows,
-             users: DataFrame, buyers: DataFrame | None = None) -> DataFrame:
+             users: DataFrame, buyers: DataFrame | None = None, kept: StoredTables = StoredTables()) -> DataFrame:
     """Shared tail of serving and training: J3, tags, history flag; ``users``: all users of the pairs."""
     if buyers is not None:
         pairs = exclude_recent_buyers(pairs, buyers)
-    feats = attach_user_tags(pairs, user_tag_flags(tables, users))
-    return attach_history_flag(feats, history_summary(tables, anchors, windows.history, users), windows)
+    tags = user_tag_flags(tables, users) if kept.tags is None else kept.tags.read(kept.tags_dt).drop("dt")
+    summary = (history_summary(tables, anchors, windows.history, users) if kept.history is None
+               else kept.history.summary(anchors, windows.history))
+    return attach_history_flag(attach_user_tags(pairs, tags), summary, windows)
+
+
+def colocated_flags(features: DataFrame, kept: StoredTables, run_date: str, windows: DateWindows = SERVING) -> DataFrame:
+    """J4 + J5 of a published day again, from tables that lie bucketed by user: no side is exchanged."""
+    pairs = features.select(USER, ROUTE, F.lit(run_date).alias(ANCHOR), "dt")
+    tagged = attach_user_tags(pairs, kept.tags.read(kept.tags_dt).drop("dt"))
+    flagged = attach_history_flag(tagged, kept.history.summary([run_date], windows.history), windows)
+    return flagged.select(USER, ROUTE, "dt", "is_student", "is_trader", "has_history_route")
 
 
 def exclude_recent_buyers(df: DataFrame, buyers: DataFrame) -> DataFrame:
@@ -183,17 +210,15 @@ def serving_log(tables: SourceTables, anchors: list[str], windows: DateWindows =
 
 
 def serving_features(tables: SourceTables, run_dates: list[str] | str,
-                     windows: DateWindows = SERVING) -> DataFrame:
-    """The feature partition of each run date (dt = run date - 1)."""
+                     windows: DateWindows = SERVING, kept: StoredTables = StoredTables()) -> DataFrame:
+    """The feature partition of each run date (dt = run date - 1).
+
+    Stores the cells of the search window (this starts a job); orders and tags
+    are then cut to the users of the cells, unless they come from ``kept`` tables."""
     def group(anchors: list[str]) -> DataFrame:
         buyers = recent_buyers(tables, anchors, windows.recent_buyers)
-        feats = assemble(tables, pair_aggregates(serving_log(tables, anchors, windows)), anchors, windows,
-                         active_users(tables, anchors, windows), buyers)
+        cells = stored(cell_aggregates(serving_log(tables, anchors, windows)), "cells")
+        feats = assemble(tables, pairs_of(cells), anchors, windows, cells.select(USER).distinct(), buyers, kept)
         return feats.selectExpr(*feature_exprs(), f"{shift_sql(ANCHOR, windows.output_offset)} AS dt")
 
     return reduce(DataFrame.unionByName, [group(a) for a in windows.anchor_groups(run_dates)])
-
-
-def active_users(tables: SourceTables, anchors: list[str], windows: DateWindows) -> DataFrame:
-    """Distinct users who searched in the days that the anchors span (one column of the logs)."""
-    return unified_search_log(tables, *windows.searches.span(anchors)).select(USER).distinct()

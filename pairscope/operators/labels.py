@@ -8,8 +8,9 @@ that joined set.  A search is therefore counted once per such route (the
 "fan-out"), and the label says whether the searched route is one of the
 user's ordered routes.
 
-Here the join emits no pairs: each user-day's ordered routes travel as one
-small array, and each search row gets its multiplicity
+Here the join emits no pairs: each user-day's ordered routes travel as sorted
+arrays, and each search row gets its multiplicity (by halving the array, so a
+buyer of very many routes costs a logarithm of them per search)
 
     fanout = #{ordered routes r of the user-day : last_order_time(r) >= log_time}
 
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import TRAINING_COLUMNS
+from ..session import stored
 from ..sources.tables import SourceTables
 from ..windows import MAX_ORDERS_PER_ROUTE, TRAINING, DateWindows
 from .features import assemble, feature_exprs, pair_aggregates
@@ -71,44 +73,57 @@ def label_orders_without_recent_buyers(tables: SourceTables, label_dates: list[s
             .join(recent_buyers(tables, anchors, windows.recent_buyers), on=USER_KEYS, how="left_anti"))
 
 
+def first_not_below(array: str, value: str) -> str:
+    """SQL text: the first index (from 0) of a sorted array whose element is not below ``value``, by halving."""
+    middle = "(s.lo + s.hi) div 2"
+    return (f"aggregate(sequence(1, cast(ceil(log2(size({array}) + 1)) as int) + 1), named_struct('lo', 0, 'hi', size({array})), "
+            f"(s, i) -> if(s.lo >= s.hi, s, if({array}[cast({middle} as int)] < {value}, "
+            f"named_struct('lo', cast({middle} as int) + 1, 'hi', s.hi), named_struct('lo', s.lo, 'hi', cast({middle} as int)))), s -> s.lo)")
+
+
 def order_sets(label_orders: DataFrame) -> DataFrame:
-    """W4 as one row per (user, label day): the last order times in ascending
-    order and the ordered routes.  Its size is bounded by the routes one user
-    orders in a day.
+    """W4 as one row per (user, label day): the last order times and the
+    ordered routes, both in ascending order, so that a search is placed among
+    them by halving.  Its size is bounded by the routes one user orders in a day.
 
     The user is passed through a computed key, so that a join shuffles this
     small side on its own: with a shuffle right below both sides adaptive
     execution can split a user with very many searches."""
     return (label_orders.groupBy(USER, ANCHOR)
             .agg(F.expr("sort_array(collect_list(create_time_max)) AS order_times"),
-                 F.expr("collect_set(order_route) AS order_routes"))
+                 F.expr("sort_array(collect_set(order_route)) AS order_routes"))
             .withColumn(USER, F.expr(f"concat({USER}, '')")))
 
 
 def pre_order_searches(tables: SourceTables, label_dates: list[str] | str,
-                       windows: DateWindows = TRAINING) -> DataFrame:
+                       windows: DateWindows = TRAINING, orders: DataFrame | None = None) -> DataFrame:
     """J1 + F5 + P7 per search row: ``fanout`` (its multiplicity in the
-    reference join) and ``in_label`` (searched route is an ordered route)."""
+    reference join) and ``in_label`` (searched route is an ordered route).
+    ``orders``: the label-day orders, if they are at hand."""
     anchors = _anchors(label_dates, windows)
-    orders = label_orders_without_recent_buyers(tables, anchors, windows)
+    if orders is None:
+        orders = label_orders_without_recent_buyers(tables, anchors, windows)
     log = anchored_search_log(tables, anchors, windows.searches)
     joined = log.join(order_sets(orders), on=USER_KEYS)
     return (joined.where("log_time <= element_at(order_times, -1)")
             .selectExpr(
                 "*",
-                "size(filter(order_times, t -> t >= log_time)) AS fanout",
+                f"size(order_times) - {first_not_below('order_times', 'log_time')} AS fanout",
                 # a null route never matches (null -> label 0)
-                f"coalesce(array_contains(order_routes, {ROUTE}), false) AS in_label")
+                f"coalesce(get(order_routes, {first_not_below('order_routes', ROUTE)}) = {ROUTE}, false) AS in_label")
             .drop("order_times", "order_routes"))
 
 
 def training_set(tables: SourceTables, label_dates: list[str] | str,
                  windows: DateWindows = TRAINING) -> DataFrame:
-    """One labelled feature row per (user, route, label day)."""
+    """One labelled feature row per (user, route, label day).
+
+    The label-day orders (a row per buyer and route) and the cells are stored
+    once each (this starts jobs), so every source is read once."""
     def group(anchors: list[str]) -> DataFrame:
-        pairs = pair_aggregates(pre_order_searches(tables, anchors, windows), weight="fanout")
-        buyers = label_orders_without_recent_buyers(tables, anchors, windows).select(USER).distinct()
-        feats = assemble(tables, pairs, anchors, windows, buyers)
+        orders = stored(label_orders_without_recent_buyers(tables, anchors, windows), "label-orders")
+        pairs = pair_aggregates(pre_order_searches(tables, anchors, windows, orders), weight="fanout")
+        feats = assemble(tables, pairs, anchors, windows, orders.select(USER).distinct())
         return feats.selectExpr(*feature_exprs(), "label", f"{ANCHOR} AS label_dt")
 
     out = reduce(DataFrame.unionByName, [group(a) for a in windows.anchor_groups(label_dates)])

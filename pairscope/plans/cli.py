@@ -61,13 +61,13 @@ def cmd_training_set(spark, a):
 def cmd_train(spark, a):
     data = spark.read.parquet(a.training)
     split = pipelines.build_training_split(data, a.n_sample, a.test_size, a.fill_value)
-    fitted = model.train(split.sample, model.BoosterParams().with_iterations(a.iterations), value=a.fill_value)
-    print(json.dumps({"auc_by_round": model.auc_by_round(fitted, split.sample, a.report_every, value=a.fill_value),
-                      "watch_logloss": model.watch_losses(fitted, split.sample, a.report_every, value=a.fill_value)}))
+    fitted = model.train(split.sample, model.BoosterParams().with_iterations(a.iterations), value=a.fill_value, path=a.state)
+    for r in model.watch_table(fitted, split.sample, a.report_every, value=a.fill_value).orderBy("split", "rounds").collect():
+        print(json.dumps(r.asDict()))
     holdout = split.holdout
     if a.holdout_rows:  # only when asked for: the default evaluates every row
         holdout = sampling.hash_sample(holdout, a.holdout_rows)
-    scored = model.score(fitted, holdout, a.fill_value).withColumnRenamed("q_ratio", "score")
+    scored = model.score(model.scoring_model(fitted), holdout, a.fill_value).withColumnRenamed("q_ratio", "score")
     for name, table in pipelines.evaluate(scored, threshold=a.threshold).items():
         print(f"-- {name}")
         _show(table)
@@ -77,10 +77,10 @@ def cmd_train(spark, a):
 def cmd_score(spark, a):
     feats = PartitionedTable(spark, a.features_table, FEATURES)
     result = PartitionedTable(spark, a.result_table, SCORES)
-    fitted = model.load(a.model) if a.model else None
-    if fitted and a.trees:
+    fitted = model.load(a.model)
+    if a.trees:
         fitted = model.first_trees(fitted, a.trees)
-    _show(pipelines.score_and_publish(feats.read(a.dt), result, a.dt, fitted))
+    _show(pipelines.score_and_publish_checked(feats.read(a.dt), result, a.dt, fitted))
 
 
 def cmd_extract(spark, a):
@@ -117,7 +117,8 @@ def main(argv=None):
     sp.add_argument("--model", required=True)
     sp.add_argument("--n-sample", type=int, default=50_000)
     sp.add_argument("--test-size", type=float, default=0.5)
-    sp.add_argument("--iterations", type=int, default=1500)
+    sp.add_argument("--iterations", type=int, default=2000)
+    sp.add_argument("--state", help="folder of the boosting state: a run that stopped is continued from there")
     sp.add_argument("--fill-value", type=float, default=model.FILL_VALUE)
     sp.add_argument("--threshold", type=float, default=0.5)
     sp.add_argument("--holdout-rows", type=int, default=None, help="evaluate a seeded sample of this size only")
@@ -128,7 +129,7 @@ def main(argv=None):
     sp.add_argument("--features-table", required=True)
     sp.add_argument("--result-table", required=True)
     sp.add_argument("--dt", required=True)
-    sp.add_argument("--model", help="saved pipeline; without it a model-free heuristic score is used")
+    sp.add_argument("--model", required=True, help="folder of the saved model")
     sp.add_argument("--trees", type=int, help="score with the first trees of the model only")
     sp.set_defaults(fn=cmd_score)
 

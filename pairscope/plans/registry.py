@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import valid_user
 from ..operators import features as feat
-from ..operators import labels, logs, metrics, model, sampling
-from ..schemas import FEATURES, SCORES
+from ..operators import booster, labels, logs, metrics, model, sampling
+from ..operators.history_state import HistoryState
+from ..schemas import FEATURES, MODEL_INPUTS, SCORES, TAG_FLAGS
 from ..session import drop_at_exit, scratch_path
 from ..sources.delimited import read_scores_csv, read_tsv, write_scores_csv
 from ..sources.events import EventTables
@@ -34,11 +35,8 @@ SLICE_SIZE, SLICE_PRED_SIZE = 40, 10
 HOLDOUT_N = 200
 TEST_SIZE = 0.5
 PUBLISH_DT = shift(RUN_DATE, SERVING.output_offset)
-# Boosting rounds of the registered model queries; the jobs of plans/cli.py
-# train 1,500.  The work on the data (features, split, scoring and evaluation
-# of every row) does not depend on it.
-GBT_ITERATIONS = 10
-GBT_FIRST_TREES = 4
+BUCKETS = 8             # of the tables that are bucketed by user
+WATCH_EVERY = 100       # trees between two reported metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEY = sampling.KEY
@@ -384,6 +382,68 @@ def publish_scores(spark, sf):
     return _published_scores(spark, sf).read()
 
 
+def publish_model_scores(spark, sf):
+    """C5 as run: the model's scores staged, checked and swapped in; a day that fails the check leaves the old one."""
+    feats = _published_features(spark, sf)
+    result = PartitionedTable(spark, f"{_database(spark)}.route_scores", SCORES)
+    _, fitted = _fitted(spark, sf)
+    pipelines.score_and_publish_checked(feats.read(), result, PUBLISH_DT, fitted)
+    part = feats.read(PUBLISH_DT)
+    refused = []
+    for bad in (part.where("false"), part.unionByName(part)):
+        try:
+            pipelines.publish_checked(pipelines.score_features(bad, fitted), result, PUBLISH_DT, part.count())
+        except pipelines.PublishError:
+            refused.append(1)
+    return result.read().select("username", "search_route", "dt", F.expr("q_ratio BETWEEN 0 AND 1").alias("is_probability"),
+                                F.lit(len(refused)).alias("refused"))
+
+
+def _bucketed(spark, name, schema) -> PartitionedTable:
+    return PartitionedTable(spark, f"{_database(spark)}.{name}", schema, "orc", BUCKETS, [logs.USER]).create()
+
+
+def publish_features_orc(spark, sf):
+    """K5 + K1: the feature table as ORC, bucketed and sorted by user."""
+    table = _bucketed(spark, "route_features", FEATURES).overwrite_partitions(serving_features(spark, sf))
+    table.overwrite_partitions(feat.serving_features(_t(spark, sf), RUN_DATE))
+    return table.read()
+
+
+def _history_state(spark, sf) -> HistoryState:
+    """Two years of orders loaded at once, up to four days before the run date, then advanced day by day."""
+    t = _t(spark, sf)
+    lo, hi = SERVING.history.bounds(RUN_DATE)
+    state = HistoryState(spark, f"{_database(spark)}.order_history", BUCKETS).create()
+    state.load(t, lo, shift(hi, -3))
+    for day in date_range(shift(hi, -2), hi):
+        state.advance(t, day)
+    return state
+
+
+def history_state_routes(spark, sf):
+    """A6 from the daily state."""
+    return _history_state(spark, sf).routes(*SERVING.history.bounds(RUN_DATE))
+
+
+def _kept(spark, sf) -> feat.StoredTables:
+    tags = _bucketed(spark, "tag_flags", TAG_FLAGS)
+    flags = logs.user_tag_flags(_t(spark, sf)).withColumnRenamed("key", logs.USER)
+    return feat.StoredTables(_history_state(spark, sf), tags.overwrite_partition(flags, PUBLISH_DT), PUBLISH_DT)
+
+
+def serving_features_stored(spark, sf):
+    """C1 for one run date from the daily state: reads that day's searches and the stored tables."""
+    return feat.serving_features(_t(spark, sf), RUN_DATE, kept=_kept(spark, sf))
+
+
+def colocated_flags(spark, sf):
+    """K5 + J4 + J5 on tables bucketed by user: tag and history flags of a published day, joined without an exchange."""
+    kept = _kept(spark, sf)
+    table = _bucketed(spark, "route_features", FEATURES).overwrite_partitions(feat.serving_features(_t(spark, sf), RUN_DATE))
+    return feat.colocated_flags(table.read(PUBLISH_DT), kept, RUN_DATE)
+
+
 def peek_results(spark, sf):
     return _published_scores(spark, sf).read().limit(5)
 
@@ -399,12 +459,18 @@ def peek_counts(spark, sf):
 
 
 # ---------------------------------------------------------------- model
-def _fitted(spark, sf, rounds=GBT_ITERATIONS):
-    split = pipelines.build_training_split(_training(spark, sf), N_SAMPLE, TEST_SIZE)
-    return split, model.train(split.sample, model.BoosterParams().with_iterations(rounds))
+def _model_split(spark, sf):
+    return pipelines.build_training_split(_training(spark, sf), N_SAMPLE, TEST_SIZE)
+
+
+def _fitted(spark, sf):
+    """The reference's 2,000 rounds on the sample's training half."""
+    split = _model_split(spark, sf)
+    return split, model.train(split.sample)
 
 
 def gbt_train_score(spark, sf):
+    """M6-M8: every pair scored by the first 1,500 trees."""
     _, fitted = _fitted(spark, sf)
     return pipelines.score_features(feat.serving_features(_t(spark, sf), RUN_DATE), fitted)
 
@@ -415,19 +481,27 @@ def gbt_score_ranges(spark, sf):
                                              F.expr("coalesce(q_ratio BETWEEN 0 AND 1, false)").alias("is_probability"))
 
 
+def gbt_split_gains(spark, sf):
+    """M6: gradient and Hessian sums and penalised gain of every cut that the first split is chosen from."""
+    data = _model_split(spark, sf).sample.where("split = 'train'")
+    table = booster.split_table(model.impute(data), MODEL_INPUTS, "label", model.ROW_KEY)
+    return table.withColumn("gain", F.round("gain", 9))
+
+
 def _same_scores(a, b):
     keys = ["username", "search_route", "dt"]
     other = b.select(*[F.col(k).alias(f"o_{k}") for k in keys], F.col("q_ratio").alias("o_ratio"))
     return (a.join(other, F.expr(" AND ".join(f"{k} <=> o_{k}" for k in keys)), "left")
-            .select(*keys, F.expr("coalesce(abs(q_ratio - o_ratio) < 1e-12, false)").alias("same")))
+            .select(*keys, F.expr("coalesce(q_ratio = o_ratio, false)").alias("same")))
 
 
 def gbt_first_trees(spark, sf):
-    """M7: the first trees of a longer model score like a model of that many rounds."""
-    split, fitted = _fitted(spark, sf)
-    short = model.train(split.sample, model.BoosterParams().with_iterations(GBT_FIRST_TREES))
+    """M7: a run stopped after 1,500 rounds and then continued to 2,000: its first trees score like the shorter run."""
+    split, path = _model_split(spark, sf), scratch_path(spark, "boosting")
+    short = model.train(split.sample, path=path, stop_after=model.SCORE_TREES)
+    longer = model.train(split.sample, path=path)
     rows = pipelines.materialize(feat.serving_features(_t(spark, sf), RUN_DATE))
-    return _same_scores(model.score(fitted, rows, trees=GBT_FIRST_TREES), model.score(short, rows))
+    return _same_scores(model.score(longer, rows, trees=model.SCORE_TREES), model.score(short, rows))
 
 
 def model_roundtrip(spark, sf):
@@ -438,16 +512,22 @@ def model_roundtrip(spark, sf):
     return _same_scores(model.score(fitted, rows), model.score(loaded, rows))
 
 
+def watch_auc_by_round(spark, sf):
+    """M6: AUC and log-loss of the training and the watch rows after every 100 of the 2,000 rounds."""
+    split, fitted = _fitted(spark, sf)
+    return model.watch_table(fitted, split.sample, WATCH_EVERY)
+
+
 def _evaluated(spark, sf):
     split, fitted = _fitted(spark, sf)
-    scored = model.score(fitted, split.holdout).withColumnRenamed("q_ratio", "score")
+    scored = model.score(model.scoring_model(fitted), split.holdout).withColumnRenamed("q_ratio", "score")
     return split, fitted, pipelines.evaluate(scored)["binary_metrics"]
 
 
 def gbt_evaluate(spark, sf):
     """C3 -> M6 -> C4 with the model: metrics on the whole holdout, plus watch-set AUC."""
     split, fitted, metric = _evaluated(spark, sf)
-    return metric.withColumn("watch_auc", F.lit(model.watch_auc(fitted, split.sample)).cast("double"))
+    return metric.withColumn("watch_auc", F.lit(model.watch_auc(model.scoring_model(fitted), split.sample)).cast("double"))
 
 
 def gbt_holdout_counts(spark, sf):
@@ -469,6 +549,8 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in [
     label_distribution, class_ratio, threshold_class, confusion_matrix, binary_metrics,
     classification_report, auc_hard_label, score_histogram, auc_score,
     publish_features, feature_partition_extract, overwrite_partition_empty, drop_partition, drop_table,
-    partition_counts_latest, tsv_roundtrip, publish_scores, peek_results, peek_counts,
-    gbt_train_score, gbt_score_ranges, gbt_first_trees, model_roundtrip, gbt_evaluate, gbt_holdout_counts,
+    partition_counts_latest, tsv_roundtrip, publish_scores, publish_model_scores, publish_features_orc, history_state_routes,
+    serving_features_stored, colocated_flags, peek_results, peek_counts,
+    gbt_train_score, gbt_score_ranges, gbt_split_gains, gbt_first_trees, model_roundtrip, watch_auc_by_round, gbt_evaluate,
+    gbt_holdout_counts,
 ]}

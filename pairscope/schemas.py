@@ -30,6 +30,14 @@ USER_TAGS = T.StructType([
     T.StructField("tag", S),
 ])
 
+# Tag flags per user, a snapshot per day.
+TAG_FLAGS = T.StructType([
+    T.StructField("username", S),
+    T.StructField("is_trader", I),
+    T.StructField("is_student", I),
+    T.StructField("dt", S),
+])
+
 # Feature row, in table order (partition column last).
 FEATURES = T.StructType([
     T.StructField("username", S),

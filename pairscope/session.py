@@ -14,7 +14,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the pipeline relies on for correctness (not for speed).
 _REQUIRED_CONF = {
@@ -84,6 +84,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/pairscope/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str = "frame") -> DataFrame:
+    """``df`` written once as a Parquet table of the shared folder, and read back.
+
+    What several parts of a plan use is computed once, and a lost executor
+    repeats nothing before it.  The files go when the driver process ends."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    atexit.register(remove_path, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if the session still lives."""
+    if spark.sparkContext._jsc is not None:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def drop_at_exit(spark: SparkSession, database: str) -> str:
     """Drop a scratch database with its tables and files when the driver process ends."""
     def drop() -> None:

@@ -36,30 +36,61 @@ def no_broadcast(conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
 
 
+def logged_scans(spark, build):
+    """How often each event type was scanned by the jobs and the plan that ``build`` makes."""
+    plans = []
+    write = type(spark.range(1).write).parquet
+
+    def watched(self, path, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *args, **kwargs)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.range(1).write), "parquet", watched)
+        df = build()
+    plans.append(_plan(df))
+    return df, plans, {kind: sum(p.count(f"EqualTo(event_type,{kind})") for p in plans) for kind in ("view", "click", "purchase", "signup")}
+
+
 def test_serving_plan_shape(spark, no_broadcast):
-    df = serving_features(EventTables(spark, SF0001), date_range("20240102", "20240131"))
-    plan = _plan(df)
-    # raw rows go through a code-generated hash aggregate only
-    assert "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+    df, plans, scans = logged_scans(spark, lambda: serving_features(EventTables(spark, SF0001), date_range("20240102", "20240131")))
+    assert scans == {"view": 1, "click": 1, "purchase": 2, "signup": 1}      # orders: recent buyers, and two years of history
+    # raw rows go through a code-generated hash aggregate only, and no user's rows through a window
+    assert all("SortAggregate" not in p and "ObjectHashAggregate" not in p and "Window" not in p for p in plans)
     # orders and tags are cut to the active users before they are aggregated
-    assert plan.count("LeftSemi") == 2
-    # cells once by all keys, cells once by user; the small sides by their key
-    # and by user; pair rows never again
-    assert plan.count("Exchange hashpartitioning") <= 11
-    assert plan.count("Exchange hashpartitioning(username#") >= 1
+    assert plans[-1].count("LeftSemi") == 2
+    # cells once by all keys, and once by user; the small sides by their key and by user; pair rows never again
+    assert plans[0].count("Exchange hashpartitioning") == 1
+    assert plans[-1].count("Exchange hashpartitioning(username#") >= 1
     # the date range and event type reach the scan
-    assert "PushedFilters: [IsNotNull(event_type), IsNotNull(ts), EqualTo(event_type,view)" in plan
-
-
-def test_building_the_training_plan_starts_no_job(spark):
-    t = EventTables(spark, SF0001)
-    t._relation                                      # the read of the Parquet schema
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("build", "plan only")
-    labels.training_set(t, date_range("20240103", "20240130"))
-    serving_features(t, date_range("20240103", "20240130"))
-    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
-    assert list(tracker.getJobIdsForGroup("build")) == []
+    assert "PushedFilters: [IsNotNull(event_type), IsNotNull(ts), EqualTo(event_type,view)" in plans[0]
+
+
+def test_training_reads_each_source_once(spark, no_broadcast):
+    days = date_range("20240103", "20240130")
+    df, plans, scans = logged_scans(spark, lambda: labels.training_set(EventTables(spark, SF0001), days))
+    assert scans == {"view": 1, "click": 1, "purchase": 3, "signup": 1}      # orders: label days, days before them, history
+    assert all("Window" not in p for p in plans)
+
+
+def test_a_buyer_of_very_many_routes_against_counting(spark):
+    """10^4 ordered routes and 10^5 searches of one user-day: multiplicity and label by halving."""
+    orders = (spark.range(10_000).selectExpr(
+        "'hot' AS username", "concat('D', id % 100) AS dep_city", "concat('A', id div 100) AS arr_city",
+        "date_format(timestamp_seconds(1704844800 + id * 7), 'yyyy-MM-dd HH:mm:ss') AS create_time", "1 AS pay_ok", "'20240110' AS dt"))
+    searches = (spark.range(100_000).selectExpr(
+        "'hot' AS username", "concat('D', id % 130) AS dep_city", "concat('A', id % 120) AS arr_city", "cast(id % 9 AS INT) AS pre_days",
+        "'2024-01-10' AS search_date", "date_format(timestamp_seconds(1704844800 + id % 80000), 'HH:mm:ss') AS search_time", "'20240109' AS dt"))
+    t = tables(spark)
+    t.order_df, t.list_df = orders.select(*t.order_df.columns), searches.select(*t.list_df.columns)
+    got = labels.pre_order_searches(t, "20240110").groupBy("log_time", "search_route").agg(
+        F.max("fanout").alias("fanout"), F.max("in_label").alias("in_label"))
+    # 10^4 order times, 7 s apart from midnight on: a search at second s has 10^4 - ceil(s / 7) of them not before it
+    second = "unix_timestamp(log_time) - 1704844800"
+    wrong = got.withColumn("s", F.expr(second)).withColumns({
+        "want": F.expr("10000 - cast(ceil(s / 7) AS INT)"),
+        "label": F.expr("cast(substr(split(search_route, '-')[0], 2) AS INT) < 100 AND cast(substr(split(search_route, '-')[1], 2) AS INT) < 100")})
+    assert wrong.where("fanout <> want OR in_label <> label").count() == 0
+    assert wrong.where("want > 0").count() == wrong.count() > 50_000
 
 
 def test_training_is_the_same_without_broadcasts(spark, conf):

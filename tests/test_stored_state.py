@@ -1,0 +1,204 @@
+"""The daily history state, tables bucketed by user, and the checked publish."""
+
+import os
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF0001
+from helpers import order, search, sorted_rows, tables
+from pairscope.operators import booster, features, logs
+from pairscope.operators.booster import BoosterParams
+from pairscope.operators.history_state import BLOCK, HistoryState, block_of
+from pairscope.plans import pipelines
+from pairscope.schemas import FEATURES, MODEL_INPUTS, SCORES, TAG_FLAGS
+from pairscope.session import scratch_path
+from pairscope.sources.events import EventTables
+from pairscope.sources.partitioned import PartitionedTable, create_database
+from pairscope.windows import SERVING, Offsets, date_range, shift
+
+
+def database(spark):
+    name = f"t_{uuid.uuid4().hex[:10]}"
+    return create_database(spark, name, scratch_path(spark, name))
+
+
+def state_of(spark, buckets=3):
+    return HistoryState(spark, f"{database(spark)}.history", buckets).create()
+
+
+def random_orders(rng, days, n=300):
+    return [order(f"u{rng.randrange(12)}", f"D{rng.randrange(3)}", rng.choice(["A0", "A1", None]), rng.choice(days),
+                  pay_ok=rng.choice([0, 1, 1, 1])) for _ in range(n)]
+
+
+def test_thirty_daily_advances_equal_the_full_scan(spark):
+    rng = random.Random(5)
+    days = date_range("20231120", "20240115")
+    t = tables(spark, orders=random_orders(rng, days))
+    state = state_of(spark).load(t, days[0], "20231216")
+    window = Offsets(40, 3)
+    for day in date_range("20231217", "20240115"):
+        state.advance(t, day)
+    lo, hi = window.bounds("20240116")
+    assert sorted_rows(state.routes(lo, hi)) == sorted_rows(logs.order_history_routes(t, lo, hi).where("order_route IS NOT NULL"))
+    for anchors in (["20240116"], date_range("20240101", "20240116")):
+        assert sorted_rows(state.summary(anchors, window)) == sorted_rows(logs.history_summary(t, anchors, window))
+    with pytest.raises(ValueError):
+        state.summary(["20230101", "20240116"], window)
+
+
+@pytest.mark.parametrize("offset", [0, 1, BLOCK - 2, BLOCK - 1])
+def test_days_at_the_ends_of_a_block(spark, offset):
+    first = block_of("20240110")
+    day = shift(first, offset)
+    t = tables(spark, orders=[order("a", "D0", "A0", day), order("a", "D0", "A0", shift(day, 1)), order("b", "D0", "A0", shift(day, -1))])
+    state = state_of(spark)
+    for d in date_range(shift(day, -1), shift(day, 1)):
+        state.advance(t, d)
+    for lo, hi in ((day, day), (shift(day, -1), day), (shift(day, 1), shift(day, 70)), (shift(day, -200), shift(day, -1))):
+        assert sorted_rows(state.routes(lo, hi)) == sorted_rows(logs.order_history_routes(t, lo, hi))
+
+
+def test_a_day_run_again_replaces_its_own_bits_only(spark):
+    old = tables(spark, orders=[order("a", "D0", "A0", "20240110"), order("b", "D0", "A0", "20240110"), order("b", "D0", "A0", "20240111")])
+    new = tables(spark, orders=[order("c", "D0", "A0", "20240110")])
+    state = state_of(spark).advance(old, "20240110").advance(old, "20240111")
+    before = sorted_rows(state.table.read())
+    assert sorted_rows(state.advance(old, "20240110").table.read()) == before
+    state.advance(new, "20240110")
+    assert {r.username for r in state.routes("20240110", "20240110").collect()} == {"c"}
+    assert {r.username for r in state.routes("20240111", "20240111").collect()} == {"b"}
+
+
+def test_expired_blocks_are_dropped(spark):
+    days = date_range("20230101", "20240110")[::20]
+    t = tables(spark, orders=[order("a", "D0", "A0", d) for d in days])
+    state = state_of(spark).load(t, days[0], days[-1])
+    kept = sorted_rows(state.routes("20231001", "20240110"))
+    blocks = state.table.read().select("dt").distinct().count()
+    state.expire("20231001")
+    assert state.table.read().select("dt").distinct().count() < blocks
+    assert sorted_rows(state.routes("20231001", "20240110")) == kept
+
+
+def test_a_daily_run_reads_one_day_and_its_block(spark):
+    t = EventTables(spark, SF0001)
+    state = state_of(spark).load(t, "20240101", "20240120")
+    merged = state.table.read(block_of("20240121"))
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert f"dt#" in plan and "PartitionFilters: [isnotnull(dt" in plan
+    state.advance(t, "20240121")
+    lo, hi = "20240101", "20240121"
+    assert sorted_rows(state.routes(lo, hi)) == sorted_rows(logs.order_history_routes(t, lo, hi).where("order_route IS NOT NULL"))
+
+
+@pytest.fixture(scope="module")
+def kept(spark):
+    t = EventTables(spark, SF0001)
+    db = database(spark)
+    tags = PartitionedTable(spark, f"{db}.tags", TAG_FLAGS, "orc", 4, ["username"]).create()
+    tags.overwrite_partition(logs.user_tag_flags(t).withColumnRenamed("key", "username"), "20240129")
+    state = HistoryState(spark, f"{db}.history", 4).create().load(t, *SERVING.history.bounds("20240130"))
+    return t, features.StoredTables(state, tags, "20240129")
+
+
+def test_serving_from_stored_tables_equals_the_scan(spark, kept):
+    t, tables_kept = kept
+    assert sorted_rows(features.serving_features(t, "20240130", kept=tables_kept)) == sorted_rows(features.serving_features(t, "20240130"))
+
+
+def test_orc_tables_bucketed_by_user_join_without_an_exchange(spark, kept):
+    t, tables_kept = kept
+    feats = features.serving_features(t, date_range("20240128", "20240130"))
+    table = PartitionedTable(spark, f"{database(spark)}.features", FEATURES, "orc", 4, ["username"]).create().overwrite_partitions(feats)
+    assert sorted_rows(table.read()) == sorted_rows(feats)                        # ORC read back
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table.name}").collect()}
+    assert (about["Provider"], about["Num Buckets"], about["Bucket Columns"], about["Sort Columns"]) == ("orc", "4", "[`username`]", "[`username`]")
+    files = [f for f in table.read("20240129").inputFiles()]
+    assert 1 <= len(files) <= 4 and all(f.endswith(".orc") for f in files)
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in old:
+        spark.conf.set(k, "-1")
+    try:
+        flags = features.colocated_flags(table.read("20240129"), tables_kept, "20240130")
+        plan = flags._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2 and plan.count("Bucketed: true") == 3
+        want = feats.where("dt = '20240129'").select("username", "search_route", "dt", "is_student", "is_trader", "has_history_route")
+        assert sorted_rows(flags) == sorted_rows(want)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    table.overwrite_partition(spark.createDataFrame([], FEATURES), "20240129")    # static overwrite of a bucketed day
+    assert {r.dt for r in table.read().select("dt").distinct().collect()} == {"20240127", "20240128"}
+
+
+def scores_of(spark, day, n, value=0.5):
+    return spark.createDataFrame([(f"u{i}", "D0-A0" if i else None, value, day) for i in range(n)], SCORES)
+
+
+def folders(result):
+    root = result.location().replace("file:", "")
+    return sorted(d for top, dirs, files in os.walk(root) for d in [top] if any(f.endswith(".parquet") for f in files))
+
+
+def test_a_checked_publish_swaps_whole_days(spark):
+    result = PartitionedTable(spark, f"{database(spark)}.scores", SCORES)
+    pipelines.publish_checked(scores_of(spark, "x", 5), result, "20240101", 5)
+    counts = pipelines.publish_checked(scores_of(spark, "x", 7), result, "20240102", 7)
+    assert [(r.dt, r["count"]) for r in counts.collect()] == [("20240102", 7), ("20240101", 5)]
+    pipelines.publish_checked(scores_of(spark, "x", 6, 0.25), result, "20240102", 6)          # a day once more
+    assert {(r.dt, r.q_ratio) for r in result.read().collect()} == {("20240101", 0.5), ("20240102", 0.25)}
+    assert len(folders(result)) == 2                                                         # the replaced version is gone
+    result.overwrite_partition(scores_of(spark, "x", 3).drop("dt"), "20240102")               # a plain load of that day still works
+    assert {(r.dt, r["count"]) for r in result.partition_counts(5).collect()} == {("20240102", 3), ("20240101", 5)}
+
+
+@pytest.mark.parametrize("bad, why", [("short", "4 rows instead of 5"), ("repeated", "1 repeated pairs"), ("range", "5 scores that are no probability"),
+                                      ("null", "5 scores"), ("empty", "0 rows instead of 5")])
+def test_a_failed_check_leaves_the_old_day(spark, bad, why):
+    result = PartitionedTable(spark, f"{database(spark)}.scores", SCORES)
+    pipelines.publish_checked(scores_of(spark, "x", 5), result, "20240101", 5)
+    before, held = sorted_rows(result.read()), folders(result)
+    rows = {"short": scores_of(spark, "x", 4), "repeated": scores_of(spark, "x", 4).unionByName(scores_of(spark, "x", 1)),
+            "range": scores_of(spark, "x", 5, 1.5), "null": scores_of(spark, "x", 5, None), "empty": scores_of(spark, "x", 5).limit(0)}[bad]
+    with pytest.raises(pipelines.PublishError, match=why):
+        pipelines.publish_checked(rows, result, "20240101", 5)
+    assert sorted_rows(result.read()) == before and folders(result) == held
+
+
+def test_a_job_that_dies_while_staging_leaves_the_old_day(spark):
+    result = PartitionedTable(spark, f"{database(spark)}.scores", SCORES)
+    pipelines.publish_checked(scores_of(spark, "x", 5), result, "20240101", 5)
+    before = sorted_rows(result.read())
+    broken = scores_of(spark, "x", 5).withColumn("q_ratio", F.expr("if(username = 'u3', cast(raise_error('injected') as double), 0.5)"))
+    with pytest.raises(Exception, match="injected"):
+        pipelines.publish_checked(broken, result, "20240101", 5)
+    assert sorted_rows(result.read()) == before
+
+
+def test_the_model_scores_what_is_published(spark):
+    feats = features.serving_features(EventTables(spark, SF0001), "20240130")
+    labelled = feats.withColumn("label", F.expr("cast(search_route_single_cnt > 1 as int)"))
+    fitted = booster.train(labelled.na.fill(0), MODEL_INPUTS, "label", ["username", "search_route"], BoosterParams(max_iter=4))
+    result = PartitionedTable(spark, f"{database(spark)}.scores", SCORES)
+    counts = pipelines.score_and_publish_checked(feats, result, "20240129", fitted)
+    assert [(r.dt, r["count"]) for r in counts.collect()] == [("20240129", feats.count())]
+    assert sorted_rows(result.read()) == sorted_rows(pipelines.score_features(feats, fitted))
+
+
+def test_a_user_of_very_many_routes(spark):
+    """10^5 routes of one user: no window holds them, and the values are right."""
+    n = 100_000
+    rows = spark.range(n).selectExpr("'hot' AS username", "concat('D', id % 500) AS dep_city", "concat('A', id) AS arr_city",
+                                     "cast(id % 30 AS INT) AS pre_days", "'2024-01-09' AS search_date", "'10:00:00' AS search_time", "'20240109' AS dt")
+    t = tables(spark, lists=[search("cold", "D0", "A0", 3, "20240109")], orders=[order("hot", "D7", "A7", "20231201")])
+    t.list_df = t.list_df.unionByName(rows.select(*t.list_df.columns))
+    out = features.serving_features(t, "20240110")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "collect_set" not in plan
+    got = out.groupBy("username").agg(F.count("*").alias("n"), F.max("route_cnt").alias("routes"), F.max("dep_city_cnt").alias("deps"),
+                                      F.max("arr_city_cnt").alias("arrs"), F.max("search_route_cnt").alias("searches"), F.sum("has_history_route").alias("bought"))
+    assert {tuple(r) for r in got.collect()} == {("hot", n, n, 500, n, n, 1), ("cold", 1, 1, 1, 1, 1, 0)}
