@@ -15,7 +15,9 @@ import re
 import sys
 import time
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))  # for the Python workers
 
 from pairscope.plans import registry  # noqa: E402
 from pairscope.session import get_session  # noqa: E402
@@ -32,8 +34,8 @@ HEADLINE = [
     "publish_features",        # K1 write + re-publish + read back
     "tsv_roundtrip",           # K2 + S6
     "history_route_flag",      # J4 + P6
-    "gbt_train_score",         # M6 + M8, 10 rounds
-    "gbt_evaluate",            # M6 + C4 over the whole holdout, 10 rounds
+    "gbt_train_score",         # M6 + M8, 2,000 rounds
+    "gbt_evaluate",            # M6 + C4 over the whole holdout, 2,000 rounds
 ]
 
 

@@ -1,5 +1,6 @@
 """Write ``explain("formatted")`` of the main queries to docs/plans/.
 
+The plans of tables that a query stores on the way come first.
 Two variants per query: as planned on the test data (small sides broadcast)
 and with broadcasts disabled, which is how the plan looks when every side is
 large (a big cluster).  Usage: python tools/explain_plans.py [sf_dir]
@@ -15,8 +16,9 @@ import sys
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from pairscope.operators import features, labels  # noqa: E402
 from pairscope.plans import registry  # noqa: E402
-from pairscope.session import get_session  # noqa: E402
+from pairscope.session import get_session, stored  # noqa: E402
 
 QUERIES = ["serving_features", "training_set", "pre_order_searches", "balanced_sample",
            "holdout_complement", "classification_report", "history_route_flag"]
@@ -31,6 +33,22 @@ def explain(df) -> str:
     return buf.getvalue()
 
 
+def planned(build) -> str:
+    """The plans of the tables that ``build`` stores, and of its result."""
+    parts: list[str] = []
+
+    def recording(df, name="frame"):
+        parts.append(f"==== stored: {name} ====\n{explain(df)}")
+        return stored(df, name)
+
+    features.stored = labels.stored = recording
+    try:
+        df = build()
+    finally:
+        features.stored = labels.stored = stored
+    return "\n".join([*parts, f"==== result ====\n{explain(df)}" if parts else explain(df)])
+
+
 def main(sf_dir: str) -> None:
     spark = get_session("local[8]", 8, extra={"spark.ui.enabled": "false",
                                               "spark.ui.showConsoleProgress": "false"})
@@ -42,7 +60,7 @@ def main(sf_dir: str) -> None:
         for k, v in conf.items():
             spark.conf.set(k, v)
         for name in QUERIES:
-            text = explain(registry.QUERIES[name](spark, sf_dir))
+            text = planned(lambda: registry.QUERIES[name](spark, sf_dir))
             with open(os.path.join(out_dir, f"{name}.{variant}.txt"), "w") as f:
                 f.write(text)
         for k, v in old.items():
