@@ -130,6 +130,39 @@ def test_buckets_over_batches_and_giants(monkeypatch, giant, frequent):
     assert not list(L.gathered(iter([]), 5))
 
 
+@pytest.mark.parametrize("remembered", [3, 1 << 18])
+def test_repeated_and_shared_nodes_are_found_over_tasks(monkeypatch, remembered):
+    monkeypatch.setattr(L, "SEEN", remembered)
+    rng = np.random.default_rng(5)
+    node = rng.integers(-60, 60, 150)
+    b = np.where(node % 5 == 0, rng.integers(0, 3, len(node)), node + 1)       # a fifth of the nodes is shared by other lines
+    parts, new = [], []
+    for i in range(0, len(node), 50):                                           # tasks of two batches
+        seen = L.Seen()
+        for j in (i, i + 25):
+            first, hashes = seen.news(node[j:j + 25].tolist(), b[j:j + 25].tolist())
+            new += node[j:j + 25][first].tolist()
+            parts.append(L.packed_hashes(node[j:j + 25][hashes], b[j:j + 25][hashes], 5).to_pandas())
+    rows = pd.concat(parts).sort_values("chunk", kind="stable")
+    got = pd.concat([x.to_pandas() for x in L.gathered(iter([pa.RecordBatch.from_pandas(rows, L.PACKED, preserve_index=False)]), 5)])
+    lines = pd.DataFrame({"node": node, "b": b}).groupby("node")["b"]
+    assert set(new) == set(node.tolist())
+    assert sorted(got.loc[got["kind"] == L.REPEATED, "node"]) == sorted(n for n, g in lines if len(g) > 1)
+    assert sorted(got.loc[got["kind"] == L.COLLIDED, "node"]) == sorted(n for n, g in lines if g.nunique() > 1)
+
+
+def test_lines_that_are_alone_do_not_travel(spark):
+    near = "the quick brown fox jumps over the lazy dog and runs away into the dark green forest"
+    rows = [(1, "Twice\nown line of the first\n" + near), (2, "twice\n\nsome words of the second"), (3, near.replace("lazy", "hazy") + "\nthird")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = L.gathered_lines(df, "text", frozenset())
+    wanted = L.wanted_lines(df, "doc_id", "text", frozenset(), L.line_families(lines), lines.where(f"kind = {L.REPEATED}").select("node"))
+    assert sorted((r.id, r.line) for r in wanted.where(f"kind = {L.LINE}").collect()) == [("1", 0), ("1", 2), ("2", 0), ("3", 0)]
+    assert sorted(r.payload for r in wanted.where(f"kind = {L.TEXT}").collect()) == sorted([near, near.replace("lazy", "hazy")])
+    assert [(r.doc_id, r.copies, r.dropped) for r in L.dropped_lines(df).withColumnRenamed("id", "doc_id").where("size(dropped) > 0").orderBy("doc_id").collect()] == [
+        (2, 1, [0]), (3, 1, [0])]
+
+
 @pytest.mark.parametrize("n, sides", [(2, 1), (5, 1), (64, 1), (65, 1), (400, 1), (50, 3), (300, 3)])
 def test_sketch_links_against_all_pairs(n, sides):
     rng = np.random.default_rng(n)
