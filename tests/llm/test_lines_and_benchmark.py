@@ -163,6 +163,71 @@ def test_lines_that_are_alone_do_not_travel(spark):
         (2, 1, [0]), (3, 1, [0])]
 
 
+@pytest.mark.parametrize("within, frequent", [(1024, 64), (1024, 2), (3, 64)])
+def test_lines_that_meet_by_chance_do_not_leave_their_bucket(monkeypatch, within, frequent):
+    """Buckets of up to ``within`` lines give links alone, those that the sketches of all pairs in them ask for."""
+    monkeypatch.setattr(L, "FREQUENT", frequent)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdef") for _ in range(6)) for _ in range(25)]
+    lines = [" ".join(rng.choice(words) for _ in range(12)) for _ in range(900)]
+    lines += [edited(rng, t, 0.02) for t in lines[:150]]
+    lines = sorted(set(lines))
+    node, sig = np.array(L.nodes_of(lines), np.int64), L.signatures(lines)
+    keys, sketch = L.band_keys(sig), L.sketches(sig)
+    parts = [L.packed(node[i:i + 200], keys[i:i + 200], 7, sketch[i:i + 200], False).to_pandas() for i in range(0, len(lines), 200)]
+    parts.append(parts[0])                                                       # lines of another task
+    rows = pd.concat(parts).sort_values("chunk", kind="stable")
+    got = [b.to_pandas() for b in L.gathered(iter([pa.RecordBatch.from_pandas(rows, L.PACKED, preserve_index=False)]), 7, within)]
+    member, link = ([g for g in got if (g["kind"] == kind).all()] for kind in (L.MEMBER, L.LINK))
+    member, link = (pd.concat(x) if x else got[0].iloc[:0] for x in (member, link))
+    assert len(member) + len(link) == sum(map(len, got)) and len(link)
+    meet = (keys[:, None] == keys[None]).any(axis=2)
+    assert meet.sum() > 10 * len(lines)
+    if (within, frequent) == (1024, 64):
+        assert not len(member) and len(link) < 3 * len(lines)
+    known = {n: x for n, x in zip(node.tolist(), sketch.tolist())}
+    assert all(known[n] == [x % 2 ** 64, y % 2 ** 64] for n, x, y in member[["node", "s0", "s1"]].astype(np.int64).itertuples(index=False))
+    number = {n: i for i, n in enumerate(node.tolist())}
+    near = meet & (L.agreeing(sketch[:, None], sketch[None]) >= L.AGREE)
+    member = member.sort_values("bucket")
+    a, b = L.compare_sketches(member.assign(unit=member["bucket"], side=0)) if len(member) else ([], [])
+    links = [*zip(link["bucket"].tolist(), link["node"].tolist()), *zip(list(a), list(b))]
+    want, found = (union_find(len(lines), x) for x in (list(zip(*np.nonzero(near))), [(number[x], number[y]) for x, y in links]))
+    pairs = {}
+    assert all(pairs.setdefault(w, f) == f for w, f in zip(want, found))         # nothing near is kept apart
+    if not len(member):
+        assert len(set(zip(want, found))) == len(set(found))
+
+
+def test_small_buckets_send_no_members(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdef") for _ in range(6)) for _ in range(20)]
+    rows = [(i, "\n".join(" ".join(rng.choice(words) for _ in range(10)) for _ in range(5))) for i in range(60)]
+    near = " ".join(words)
+    rows += [(100, near), (101, near.replace(words[3], "xyzxyz"))]
+    lines = L.gathered_lines(spark.createDataFrame(rows, "doc_id long, text string"), "text", frozenset())
+    assert {r.kind for r in lines.select("kind").distinct().collect()} <= {L.LINK, L.REPEATED}
+    groups = {r.node: r.group for r in L.line_families(lines).collect()}
+    a, b = L.nodes_of([rows[-2][1], rows[-1][1]])
+    assert groups[a] == groups[b]
+
+
+@pytest.mark.parametrize("n, sides", [(1, 1), (40, 1), (64, 2), (65, 1), (200, 1), (200, 2)])
+def test_similar_lines_against_all_pairs(n, sides):
+    rng = random.Random(n + sides)
+    base = [" ".join(f"{rng.choice('abcdef')}{rng.randrange(30)}" for _ in range(rng.choice([4, 30]))) for _ in range(n // 6 + 1)]
+    lines = [edited(rng, rng.choice(base), rng.choice([0.0, 0.02, 0.04, 0.2])) + rng.choice(["", "", " and a longer tail"]) for _ in range(n)]
+    side = np.array([rng.randrange(1, 3) if sides > 1 else 0 for _ in range(n)])
+    grams = [L.shingles(t) for t in lines]
+    known = [(i, i + 1) for i in range(0, n - 1, 9)]
+    near = [(i, j) for i in range(n) for j in range(i) if len(grams[i] & grams[j]) >= 0.8 * len(grams[i] | grams[j]) - 1e-12
+            and (side[i] != side[j] or sides == 1)]
+    numbers: dict[int, int] = {}
+    comp = np.array([numbers.setdefault(r, len(numbers)) for r in union_find(n, known)])
+    want, got = union_find(n, known + near), L.similar(L.shingle_numbers(lines), side, comp).tolist()
+    assert len(set(zip(want, got))) == len(set(want)) == len(set(got))
+
+
 @pytest.mark.parametrize("n, sides", [(2, 1), (5, 1), (64, 1), (65, 1), (400, 1), (50, 3), (300, 3)])
 def test_sketch_links_against_all_pairs(n, sides):
     rng = np.random.default_rng(n)
